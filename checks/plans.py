@@ -7,14 +7,14 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.registry import check
-from checks.tables import CFG, SINGLE_SHOT, full_plan, plan_entry, plan_sql, source, sources
+from checks.tables import CFG, SINGLE_SHOT, full_plan, plan_entries, plan_entry, plan_sql, source, sources
 from snaplake.operators.coverage import slice_coverage
 from snaplake.plans.catalog import TABLE_ID, assign_page_keys, discover_keys, list_tables
 from snaplake.plans.load_plan import compaction_targets as batched_tables
 from snaplake.plans.slices import plan_slices
 
 
-@check("table_profile", plan_sql(CFG) + 'SELECT source, ns, "table", key_column, key_kind, "rows", lo, hi FROM profile')
+@check("table_profile", plan_sql(CFG) + 'SELECT source, ns, "table", key_column, salt_column, key_kind, "rows", lo, hi FROM profile')
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = []
     for src in sources(spark, sf_dir):
@@ -78,9 +78,10 @@ _slices("page_slices", "page_batches", _EXPLODED.format(
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the rows of a key-range, a hash and a page table, each at the slices its plan gives it."""
     mysql, postgresql = sources(spark, sf_dir)
+    keyed = plan_entries(mysql)
     found = [
-        slice_coverage(mysql, plan_entry(mysql, "orders")),
-        slice_coverage(mysql, plan_entry(mysql, "customer")),
+        slice_coverage(mysql, keyed["orders"]),
+        slice_coverage(mysql, keyed["customer"]),
         slice_coverage(postgresql, plan_entry(postgresql, "lineitem"), postgresql.page()),
     ]
     return functools.reduce(DataFrame.unionByName, found)

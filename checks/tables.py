@@ -61,7 +61,11 @@ def full_plan(spark: SparkSession, sf_dir: str, cfg: LoadConfig = CFG) -> DataFr
 
 
 def plan_entry(src: FileSource, name: str, cfg: LoadConfig = CFG) -> Row:
-    return plan_source(src, cfg).filter(f"table = '{name}'").first()
+    return plan_entries(src, cfg)[name]
+
+
+def plan_entries(src: FileSource, cfg: LoadConfig = CFG) -> dict[str, Row]:
+    return {e["table"]: e for e in plan_source(src, cfg).collect()}
 
 
 def new_sink(spark: SparkSession) -> ParquetSink:
@@ -87,9 +91,10 @@ def _profile_sql() -> str:
                 how = "'text'" if text else "CASE WHEN count(*) > 0 THEN 'page' ELSE 'none' END"
                 how = how if kind == "postgresql" or text else "'none'"
                 bounds = "0::BIGINT AS lo, 0::BIGINT AS hi"
+            salt = f"'{key[-1]}'" if len(key) > 1 else "NULL::VARCHAR"
             selects.append(
                 f"SELECT '{kind}' AS source, '{NS[kind]}' AS ns, '{name}' AS \"table\", {column} AS key_column, "
-                f"{how} AS key_kind, count(*) AS \"rows\", {bounds}, "
+                f"{salt} AS salt_column, {how} AS key_kind, count(*) AS \"rows\", {bounds}, "
                 f"(count(*) + {ROWS_PER_PAGE - 1}) // {ROWS_PER_PAGE} AS pages FROM {name}"
             )
     return "profile AS (" + "\nUNION ALL ".join(selects) + ")"
@@ -100,7 +105,7 @@ def plan_sql(cfg: LoadConfig) -> str:
     t, b = cfg.large_table_threshold, cfg.large_table_batch_size
     single = str(cfg.single_shot).lower()
     return f"""WITH {_profile_sql()},
-sized AS (SELECT source, ns, "table", key_column, key_kind, "rows", lo, hi,
+sized AS (SELECT source, ns, "table", key_column, salt_column, key_kind, "rows", lo, hi,
   CASE WHEN key_kind = 'page' THEN greatest(pages, 1) ELSE pages END AS pages,
   CASE WHEN key_kind = 'page' OR (key_kind = 'numeric' AND hi > lo)
        THEN greatest(1, least(("rows" + {cfg.chunk_size - 1}) // {cfg.chunk_size}, {cfg.num_threads}))
@@ -121,7 +126,7 @@ measured AS (SELECT *, CASE strategy WHEN 'range_batches' THEN hi - lo + 1 WHEN
     THEN greatest(1, ceil({b} / greatest(1, ceil("rows" / pages)))::BIGINT) ELSE {b} END AS width FROM chosen),
 widened AS (SELECT *, CASE WHEN extent IS NOT NULL
   THEN greatest(width, (extent + {cfg.max_slices - 1}) // {cfg.max_slices}) END AS slice_width FROM measured),
-plan AS (SELECT source, ns, "table", key_column, key_kind, "rows", lo, hi, pages, parts, large, strategy, slice_width,
+plan AS (SELECT source, ns, "table", key_column, salt_column, key_kind, "rows", lo, hi, pages, parts, large, strategy, slice_width,
   CASE WHEN extent IS NOT NULL THEN (extent + slice_width - 1) // slice_width ELSE 1 END AS batches FROM widened)
 """
 

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
 from snaplake.functions.filters import to_column
-from snaplake.plans.load_plan import BATCHED, plan_frame
-from snaplake.plans.slices import plan_slices
+from snaplake.plans.load_plan import BATCHED
 from snaplake.sinks.base import Sink, Target
 from snaplake.sources.base import Source
 
@@ -87,17 +86,12 @@ def load_table(source: Source, sink: Sink, entry: Row, *, publish: str = "atomic
     if publish != "incremental":
         raise ValueError(f"unknown publish mode {publish!r}")
     rows = 0
-    for piece in _slices(source, entry):
+    for piece in source.pieces(entry):
         write = sink.append if piece["slice_no"] else sink.replace
         rows += write(source.read_slice(entry, piece), target)
     return rows
 
 
-def _slices(source: Source, entry: Row) -> list[Row]:
-    """Slices of one table: at most ``LoadConfig.max_slices`` small rows."""
-    return plan_slices(plan_frame(source.spark, [entry])).orderBy("slice_no").collect()
-
-
 def load_all(
     spark: SparkSession,
     source: Source,
@@ -146,8 +140,9 @@ def _pass(
 
     pools = [(ThreadPoolExecutor(max_workers=n), lane, todo) for lane, (n, todo) in lanes.items() if todo]
     try:
-        work = inheritable_thread_target(one)
-        futures = [pool.submit(work, lane, entry) for pool, lane, todo in pools for entry in todo]
+        # Wrapped anew for every table: the wrapper's copy of the local properties is one table's own.
+        inherit = inheritable_thread_target(run.spark)
+        futures = [pool.submit(inherit(one), lane, entry) for pool, lane, todo in pools for entry in todo]
         return [f.result() for f in futures]
     finally:
         for pool, _, _ in pools:

@@ -17,7 +17,7 @@ from snaplake.operators.manifest import replication_documents, save_document, sn
 from snaplake.plans.catalog import (
     TABLE_ID, assign_page_keys, discover_keys, estimate_pages, list_tables, stale_tables,
 )
-from snaplake.plans.load_plan import plan_frame, plan_loads
+from snaplake.plans.load_plan import PROFILE_COLUMNS, PROFILE_SCHEMA, plan_frame, plan_loads
 from snaplake.sinks.base import Sink
 from snaplake.sources.base import Source
 
@@ -44,13 +44,6 @@ def plan_source(source: Source, cfg: LoadConfig) -> DataFrame:
     return plan_frame(spark, plan_loads(local_frame(spark, profile, PROFILE_SCHEMA), cfg).collect())
 
 
-PROFILE_COLUMNS = [*TABLE_ID, "key_column", "key_kind", "rows", "lo", "hi", "pages"]
-PROFILE_SCHEMA = (
-    "source string, ns string, table string, key_column string, key_kind string, rows bigint, lo bigint, hi bigint, "
-    "pages bigint"
-)
-
-
 def snapshot(
     source: Source,
     sink: Sink,

@@ -70,7 +70,8 @@ def discover_keys(
 ) -> DataFrame:
     """The column each table is read by: its first integer key column, else (MySQL) its first key column.
 
-    Adds ``key_column`` and ``key_kind`` (numeric, text or none) to ``tables``.
+    Adds ``key_column``, ``key_kind`` (numeric, text or none) and ``salt_column`` to ``tables``. The salt is
+    another column of a composite key: one value of the key column alone may then hold most of the rows.
     """
     primary = constraints.filter(F.col("constraint_type") == "PRIMARY KEY")
     usable = by_source(lambda d: F.col("data_type").isin(*d.integer_types))
@@ -81,19 +82,18 @@ def discover_keys(
         .agg(
             F.min_by("column", F.when(usable, F.col("ordinal"))).alias("numeric_key"),
             F.min_by("column", "ordinal").alias("first_key"),
+            F.max_by("column", "ordinal").alias("last_key"),
         )
     )
     has_number = F.col("numeric_key").isNotNull()
     has_text = F.col("first_key").isNotNull() & by_source(lambda d: F.lit(d.text_keys))
-    return (
-        tables.select(*TABLE_ID)
-        .join(first_keys, TABLE_ID, "left")
-        .select(
-            *TABLE_ID,
-            F.when(has_number, F.col("numeric_key")).when(has_text, F.col("first_key")).alias("key_column"),
-            F.when(has_number, "numeric").when(has_text, "text").otherwise("none").alias("key_kind"),
-        )
+    keyed = tables.select(*TABLE_ID).join(first_keys, TABLE_ID, "left").select(
+        *TABLE_ID, "first_key", "last_key",
+        F.when(has_number, F.col("numeric_key")).when(has_text, F.col("first_key")).alias("key_column"),
+        F.when(has_number, "numeric").when(has_text, "text").otherwise("none").alias("key_kind"),
     )
+    others = [F.when(F.col(c) != F.col("key_column"), F.col(c)) for c in ("last_key", "first_key")]
+    return keyed.select(*TABLE_ID, "key_column", F.coalesce(*others).alias("salt_column"), "key_kind")
 
 
 def assign_page_keys(keys: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """How each table is read: one row per table, computed from its profile by column expressions alone.
 
-A profile has ``source, ns, table, key_column, key_kind, rows, lo, hi, pages``; the plan adds
+A profile has ``PROFILE_COLUMNS``; the plan adds
 
 ``parts``        parallel readers of a table, or of one slice of it
 ``large``        whether the table runs in the large lane
@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 
 from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
-from snaplake.functions.expressions import WIDE, at_least, ceil_div
-from snaplake.plans.catalog import TABLE_ID, by_source
+from snaplake.functions.expressions import WIDE
+from snaplake.plans.catalog import TABLE_ID
+from snaplake.sources.dialects import DIALECTS
 
-PLAN_COLUMNS = [
-    *TABLE_ID, "key_column", "key_kind", "rows", "lo", "hi", "pages",
-    "parts", "large", "strategy", "slice_width", "batches",
-]
+PROFILE_COLUMNS = [*TABLE_ID, "key_column", "salt_column", "key_kind", "rows", "lo", "hi", "pages"]
+PLAN_COLUMNS = [*PROFILE_COLUMNS, "parts", "large", "strategy", "slice_width", "batches"]
 
-PLAN_SCHEMA = (
-    "source string, ns string, table string, key_column string, key_kind string, rows bigint, lo bigint, hi bigint, "
-    "pages bigint, parts bigint, large boolean, strategy string, slice_width bigint, batches bigint"
+PROFILE_SCHEMA = (
+    "source string, ns string, table string, key_column string, salt_column string, key_kind string, "
+    "rows bigint, lo bigint, hi bigint, pages bigint"
 )
+PLAN_SCHEMA = PROFILE_SCHEMA + ", parts bigint, large boolean, strategy string, slice_width bigint, batches bigint"
 
 BATCHED = ("range_batches", "hash_batches", "page_batches")
 
@@ -40,53 +40,49 @@ def key_span(lo: Column, hi: Column) -> Column:
 
 
 def plan_loads(profile: DataFrame, cfg: LoadConfig) -> DataFrame:
-    def count(n: int) -> Column:
-        return F.lit(n).cast("bigint")
-
-    rows, lo, hi = F.col("rows"), F.col("lo"), F.col("hi")
-    by_page = F.col("key_kind") == "page"
-    by_number = F.col("key_kind") == "numeric"
-    by_text = F.col("key_kind") == "text"
-    spread = by_number & (hi > lo)
-    batch = count(cfg.large_table_batch_size)
-    large = rows >= cfg.large_table_threshold
-    in_batches = large & F.lit(not cfg.single_shot)
-
-    readers = at_least(1, F.least(ceil_div(rows, count(cfg.chunk_size)), count(cfg.num_threads)))
-    parts = F.when(by_page | spread, readers).otherwise(count(1))
-    pages = F.when(by_page, at_least(1, F.col("pages"))).otherwise(F.col("pages"))
-    # A key with fewer values than one batch cannot be cut by value; its pages can.
-    narrow = by_number & (key_span(lo, hi) < cfg.large_table_batch_size) & (F.col("pages") > 0)
-    narrow_by_page = narrow & by_source(lambda d: F.lit(d.physical_pages))
-
-    strategy = (
-        F.when(by_page & ~in_batches, "page_parallel")
-        .when(by_page | (narrow_by_page & in_batches), "page_batches")
-        .when(spread & in_batches, "range_batches")
-        .when(by_text & in_batches, "hash_batches")
-        .when(spread & (parts > 1), "key_partitioned")
-        .otherwise("single")
+    """The plan, in SQL expressions: a chain of projections over the profile, without a shuffle."""
+    batch = f"{cfg.large_table_batch_size}L"
+    batched = f"rows >= {cfg.large_table_threshold} AND {not cfg.single_shot}"
+    spread = "key_kind = 'numeric' AND hi > lo"
+    paged_sources = ", ".join(f"'{d.name}'" for d in DIALECTS.values() if d.physical_pages)
+    span = f"(CAST(hi AS {WIDE}) - CAST(lo AS {WIDE}) + 1)"
+
+    sized = profile.selectExpr(
+        *TABLE_ID, "key_column", "salt_column", "key_kind", "rows", "lo", "hi",
+        "CASE WHEN key_kind = 'page' THEN greatest(1L, pages) ELSE pages END AS pages",
+        f"""CASE WHEN key_kind = 'page' OR ({spread})
+            THEN greatest(1L, least((rows + {cfg.chunk_size - 1}) div {cfg.chunk_size}, {cfg.num_threads}L))
+            ELSE 1L END AS parts""",
+        f"rows >= {cfg.large_table_threshold} AS large",
     )
-    chosen = profile.select(
-        *TABLE_ID, "key_column", "key_kind", "rows", "lo", "hi",
-        pages.alias("pages"), parts.alias("parts"), large.alias("large"), strategy.alias("strategy"),
+    # A key with fewer values than one batch cannot be cut by value; the table's pages can.
+    narrow = f"source IN ({paged_sources}) AND key_kind = 'numeric' AND pages > 0 AND {span} < {batch}"
+    chosen = sized.selectExpr(
+        "*",
+        f"""CASE WHEN key_kind = 'page' AND NOT ({batched}) THEN 'page_parallel'
+                 WHEN key_kind = 'page' OR ({narrow} AND {batched}) THEN 'page_batches'
+                 WHEN {spread} AND {batched} THEN 'range_batches'
+                 WHEN key_kind = 'text' AND {batched} THEN 'hash_batches'
+                 WHEN {spread} AND parts > 1 THEN 'key_partitioned'
+                 ELSE 'single' END AS strategy""",
     )
-
-    def is_(name: str) -> Column:
-        return F.col("strategy") == name
-
-    rows_per_page = at_least(1, ceil_div(F.col("rows"), at_least(1, F.col("pages"))))
-    # What a slice counts, and how much of it one slice takes.
-    extent = (
-        F.when(is_("range_batches"), key_span(F.col("lo"), F.col("hi")))
-        .when(is_("hash_batches"), F.col("rows").cast(WIDE))
-        .when(is_("page_batches"), F.col("pages").cast(WIDE))
+    # What the slices of a table divide, and how much of it a slice takes.
+    measured = chosen.selectExpr(
+        "*",
+        f"""CASE strategy WHEN 'range_batches' THEN {span}
+                          WHEN 'hash_batches' THEN CAST(rows AS {WIDE})
+                          WHEN 'page_batches' THEN CAST(pages AS {WIDE}) END AS extent""",
+        "greatest(1L, (rows + greatest(1L, pages) - 1) div greatest(1L, pages)) AS rows_per_page",
+    )
+    sliced = measured.selectExpr(
+        "*",
+        f"""CASE WHEN extent IS NOT NULL THEN greatest(
+                CASE strategy WHEN 'page_batches' THEN greatest(1L, ({batch} + rows_per_page - 1) div rows_per_page)
+                              ELSE {batch} END,
+                (extent + {cfg.max_slices - 1}) div {cfg.max_slices}) END AS slice_width""",
     )
-    width = F.when(is_("page_batches"), at_least(1, ceil_div(batch, rows_per_page))).otherwise(batch)
-    bounded = F.greatest(width, ceil_div(extent, count(cfg.max_slices)))
-    sliced = chosen.withColumn("slice_width", F.when(extent.isNotNull(), bounded))
-    batches = F.when(extent.isNotNull(), ceil_div(extent, F.col("slice_width").cast(WIDE))).otherwise(count(1))
-    return sliced.withColumn("batches", batches).select(*PLAN_COLUMNS)
+    batches = "CASE WHEN extent IS NOT NULL THEN (extent + slice_width - 1) div slice_width ELSE 1L END AS batches"
+    return sliced.selectExpr("*", batches).select(*PLAN_COLUMNS)
 
 
 def plan_frame(spark: SparkSession, entries: Sequence[Row]) -> DataFrame:

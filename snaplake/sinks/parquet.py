@@ -10,6 +10,7 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from snaplake.config import DEFAULT_TARGET_FILE_BYTES
 from snaplake.sinks.base import Target, counted, quote, text
@@ -43,7 +44,7 @@ class ParquetSink:
         rows, seen = counted(df)
         version = self._new_version(target)
         rows.write.parquet(version)
-        self._publish(target, version)
+        self._publish(target, version, df.schema)
         return seen.get["rows"]
 
     def append(self, df: DataFrame, target: Target) -> int:
@@ -51,17 +52,17 @@ class ParquetSink:
         rows.write.insertInto(self.name(target))
         return seen.get["rows"]
 
-    def _publish(self, target: Target, version: str) -> None:
+    def _publish(self, target: Target, version: str, schema: T.StructType) -> None:
         self.ensure_namespace(target)
         name = self.name(target)
-        written = self.spark.read.parquet(version).schema
+        written = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
         if self.spark.catalog.tableExists(name):
             if self.spark.table(name).schema == written:
                 self.spark.sql(f"ALTER TABLE {name} SET LOCATION {text(version)}")
                 self.spark.catalog.refreshTable(name)
                 return
             self.spark.sql(f"DROP TABLE {name}")  # external: its files stay
-        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {text(version)}")
+        self.spark.catalog.createTable(name, path=version, source="parquet", schema=written)
 
     def ensure_namespace(self, target: Target) -> None:
         folder = f"{self.warehouse}/{'/'.join(target.namespace)}"
@@ -92,8 +93,9 @@ class ParquetSink:
         packing.conf.set("spark.sql.files.openCostInBytes", "0")
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
         version = self._new_version(target)
-        packing.read.schema(self.read(target).schema).parquet(self.location(target)).write.parquet(version)
-        self._publish(target, version)
+        schema = self.read(target).schema
+        packing.read.schema(schema).parquet(self.location(target)).write.parquet(version)
+        self._publish(target, version, schema)
 
     def refresh_statistics(self, target: Target) -> None:
         self.spark.sql(f"ANALYZE TABLE {self.name(target)} COMPUTE STATISTICS")

@@ -44,6 +44,9 @@ class Source(Protocol):
     def read(self, entry: Row) -> DataFrame:
         """The whole table, in parallel, the way its plan entry says."""
 
+    def pieces(self, entry: Row) -> list[Row]:
+        """Slices of the table in order, a few small rows each with its ``slice_no``."""
+
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
         """One slice of the table."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -12,7 +13,8 @@ from pyspark.sql import types as T
 
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import ceil_div
-from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice
+from snaplake.plans.load_plan import plan_frame
+from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.dialects import Dialect
 
@@ -26,6 +28,7 @@ class FileTable:
     path: str
     key_columns: tuple[str, ...] = ()
     format: str = "parquet"
+    schema: T.StructType | None = None
 
 
 class FileSource:
@@ -50,8 +53,15 @@ class FileSource:
         self._footers: SparkSession | None = None
 
     def scan(self, ns: str, table: str) -> DataFrame:
+        return self._scan_in(self.spark, ns, table)
+
+    def _scan_in(self, spark: SparkSession, ns: str, table: str) -> DataFrame:
         t = self.tables[ns, table]
-        return self.spark.read.format(t.format).load(t.path)
+        reader = spark.read.format(t.format)
+        df = (reader.schema(t.schema) if t.schema else reader).load(t.path)
+        if t.schema is None:  # inferring it takes a job, so once is enough
+            self.tables[ns, table] = dataclasses.replace(t, schema=df.schema)
+        return df
 
     def read(self, entry: Row) -> DataFrame:
         return self.scan(entry["ns"], entry["table"])
@@ -60,6 +70,9 @@ class FileSource:
         """Page number of a row within its file."""
         return F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))
 
+    def pieces(self, entry: Row) -> list[Row]:
+        return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
+
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
         df = self.scan(entry["ns"], entry["table"])
         if piece["unit"] == "table":
@@ -68,6 +81,8 @@ class FileSource:
             return df.filter(in_page_slice(self.page(), piece["lo"], piece["hi"], piece["open_high"]))
         key = F.col(f"`{entry['key_column']}`")
         if piece["unit"] == "bucket":
+            if entry["salt_column"]:
+                key = F.concat_ws("|", key, F.col(f"`{entry['salt_column']}`"))
             return df.filter(in_bucket(key, piece["lo"], piece["slices"]))
         return df.filter(in_key_slice(key, piece["lo"], piece["hi"], piece["open_low"], piece["open_high"]))
 
@@ -107,8 +122,7 @@ class FileSource:
         return combine([self._profile_one(k) for k in keys], DataFrame.unionByName)
 
     def _profile_one(self, key: Row) -> DataFrame:
-        t = self.tables[key["ns"], key["table"]]
-        df = self._footer_session().read.format(t.format).load(t.path)
+        df = self._scan_in(self._footer_session(), key["ns"], key["table"])
         bounds = [F.lit(0).cast("bigint")] * 2
         if key["key_kind"] == "numeric":
             column = F.col(f"`{key['key_column']}`")
@@ -119,6 +133,7 @@ class FileSource:
             F.lit(key["ns"]).alias("ns"),
             F.lit(key["table"]).alias("table"),
             F.lit(key["key_column"]).cast("string").alias("key_column"),
+            F.lit(key["salt_column"]).cast("string").alias("salt_column"),
             F.lit(key["key_kind"]).alias("key_kind"),
             "rows", "lo", "hi",
             ceil_div(F.col("rows"), F.lit(self.rows_per_page).cast("bigint")).alias("pages"),

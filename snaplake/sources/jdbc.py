@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from snaplake.config import DEFAULT_FETCH_SIZE
 from snaplake.frames import local_frame
 from snaplake.functions.filters import to_column, to_sql
-from snaplake.plans.catalog import TABLE_ID
-from snaplake.plans.load_plan import plan_frame
-from snaplake.plans.slices import plan_slices, predicates, reader_intervals
+from snaplake.plans.load_plan import PROFILE_COLUMNS, plan_frame
+from snaplake.plans.slices import (
+    balanced_intervals, boundaries_text, interval_frame, is_uneven, plan_slices, predicates, reader_intervals,
+)
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.catalog_sql import CATALOG_SQL
 from snaplake.sources.dialects import Dialect
@@ -38,11 +39,13 @@ class JdbcSource:
         fetch_size: int = DEFAULT_FETCH_SIZE,
         session_statement: str | None = None,
         options: Mapping[str, str] | None = None,
+        connections: int = 16,
         tables_per_profile: int = 50,
     ):
         self.spark = spark
         self.dialect = dialect
         self.database = database or ("postgres" if dialect.physical_pages else "")
+        self.connections = connections  # per table; what the server bears, not what the cluster could open
         self.tables_per_profile = tables_per_profile
         statement = dialect.session_statement if session_statement is None else session_statement
         self.options = {
@@ -61,10 +64,6 @@ class JdbcSource:
     def _load(self, dbtable: str, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**{**self.options, "dbtable": dbtable, **options}).load()
 
-    def _load_predicates(self, dbtable: str, texts: list[str]) -> DataFrame:
-        properties = {k: v for k, v in self.options.items() if k != "url"}
-        return self.spark.read.jdbc(self.options["url"], dbtable, predicates=texts, properties=properties)
-
     def scan(self, ns: str, table: str) -> DataFrame:
         """The whole table through one connection."""
         return self._load(self.dialect.table(ns, table))
@@ -89,23 +88,43 @@ class JdbcSource:
         return self._load(text)
 
     def read(self, entry: Row) -> DataFrame:
-        """The whole table as its plan entry says: every reader of every slice is a task of one job."""
+        """The whole table as its plan entry says: every reader of every slice is part of one job."""
         if entry["strategy"] == "single":
             return self.scan(entry["ns"], entry["table"])
         if entry["strategy"] == "key_partitioned":
             return self.scan_by_key(*(entry[c] for c in ("ns", "table", "key_column", "lo", "hi", "parts")))
-        return self._load_predicates(self.dialect.table(entry["ns"], entry["table"]), self._texts(entry))
+        return self._read_where(entry, [r["predicate"] for r in self._readers(entry)])
+
+    def pieces(self, entry: Row) -> list[Row]:
+        by_slice: dict[int, list[str]] = {}
+        for r in self._readers(entry):
+            by_slice.setdefault(r["slice_no"], []).append(r["predicate"])
+        return [Row(slice_no=n, predicates=texts) for n, texts in sorted(by_slice.items())]
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
-        texts = self._texts(entry, piece["slice_no"])
-        return self._load_predicates(self.dialect.table(entry["ns"], entry["table"]), texts)
+        return self._read_where(entry, piece["predicates"])
 
-    def _texts(self, entry: Row, slice_no: int | None = None) -> list[str]:
-        slices = plan_slices(plan_frame(self.spark, [entry]))
-        if slice_no is not None:
-            slices = slices.filter(F.col("slice_no") == slice_no)
-        texts = predicates(reader_intervals(slices), self.dialect)
-        return [r["predicate"] for r in texts.orderBy("slice_no", "part_no").select("predicate").collect()]
+    def _read_where(self, entry: Row, texts: list[str]) -> DataFrame:
+        """One partition per predicate, merged so that no more than ``connections`` are open at a time."""
+        properties = {k: v for k, v in self.options.items() if k != "url"}
+        table = self.dialect.table(entry["ns"], entry["table"])
+        df = self.spark.read.jdbc(self.options["url"], table, predicates=texts, properties=properties)
+        return df.coalesce(self.connections) if len(texts) > self.connections else df
+
+    def _readers(self, entry: Row) -> list[Row]:
+        """Predicates of all readers of a table: at most ``max_slices`` times ``parts`` short texts."""
+        if entry["strategy"] == "range_batches" and is_uneven(entry):
+            readers = max(1, min(entry["batches"], -(-entry["rows"] // entry["slice_width"])) * entry["parts"])
+            text = boundaries_text(entry, self.dialect, max(1, -(-entry["rows"] // readers)))
+            boundaries = [r["k"] for r in self._load(f"({text}) AS boundaries").collect()]
+            if boundaries:
+                intervals = interval_frame(self.spark, entry, balanced_intervals(boundaries, entry["parts"]))
+                return self._texts(intervals)
+        return self._texts(reader_intervals(plan_slices(plan_frame(self.spark, [entry]))))
+
+    def _texts(self, intervals: DataFrame) -> list[Row]:
+        texts = predicates(intervals, self.dialect).select("slice_no", "part_no", "predicate")
+        return texts.orderBy("slice_no", "part_no").collect()
 
     # --- catalog ----------------------------------------------------------------------------------------
 
@@ -124,14 +143,14 @@ class JdbcSource:
         profiled = combine([self._load(f"({t}) AS profile_rows") for t in texts], DataFrame.unionByName)
         known = local_frame(
             self.spark,
-            [(k["source"], k["ns"], k["table"], k["key_column"], k["key_kind"], self._known(k, "pages")) for k in keys],
-            "source string, ns string, table string, key_column string, key_kind string, pages bigint",
+            [tuple(k[c] for c in PROFILE_COLUMNS[:6]) + (self._known(k, "pages"),) for k in keys],
+            "source string, ns string, table string, key_column string, salt_column string, key_kind string, pages bigint",
         )
         measured = profiled.select(
             F.col("ns"), F.col("tbl").alias("table"),
             *[F.coalesce(F.col(f"{c}_v").cast("bigint"), F.lit(0)).alias(c) for c in ("rows", "lo", "hi")],
         )
-        return known.join(measured, ["ns", "table"]).select(*TABLE_ID, "key_column", "key_kind", "rows", "lo", "hi", "pages")
+        return known.join(measured, ["ns", "table"]).select(*PROFILE_COLUMNS)
 
     @staticmethod
     def _known(key: Row, name: str) -> int:

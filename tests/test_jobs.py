@@ -1,0 +1,181 @@
+import json
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.tables import CFG, NS, new_sink, source
+from snaplake import LoadFailed, Run, RunConflict, RunLedger, Target, load_all, load_filtered, load_table, plan_source, snapshot
+from snaplake.operators.load import compact_loaded, failed_tables, results_frame, target_of
+
+DATA = "/root/testdata/sf0.001"
+
+
+class Failing:
+    """A source whose reads of one table fail a number of times."""
+
+    def __init__(self, inner, table, times):
+        self.inner, self.table, self.left = inner, table, times
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def read(self, entry):
+        df = self.inner.read(entry)
+        if entry["table"] == self.table and self.left:
+            self.left -= 1
+            return df.filter(F.raise_error(F.lit("lost connection")).isNull())
+        return df
+
+
+@pytest.fixture(scope="module")
+def mysql(spark):
+    return source(spark, DATA, "mysql")
+
+
+@pytest.fixture(scope="module")
+def plan(mysql):
+    return plan_source(mysql, CFG)
+
+
+def test_a_table_that_fails_once_is_loaded_again(spark, mysql, plan, sink):
+    results = load_all(spark, Failing(mysql, "supplier", 1), sink, plan, CFG)
+    assert {r.table: r.attempts for r in results} == {**{r["table"]: 1 for r in plan.collect()}, "supplier": 2}
+    assert {r.status for r in results} == {"success"}
+    assert sink.read(target_of(mysql, "shop", "supplier")).count() == 10
+
+
+def test_a_table_that_fails_twice_fails_the_run(spark, mysql, plan, sink):
+    with pytest.raises(LoadFailed, match="shop.supplier") as failure:
+        load_all(spark, Failing(mysql, "supplier", 2), sink, plan, CFG)
+    results = results_frame(spark, failure.value.results)
+    bad = failed_tables(results).collect()
+    assert [(r["table"], r["attempts"], r["rows"]) for r in bad] == [("supplier", 2, None)]
+    assert "lost connection" in bad[0]["error"]
+    assert results.filter("status = 'success'").count() == plan.count() - 1
+    assert sink.read(target_of(mysql, "shop", "customer")).count() == 150
+
+
+def test_incremental_equals_atomic(spark, mysql, plan, sink):
+    entry = next(e for e in plan.collect() if e["table"] == "orders")
+    assert entry["batches"] == 3
+    assert load_table(mysql, sink, entry, publish="incremental") == load_table(mysql, new_sink(spark), entry) == 1_500
+    target = target_of(mysql, "shop", "orders")
+    assert sink.read(target).exceptAll(mysql.scan("shop", "orders")).isEmpty() and sink.read(target).count() == 1_500
+    with pytest.raises(ValueError):
+        load_table(mysql, sink, entry, publish="sometimes")
+
+
+def test_loads_do_not_shuffle(mysql, plan):
+    for entry in plan.collect():
+        assert "Exchange" not in mysql.read(entry)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cancel_stops_a_running_table(spark, mysql, plan, sink):
+    class Slow:
+        def __getattr__(self, name):
+            return getattr(mysql, name)
+
+        def read(self, entry):
+            return spark.range(0, 8, 1, 8).select(F.expr("java_method('java.lang.Thread', 'sleep', 60000L)").alias("x"))
+
+    run = Run(spark)
+    threading.Timer(3, run.cancel).start()
+    started = time.monotonic()
+    results = load_all(spark, Slow(), sink, plan, CFG, run=run)
+    assert time.monotonic() - started < 40
+    assert {r.status for r in results} == {"cancelled"} and all(r.rows is None for r in results)
+    assert {r.attempts for r in results} == {0, 1}  # some had not begun
+    assert compact_loaded(mysql, sink, plan, run) == []
+    with pytest.raises(RuntimeError, match="cancelled"):
+        load_filtered(mysql, sink, "shop", "orders", {"conditions": [{"field": "o_orderkey", "op": "gt", "value": 1}]}, run=run)
+
+
+def test_lanes_have_their_own_pools(spark, mysql, plan, sink):
+    pools = {}
+
+    class Watching:
+        def __getattr__(self, name):
+            return getattr(mysql, name)
+
+        def read(self, entry):
+            pools[entry["table"]] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+            return mysql.read(entry)
+
+    load_all(spark, Watching(), sink, plan, CFG)
+    large = {e["table"]: e["large"] for e in plan.collect()}
+    assert pools == {t: "large" if is_large else "small" for t, is_large in large.items()}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_filtered_load_takes_the_table_s_place(spark, mysql, sink):
+    everything = {"conditions": [{"field": "s_suppkey", "op": "gte", "value": 0}]}
+    few = {"conditions": [{"field": "s_suppkey", "op": "lt", "value": 4}]}
+    assert load_filtered(mysql, sink, "shop", "supplier", everything) == 10
+    aside = Target(("extracts",), "few")
+    assert load_filtered(mysql, sink, "shop", "supplier", few, target=aside) == 4
+    assert load_filtered(mysql, sink, "shop", "supplier", few) == 4
+    assert sink.read(target_of(mysql, "shop", "supplier")).count() == sink.read(aside).count() == 4
+
+
+def test_a_failed_compaction_is_not_fatal(spark, mysql, plan, sink):
+    load_all(spark, mysql, sink, plan, CFG)
+
+    class Stubborn:
+        def __getattr__(self, name):
+            return getattr(sink, name)
+
+        def compact(self, target):
+            raise OSError("disk full")
+
+    assert compact_loaded(mysql, Stubborn(), plan) == [("shop", "orders", "disk full")]
+    assert compact_loaded(mysql, sink, plan) == [("shop", "orders", None)]
+
+
+def test_snapshot_end_to_end(spark, sink, tmp_path):
+    src = source(spark, DATA, "postgresql")
+    ledger = RunLedger(spark, sink)
+    position = spark.sql(
+        "SELECT 'postgresql' AS db_type, timestamp'2024-05-06 07:08:09' AS snapshot_at, '0001' AS file, 160L AS position,"
+        " '' AS do_db, '' AS ignore_db, '0/A0' AS gtid_or_lsn"
+    ).first()
+    done = snapshot(src, sink, CFG, host="db1", position=position, documents=str(tmp_path), ledger=ledger)
+    assert {r.status for r in done.results} == {"success"}
+    assert sorted(t for _, t, problem in done.compacted if problem is None) == ["events", "lineitem"]
+    assert len(done.refreshed) == 6 and sink.statistics_rows(target_of(src, "app", "lineitem")) == 6_000
+    status = json.loads((tmp_path / "snapshot_status/postgresql_20240506_070809_wal_status.json").read_text())
+    assert status == {"snapshot_at": "2024-05-06T07:08:09", "wal_file": "0001", "wal_offset": 160, "wal_lsn": "0/A0"}
+    manifest = json.loads((tmp_path / "postgresql_20240506_070809.json").read_text())
+    assert {"database": "app", "name": "lineitem", "row_count": 6_000} in manifest["tables"]
+    assert list(manifest) == ["snapshot_at", "db_type", "tables", "wal_file", "wal_offset", "wal_lsn"]
+    run = ledger.runs().first()
+    assert (run["status"], run["db_type"], run["host"], run["error"]) == ("success", "postgresql", "db1", None)
+    assert run["elapsed"].endswith("s")
+
+
+def test_a_failed_snapshot_is_recorded(spark, mysql, sink):
+    ledger = RunLedger(spark, sink)
+    with pytest.raises(LoadFailed):
+        snapshot(Failing(mysql, "nation", 2), sink, CFG, host="db1", ledger=ledger)
+    run = ledger.runs().first()
+    assert run["status"] == "failed" and "shop.nation" in run["error"] and run["elapsed"] is None
+
+
+def test_overlapping_runs_are_refused(spark, mysql, sink):
+    ledger = RunLedger(spark, sink)
+    assert ledger.runs().count() == 0
+    ledger.record("r1", "pending", "mysql", "db1")
+    ledger.record("r1", "running", "mysql", "db1")
+    with pytest.raises(RunConflict, match="r1"):
+        snapshot(mysql, sink, CFG, host="db1", ledger=ledger)
+    ledger.ensure_free("mysql", "db2")
+    ledger.ensure_free("postgresql", "db1")
+    ledger.record("r1", "success", "mysql", "db1", elapsed_s=3_725)
+    ledger.ensure_free("mysql", "db1")
+    assert ledger.run("r1").first()["elapsed"] == "1h 2m 5s"
+    assert RunLedger(spark, sink).runs().count() == 1
+
+
+def test_ns_names_are_the_fixture_s():
+    assert NS == {"mysql": "shop", "postgresql": "app"}

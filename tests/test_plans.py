@@ -1,0 +1,255 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from snaplake import LoadConfig, MYSQL, POSTGRESQL
+from snaplake.frames import local_frame
+from snaplake.functions.expressions import age_seconds, elapsed_text, hash_bucket
+from snaplake.plans.load_plan import PLAN_COLUMNS, PROFILE_SCHEMA, plan_frame, plan_loads
+from snaplake.plans.slices import (
+    balanced_intervals, boundaries_text, in_bucket, interval_frame, is_uneven, plan_slices, predicates, reader_intervals,
+)
+
+CFG = LoadConfig(num_threads=4, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=500)
+SINGLE = LoadConfig(num_threads=4, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=500, single_shot=True)
+
+
+def profile(spark, *entries):
+    rows = [(s, "ns", f"t{i}", "k" if kind in ("numeric", "text") else None, None, kind, n, lo, hi, pages)
+            for i, (s, kind, n, lo, hi, pages) in enumerate(entries)]
+    return local_frame(spark, rows, PROFILE_SCHEMA)
+
+
+def planned(spark, cfg, *entries):
+    rows = plan_loads(profile(spark, *entries), cfg).orderBy(F.expr("int(substr(table, 2))")).collect()
+    return [(r["strategy"], r["parts"], r["batches"]) for r in rows]
+
+
+M, P = "mysql", "postgresql"
+
+
+def test_every_rule(spark):
+    cases = {
+        (P, "page", 999, 0, 0, 7): ("page_parallel", 4, 1),
+        (P, "page", 1_000, 0, 0, 0): ("page_batches", 4, 1),
+        (P, "page", 60_000, 0, 0, 60): ("page_batches", 4, 60),
+        (P, "numeric", 10_000, 0, 149, 10): ("page_batches", 4, 10),
+        (P, "numeric", 10_000, 5, 5, 10): ("page_batches", 1, 10),
+        (P, "numeric", 10_000, 0, 149, 0): ("range_batches", 4, 1),
+        (P, "numeric", 10_000, 5, 5, 0): ("single", 1, 1),
+        (P, "numeric", 2_000, 0, 1_999, 2): ("range_batches", 4, 4),
+        (P, "none", 0, 0, 0, 0): ("single", 1, 1),
+        (M, "numeric", 15_000, 0, 14_999, 0): ("range_batches", 4, 30),
+        (M, "numeric", 15_000, -5, -1, 0): ("range_batches", 4, 1),  # a maximum of -1 is still a number
+        (M, "numeric", 10_000, 0, 149, 10): ("range_batches", 4, 1),
+        (M, "numeric", 10_000, 3, 3, 10): ("single", 1, 1),
+        (M, "numeric", 536, 0, 99, 1): ("key_partitioned", 3, 1),
+        (M, "numeric", 200, 0, 99, 1): ("single", 1, 1),
+        (M, "text", 1_500, 0, 0, 0): ("hash_batches", 1, 3),
+        (M, "text", 999, 0, 0, 0): ("single", 1, 1),
+        (M, "none", 5_000, 0, 0, 0): ("single", 1, 1),
+    }
+    assert planned(spark, CFG, *cases) == list(cases.values())
+
+
+def test_single_shot_never_batches(spark):
+    cases = {
+        (P, "page", 60_000, 0, 0, 60): ("page_parallel", 4, 1),
+        (P, "numeric", 10_000, 0, 149, 10): ("key_partitioned", 4, 1),
+        (M, "numeric", 15_000, 0, 14_999, 0): ("key_partitioned", 4, 1),
+        (M, "text", 1_500, 0, 0, 0): ("single", 1, 1),
+        (M, "numeric", 15_000, 7, 7, 0): ("single", 1, 1),
+    }
+    assert planned(spark, SINGLE, *cases) == list(cases.values())
+
+
+def test_defaults():
+    cfg = LoadConfig()
+    assert (cfg.num_threads, cfg.chunk_size, cfg.large_table_threshold) == (4, 100_000, 1_000_000)
+    assert (cfg.large_table_batch_size, cfg.large_table_workers, cfg.stats_max_age_seconds) == (1_000_000, 3, 86_400)
+    with pytest.raises(ValueError):
+        LoadConfig(chunk_size=0)
+
+
+def test_sparse_64_bit_keys_stay_bounded(spark):
+    lo, hi = -(2**63), 2**63 - 1
+    entry = plan_loads(profile(spark, (M, "numeric", 10**7, lo, hi, 0)), LoadConfig()).collect()
+    assert entry[0]["batches"] == 10_000
+    slices = plan_slices(plan_frame(spark, entry)).orderBy("slice_no").collect()
+    assert len(slices) == 10_000 and slices[0]["lo"] == lo and slices[-1]["hi"] == hi
+    assert all(a["hi"] + 1 == b["lo"] for a, b in zip(slices, slices[1:]))
+
+
+def test_slices_are_disjoint_and_cover(spark):
+    """Random tables: slices and reader intervals follow each other without gap or overlap."""
+    rng = random.Random(7)
+    entries = []
+    for _ in range(150):
+        lo = rng.choice([0, -1, rng.randint(-10**12, 10**12)])
+        hi = lo + rng.choice([0, 1, 5, 499, 500, 501, rng.randint(0, 20_000)])
+        kind = rng.choice(["numeric", "text", "page"])
+        source = P if kind == "page" else M if kind == "text" else rng.choice([M, P])
+        entries.append((source, kind, rng.randint(0, 30_000), lo, hi, rng.choice([0, 1, 3, rng.randint(0, 300)])))
+    cfg = LoadConfig(num_threads=rng.randint(1, 6), chunk_size=200, large_table_threshold=1_000,
+                     large_table_batch_size=500, max_slices=50)
+    plan = plan_loads(profile(spark, *entries), cfg).collect()
+    slices = plan_slices(plan_frame(spark, plan))
+    by_table, readers = {}, {}
+    for r in slices.collect():
+        by_table.setdefault(r["table"], []).append(r)
+    for r in reader_intervals(slices).collect():
+        readers.setdefault(r["table"], []).append(r)
+    for entry in plan:
+        mine = sorted(by_table[entry["table"]], key=lambda r: r["slice_no"])
+        assert [r["slice_no"] for r in mine] == list(range(entry["batches"])) and len(mine) <= 50
+        tasks = sorted(readers[entry["table"]], key=lambda r: (r["slice_no"], r["part_no"]))
+        if entry["strategy"] == "hash_batches":
+            assert [r["lo"] for r in tasks] == list(range(entry["batches"]))
+            continue
+        gap = 0 if entry["strategy"].startswith("page") else 1
+        start, end = (0, entry["pages"]) if not gap else (entry["lo"], entry["hi"])
+        for pieces in (mine, tasks):
+            assert pieces[0]["lo"] == start and pieces[-1]["hi"] == end
+            assert all(a["hi"] + gap == b["lo"] for a, b in zip(pieces, pieces[1:]))
+            assert all(r["hi"] - r["lo"] + gap >= 1 or end == 0 for r in pieces)
+            assert [r["open_low"] for r in pieces] == [True] + [False] * (len(pieces) - 1)
+            assert [r["open_high"] for r in pieces] == [False] * (len(pieces) - 1) + [True]
+        if entry["strategy"] == "range_batches" and entry["batches"] < 50:
+            assert all(r["hi"] - r["lo"] + 1 <= 500 for r in mine)
+        assert all(len([t for t in tasks if t["slice_no"] == s["slice_no"]]) <= cfg.num_threads for s in mine)
+
+
+def test_last_open_page_slice_is_split_evenly(spark):
+    """The known pages are divided first, then the last interval is opened."""
+    entry = plan_loads(profile(spark, (P, "page", 8_000, 0, 0, 80)), LoadConfig(
+        num_threads=4, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=4_000)).collect()
+    texts = predicates(reader_intervals(plan_slices(plan_frame(spark, entry))), POSTGRESQL)
+    last = [r["predicate"] for r in texts.filter("slice_no = 1").orderBy("part_no").collect()]
+    assert last == [
+        "ctid >= '(40,0)'::tid AND ctid < '(50,0)'::tid",
+        "ctid >= '(50,0)'::tid AND ctid < '(60,0)'::tid",
+        "ctid >= '(60,0)'::tid AND ctid < '(70,0)'::tid",
+        "ctid >= '(70,0)'::tid",
+    ]
+
+
+@pytest.mark.parametrize("name, key, kind", [("orders", "o_orderkey", "numeric"), ("customer", "c_name", "text")])
+def test_predicates_take_every_row_once(spark, name, key, kind):
+    """MySQL predicates are valid Spark SQL: run over the table, each row passes exactly one of them.
+
+    The profile is older than the table: keys beyond its bounds must not be lost.
+    """
+    df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    n = df.count()
+    rows = [(M, "ns", name, key, None, kind, max(n, 1_200), 100, 900, 0)]
+    cfg = LoadConfig(num_threads=3, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=300)
+    entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), cfg).collect()
+    texts = [r["predicate"] for r in predicates(reader_intervals(plan_slices(plan_frame(spark, entry))), MYSQL).collect()]
+    assert len(texts) >= 4
+    hits = df.select(sum(F.expr(t).cast("int") for t in texts).alias("hits"))
+    assert hits.groupBy("hits").count().collect() == [Row(hits=1, count=n)]
+
+
+def test_null_keys_are_taken_once(spark):
+    df = spark.createDataFrame([(None,), (1,), (700,)], "k bigint")
+    entry = plan_loads(profile(spark, (M, "numeric", 5_000, 0, 999, 0)), CFG).collect()
+    texts = [r["predicate"] for r in predicates(reader_intervals(plan_slices(plan_frame(spark, entry))), MYSQL).collect()]
+    hits = df.select(sum(F.coalesce(F.expr(t), F.lit(False)).cast("int") for t in texts).alias("hits")).collect()
+    assert [h["hits"] for h in hits] == [1, 1, 1]
+
+
+def test_quotes_in_names_are_doubled(spark):
+    rows = [(M, "ns", "t", "a`b", None, "text", 5_000, 0, 0, 0)]
+    entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), CFG).collect()
+    first = predicates(reader_intervals(plan_slices(plan_frame(spark, entry))), MYSQL).orderBy("slice_no").first()
+    assert first["predicate"] == "(MOD(CRC32(`a``b`), 10) = 0 OR `a``b` IS NULL)"
+    assert MYSQL.table("a`b", "c") == "`a``b`.`c`"
+    assert POSTGRESQL.table('a"b', "c") == '"a""b"."c"'
+
+
+def test_hash_bucket_is_crc32(spark):
+    words = ["", "abc", "Customer#000000001", "über", "日本語", "x" * 5_000, None]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", hash_bucket(F.col("w"), 7).alias("b")).collect()
+    assert [r["b"] for r in got] == [None if w is None else zlib.crc32(w.encode()) % 7 for w in words]
+    kept = spark.createDataFrame([(w,) for w in words], "w string")
+    assert sum(kept.filter(in_bucket(F.col("w"), b, 7)).count() for b in range(7)) == len(words)
+
+
+# --- uneven keys ----------------------------------------------------------------------------------------
+
+
+def uneven_table(spark):
+    """A third of the rows under one key, an outlier far off, the rest dense."""
+    hot = spark.range(4_000).select(F.lit(77).cast("bigint").alias("k"), F.concat(F.lit("h"), "id").alias("k2"))
+    dense = spark.range(8_000).select(F.col("id").alias("k"), F.lit("d").alias("k2"))
+    far = spark.createDataFrame([(10**15, "far"), (-3, "low")], "k bigint, k2 string")
+    return hot.unionByName(dense).unionByName(far)
+
+
+def test_uneven_keys_are_read_in_even_intervals(spark):
+    df = uneven_table(spark)
+    rows = [(M, "ns", "uneven", "k", "k2", "numeric", 12_002, -3, 10**15, 0)]
+    entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), CFG).first()
+    assert entry["strategy"] == "range_batches" and is_uneven(entry)
+    df.createOrReplaceTempView("uneven")
+    text = boundaries_text(entry, MYSQL, 500).replace("`ns`.", "")
+    keys = [r["k"] for r in spark.sql(text).collect()]
+    assert len(keys) == 25
+    texts = [r["predicate"] for r in predicates(interval_frame(spark, entry, balanced_intervals(keys, 4)), MYSQL).collect()]
+    tests = [F.expr(t).cast("int").alias(f"p{i}") for i, t in enumerate(texts)]
+    tagged = df.select(*tests)
+    sizes = tagged.select(*[F.sum(c).alias(c) for c in tagged.columns]).first()
+    assert sum(sizes) == df.count()
+    assert tagged.filter(sum(F.col(c) for c in tagged.columns) != 1).count() == 0
+    assert max(sizes) <= 1_100  # equal key widths would put all but one row into one reader
+
+
+def test_even_keys_need_no_boundaries(spark):
+    even = plan_loads(profile(spark, (M, "numeric", 15_000, 0, 14_999, 0)), CFG).first()
+    assert not is_uneven(even)
+
+
+@pytest.mark.parametrize(
+    "keys", [[5], [5, 5, 5], [1, 1, 2, 2, 3], [1, 5, 9], [1, 5, 5, 5, 6, 6, 20], [-4, -4, 0, 0, 0]],
+)
+def test_balanced_intervals_cover(keys):
+    intervals = balanced_intervals(sorted(keys), 4)
+    universe = range(min(keys) - 3, max(keys) + 4)
+    for key in universe:
+        for salt_source in range(12):
+            taken = 0
+            for _, _, lo, hi, open_low, open_high, salt, salts in intervals:
+                inside = (open_low or key >= lo) and (open_high or key <= hi)
+                taken += inside and salt_source % salts == salt
+            assert taken == 1, (key, intervals)
+
+
+# --- functions ------------------------------------------------------------------------------------------
+
+
+def test_elapsed_text(spark):
+    seconds = [0, 59, 60, 3_599, 3_600, 3_725, 90_061]
+    got = local_frame(spark, [(s,) for s in seconds], "s bigint").select(elapsed_text(F.col("s")).alias("t")).collect()
+    assert [r["t"] for r in got] == ["0m 0s", "0m 59s", "1m 0s", "59m 59s", "1h 0m 0s", "1h 2m 5s", "25h 1m 1s"]
+
+
+def test_age(spark):
+    row = spark.sql(
+        "SELECT timestamp'2024-01-01 00:00:10' AS now, timestamp'2024-01-01 00:00:07.4' AS t, "
+        "timestamp'2024-01-02' AS later, cast(null as timestamp) AS unknown"
+    )
+    now = F.col("now")
+    got = row.select(
+        age_seconds(F.col("t"), now).alias("a"), age_seconds(F.col("t"), now, rounded=True).alias("b"),
+        age_seconds(F.col("later"), now).alias("c"), age_seconds(F.col("unknown"), now).alias("d"),
+    ).first()
+    assert tuple(got) == (2, 3, 0, None)
+
+
+def test_plan_has_no_shuffle(spark):
+    plan = plan_slices(plan_loads(profile(spark, (M, "numeric", 15_000, 0, 14_999, 0)), CFG))
+    assert "Exchange" not in reader_intervals(plan)._jdf.queryExecution().executedPlan().toString()
+    assert plan.columns and set(PLAN_COLUMNS)

@@ -140,9 +140,12 @@ def _pass(
 
     pools = [(ThreadPoolExecutor(max_workers=n), lane, todo) for lane, (n, todo) in lanes.items() if todo]
     try:
-        # Wrapped anew for every table: the wrapper's copy of the local properties is one table's own.
-        inherit = inheritable_thread_target(run.spark)
-        futures = [pool.submit(inherit(one), lane, entry) for pool, lane, todo in pools for entry in todo]
+        # Asked anew for every table: each call copies the local properties, which the table's jobs then own.
+        futures = [
+            pool.submit(inheritable_thread_target(run.spark)(one), lane, entry)
+            for pool, lane, todo in pools
+            for entry in todo
+        ]
         return [f.result() for f in futures]
     finally:
         for pool, _, _ in pools:

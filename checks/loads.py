@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.tables import CFG, NS, counts_sql, new_sink, plan_entry, plan_sql, source, sources
+from snaplake import FileSource, FileTable, POSTGRESQL
 from snaplake.frames import local_frame
 from snaplake.operators.load import load_all, load_filtered, load_table, results_frame, target_of
 from snaplake.operators.snapshot import plan_source
@@ -36,8 +37,8 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("load_batched", "SELECT * FROM orders")
 def load_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slice by slice: the first replaces, the others append."""
-    src, sink = source(spark, sf_dir, "mysql"), new_sink(spark)
+    """Key range by key range: the first replaces, the others append."""
+    src, sink = source(spark, sf_dir, "mysql", slice_by="plan"), new_sink(spark)
     entry = plan_entry(src, "orders", dataclasses.replace(CFG, max_slices=4))
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["mysql"], "orders"))
@@ -45,7 +46,7 @@ def load_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("load_hash_batched", "SELECT * FROM customer")
 def load_hash_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, sink = source(spark, sf_dir, "mysql"), new_sink(spark)
+    src, sink = source(spark, sf_dir, "mysql", slice_by="plan"), new_sink(spark)
     entry = plan_entry(src, "customer", dataclasses.replace(CFG, max_slices=3))
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["mysql"], "customer"))
@@ -53,12 +54,24 @@ def load_hash_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("load_page_batched", "SELECT * FROM lineitem")
 def load_page_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, sink = source(spark, sf_dir, "postgresql"), new_sink(spark)
+    src, sink = source(spark, sf_dir, "postgresql", slice_by="plan"), new_sink(spark)
     entry = plan_entry(src, "lineitem", dataclasses.replace(CFG, max_slices=4))
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["postgresql"], "lineitem"))
 
 
+@check("load_file_batched", "SELECT * FROM events")
+def load_file_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of many files, a group of files at a time."""
+    given, staged, sink = source(spark, sf_dir, "postgresql"), new_sink(spark), new_sink(spark)
+    target = target_of(given, NS["postgresql"], "events")
+    staged.replace(given.scan(NS["postgresql"], "events").repartition(8), target)
+    key = (NS["postgresql"], "events")
+    src = FileSource(spark, POSTGRESQL, {key: FileTable(staged.location(target), ("user_id", "event_id"))}, rows_per_page=1_000)
+    load_table(src, sink, plan_entry(src, "events", dataclasses.replace(CFG, max_slices=3)), publish="incremental")
+    return sink.read(target)
+
+
 EXPENSIVE_RETURNS = {
     "conditions": [{"field": "l_returnflag", "op": "eq", "value": "R"}],
     "groups": [

@@ -41,9 +41,9 @@ TEXT_KEYS = {"c_name", "url"}
 DIALECT = {"mysql": MYSQL, "postgresql": POSTGRESQL}
 
 
-def source(spark: SparkSession, sf_dir: str, kind: str) -> FileSource:
+def source(spark: SparkSession, sf_dir: str, kind: str, **options) -> FileSource:
     tables = {(NS[kind], t): FileTable(f"{sf_dir.rstrip('/')}/{t}.parquet", k) for t, k in KEYS[kind].items()}
-    return FileSource(spark, DIALECT[kind], tables, rows_per_page=ROWS_PER_PAGE)
+    return FileSource(spark, DIALECT[kind], tables, rows_per_page=ROWS_PER_PAGE, **options)
 
 
 def sources(spark: SparkSession, sf_dir: str) -> list[FileSource]:

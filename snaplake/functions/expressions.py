@@ -29,10 +29,10 @@ def hash_bucket(column: Column, buckets: Column | int) -> Column:
     return F.pmod(F.crc32(column.cast("string").cast("binary")), n)
 
 
-def age_seconds(since: Column, now: Column, *, rounded: bool = False) -> Column:
-    """Whole seconds from ``since`` to ``now``, never negative; ``rounded`` rounds halves up."""
+def age_seconds(since: Column, now: Column, *, rounded: Column) -> Column:
+    """Whole seconds from ``since`` to ``now``, never negative; halves are rounded up where ``rounded``."""
     micros = F.timestamp_diff("MICROSECOND", since, now)
-    shift = F.lit(500_000 if rounded else 0)
+    shift = F.when(rounded, 500_000).otherwise(0)
     # greatest() skips nulls, so an unknown age is kept apart
     return F.when(micros.isNotNull(), at_least(0, int_div(micros + shift, F.lit(1_000_000))))
 

@@ -19,8 +19,7 @@ stats_times    source, ns, table, last_update, update_time, create_time
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,15 +34,18 @@ PAGE_BYTES = 8192
 DEFAULT_ROW_WIDTH = 100
 
 
-def by_source(rule: Callable[[Dialect], Column]) -> Column:
-    """A per-dialect rule as one expression over the ``source`` column."""
-    whens = [(F.col("source") == d.name, rule(d)) for d in DIALECTS.values()]
-    return functools.reduce(lambda chain, w: chain.when(*w), whens, F)
+def by_source(rule: Callable[[Dialect], str]) -> Column:
+    """A per-dialect rule, given as SQL text, as one expression over the ``source`` column."""
+    return F.expr("CASE source " + " ".join(f"WHEN '{d.name}' THEN {rule(d)}" for d in DIALECTS.values()) + " END")
 
 
-def _is_system(d: Dialect) -> Column:
-    named = F.col("ns").isin(*d.system_namespaces)
-    return named | F.col("ns").startswith(d.system_prefix) if d.system_prefix else named
+def one_of(column: str, values: Iterable[str]) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
+def _is_system(d: Dialect) -> str:
+    named = one_of("ns", d.system_namespaces)
+    return f"({named} OR startswith(ns, '{d.system_prefix}'))" if d.system_prefix else named
 
 
 def list_namespaces(namespaces: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def list_namespaces(namespaces: DataFrame) -> DataFrame:
 
 def list_tables(tables: DataFrame, namespaces: DataFrame) -> DataFrame:
     """Tables of the user namespaces, ordered by name; views only where the source lists them."""
-    listed = by_source(lambda d: F.lit(True) if d.lists_views else F.col("table_type") == "BASE TABLE")
+    listed = by_source(lambda d: "true" if d.lists_views else "table_type = 'BASE TABLE'")
     user = namespaces.filter(~by_source(_is_system)).select("source", "ns").distinct()
     found = tables.filter(listed).join(user, ["source", "ns"], "left_semi")
     return found.select(*TABLE_ID).distinct().orderBy(*TABLE_ID)
@@ -74,7 +76,7 @@ def discover_keys(
     another column of a composite key: one value of the key column alone may then hold most of the rows.
     """
     primary = constraints.filter(F.col("constraint_type") == "PRIMARY KEY")
-    usable = by_source(lambda d: F.col("data_type").isin(*d.integer_types))
+    usable = by_source(lambda d: one_of("data_type", d.integer_types))
     first_keys = (
         primary.join(key_usage, [*TABLE_ID, "constraint_name"])
         .join(columns, [*TABLE_ID, "column"])
@@ -86,7 +88,7 @@ def discover_keys(
         )
     )
     has_number = F.col("numeric_key").isNotNull()
-    has_text = F.col("first_key").isNotNull() & by_source(lambda d: F.lit(d.text_keys))
+    has_text = F.col("first_key").isNotNull() & by_source(lambda d: str(d.text_keys))
     keyed = tables.select(*TABLE_ID).join(first_keys, TABLE_ID, "left").select(
         *TABLE_ID, "first_key", "last_key",
         F.when(has_number, F.col("numeric_key")).when(has_text, F.col("first_key")).alias("key_column"),
@@ -98,14 +100,14 @@ def discover_keys(
 
 def assign_page_keys(keys: DataFrame) -> DataFrame:
     """Keyless tables with rows are read by physical page where the source has pages. Needs ``rows``."""
-    by_page = (F.col("key_kind") == "none") & by_source(lambda d: F.lit(d.physical_pages)) & (F.col("rows") > 0)
+    by_page = (F.col("key_kind") == "none") & by_source(lambda d: str(d.physical_pages)) & (F.col("rows") > 0)
     return keys.withColumn("key_kind", F.when(by_page, "page").otherwise(F.col("key_kind")))
 
 
 def stats_age(tables: DataFrame, stats_times: DataFrame, now: Column) -> DataFrame:
     """Age in seconds of every table's statistics; null when the source does not know."""
     since = F.coalesce("last_update", "update_time", "create_time")
-    age = by_source(lambda d: age_seconds(since, now, rounded=d.rounds_age))
+    age = age_seconds(since, now, rounded=by_source(lambda d: str(d.rounds_age)))
     return tables.join(stats_times, TABLE_ID, "left").select(*TABLE_ID, age.alias("age_s"))
 
 
@@ -114,7 +116,7 @@ def stale_tables(tables: DataFrame, stats_times: DataFrame, now: Column, max_age
 
     A table of unknown age counts as stale or not as its source has it.
     """
-    unknown = by_source(lambda d: F.lit(d.unknown_age_is_stale))
+    unknown = by_source(lambda d: str(d.unknown_age_is_stale))
     stale = F.coalesce(F.col("age_s") >= max_age_seconds, unknown)
     return stats_age(tables, stats_times, now).filter(stale & F.lit(max_age_seconds > 0))
 

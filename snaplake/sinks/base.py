@@ -42,15 +42,6 @@ class Sink(Protocol):
     def read(self, target: Target) -> DataFrame: ...
 
 
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def text(value: str) -> str:
-    """SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame, with its rows counted by the write itself."""
     seen = Observation()

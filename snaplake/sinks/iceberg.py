@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snaplake.config import DEFAULT_TARGET_FILE_BYTES
-from snaplake.sinks.base import Target, quote, text
+from snaplake.sinks.base import Target
+from snaplake.sql import quote, text
 
 
 class IcebergSink:

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from snaplake.config import DEFAULT_TARGET_FILE_BYTES
-from snaplake.sinks.base import Target, counted, quote, text
+from snaplake.sinks.base import Target, counted
+from snaplake.sql import quote, text
 
 
 class ParquetSink:

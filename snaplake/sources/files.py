@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaplake.frames import local_frame
-from snaplake.functions.expressions import ceil_div
 from snaplake.plans.load_plan import plan_frame
 from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.dialects import Dialect
+from snaplake.sql import quote, text
 
 _SQL_TYPES = {
     T.ByteType: "tinyint", T.ShortType: "smallint", T.IntegerType: "integer", T.LongType: "bigint",
@@ -43,6 +44,7 @@ class FileSource:
         database: str = "postgres",
         rows_per_page: int = 1_000,
         profile_from_footers: bool = True,
+        slice_by: str = "files",
     ):
         self.spark = spark
         self.dialect = dialect
@@ -50,6 +52,7 @@ class FileSource:
         self.database = database
         self.rows_per_page = rows_per_page
         self.profile_from_footers = profile_from_footers  # off for files written without column statistics
+        self.slice_by = slice_by
         self._footers: SparkSession | None = None
 
     def scan(self, ns: str, table: str) -> DataFrame:
@@ -71,9 +74,21 @@ class FileSource:
         return F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))
 
     def pieces(self, entry: Row) -> list[Row]:
-        return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
+        """Groups of whole files, as many as the plan has slices if there are enough: each file is read once.
+
+        With ``slice_by="plan"`` they are the plan's own slices, each of which looks at every file.
+        """
+        if self.slice_by == "plan":
+            return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
+        files = sorted(self.scan(entry["ns"], entry["table"]).inputFiles())
+        groups = max(1, min(entry["batches"], len(files)))
+        return [Row(unit="files", slice_no=i, files=files[i::groups]) for i in range(groups)]
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
+        if piece["unit"] == "files":
+            t = self.tables[entry["ns"], entry["table"]]
+            reader = self.spark.read.format(t.format).schema(t.schema).option("basePath", t.path)
+            return reader.load(piece["files"])
         df = self.scan(entry["ns"], entry["table"])
         if piece["unit"] == "table":
             return df
@@ -90,7 +105,9 @@ class FileSource:
         d = self.dialect.name
         make = functools.partial(local_frame, self.spark)
         ids = sorted(self.tables)
-        fields = [(ns, t, f) for ns, t in ids for f in self.scan(ns, t).schema.fields]
+        with ThreadPoolExecutor(max_workers=8) as pool:  # inferring a schema is a small job of its own
+            schemas = list(pool.map(lambda i: self.scan(*i).schema, ids))
+        fields = [(ns, t, f) for (ns, t), schema in zip(ids, schemas) for f in schema.fields]
         keys = [(ns, t, i, c) for ns, t in ids for i, c in enumerate(self.tables[ns, t].key_columns, 1)]
         head = "source string, ns string, table string"
         return Catalog(
@@ -119,24 +136,19 @@ class FileSource:
 
     def profile(self, keys: Sequence[Row]) -> DataFrame:
         """Rows and key bounds of every table in one job, answered from file footers where the format allows."""
-        return combine([self._profile_one(k) for k in keys], DataFrame.unionByName)
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return combine(list(pool.map(self._profile_one, keys)), DataFrame.union)
 
     def _profile_one(self, key: Row) -> DataFrame:
-        df = self._scan_in(self._footer_session(), key["ns"], key["table"])
-        bounds = [F.lit(0).cast("bigint")] * 2
+        lo, hi = "0L", "0L"
         if key["key_kind"] == "numeric":
-            column = F.col(f"`{key['key_column']}`")
-            bounds = [F.coalesce(f(column).cast("bigint"), F.lit(0)) for f in (F.min, F.max)]
-        profiled = df.agg(F.count(F.lit(1)).alias("rows"), bounds[0].alias("lo"), bounds[1].alias("hi"))
-        return profiled.select(
-            F.lit(self.dialect.name).alias("source"),
-            F.lit(key["ns"]).alias("ns"),
-            F.lit(key["table"]).alias("table"),
-            F.lit(key["key_column"]).cast("string").alias("key_column"),
-            F.lit(key["salt_column"]).cast("string").alias("salt_column"),
-            F.lit(key["key_kind"]).alias("key_kind"),
-            "rows", "lo", "hi",
-            ceil_div(F.col("rows"), F.lit(self.rows_per_page).cast("bigint")).alias("pages"),
+            column = quote(key["key_column"])
+            lo, hi = (f"coalesce(CAST({f}({column}) AS bigint), 0L)" for f in ("min", "max"))
+        known = {"source": self.dialect.name} | {c: key[c] for c in ("ns", "table", "key_column", "salt_column", "key_kind")}
+        return self._scan_in(self._footer_session(), key["ns"], key["table"]).selectExpr(
+            *[f"CAST({'NULL' if v is None else text(v)} AS string) AS {quote(c)}" for c, v in known.items()],
+            "count(*) AS rows", f"{lo} AS lo", f"{hi} AS hi",
+            f"(count(*) + {self.rows_per_page - 1}) div {self.rows_per_page} AS pages",
         )
 
     def _footer_session(self) -> SparkSession:

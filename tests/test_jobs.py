@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.tables import CFG, NS, new_sink, source
+from snaplake import FileSource, FileTable, MYSQL
 from snaplake import LoadFailed, Run, RunConflict, RunLedger, Target, load_all, load_filtered, load_table, plan_source, snapshot
 from snaplake.operators.load import compact_loaded, failed_tables, results_frame, target_of
 
@@ -60,13 +61,28 @@ def test_a_table_that_fails_twice_fails_the_run(spark, mysql, plan, sink):
 def test_incremental_equals_atomic(spark, mysql, plan, sink):
     entry = next(e for e in plan.collect() if e["table"] == "orders")
     assert entry["batches"] == 3
-    assert load_table(mysql, sink, entry, publish="incremental") == load_table(mysql, new_sink(spark), entry) == 1_500
+    assert len(mysql.pieces(entry)) == 1  # a table of one file
+    by_key = source(spark, DATA, "mysql", slice_by="plan")
+    assert load_table(by_key, sink, entry, publish="incremental") == load_table(mysql, new_sink(spark), entry) == 1_500
     target = target_of(mysql, "shop", "orders")
     assert sink.read(target).exceptAll(mysql.scan("shop", "orders")).isEmpty() and sink.read(target).count() == 1_500
     with pytest.raises(ValueError):
         load_table(mysql, sink, entry, publish="sometimes")
 
 
+def test_file_groups_read_every_file_once(spark, mysql, plan, sink):
+    target = target_of(mysql, "shop", "orders")
+    sink.replace(mysql.scan("shop", "orders").repartition(7), target)
+    many = FileSource(spark, MYSQL, {("shop", "orders"): FileTable(sink.location(target), ("o_orderkey",))})
+    entry = plan_source(many, CFG).first()
+    pieces = many.pieces(entry)
+    files = [f for p in pieces for f in p["files"]]
+    assert len(pieces) == entry["batches"] == 3 and len(files) == len(set(files)) == 7
+    other = new_sink(spark)
+    assert load_table(many, other, entry, publish="incremental") == 1_500
+    assert other.read(target).exceptAll(sink.read(target)).isEmpty()
+
+
 def test_loads_do_not_shuffle(mysql, plan):
     for entry in plan.collect():
         assert "Exchange" not in mysql.read(entry)._jdf.queryExecution().executedPlan().toString()

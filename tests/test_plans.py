@@ -243,8 +243,9 @@ def test_age(spark):
     )
     now = F.col("now")
     got = row.select(
-        age_seconds(F.col("t"), now).alias("a"), age_seconds(F.col("t"), now, rounded=True).alias("b"),
-        age_seconds(F.col("later"), now).alias("c"), age_seconds(F.col("unknown"), now).alias("d"),
+        age_seconds(F.col("t"), now, rounded=F.lit(False)).alias("a"), age_seconds(F.col("t"), now, rounded=F.lit(True)).alias("b"),
+        age_seconds(F.col("later"), now, rounded=F.lit(True)).alias("c"),
+        age_seconds(F.col("unknown"), now, rounded=F.lit(False)).alias("d"),
     ).first()
     assert tuple(got) == (2, 3, 0, None)
 

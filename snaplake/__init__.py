@@ -2,6 +2,7 @@
 
 from snaplake.config import LoadConfig, session_conf
 from snaplake.functions.filters import to_column, to_sql, validate_filter
+from snaplake.jobs import Jobs
 from snaplake.operators.ledger import RunConflict, RunLedger, active_runs, latest_runs
 from snaplake.operators.load import LoadFailed, Run, load_all, load_filtered, load_table
 from snaplake.operators.snapshot import Snapshot, plan_source, snapshot
@@ -12,7 +13,7 @@ from snaplake.sources.files import FileSource, FileTable
 from snaplake.sources.jdbc import JdbcSource
 
 __all__ = [
-    "FileSource", "FileTable", "IcebergSink", "JdbcSource", "LoadConfig", "LoadFailed", "MYSQL", "POSTGRESQL",
+    "FileSource", "FileTable", "IcebergSink", "JdbcSource", "Jobs", "LoadConfig", "LoadFailed", "MYSQL", "POSTGRESQL",
     "ParquetSink", "Run", "RunConflict", "RunLedger", "Snapshot", "Target", "active_runs", "dialect_of",
     "latest_runs", "load_all", "load_filtered", "load_table", "plan_source", "session_conf", "snapshot",
     "to_column", "to_sql", "validate_filter",

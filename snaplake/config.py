@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
+from typing import Any
 
 # Defaults users already rely on.
 DEFAULT_NUM_THREADS = 4
@@ -34,6 +36,14 @@ class LoadConfig:
     max_slices: int = 10_000
     single_shot: bool = False
 
+    @classmethod
+    def of(cls, settings: Mapping[str, Any]) -> LoadConfig:
+        """From a settings mapping; what it does not name keeps its default."""
+        unknown = settings.keys() - {f.name for f in fields(cls)}
+        if unknown:
+            raise ValueError(f"unknown settings: {sorted(unknown)}")
+        return cls(**settings)
+
     def __post_init__(self) -> None:
         for name in (
             "num_threads", "chunk_size", "large_table_threshold", "large_table_batch_size",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import elapsed_text
+from snaplake.operators.load import Run
 from snaplake.sinks.base import Sink, Target
 
 # The states of a run.
@@ -89,6 +93,25 @@ class RunLedger:
     def run(self, run_id: str) -> DataFrame:
         return latest_runs(self.events().filter(F.col("run_id") == run_id))
 
+    @contextmanager
+    def follow(self, run: Run, db_type: str, host: str) -> Iterator[None]:
+        """Record what becomes of the work done inside."""
+        self.record(run.run_id, RUNNING, db_type, host)
+        started = time.monotonic()
+        try:
+            yield
+        except BaseException as problem:
+            if run.cancelled:
+                self.record(run.run_id, CANCELLED, db_type, host, cancelled_at=run.cancelled_at)
+            else:
+                lines = str(problem).splitlines() or [type(problem).__name__]
+                self.record(run.run_id, FAILED, db_type, host, error=lines[0])
+            raise
+        if run.cancelled:
+            self.record(run.run_id, CANCELLED, db_type, host, cancelled_at=run.cancelled_at)
+        else:
+            self.record(run.run_id, SUCCESS, db_type, host, elapsed_s=int(time.monotonic() - started))
+
     def ensure_free(self, db_type: str, host: str) -> None:
         """Refuse a full run while another one for the same source is active. Best effort: nothing is locked."""
         same = (F.col("db_type") == db_type) & (F.col("host") == host)

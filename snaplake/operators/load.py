@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
 from dataclasses import astuple, dataclass, replace
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -37,6 +39,10 @@ class TableLoad:
     error: str | None = None
 
 
+# What ``setJobGroup`` sets on a thread.
+JOB_GROUP_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+
+
 class LoadFailed(RuntimeError):
     """Some tables failed twice; ``results`` has every table's outcome."""
 
@@ -52,6 +58,7 @@ class Run:
     def __init__(self, spark: SparkSession, run_id: str | None = None):
         self.spark = spark
         self.run_id = run_id or str(uuid.uuid4())
+        self.cancelled_at: datetime | None = None
         self._stop = threading.Event()
 
     @property
@@ -60,14 +67,22 @@ class Run:
 
     def cancel(self) -> None:
         """Stop the jobs that run and start no further table. Published tables stay as they are."""
+        self.cancelled_at = datetime.now(timezone.utc)
         self._stop.set()
-        self.spark.sparkContext.cancelJobGroup(self.run_id)
+        # Also the jobs a thread is about to submit: it may have looked at the flag just before it was set.
+        self.spark.sparkContext._jsc.sc().cancelJobGroupAndFutureJobs(self.run_id)
 
-    def join(self, pool: str, description: str) -> None:
-        """Put the jobs of the calling thread into this run and into a scheduler pool."""
+    @contextmanager
+    def jobs(self, pool: str, description: str) -> Iterator[None]:
+        """The calling thread's jobs belong to this run and to a scheduler pool, for the time being."""
         context = self.spark.sparkContext
         context.setLocalProperty("spark.scheduler.pool", pool)
         context.setJobGroup(self.run_id, description, interruptOnCancel=True)
+        try:
+            yield
+        finally:
+            for name in ("spark.scheduler.pool", *JOB_GROUP_PROPERTIES):
+                context.setLocalProperty(name, None)
 
 
 def target_of(source: Source, ns: str, table: str) -> Target:
@@ -131,9 +146,9 @@ def _pass(
         done = TableLoad(entry["source"], entry["ns"], entry["table"], entry["strategy"], None, "cancelled", attempt)
         if run.cancelled:
             return replace(done, attempts=attempt - 1)
-        run.join(lane, f"load {entry['ns']}.{entry['table']}")
         try:
-            return replace(done, rows=load_table(source, sink, entry, publish=publish), status="success")
+            with run.jobs(lane, f"load {entry['ns']}.{entry['table']}"):
+                return replace(done, rows=load_table(source, sink, entry, publish=publish), status="success")
         except Exception as problem:  # noqa: BLE001 - one table's failure must not stop the others
             status = "cancelled" if run.cancelled else "failed"
             return replace(done, status=status, error=str(problem).splitlines()[0])
@@ -177,15 +192,14 @@ def load_filtered(
     Lands on the table's own target unless another is given: it then takes the place of a full load. With a
     plan ``entry`` the source is read in parallel; the filter is pushed to every reader.
     """
-    if run:
-        if run.cancelled:
-            raise RuntimeError("the run was cancelled before the load started")
-        run.join("small", f"load {ns}.{table} filtered")
-    df = source.read(entry) if entry is not None else source.scan(ns, table)
-    where = target or target_of(source, ns, table)
-    rows = sink.replace(df.filter(to_column(group, df.schema)), where)
-    if not (run and run.cancelled):
-        compact_table(sink, where)
+    if run and run.cancelled:
+        raise RuntimeError("the run was cancelled before the load started")
+    with run.jobs("small", f"load {ns}.{table} filtered") if run else nullcontext():
+        df = source.read(entry) if entry is not None else source.scan(ns, table)
+        where = target or target_of(source, ns, table)
+        rows = sink.replace(df.filter(to_column(group, df.schema)), where)
+        if not (run and run.cancelled):
+            compact_table(sink, where)
     return rows
 
 
@@ -204,6 +218,7 @@ def compact_loaded(source: Source, sink: Sink, plan: DataFrame, run: Run | None
     for entry in plan.filter(F.col("strategy").isin(*BATCHED)).collect():
         if run and run.cancelled:
             break
-        problem = compact_table(sink, target_of(source, entry["ns"], entry["table"]))
+        with run.jobs("small", f"compact {entry['ns']}.{entry['table']}") if run else nullcontext():
+            problem = compact_table(sink, target_of(source, entry["ns"], entry["table"]))
         done.append((entry["ns"], entry["table"], problem))
     return done

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
-from snaplake.operators.ledger import CANCELLED, FAILED, PENDING, RUNNING, SUCCESS, RunLedger
+from snaplake.operators.ledger import PENDING, RunLedger
 from snaplake.operators.load import Run, TableLoad, compact_loaded, load_all, results_frame, target_of
 from snaplake.operators.manifest import replication_documents, save_document, snapshot_manifests
 from snaplake.plans.catalog import (
@@ -28,7 +26,6 @@ class Snapshot:
     results: list[TableLoad]
     compacted: list[tuple[str, str, str | None]]
     refreshed: list[tuple[str, str]]
-    elapsed_s: int
 
 
 def plan_source(source: Source, cfg: LoadConfig) -> DataFrame:
@@ -62,43 +59,35 @@ def snapshot(
     before loading, and a manifest with the observed row counts after. The ledger refuses a second full run
     for the same source and records this one.
     """
-    spark, db_type = source.spark, source.dialect.name
-    run = run or Run(spark)
-    started = time.monotonic()
-
-    def note(status: str, **details) -> None:
-        if ledger:
-            ledger.record(run.run_id, status, db_type, host, **details)
-
-    if ledger:
-        ledger.ensure_free(db_type, host)
-    note(PENDING)
-    try:
-        note(RUNNING)
-        positions = None
-        if position is not None and documents:
-            positions = spark.createDataFrame([position])
-            for doc in replication_documents(positions).collect():
-                save_document(spark, documents, doc["object_key"], doc["body"])
-        plan = plan_source(source, cfg)
-        results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish)
-        compacted = [] if run.cancelled else compact_loaded(source, sink, plan, run)
-        refreshed = [] if run.cancelled else refresh_stale(source, sink, plan, cfg)
-        if positions is not None:
-            for doc in snapshot_manifests(positions, results_frame(spark, results)).collect():
-                save_document(spark, documents, doc["object_key"], doc["body"])
-    except BaseException as problem:
-        if run.cancelled:
-            note(CANCELLED, cancelled_at=datetime.now(timezone.utc))
-        else:
-            note(FAILED, error=str(problem).splitlines()[0] if str(problem) else type(problem).__name__)
-        raise
-    elapsed = int(time.monotonic() - started)
-    if run.cancelled:
-        note(CANCELLED, cancelled_at=datetime.now(timezone.utc))
-    else:
-        note(SUCCESS, elapsed_s=elapsed)
-    return Snapshot(plan, results, compacted, refreshed, elapsed)
+    run, db_type = run or Run(source.spark), source.dialect.name
+    if not ledger:
+        return _snapshot(source, sink, cfg, position, documents, run, publish)
+    ledger.ensure_free(db_type, host)
+    ledger.record(run.run_id, PENDING, db_type, host)
+    with ledger.follow(run, db_type, host):
+        return _snapshot(source, sink, cfg, position, documents, run, publish)
+
+
+def _snapshot(
+    source: Source, sink: Sink, cfg: LoadConfig, position: Row | None, documents: str | None, run: Run, publish: str
+) -> Snapshot:
+    spark, positions = source.spark, None
+    if position is not None and documents:
+        positions = spark.createDataFrame([position])
+        _save(replication_documents(positions), documents)
+    plan = plan_source(source, cfg)
+    results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish)
+    compacted = [] if run.cancelled else compact_loaded(source, sink, plan, run)
+    refreshed = [] if run.cancelled else refresh_stale(source, sink, plan, cfg)
+    if positions is not None:
+        _save(snapshot_manifests(positions, results_frame(spark, results)), documents)
+    return Snapshot(plan, results, compacted, refreshed)
+
+
+def _save(documents: DataFrame, folder: str) -> None:
+    """Save the documents of one run: a handful of small texts."""
+    for doc in documents.collect():
+        save_document(documents.sparkSession, folder, doc["object_key"], doc["body"])
 
 
 def refresh_stale(source: Source, sink: Sink, plan: DataFrame, cfg: LoadConfig) -> list[tuple[str, str]]:

@@ -58,8 +58,8 @@ def list_tables(tables: DataFrame, namespaces: DataFrame) -> DataFrame:
     """Tables of the user namespaces, ordered by name; views only where the source lists them."""
     listed = by_source(lambda d: "true" if d.lists_views else "table_type = 'BASE TABLE'")
     user = namespaces.filter(~by_source(_is_system)).select("source", "ns").distinct()
-    found = tables.filter(listed).join(user, ["source", "ns"], "left_semi")
-    return found.select(*TABLE_ID).distinct().orderBy(*TABLE_ID)
+    found = tables.filter(listed).select(*TABLE_ID).distinct()
+    return found.join(user, ["source", "ns"], "left_semi").orderBy(*TABLE_ID)
 
 
 def count_tables(tables: DataFrame) -> DataFrame:

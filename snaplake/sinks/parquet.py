@@ -83,11 +83,12 @@ class ParquetSink:
         """Pack small files into files of the target size, without a shuffle.
 
         Spark's file scan already packs small files into one partition up to a byte limit; with that limit at
-        the target size, each task of the copy writes one file of about it. Nothing is done where no files
-        can be saved.
+        the target size, each task of the copy writes one file of about it. The copy is left out where it
+        would save less than a tenth of the files.
         """
         sizes = self.files(target)
-        if len(sizes) <= math.ceil(sum(sizes) / self.target_bytes):
+        packed = max(1, math.ceil(sum(sizes) / self.target_bytes))
+        if len(sizes) - packed < max(1, len(sizes) / 10):
             return
         packing = self.spark.newSession()
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(self.target_bytes))

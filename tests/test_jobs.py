@@ -94,7 +94,7 @@ def test_cancel_stops_a_running_table(spark, mysql, plan, sink):
             return getattr(mysql, name)
 
         def read(self, entry):
-            return spark.range(0, 8, 1, 8).select(F.expr("java_method('java.lang.Thread', 'sleep', 60000L)").alias("x"))
+            return spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))
 
     run = Run(spark)
     threading.Timer(3, run.cancel).start()

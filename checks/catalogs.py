@@ -180,7 +180,7 @@ FIVE_DAYS = 432_000
     ages AS (SELECT source, ns, "table", CASE WHEN since IS NOT NULL THEN greatest(0,
       (epoch_us(TIMESTAMP '{NOW}') - epoch_us(since) + CASE source WHEN 'postgresql' THEN 500000 ELSE 0 END)
       // 1000000) END AS age_s FROM times)
-    SELECT * FROM ages WHERE age_s >= {FIVE_DAYS} OR (age_s IS NULL AND source = 'postgresql')""",
+    SELECT source, ns, "table", coalesce(age_s, -1) AS age_s FROM ages WHERE age_s >= {FIVE_DAYS} OR (age_s IS NULL AND source = 'postgresql')""",
 )
 def stale_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = _columns(spark, sf_dir)
@@ -194,4 +194,5 @@ def stale_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         latest("view", F.col("source") == "mysql").alias("create_time"),
     )
     tables = columns.select(*TABLE_ID).distinct()
-    return stale_tables(tables, times, F.lit(NOW).cast("timestamp_ntz"), FIVE_DAYS)
+    stale = stale_tables(tables, times, F.lit(NOW).cast("timestamp_ntz"), FIVE_DAYS)
+    return stale.fillna(-1, ["age_s"])  # unknown ages

@@ -121,7 +121,7 @@ def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             landed = sink.read(target_of(src, r.ns, r.table)).agg(F.count(F.lit(1)).alias("rows_landed"))
             found.append(landed.select(
                 F.lit(r.source).alias("source"), F.lit(r.ns).alias("ns"), F.lit(r.table).alias("table"),
-                F.lit(r.rows).alias("rows_observed"), "rows_landed",
+                F.lit(r.rows).cast("bigint").alias("rows_observed"), "rows_landed",
             ))
     return functools.reduce(DataFrame.unionByName, found)
 

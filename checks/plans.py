@@ -24,14 +24,17 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, profiles).drop("pages")
 
 
-@check("load_plan", plan_sql(CFG) + "SELECT * FROM plan")
+_PLAN_ROWS = "SELECT * REPLACE (coalesce(slice_width, 0) AS slice_width) FROM plan"
+
+
+@check("load_plan", plan_sql(CFG) + _PLAN_ROWS)
 def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_plan(spark, sf_dir)
+    return full_plan(spark, sf_dir).fillna(0, ["slice_width"])
 
 
-@check("plan_single_shot", plan_sql(SINGLE_SHOT) + "SELECT * FROM plan")
+@check("plan_single_shot", plan_sql(SINGLE_SHOT) + _PLAN_ROWS)
 def plan_single_shot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_plan(spark, sf_dir, SINGLE_SHOT)
+    return full_plan(spark, sf_dir, SINGLE_SHOT).fillna(0, ["slice_width"])
 
 
 @check(
@@ -73,7 +76,7 @@ _slices("page_slices", "page_batches", _EXPLODED.format(
 @check(
     "slice_coverage",
     plan_sql(CFG) + """SELECT source, ns, "table", strategy, batches AS slices, "rows",
-    0 AS rows_in_none, 0 AS rows_in_two FROM plan WHERE "table" IN ('orders', 'customer', 'lineitem')""",
+    0::BIGINT AS rows_in_none, 0::BIGINT AS rows_in_two FROM plan WHERE "table" IN ('orders', 'customer', 'lineitem')""",
 )
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the rows of a key-range, a hash and a page table, each at the slices its plan gives it."""

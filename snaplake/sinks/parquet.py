@@ -73,11 +73,11 @@ class ParquetSink:
         detail = self.spark.sql(f"DESCRIBE EXTENDED {self.name(target)}")
         return detail.filter("col_name = 'Location'").first()["data_type"]
 
-    def files(self, target: Target) -> list[int]:
-        """Sizes of the table's data files."""
+    def footprint(self, target: Target) -> tuple[int, int]:
+        """Number of the table's data files and their bytes, without listing them here one by one."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(target))
-        listing = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)
-        return [f.getLen() for f in listing if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+        summary = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(folder)
+        return len(self.read(target)._jdf.inputFiles()), summary.getLength()
 
     def compact(self, target: Target) -> None:
         """Pack small files into files of the target size, without a shuffle.
@@ -86,9 +86,9 @@ class ParquetSink:
         the target size, each task of the copy writes one file of about it. The copy is left out where it
         would save less than a tenth of the files.
         """
-        sizes = self.files(target)
-        packed = max(1, math.ceil(sum(sizes) / self.target_bytes))
-        if len(sizes) - packed < max(1, len(sizes) / 10):
+        files, size = self.footprint(target)
+        packed = max(1, math.ceil(size / self.target_bytes))
+        if files - packed < max(1, files / 10):
             return
         packing = self.spark.newSession()
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(self.target_bytes))

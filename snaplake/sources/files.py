@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaplake.frames import local_frame
+from snaplake.functions.expressions import hash_bucket
 from snaplake.plans.load_plan import plan_frame
 from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
@@ -76,20 +77,20 @@ class FileSource:
     def pieces(self, entry: Row) -> list[Row]:
         """Groups of whole files, as many as the plan has slices if there are enough: each file is read once.
 
-        With ``slice_by="plan"`` they are the plan's own slices, each of which looks at every file.
+        A file's group is a hash of its path. The filter on it prunes files when they are listed, so no list of
+        files passes through the driver program. With ``slice_by="plan"`` the pieces are the plan's own slices,
+        each of which looks at every file.
         """
         if self.slice_by == "plan":
             return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
-        files = sorted(self.scan(entry["ns"], entry["table"]).inputFiles())
-        groups = max(1, min(entry["batches"], len(files)))
-        return [Row(unit="files", slice_no=i, files=files[i::groups]) for i in range(groups)]
+        files = len(self.scan(entry["ns"], entry["table"])._jdf.inputFiles())
+        groups = max(1, min(entry["batches"], files))
+        return [Row(unit="files", slice_no=i, slices=groups) for i in range(groups)]
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
-        if piece["unit"] == "files":
-            t = self.tables[entry["ns"], entry["table"]]
-            reader = self.spark.read.format(t.format).schema(t.schema).option("basePath", t.path)
-            return reader.load(piece["files"])
         df = self.scan(entry["ns"], entry["table"])
+        if piece["unit"] == "files":
+            return df.filter(hash_bucket(F.col("_metadata.file_path"), piece["slices"]) == piece["slice_no"])
         if piece["unit"] == "table":
             return df
         if piece["unit"] == "page":

@@ -7,13 +7,12 @@ take rows beyond the profiled bounds, which may have moved since profiling.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from snaplake.frames import local_frame
 from snaplake.functions.expressions import WIDE, ceil_div, hash_bucket, quoted
 from snaplake.plans.catalog import TABLE_ID
 from snaplake.plans.load_plan import key_span
@@ -103,16 +102,21 @@ def reader_intervals(slices: DataFrame) -> DataFrame:
             F.when(splits, high).otherwise(F.col("hi")).alias("hi"),
             (F.col("open_low") & first).alias("open_low"),
             (F.col("open_high") & last).alias("open_high"),
-            F.lit(0).alias("salt"), F.lit(1).alias("salts"),
         )
     )
 
 
 def boundaries_text(entry: Row, dialect: Dialect, step: int) -> str:
-    """Source-side query for every ``step``-th key in key order, read from the key's index."""
-    key = dialect.quote(entry["key_column"])
-    ranked = f"SELECT {key} AS k, ROW_NUMBER() OVER (ORDER BY {key}) AS r FROM {dialect.table(entry['ns'], entry['table'])}"
-    return f"SELECT k FROM ({ranked}) AS ranked WHERE MOD(r - 1, {step}) = 0"
+    """Source-side query for every ``step``-th key in key order, read from the key's index.
+
+    A key met several times comes once, with its ``copies``: the source decides which keys are the same.
+    """
+    key, table = dialect.quote(entry["key_column"]), dialect.table(entry["ns"], entry["table"])
+    ranked = f"SELECT {key} AS k, ROW_NUMBER() OVER (ORDER BY {key}) AS r FROM {table} WHERE {key} IS NOT NULL"
+    return (
+        f"SELECT MIN(k) AS k, COUNT(*) AS copies, MIN(r) AS r FROM ({ranked}) AS ranked"
+        f" WHERE MOD(r - 1, {step}) = 0 GROUP BY k"
+    )
 
 
 def is_uneven(entry: Row) -> bool:
@@ -121,37 +125,27 @@ def is_uneven(entry: Row) -> bool:
     return span > 2 * entry["rows"] or entry["rows"] > span
 
 
-def balanced_intervals(boundaries: Sequence[int], parts: int) -> list[tuple]:
-    """Reader intervals with about as many rows each, from every n-th key of a table in key order.
+def balanced_predicates(boundaries: Sequence[tuple[Any, int]], entry: Row, dialect: Dialect) -> list[str]:
+    """WHERE texts of readers with about as many rows each, from every n-th key and its copies, in key order.
 
-    A key found m > 1 times among the boundaries holds at least m - 1 intervals' rows: it is read by m readers,
-    told apart by a hash of another key column, and the next interval starts after it.
+    A reader takes the keys from one boundary up to the next. A key with m > 1 copies holds at least m - 1
+    readers' rows: it gets m readers of its own, told apart by a hash of another key column.
     """
-    copies = sorted(Counter(boundaries).items())
-    found: list[tuple[int, int, bool, bool, int, int]] = []
-    for i, (key, n) in enumerate(copies):
-        first, last = i == 0, i == len(copies) - 1
-        to = key if last else copies[i + 1][0] - 1
-        if n == 1:
-            found.append((key, to, first, last, 0, 1))
-            continue
-        if first:
-            found.append((key - 1, key - 1, True, False, 0, 1))
-        found += [(key, key, False, False, salt, n) for salt in range(n)]
-        if last or to > key:
-            found.append((key + 1, max(to, key + 1), False, last, 0, 1))
-    return [(i // parts, i % parts, *interval) for i, interval in enumerate(found)]
-
-
-def interval_frame(spark: SparkSession, entry: Row, intervals: Sequence[tuple]) -> DataFrame:
-    """Balanced intervals of one table, shaped as ``reader_intervals`` shapes its own."""
-    head = (entry["source"], entry["ns"], entry["table"], entry["key_column"], entry["salt_column"], "key", 1)
-    return local_frame(
-        spark,
-        [(*head, *interval) for interval in intervals],
-        "source string, ns string, table string, key_column string, salt_column string, unit string, slices bigint, "
-        "slice_no bigint, part_no bigint, lo bigint, hi bigint, open_low boolean, open_high boolean, salt int, salts int",
-    )
+    key, salt = dialect.quote(entry["key_column"]), entry["salt_column"]
+    texts = []
+    for i, (k, copies) in enumerate(boundaries):
+        at, start = dialect.literal(k), ">="
+        if copies > 1 and salt:
+            if i == 0:
+                texts.append(f"({key} < {at} OR {key} IS NULL)")
+            texts += [f"{key} = {at} AND {dialect.in_bucket(dialect.quote(salt), copies, j)}" for j in range(copies)]
+            start = ">"
+        tests = [] if i == 0 and start == ">=" else [f"{key} {start} {at}"]
+        if i + 1 < len(boundaries):
+            tests.append(f"{key} < {dialect.literal(boundaries[i + 1][0])}")
+        text = " AND ".join(tests) or "1 = 1"
+        texts.append(f"({text} OR {key} IS NULL)" if i == 0 and start == ">=" and tests else text)
+    return texts
 
 
 def predicates(intervals: DataFrame, dialect: Dialect) -> DataFrame:
@@ -171,21 +165,17 @@ def predicates(intervals: DataFrame, dialect: Dialect) -> DataFrame:
     by_page = F.when(F.col("open_high"), from_page).otherwise(F.concat(from_page, F.lit(" AND "), to_page))
     salt = quoted(F.col("salt_column"), dialect.quote_char)
 
-    def in_bucket_text(column: Column, buckets: Column, bucket: Column) -> Column:
-        number = F.replace(F.lit(dialect.bucket_template), F.lit("{column}"), column)
-        number = F.replace(number, F.lit("{buckets}"), buckets.cast("string"))
-        test = F.concat(number, F.lit(" = "), bucket.cast("string"))
-        return F.when(bucket == 0, F.concat(F.lit("("), test, F.lit(" OR "), column, F.lit(" IS NULL)"))).otherwise(test)
-
     # Of a composite key both columns are hashed: the first alone may be the same in most rows.
     whole_key = F.when(F.col("salt_column").isNull(), key).otherwise(
         F.concat(F.lit("CONCAT_WS('|', "), key, F.lit(", "), salt, F.lit(")"))
     )
-    by_bucket = in_bucket_text(whole_key, F.col("slices"), F.col("lo"))
-    by_salt = F.concat(by_key, F.lit(" AND "), in_bucket_text(salt, F.col("salts"), F.col("salt")))
+    bucket = F.replace(F.lit(dialect.bucket_template), F.lit("{column}"), whole_key)
+    bucket = F.replace(bucket, F.lit("{buckets}"), F.col("slices").cast("string"))
+    bucket = F.concat(bucket, F.lit(" = "), lo)
+    or_null = F.concat(F.lit("("), bucket, F.lit(" OR "), whole_key, F.lit(" IS NULL)"))
+    by_bucket = F.when(F.col("lo") == 0, or_null).otherwise(bucket)
     text = (
-        F.when((F.col("unit") == "key") & (F.col("salts") > 1), by_salt)
-        .when(F.col("unit") == "key", by_key)
+        F.when(F.col("unit") == "key", by_key)
         .when(F.col("unit") == "page", by_page)
         .when(F.col("unit") == "bucket", by_bucket)
         .otherwise(F.lit("1 = 1"))

@@ -36,6 +36,11 @@ class Dialect:
     def table(self, namespace: str, table: str) -> str:
         return f"{self.quote(namespace)}.{self.quote(table)}"
 
+    def in_bucket(self, column: str, buckets: int, bucket: int) -> str:
+        """Text that holds for the rows of one hash bucket of an already quoted column; nulls are in bucket 0."""
+        test = f"{self.bucket_template.format(column=column, buckets=buckets)} = {bucket}"
+        return f"({test} OR {column} IS NULL)" if bucket == 0 else test
+
     def literal(self, value: Any) -> str:
         if value is None:
             return "NULL"

@@ -12,13 +12,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snaplake.config import DEFAULT_FETCH_SIZE
 from snaplake.frames import local_frame
 from snaplake.functions.filters import to_column, to_sql
 from snaplake.plans.load_plan import PROFILE_COLUMNS, plan_frame
 from snaplake.plans.slices import (
-    balanced_intervals, boundaries_text, interval_frame, is_uneven, plan_slices, predicates, reader_intervals,
+    balanced_predicates, boundaries_text, is_uneven, plan_slices, predicates, reader_intervals,
 )
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.catalog_sql import CATALOG_SQL
@@ -40,11 +41,13 @@ class JdbcSource:
         session_statement: str | None = None,
         options: Mapping[str, str] | None = None,
         connections: int = 16,
+        even_reads: bool = True,
         tables_per_profile: int = 50,
     ):
         self.spark = spark
         self.dialect = dialect
         self.database = database or ("postgres" if dialect.physical_pages else "")
+        self.even_reads = even_reads
         self.connections = connections  # per table; what the server bears, not what the cluster could open
         self.tables_per_profile = tables_per_profile
         statement = dialect.session_statement if session_statement is None else session_statement
@@ -112,19 +115,33 @@ class JdbcSource:
         return df.coalesce(self.connections) if len(texts) > self.connections else df
 
     def _readers(self, entry: Row) -> list[Row]:
-        """Predicates of all readers of a table: at most ``max_slices`` times ``parts`` short texts."""
-        if entry["strategy"] == "range_batches" and is_uneven(entry):
-            readers = max(1, min(entry["batches"], -(-entry["rows"] // entry["slice_width"])) * entry["parts"])
-            text = boundaries_text(entry, self.dialect, max(1, -(-entry["rows"] // readers)))
-            boundaries = [r["k"] for r in self._load(f"({text}) AS boundaries").collect()]
+        """Predicates of all readers of a table: at most ``max_slices`` times ``parts`` short texts.
+
+        Slices of equal key width suit dense keys. Other numeric keys and text keys are read between boundaries
+        the source finds in one pass over the key's index. Hash buckets would have the source scan the whole
+        table once per bucket; they are left for keys whose values cannot be written as text.
+        """
+        if self.even_reads and (entry["strategy"] == "hash_batches" or self._is_uneven_range(entry)):
+            boundaries = self._boundaries(entry)
             if boundaries:
-                intervals = interval_frame(self.spark, entry, balanced_intervals(boundaries, entry["parts"]))
-                return self._texts(intervals)
-        return self._texts(reader_intervals(plan_slices(plan_frame(self.spark, [entry]))))
+                texts = balanced_predicates(boundaries, entry, self.dialect)
+                parts = entry["parts"]
+                return [Row(slice_no=i // parts, part_no=i % parts, predicate=t) for i, t in enumerate(texts)]
+        texts = predicates(reader_intervals(plan_slices(plan_frame(self.spark, [entry]))), self.dialect)
+        return texts.select("slice_no", "part_no", "predicate").orderBy("slice_no", "part_no").collect()
 
-    def _texts(self, intervals: DataFrame) -> list[Row]:
-        texts = predicates(intervals, self.dialect).select("slice_no", "part_no", "predicate")
-        return texts.orderBy("slice_no", "part_no").collect()
+    @staticmethod
+    def _is_uneven_range(entry: Row) -> bool:
+        return entry["strategy"] == "range_batches" and is_uneven(entry)
+
+    def _boundaries(self, entry: Row) -> list[tuple[Any, int]]:
+        """Every n-th key with its copies, in the source's order: as many as the table gets readers."""
+        wanted = min(entry["batches"], -(-entry["rows"] // entry["slice_width"])) * entry["parts"]
+        step = max(1, -(-entry["rows"] // max(1, wanted)))
+        found = self._load(f"({boundaries_text(entry, self.dialect, step)}) AS boundaries")
+        if not isinstance(found.schema["k"].dataType, (T.StringType, T.IntegralType)):
+            return []
+        return [(r["k"], r["copies"]) for r in found.orderBy("r").collect()]
 
     # --- catalog ----------------------------------------------------------------------------------------
 

@@ -106,31 +106,47 @@ def test_slices_one_by_one(spark):
 
 
 def test_uneven_keys_ask_for_boundaries(spark):
-    boundaries = local_frame(spark, [(k,) for k in [1, 40, 40, 40, 90_000]], "k bigint")
+    boundaries = local_frame(spark, [(90_000, 1, 1_900), (40, 3, 300), (1, 1, 1)], "k bigint, copies bigint, r bigint")
     source, seen = mysql(spark, boundaries)
     source.read(entry(spark, "mysql", "numeric", 2_000, 1, 1_000_000, 0, salt="line"))
     assert seen.asked[0]["dbtable"] == (
-        "(SELECT k FROM (SELECT `id` AS k, ROW_NUMBER() OVER (ORDER BY `id`) AS r FROM `shop`.`orders`) AS ranked"
-        " WHERE MOD(r - 1, 125) = 0) AS boundaries"
+        "(SELECT MIN(k) AS k, COUNT(*) AS copies, MIN(r) AS r FROM (SELECT `id` AS k,"
+        " ROW_NUMBER() OVER (ORDER BY `id`) AS r FROM `shop`.`orders` WHERE `id` IS NOT NULL) AS ranked"
+        " WHERE MOD(r - 1, 125) = 0 GROUP BY k) AS boundaries"
     )
     assert seen.asked[1]["predicates"] == [
-        "(`id` <= 39 OR `id` IS NULL)",
-        "`id` >= 40 AND `id` <= 40 AND (MOD(CRC32(`line`), 3) = 0 OR `line` IS NULL)",
-        "`id` >= 40 AND `id` <= 40 AND MOD(CRC32(`line`), 3) = 1",
-        "`id` >= 40 AND `id` <= 40 AND MOD(CRC32(`line`), 3) = 2",
-        "`id` >= 41 AND `id` <= 89999",
+        "(`id` < 40 OR `id` IS NULL)",
+        "`id` = 40 AND (MOD(CRC32(`line`), 3) = 0 OR `line` IS NULL)",
+        "`id` = 40 AND MOD(CRC32(`line`), 3) = 1",
+        "`id` = 40 AND MOD(CRC32(`line`), 3) = 2",
+        "`id` > 40 AND `id` < 90000",
         "`id` >= 90000",
     ]
 
 
+def test_text_keys_are_read_between_boundaries(spark):
+    boundaries = local_frame(spark, [("a", 1, 1), ("it's", 1, 501), ("m\\", 1, 1_001)], "k string, copies bigint, r bigint")
+    source, seen = mysql(spark, boundaries)
+    source.read(entry(spark, "mysql", "text", 1_200, 0, 0, 0))
+    assert seen.asked[1]["predicates"] == [
+        "(`id` < 'it\'\'s' OR `id` IS NULL)", "`id` >= 'it\'\'s' AND `id` < 'm\\\\'", "`id` >= 'm\\\\'",
+    ]
+    binary = local_frame(spark, [(b"a", 1, 1)], "k binary, copies bigint, r bigint")
+    source, seen = mysql(spark, binary)
+    source.read(entry(spark, "mysql", "text", 1_200, 0, 0, 0))
+    assert seen.asked[1]["predicates"][1] == "MOD(CRC32(`id`), 3) = 1"
+
+
 def test_hash_and_page_reads(spark):
-    source, seen = mysql(spark)
+    source, seen = mysql(spark, even_reads=False)
     source.read(entry(spark, "mysql", "text", 1_200, 0, 0, 0))
     source.read(entry(spark, "mysql", "text", 1_200, 0, 0, 0, salt="line"))
+    source.read(entry(spark, "mysql", "numeric", 2_000, 1, 1_000_000, 0))
     assert seen.asked[0]["predicates"] == [
         "(MOD(CRC32(`id`), 3) = 0 OR `id` IS NULL)", "MOD(CRC32(`id`), 3) = 1", "MOD(CRC32(`id`), 3) = 2",
     ]
     assert seen.asked[1]["predicates"][1] == "MOD(CRC32(CONCAT_WS('|', `id`, `line`)), 3) = 1"
+    assert len(seen.asked[2]["predicates"]) == 2_000 * 4
     source, seen = postgresql(spark)
     source.read(entry(spark, "postgresql", "page", 400, 0, 0, 3))
     assert seen.asked[0]["predicates"] == [

@@ -10,7 +10,7 @@ from snaplake.frames import local_frame
 from snaplake.functions.expressions import age_seconds, elapsed_text, hash_bucket
 from snaplake.plans.load_plan import PLAN_COLUMNS, PROFILE_SCHEMA, plan_frame, plan_loads
 from snaplake.plans.slices import (
-    balanced_intervals, boundaries_text, in_bucket, interval_frame, is_uneven, plan_slices, predicates, reader_intervals,
+    balanced_predicates, boundaries_text, in_bucket, is_uneven, plan_slices, predicates, reader_intervals,
 )
 
 CFG = LoadConfig(num_threads=4, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=500)
@@ -189,22 +189,45 @@ def uneven_table(spark):
     return hot.unionByName(dense).unionByName(far)
 
 
+def one_predicate_per_row(df, texts):
+    """Rows of each predicate, after checking that every row passes exactly one."""
+    tagged = df.select(*[F.coalesce(F.expr(t), F.lit(False)).cast("int").alias(f"p{i}") for i, t in enumerate(texts)])
+    assert tagged.filter(sum(F.col(c) for c in tagged.columns) != 1).count() == 0
+    return list(tagged.select(*[F.sum(c) for c in tagged.columns]).first())
+
+
+def boundaries_of(spark, df, entry, step):
+    """The MySQL boundary query is valid Spark SQL: ask it of the table itself."""
+    df.createOrReplaceTempView(entry["table"])
+    found = spark.sql(boundaries_text(entry, MYSQL, step).replace("`ns`.", "")).orderBy("r").collect()
+    return [(r["k"], r["copies"]) for r in found]
+
+
 def test_uneven_keys_are_read_in_even_intervals(spark):
     df = uneven_table(spark)
     rows = [(M, "ns", "uneven", "k", "k2", "numeric", 12_002, -3, 10**15, 0)]
     entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), CFG).first()
     assert entry["strategy"] == "range_batches" and is_uneven(entry)
-    df.createOrReplaceTempView("uneven")
-    text = boundaries_text(entry, MYSQL, 500).replace("`ns`.", "")
-    keys = [r["k"] for r in spark.sql(text).collect()]
-    assert len(keys) == 25
-    texts = [r["predicate"] for r in predicates(interval_frame(spark, entry, balanced_intervals(keys, 4)), MYSQL).collect()]
-    tests = [F.expr(t).cast("int").alias(f"p{i}") for i, t in enumerate(texts)]
-    tagged = df.select(*tests)
-    sizes = tagged.select(*[F.sum(c).alias(c) for c in tagged.columns]).first()
-    assert sum(sizes) == df.count()
-    assert tagged.filter(sum(F.col(c) for c in tagged.columns) != 1).count() == 0
-    assert max(sizes) <= 1_100  # equal key widths would put all but one row into one reader
+    boundaries = boundaries_of(spark, df, entry, 500)
+    assert sum(copies for _, copies in boundaries) == 25 and (77, 8) in boundaries
+    sizes = one_predicate_per_row(df, balanced_predicates(boundaries, entry, MYSQL))
+    assert sum(sizes) == df.count() and max(sizes) <= 1_100  # equal widths would put nearly all in one reader
+    late = spark.createDataFrame([(None, "n"), (-(10**9), "early"), (10**18, "late"), (77, "h-new")], "k bigint, k2 string")
+    one_predicate_per_row(late, balanced_predicates(boundaries, entry, MYSQL))
+
+
+def test_text_keys_are_read_in_even_intervals(spark):
+    customers = spark.read.parquet("/root/testdata/sf0.01/customer.parquet").select(F.col("c_name").alias("k"), F.lit("x").alias("k2"))
+    hot = spark.range(900).select(F.lit("Customer#000000700").alias("k"), F.concat(F.lit("h"), "id").alias("k2"))
+    df = customers.unionByName(hot)
+    rows = [(M, "ns", "named", "k", "k2", "text", 2_400, 0, 0, 0)]
+    entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), CFG).first()
+    boundaries = boundaries_of(spark, df, entry, 200)
+    texts = balanced_predicates(boundaries, entry, MYSQL)
+    sizes = one_predicate_per_row(df, texts)
+    assert sum(sizes) == 2_400 and max(sizes) <= 450
+    assert texts[0].startswith("(`k` < 'Customer#") and texts[0].endswith("OR `k` IS NULL)")
+    assert texts[-1].startswith("`k` >= 'Customer#")
 
 
 def test_even_keys_need_no_boundaries(spark):
@@ -213,18 +236,17 @@ def test_even_keys_need_no_boundaries(spark):
 
 
 @pytest.mark.parametrize(
-    "keys", [[5], [5, 5, 5], [1, 1, 2, 2, 3], [1, 5, 9], [1, 5, 5, 5, 6, 6, 20], [-4, -4, 0, 0, 0]],
+    "boundaries",
+    [[(5, 1)], [(5, 3)], [(1, 2), (2, 2), (3, 1)], [(1, 1), (5, 1), (9, 1)], [(1, 1), (5, 3), (6, 2), (20, 1)], [(-4, 2), (0, 3)]],
 )
-def test_balanced_intervals_cover(keys):
-    intervals = balanced_intervals(sorted(keys), 4)
-    universe = range(min(keys) - 3, max(keys) + 4)
-    for key in universe:
-        for salt_source in range(12):
-            taken = 0
-            for _, _, lo, hi, open_low, open_high, salt, salts in intervals:
-                inside = (open_low or key >= lo) and (open_high or key <= hi)
-                taken += inside and salt_source % salts == salt
-            assert taken == 1, (key, intervals)
+@pytest.mark.parametrize("salt", [None, "k2"])
+def test_balanced_predicates_cover(spark, boundaries, salt):
+    entry = Row(key_column="k", salt_column=salt)
+    keys = [None, *range(boundaries[0][0] - 3, boundaries[-1][0] + 4)]
+    df = spark.createDataFrame([(k, f"s{i}") for k in keys for i in range(6)], "k bigint, k2 string")
+    texts = balanced_predicates(boundaries, entry, MYSQL)
+    one_predicate_per_row(df, texts)
+    assert len(texts) >= (sum(c for _, c in boundaries) if salt else len(boundaries))
 
 
 # --- functions ------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from checks.tables import CFG, NS, ROWS_PER_PAGE, SINGLE_SHOT, plan_entry, source, table
+from checks.tables import NS, ROWS_PER_PAGE, SINGLE_SHOT, plan_entry, source, table
 from snaplake.functions.expressions import hash_bucket
 from snaplake.functions.filters import to_column
 from snaplake.plans.slices import slice_number
@@ -81,6 +81,21 @@ def scan_hash_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("bucket", hash_bucket(F.col("url"), 4))
 
 
+PURCHASES = {
+    "logic": "and",
+    "conditions": [
+        {"field": "event_type", "op": "eq", "value": "purchase"},
+        {"field": "ts", "op": "gte", "value": "2024-01-10"},
+    ],
+    "groups": [],
+}
+
+
+@check("scan_filtered", "SELECT * FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-10'")
+def scan_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source(spark, sf_dir, "postgresql").scan_where(NS["postgresql"], "events", PURCHASES)
+
+
 def _filtered(name: str, of: str, group: dict, sql: str) -> None:
     @check(name, sql)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from snaplake.functions.expressions import hash_bucket
+from snaplake.functions.expressions import WIDE, hash_bucket
 from snaplake.plans.catalog import TABLE_ID
 from snaplake.plans.load_plan import BATCHED, plan_frame
 from snaplake.plans.slices import plan_slices, slice_high, slice_low, slice_number
@@ -30,11 +30,13 @@ def slice_coverage(source: Source, entry: Row, page: Column | None = None) -> Da
             rows, lo, hi = rows.select(page.alias("k")), F.lit(0).cast("bigint"), F.lit(entry["pages"] - 1).cast("bigint")
         else:
             rows = rows.select(F.col(f"`{entry['key_column']}`").cast("bigint").alias("k"))
-        k, number = F.col("k"), slice_number(F.col("k"), lo, hi, width)
+        # Integers do unless the keys reach the edge of 64 bits.
+        exact = "bigint" if max(abs(entry["lo"]), abs(entry["hi"])) < 2**61 else WIDE
+        k, number = F.col("k"), slice_number(F.col("k"), lo, hi, width, exact)
 
         def takes(i: Column) -> Column:
-            above = (i == 0) | (k >= slice_low(lo, width, i))
-            below = (i == n - 1) | (k <= slice_high(lo, hi, width, i))
+            above = (i == 0) | (k >= slice_low(lo, width, i, exact))
+            below = (i == n - 1) | (k <= slice_high(lo, hi, width, i, exact))
             return ((i >= 0) & (i < n) & above & below).cast("int")
 
         claims = takes(number - 1) + takes(number) + takes(number + 1)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
-from snaplake.functions.filters import to_column
 from snaplake.plans.load_plan import BATCHED
 from snaplake.sinks.base import Sink, Target
 from snaplake.sources.base import Source
@@ -195,9 +194,8 @@ def load_filtered(
     if run and run.cancelled:
         raise RuntimeError("the run was cancelled before the load started")
     with run.jobs("small", f"load {ns}.{table} filtered") if run else nullcontext():
-        df = source.read(entry) if entry is not None else source.scan(ns, table)
         where = target or target_of(source, ns, table)
-        rows = sink.replace(df.filter(to_column(group, df.schema)), where)
+        rows = sink.replace(source.scan_where(ns, table, group, entry=entry), where)
         if not (run and run.cancelled):
             compact_table(sink, where)
     return rows

@@ -33,21 +33,24 @@ def _numbers(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), n - F.lit(1)))
 
 
-def slice_low(lo: Column, width: Column, number: Column) -> Column:
+# Key arithmetic is done in decimals, or in the integers of ``exact`` where the caller knows they suffice.
+
+
+def slice_low(lo: Column, width: Column, number: Column, exact: str = WIDE) -> Column:
     """First key of slice ``number`` when slices of ``width`` keys start at ``lo``."""
-    return (lo.cast(WIDE) + number.cast(WIDE) * width.cast(WIDE)).cast("bigint")
+    return (lo.cast(exact) + number.cast(exact) * width.cast(exact)).cast("bigint")
 
 
-def slice_high(lo: Column, hi: Column, width: Column, number: Column) -> Column:
+def slice_high(lo: Column, hi: Column, width: Column, number: Column, exact: str = WIDE) -> Column:
     """Last key of slice ``number``; never past ``hi``."""
-    last = lo.cast(WIDE) + (number.cast(WIDE) + F.lit(1)) * width.cast(WIDE) - F.lit(1)
-    return F.least(hi.cast(WIDE), last).cast("bigint")
+    last = lo.cast(exact) + (number.cast(exact) + F.lit(1)) * width.cast(exact) - F.lit(1)
+    return F.least(hi.cast(exact), last).cast("bigint")
 
 
-def slice_number(key: Column, lo: Column, hi: Column, width: Column) -> Column:
+def slice_number(key: Column, lo: Column, hi: Column, width: Column, exact: str = WIDE) -> Column:
     """The slice a key falls in; keys beyond the bounds belong to the outer slices."""
     inside = F.least(F.greatest(key, lo), hi)
-    return F.call_function("div", inside.cast(WIDE) - lo.cast(WIDE), width.cast(WIDE))
+    return F.call_function("div", inside.cast(exact) - lo.cast(exact), width.cast(exact))
 
 
 def plan_slices(plan: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from typing import Protocol, TypeVar
+from typing import Any, Protocol, TypeVar
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -41,6 +41,9 @@ class Source(Protocol):
     def scan(self, ns: str, table: str) -> DataFrame:
         """The whole table."""
 
+    def scan_where(self, ns: str, table: str, group: Mapping[str, Any], *, entry: Row | None = None) -> DataFrame:
+        """The rows that pass a filter; in parallel where a plan entry is given and the source needs one."""
+
     def read(self, entry: Row) -> DataFrame:
         """The whole table, in parallel, the way its plan entry says."""
 

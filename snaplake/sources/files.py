@@ -7,6 +7,7 @@ import functools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import hash_bucket
+from snaplake.functions.filters import to_column
 from snaplake.plans.load_plan import plan_frame
 from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
@@ -70,6 +72,11 @@ class FileSource:
     def read(self, entry: Row) -> DataFrame:
         return self.scan(entry["ns"], entry["table"])
 
+    def scan_where(self, ns: str, table: str, group: Mapping[str, Any], *, entry: Row | None = None) -> DataFrame:
+        """Rows that pass a filter, which Spark pushes into the file scan."""
+        df = self.scan(ns, table)
+        return df.filter(to_column(group, df.schema))
+
     def page(self) -> Column:
         """Page number of a row within its file."""
         return F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))

@@ -15,7 +15,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     Only a local session without that setting gets a temporary folder of this machine.
     """
-    base = spark.conf.get(SHARED_DIR_KEY, None)
+    base = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SHARED_DIR_KEY} to a folder every executor can reach")

@@ -146,8 +146,8 @@ def key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = _columns(spark, sf_dir)
     relations = _relations(columns)
     constraints = columns.select(*TABLE_ID, "constraint_name", "constraint_type").distinct()
-    keys = discover_keys(relations, constraints, columns.select(*TABLE_ID, "constraint_name", "column", "ordinal"),
-                         columns.select(*TABLE_ID, "column", "data_type"))
+    usage = columns.select(*TABLE_ID, "constraint_name", "column", "ordinal")
+    keys = discover_keys(relations, constraints, usage, columns.select(*TABLE_ID, "column", "data_type"))
     sized = keys.join(relations.select(*TABLE_ID, "rows"), TABLE_ID, "left")
     return assign_page_keys(sized).select(*TABLE_ID, "key_column", "salt_column", "key_kind")
 

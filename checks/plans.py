@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.registry import check
-from checks.tables import CFG, SINGLE_SHOT, full_plan, plan_entries, plan_entry, plan_sql, source, sources
+from checks.tables import CFG, SINGLE_SHOT, full_plan, plan_entries, plan_sql, sources
 from snaplake.operators.coverage import slice_coverage
 from snaplake.plans.catalog import TABLE_ID, assign_page_keys, discover_keys, list_tables
 from snaplake.plans.load_plan import compaction_targets as batched_tables
@@ -85,6 +85,6 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [
         slice_coverage(mysql, keyed["orders"]),
         slice_coverage(mysql, keyed["customer"]),
-        slice_coverage(postgresql, plan_entry(postgresql, "lineitem"), postgresql.page()),
+        slice_coverage(postgresql, plan_entries(postgresql)["lineitem"], postgresql.page()),
     ]
     return functools.reduce(DataFrame.unionByName, found)

@@ -38,8 +38,10 @@ class TableLoad:
     error: str | None = None
 
 
-# What ``setJobGroup`` sets on a thread.
-JOB_GROUP_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+# What a run sets on a thread: its pool and its job group.
+RUN_PROPERTIES = (
+    "spark.scheduler.pool", "spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
+)
 
 
 class LoadFailed(RuntimeError):
@@ -75,13 +77,14 @@ class Run:
     def jobs(self, pool: str, description: str) -> Iterator[None]:
         """The calling thread's jobs belong to this run and to a scheduler pool, for the time being."""
         context = self.spark.sparkContext
+        before = {name: context.getLocalProperty(name) for name in RUN_PROPERTIES}
         context.setLocalProperty("spark.scheduler.pool", pool)
         context.setJobGroup(self.run_id, description, interruptOnCancel=True)
         try:
             yield
         finally:
-            for name in ("spark.scheduler.pool", *JOB_GROUP_PROPERTIES):
-                context.setLocalProperty(name, None)
+            for name, value in before.items():
+                context.setLocalProperty(name, value)
 
 
 def target_of(source: Source, ns: str, table: str) -> Target:

@@ -128,7 +128,10 @@ def test_malformed_filters_are_refused(group):
 
 @pytest.mark.parametrize(
     "field, value",
-    [("missing", 1), ("i", "abc"), ("t", "yesterday"), ("s", 5), ("t", 5), ("b", "maybe"), ("day", "2024-13-01"), ("i", dt.date(2024, 1, 1))],
+    [
+        ("missing", 1), ("i", "abc"), ("t", "yesterday"), ("s", 5), ("t", 5), ("b", "maybe"), ("day", "2024-13-01"),
+        ("i", dt.date(2024, 1, 1)),
+    ],
 )
 def test_misfits_are_refused_before_a_job(df, field, value):
     with pytest.raises(ValueError):

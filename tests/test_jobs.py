@@ -126,7 +126,12 @@ def test_lanes_have_their_own_pools(spark, mysql, plan, sink):
             pools[entry["table"]] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
             return mysql.read(entry)
 
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", "the caller's")
     load_all(spark, Watching(), sink, plan, CFG)
+    with Run(spark).jobs("small", "something"):
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "small"
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "the caller's"
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     large = {e["table"]: e["large"] for e in plan.collect()}
     assert pools == {t: "large" if is_large else "small" for t, is_large in large.items()}
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

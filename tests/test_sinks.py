@@ -47,7 +47,7 @@ def test_append_matches_columns_by_name(spark, sink):
 
 def test_a_failed_replace_leaves_the_old_rows(spark, sink):
     sink.replace(spark.range(10), T)
-    broken = spark.range(10).withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id")))
+    broken = spark.range(10).selectExpr("CASE WHEN id = 7 THEN CAST(raise_error('boom') AS bigint) ELSE id END AS id")
     with pytest.raises(Exception, match="boom"):
         sink.replace(broken, T)
     assert sink.read(T).count() == 10

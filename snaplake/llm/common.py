@@ -92,13 +92,13 @@ def hash_pieces(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64) * _U(0xD1B54A32D192ED03))
 
 
-def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, first bytes, end bytes, first word of each text and the total) of the words of a block.
 
-    A word is a run of bytes other than 0x20 and 0x09 to 0x0D; ``lower`` puts A-Z in lower case.
+    A word is a run of bytes other than 0x20 and 0x09 to 0x0D, or those of ``space``; ``lower`` puts A-Z in lower case.
     """
     folded = _LOWER[data] if lower else data
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     cut = np.ones(len(data) + 1, bool)
     cut[1:-1] = ~solid[1:] | ~solid[:-1]
     cut[bounds] = True

@@ -23,10 +23,9 @@ class Trees:
         out, row = np.full(len(x), self.base), np.arange(len(x))
         for features, cuts, leaves in zip(self.features, self.cuts, self.leaves):
             node = np.zeros(len(x), np.int64)
-            while node.max(initial=len(features)) < len(features):
+            for _ in range(len(leaves).bit_length() - 1):
                 node = 2 * node + 1 + (x[row, features[node]] > cuts[node])
-            if len(x):
-                out += leaves[node - len(features)]
+            out += leaves[node - len(features)]
         return out
 
 

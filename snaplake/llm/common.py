@@ -11,10 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snaplake.workspace import shared_dir
 
 BLOCK_BYTES = 1 << 21
+#: Rows up to which a table of ids, or of ids and a few numbers, is sent to every executor: some tens of megabytes.
+BROADCAST_ROWS = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -36,6 +39,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def small_enough(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if it is counted to be small; else the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def offsets_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and where each text begins and the last one ends. Null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import huffman, near_dedup, packing
+from snaplake.llm import decontaminate, huffman, licenses, near_dedup, packing, passages, quality, token_counts, toxicity, vector_join
 from snaplake.llm.common import table
 from snaplake.workspace import shared_dir
 
@@ -21,6 +21,29 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.fit(docs, quality.ratings(table(spark, sf_dir, "labels"))))
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = [512, 1024, 2048, 4096, 8192, 32768, 131072]
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.length_histogram(docs, public_tokenizers.path("byte_bpe_50k.json"), group="lang", limits=limits)
+
+
+@query
+def op3_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.vector_links(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "llm", "token-ids")
@@ -34,6 +57,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents")).drop("b0", "b1")
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)

@@ -3,7 +3,8 @@
 The lexicon is learned: words, and beginnings of words for languages that inflect, that toxic documents of the training
 rows have far more often than others. A text's features are the densities of its lexicon words, how many of them stand
 near a word of the second person, and rates of capitals, punctuation and obfuscation. Training rows are parted by
-their ids, so that the lexicon, the trees and the calibration each learn from rows that the one before hasn't seen.
+their ids, so that the trees learn from features that a lexicon of other rows makes, and the calibration from rows that
+the trees haven't seen.
 """
 
 from __future__ import annotations
@@ -184,16 +185,19 @@ def learn_lexicon(sample: DataFrame, most: int = LEXICON_ROWS, least: int = 3, r
 
 def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, label: str = "toxic") -> Model:
     """Learns from at most ``training_rows`` labelled documents outside the held-out fold; of each, the driver gets a
-    row of features. Half of them make the lexicon, a quarter the trees and a quarter the calibration; with fewer than
-    200 documents for the trees, those of the lexicon help, and with fewer than 200 for the calibration, all do."""
+    row of features. Features for fitting come from a lexicon that the other half of the documents made, so that trees
+    don't trust a lexicon that knows their rows; the model's own lexicon is of all. Three quarters fit the trees and
+    one quarter the calibration; with fewer than 200 of these, all do both."""
     sample = stored(labelled_sample(docs, labels, (F.col(label) > 0).cast("int"), training_rows), "toxicity-sample")
-    lexicon = learn_lexicon(sample.filter("part < 2"))
+    halves = [learn_lexicon(sample.filter(F.col("part") % 2 == k)) for k in (0, 1)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            part = batch.column(3).to_numpy()
             for row, data, bounds in blocks(batch.column(0)):
-                x = lexicon.features(data, bounds)
-                n = len(x)
+                even, odd = (h.features(data, bounds) for h in halves)
+                n = len(even)
+                x = np.where((part[row : row + n] % 2 == 0)[:, None], odd, even)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).slice(row, n), batch.column(2).slice(row, n), batch.column(3).slice(row, n), pa.array([r.tobytes() for r in x])],
                     names=["doc_id", "label", "part", "x"],
@@ -202,12 +206,12 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
     got = sample.select("text", "doc_id", "label", "part").mapInArrow(rows, "doc_id long, label int, part int, x binary").toPandas()
     got = got.sort_values(["doc_id", "label", "x"])
     x = np.frombuffer(b"".join(map(bytes, got["x"])), np.float64).reshape(-1, len(FEATURES))
-    y, part = got["label"].to_numpy(float), got["part"].to_numpy()
-    enough = lambda m: m.sum() >= 200 and 0 < y[m].sum() < m.sum()
-    grow = part == 2 if enough(part == 2) else part < 3
-    trees = fit_trees(x[grow], y[grow])
-    steps = part == 3 if enough(part == 3) else np.ones(len(y), bool)
-    return Model(lexicon, trees, *fit_isotonic(trees.margin(x[steps]), y[steps]))
+    y, steps = got["label"].to_numpy(float), got["part"].to_numpy() == 3
+    if steps.sum() < 200 or y[steps].min() == y[steps].max():
+        trees, steps = fit_trees(x, y), np.ones(len(y), bool)
+    else:
+        trees = fit_trees(x[~steps], y[~steps])
+    return Model(learn_lexicon(sample), trees, *fit_isotonic(trees.margin(x[steps]), y[steps]))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,12 +27,13 @@ SLACK = 1e-6  # of distances, far above what rounding makes
 
 
 def _rows(column: pa.Array) -> np.ndarray:
-    """A matrix of the vectors of a list column, which are of one length."""
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    """A matrix of the vectors of a list column, which are of one length and not zero; each is multiplied by the power
+    of two that brings it near 1, so that no product overflows."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -90,7 +91,7 @@ def vector_links(
     n = min(pivots, -(-classes.count() // per_pivot))
     chosen: dict[int, np.ndarray] = {}
     for r in classes.select("v", "dim", "node").orderBy(F.xxhash64("node", F.lit(17)), "node").limit(n).collect():
-        chosen[r["dim"]] = np.vstack([chosen.get(r["dim"], np.zeros((0, r["dim"]))), _unit(np.array([r["v"]], np.float64))])
+        chosen[r["dim"]] = np.vstack([chosen.get(r["dim"], np.zeros((0, r["dim"]))), _unit(_rows(pa.array([r["v"]])))])
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,8 +8,10 @@ concentrated around it as it is for ``t`` independent hashes, at the cost of one
 
 Documents with equal sets are one class. Bands of places deal the classes' first documents into buckets. In a bucket
 every class is compared with the bucket's first one, so that a group of thousands of near copies makes a link for each
-instead of a pair for each two. Then, where a bucket still holds classes that no links connect, those of different
-components are compared as well; pairs within a component can't change it. Links are verified on the full sets.
+instead of a pair for each two. Classes of a bucket that no links connect then are dealt into buckets once more, by many
+bands of more places, which sets a little under the threshold seldom share. There they are compared with the bucket's
+first one too, and at last those of different components with each other; pairs within a component can't change it.
+Links are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from snaplake.llm.common import blocks, int64, lists, mix, shingle_set, small_en
 from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
+FINE_PLACES, FINE_BANDS = 1024, 512
 _U = np.uint64
 
 
@@ -100,57 +103,92 @@ def near_duplicates(
     """For each document: doc_id, n_shingles, component_id (the smallest id that it reaches by links), kept.
 
     Two documents are linked if 100 times the number of common shingles is at least ``percent`` times that of all
-    theirs. A pair at 0.85 is missed by all 25 bands of 5 rows with a probability below 10^-6. Documents without
-    words are linked with nothing, like rows without an id, whose component is null and which are kept. Rows of
-    one id are one document: what one of them is linked with, all are. Other columns are left out.
+    theirs. A pair at 0.85 is missed by all 25 bands of 5 rows with a probability below 10^-6, by the finer bands below
+    10^-5. Documents without words are linked with nothing, like rows without an id, whose component is null and which
+    are kept. Rows of one id are one document: what one of them is linked with, all are. Other columns are left out.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketched = stored(base.mapInArrow(_sketches(bands, rows, width), "doc_id long, n_shingles long, digest binary, keys array<long>"), "sketches")
     known = sketched.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "classes")
+    placed = stored(known.join(classes.select("digest", "node"), "digest").select("doc_id", "n_shingles", "node"), "placed")
 
-    keys = classes.select("node", F.explode("keys").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = stored(keys.join(buckets, "key"), "members")
-    stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-
+    members = _members(classes)
     candidates = stored(members.select(F.col("node").alias("doc_id")).distinct(), "candidates")
-    # A class has one set: of rows that share an id, each class brings its own.
     sets = stored(
         base.join(small_enough(candidates), "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>").filter(F.size("shingles") > 0),
         "sets",
     )
-
+    stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(verified(stars, sets, percent), "links")
-    twins = known.join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    found = components(links)
-
-    # Buckets that hold more than one component yet.
-    placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    groups = placed.select("key", "component").distinct()
-    apart = groups.join(groups.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "key")
-    two = apart.select("key", F.col("component").alias("c")).join(apart.select("key", F.col("component").alias("d")), "key").filter("c < d")
+    found = stored(components(links), "found")
+
+    # What is not connected in a bucket is dealt anew by finer bands, which far fewer unlike sets share.
+    apart = stored(_apart(members, found).select("node").distinct(), "apart")
+    again = sets.join(small_enough(apart.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
+    members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>"))
+    ends = _component_of(members.withColumnRenamed("node", "b").withColumnRenamed("hub", "node"), found, "x").withColumnRenamed("node", "a")
+    ends = _component_of(ends.withColumnRenamed("b", "node"), found, "y").withColumnRenamed("node", "b")
+    more = stored(verified(ends.filter("x <> y").select("a", "b").distinct(), sets, percent), "links")
+    found = stored(components(links.unionByName(more)), "found")
+
+    two = _apart(members, found)
+    groups = two.select("key", "component").distinct()
+    met = groups.select("key", F.col("component").alias("c")).join(groups.select("key", F.col("component").alias("d")), "key").filter("c < d")
     rest = (
-        two.join(placed.select("key", F.col("component").alias("c"), F.col("node").alias("a")), ["key", "c"])
-        .join(placed.select("key", F.col("component").alias("d"), F.col("node").alias("b")), ["key", "d"])
+        met.join(two.select("key", F.col("component").alias("c"), F.col("node").alias("a")), ["key", "c"])
+        .join(two.select("key", F.col("component").alias("d"), F.col("node").alias("b")), ["key", "d"])
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    every = found_links(links, verified(rest, sets, percent), twins)
-    final = components(every)
-    return (
-        sketched.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    # Rows of one id whose texts are of several classes.
+    ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
+    same = placed.join(ids, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    final = components(links.unionByName(more).unionByName(verified(rest, sets, percent)).unionByName(same))
+    linked = _component_of(placed, final, "component_id").select("doc_id", "n_shingles", "component_id")
+    alone = sketched.filter(F.col("digest").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _members(keyed: DataFrame) -> DataFrame:
+    """(key, node, hub) of the buckets that several nodes share; the hub is the first of them."""
+    keys = keyed.select("node", F.explode("keys").alias("key"))
+    buckets = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return stored(keys.join(buckets, "key"), "members")
 
 
-def found_links(*links: DataFrame) -> DataFrame:
-    out = links[0].select("a", "b")
-    for more in links[1:]:
-        out = out.unionByName(more.select("a", "b"))
-    return out
+def _component_of(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with the component of ``node``, itself where no link has it."""
+    return nodes.join(found, "node", "left").withColumn(name, F.coalesce("component", "node")).drop("component")
+
+
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, component) of the buckets that hold several components."""
+    placed = _component_of(members.select("key", "node"), found, "of").withColumnRenamed("of", "component")
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    return placed.join(several, "key")
+
+
+def fine_rows(percent: int) -> int:
+    """The most places a fine band can have if a pair at the threshold is to share 14 of the bands on average."""
+    share = min(percent / 100, 0.98)
+    return max(1, int(np.log(14 / FINE_BANDS) / np.log(share)))
+
+
+def _fine_keys(rows: int):
+    """(node, keys) of (doc_id, shingles): bands of ``rows`` places each, drawn from a longer sketch."""
+    drawn = np.argsort(stream(FINE_BANDS * FINE_PLACES, 12).reshape(FINE_BANDS, FINE_PLACES), axis=1)[:, :rows]
+    factors, tags = stream(rows, 13) | _U(1), stream(FINE_BANDS, 14)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(1).offsets.to_numpy()
+            values = batch.column(1).values.to_numpy().view(np.uint64)
+            keys = [mix((mix(sketch(values[x:y], FINE_PLACES))[drawn] * factors).sum(1) + tags) for x, y in zip(at[:-1], at[1:])]
+            flat = np.concatenate(keys) if keys else np.zeros(0, _U)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists(int64(flat), np.full(len(keys), FINE_BANDS))], names=["node", "keys"])
+
+    return run
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

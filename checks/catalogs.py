@@ -127,16 +127,15 @@ rels AS (SELECT source, ns, "table", max(size) - 40 AS "rows", greatest(min(size
     "key_discovery",
     f"""WITH {_COLUMNS_SQL},
     firsts AS (SELECT source, ns, "table", arg_min("column", ordinal) AS first_key,
-      arg_max("column", ordinal) AS last_key,
+      list("column" ORDER BY ordinal) AS all_keys,
       arg_min("column", ordinal) FILTER (WHERE CASE source
         WHEN 'mysql' THEN data_type IN ('tinyint', 'smallint', 'mediumint', 'int', 'bigint')
         ELSE data_type IN ('smallint', 'integer', 'bigint') END) AS numeric_key
       FROM cols WHERE constraint_type = 'PRIMARY KEY' GROUP BY 1, 2, 3)
     SELECT r.source, r.ns, r."table",
       coalesce(numeric_key, CASE r.source WHEN 'mysql' THEN first_key END) AS key_column,
-      CASE WHEN last_key <> coalesce(numeric_key, CASE r.source WHEN 'mysql' THEN first_key END) THEN last_key
-           WHEN first_key <> coalesce(numeric_key, CASE r.source WHEN 'mysql' THEN first_key END) THEN first_key
-        END AS salt_column,
+      nullif(array_to_string(list_filter(all_keys,
+        lambda c: c <> coalesce(numeric_key, CASE r.source WHEN 'mysql' THEN first_key END)), chr(31)), '') AS salt_column,
       CASE WHEN numeric_key IS NOT NULL THEN 'numeric'
            WHEN r.source = 'mysql' AND first_key IS NOT NULL THEN 'text'
            WHEN r.source = 'postgresql' AND r."rows" > 0 THEN 'page' ELSE 'none' END AS key_kind

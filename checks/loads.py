@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,9 @@ from checks.registry import check
 from checks.tables import CFG, NS, counts_sql, new_sink, plan_entry, plan_sql, source, sources
 from snaplake import FileSource, FileTable, POSTGRESQL
 from snaplake.frames import local_frame
-from snaplake.operators.load import load_all, load_filtered, load_table, results_frame, target_of
-from snaplake.operators.snapshot import plan_source
+from snaplake.operators.ledger import RunLedger
+from snaplake.operators.load import load_all, load_filtered, load_table, target_of
+from snaplake.operators.snapshot import plan_source, snapshot
 
 
 @check("sink_replace", "SELECT * FROM customer")
@@ -39,7 +39,7 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key range by key range: the first replaces, the others append."""
     src, sink = source(spark, sf_dir, "mysql", slice_by="plan"), new_sink(spark)
-    entry = plan_entry(src, "orders", dataclasses.replace(CFG, max_slices=4))
+    entry = plan_entry(src, "orders")
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["mysql"], "orders"))
 
@@ -47,7 +47,7 @@ def load_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("load_hash_batched", "SELECT * FROM customer")
 def load_hash_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink = source(spark, sf_dir, "mysql", slice_by="plan"), new_sink(spark)
-    entry = plan_entry(src, "customer", dataclasses.replace(CFG, max_slices=3))
+    entry = plan_entry(src, "customer")
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["mysql"], "customer"))
 
@@ -55,7 +55,7 @@ def load_hash_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("load_page_batched", "SELECT * FROM lineitem")
 def load_page_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink = source(spark, sf_dir, "postgresql", slice_by="plan"), new_sink(spark)
-    entry = plan_entry(src, "lineitem", dataclasses.replace(CFG, max_slices=4))
+    entry = plan_entry(src, "lineitem")
     load_table(src, sink, entry, publish="incremental")
     return sink.read(target_of(src, NS["postgresql"], "lineitem"))
 
@@ -68,7 +68,7 @@ def load_file_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged.replace(given.scan(NS["postgresql"], "events").repartition(8), target)
     key = (NS["postgresql"], "events")
     src = FileSource(spark, POSTGRESQL, {key: FileTable(staged.location(target), ("user_id", "event_id"))}, rows_per_page=1_000)
-    load_table(src, sink, plan_entry(src, "events", dataclasses.replace(CFG, max_slices=3)), publish="incremental")
+    load_table(src, sink, plan_entry(src, "events"), publish="incremental")
     return sink.read(target)
 
 
@@ -126,28 +126,51 @@ def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
+class FailsOnce:
+    """A source whose first read of one table fails."""
+
+    def __init__(self, inner: FileSource, table: str):
+        self.inner, self.table = inner, table
+
+    def __getattr__(self, name: str):
+        return getattr(self.inner, name)
+
+    def waves(self, entry, group=None):
+        if entry["table"] == self.table:
+            self.table = None
+            raise OSError("the connection was lost")
+        return self.inner.waves(entry, group)
+
+
 @check(
     "load_results",
-    plan_sql(CFG) + """SELECT source, ns, "table", strategy, "rows", 'success' AS status, 1 AS attempts FROM plan""",
+    plan_sql(CFG) + """SELECT source, ns, "table", strategy, "rows", 'success' AS status,
+    CASE WHEN "table" IN ('nation', 'part') THEN 2 ELSE 1 END AS attempts FROM plan""",
 )
 def load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = [
-        r for src in sources(spark, sf_dir)
-        for r in load_all(spark, src, new_sink(spark), plan_source(src, CFG), CFG)
-    ]
-    return results_frame(spark, results).drop("error")
+    """What the ledger keeps of two runs, in each of which a table had to be loaded again."""
+    found = []
+    for src in sources(spark, sf_dir):
+        sink = new_sink(spark)
+        ledger, failing = RunLedger(spark, sink), FailsOnce(src, "nation" if src.dialect.name == "mysql" else "part")
+        ledger.record_results("run", load_all(spark, failing, sink, plan_source(src, CFG), CFG), [])
+        found.append(ledger.table_results().drop("run_id", "error", "compaction_problem"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @check(
     "refresh_stats",
-    f"""SELECT "table", "rows" FROM ({counts_sql()}) WHERE source = 'postgresql'""",
+    f"""SELECT source, "table", "rows" FROM ({counts_sql()})""",
 )
 def refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts in the statistics of the landed tables."""
-    src, sink = source(spark, sf_dir, "postgresql"), new_sink(spark)
+    """Whole snapshots of both sources, then the row counts in the statistics of the landed tables."""
     counts = []
-    for r in load_all(spark, src, sink, plan_source(src, CFG), CFG):
-        target = target_of(src, r.ns, r.table)
-        sink.refresh_statistics(target)
-        counts.append((r.table, sink.statistics_rows(target)))
-    return local_frame(spark, counts, "table string, rows bigint")
+    for src in sources(spark, sf_dir):
+        sink = new_sink(spark)
+        done = snapshot(src, sink, CFG)
+        for r in done.results:
+            target = target_of(src, r.ns, r.table)
+            if (r.ns, r.table) not in done.refreshed:
+                sink.refresh_statistics(target)
+            counts.append((r.source, r.table, sink.statistics_rows(target)))
+    return local_frame(spark, counts, "source string, table string, rows bigint")

@@ -11,6 +11,7 @@ from checks.tables import CFG, SINGLE_SHOT, full_plan, plan_entries, plan_sql, s
 from snaplake.operators.coverage import slice_coverage
 from snaplake.plans.catalog import TABLE_ID, assign_page_keys, discover_keys, list_tables
 from snaplake.plans.load_plan import compaction_targets as batched_tables
+from snaplake.plans.load_plan import BATCHED
 from snaplake.plans.slices import plan_slices
 
 
@@ -76,15 +77,10 @@ _slices("page_slices", "page_batches", _EXPLODED.format(
 @check(
     "slice_coverage",
     plan_sql(CFG) + """SELECT source, ns, "table", strategy, batches AS slices, "rows",
-    0::BIGINT AS rows_in_none, 0::BIGINT AS rows_in_two FROM plan WHERE "table" IN ('orders', 'customer', 'lineitem')""",
+    0::BIGINT AS rows_in_none, 0::BIGINT AS rows_in_two FROM plan
+    WHERE strategy IN ('range_batches', 'hash_batches', 'page_batches')""",
 )
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the rows of a key-range, a hash and a page table, each at the slices its plan gives it."""
-    mysql, postgresql = sources(spark, sf_dir)
-    keyed = plan_entries(mysql)
-    found = [
-        slice_coverage(mysql, keyed["orders"]),
-        slice_coverage(mysql, keyed["customer"]),
-        slice_coverage(postgresql, plan_entries(postgresql)["lineitem"], postgresql.page()),
-    ]
+    """Over the rows of every table that is loaded in slices, each at the slices its plan gives it."""
+    found = [slice_coverage(src, e) for src in sources(spark, sf_dir) for e in plan_entries(src).values() if e["strategy"] in BATCHED]
     return functools.reduce(DataFrame.unionByName, found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from checks.registry import check
 from checks.tables import NS, ROWS_PER_PAGE, SINGLE_SHOT, plan_entry, source, table
 from snaplake.functions.expressions import hash_bucket
 from snaplake.functions.filters import to_column
-from snaplake.plans.slices import slice_number
+from snaplake import FileSource, FileTable, POSTGRESQL
+from snaplake.plans.load_plan import plan_frame
+from snaplake.plans.slices import in_page_slice, plan_slices, reader_intervals
+from snaplake.workspace import shared_dir
 
 
 @check("scan_full", "SELECT * FROM nation")
@@ -29,10 +34,15 @@ def scan_pk_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = source(spark, sf_dir, "mysql")
     entry = plan_entry(src, "orders", SINGLE_SHOT)
     quarter = (entry["hi"] - entry["lo"]) // 4
-    lo, hi = entry["lo"] + quarter, entry["hi"] - quarter
-    width = F.lit((hi - lo + 1 + 3) // 4)
-    part = slice_number(F.col("o_orderkey"), F.lit(lo), F.lit(hi), width)
-    return src.read(entry).withColumn("part_no", part)
+    middle = Row(**(entry.asDict() | {"lo": entry["lo"] + quarter, "hi": entry["hi"] - quarter}))
+    return _by_reader(spark, src, middle)
+
+
+def _by_reader(spark: SparkSession, src: FileSource, entry: Row) -> DataFrame:
+    """The table as the readers of its slices read it, one after the other, with the reader's number."""
+    readers = reader_intervals(plan_slices(plan_frame(spark, [entry]))).orderBy("slice_no", "part_no").collect()
+    frames = [src.read_slice(entry, r).withColumn("part_no", F.lit(r["part_no"]).cast("bigint")) for r in readers]
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
 @check(
@@ -51,8 +61,17 @@ def scan_pk_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("scan_page_parallel", "SELECT * FROM lineitem")
 def scan_page_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = source(spark, sf_dir, "postgresql")
-    return src.read(plan_entry(src, "lineitem", SINGLE_SHOT))
+    """Every row once, read by the readers of disjoint page intervals, of a table in several files."""
+    src = _in_files(spark, sf_dir)
+    return _by_reader(spark, src, plan_entry(src, "lineitem", SINGLE_SHOT)).drop("part_no")
+
+
+def _in_files(spark: SparkSession, sf_dir: str, files: int = 6) -> FileSource:
+    """``lineitem`` in several files of its own."""
+    staged = shared_dir(spark, "lineitem")
+    source(spark, sf_dir, "postgresql").scan(NS["postgresql"], "lineitem").repartition(files).write.parquet(staged)
+    tables = {(NS["postgresql"], "lineitem"): FileTable(staged)}
+    return FileSource(spark, POSTGRESQL, tables, rows_per_page=ROWS_PER_PAGE)
 
 
 @check(
@@ -62,10 +81,15 @@ def scan_page_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT page, least({ROWS_PER_PAGE}, n - page * {ROWS_PER_PAGE}) AS n_rows FROM pages""",
 )
 def scan_page_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every page of a table without a key."""
+    """Rows of every page of a table without a key, each page read as a slice of its own group of ten."""
     src = source(spark, sf_dir, "postgresql")
-    paged = src.scan(NS["postgresql"], "lineitem").select(src.page().alias("page"))
-    return paged.groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
+    entry = plan_entry(src, "lineitem")
+    last, found = entry["pages"] - 1, []
+    for lo in range(0, entry["pages"], 10):
+        piece = Row(unit="page", slice_no=lo, slices=1, lo=lo, hi=lo + 10, open_low=lo == 0, open_high=lo + 10 > last)
+        rows = src.paged(NS["postgresql"], "lineitem")
+        found.append(rows.filter(in_page_slice(F.col("page"), piece["lo"], piece["hi"], piece["open_high"])).select("page"))
+    return functools.reduce(DataFrame.unionByName, found).groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # CRC-32 (polynomial 0xEDB88320) over the bytes of the url, which DuckDB has no function for.

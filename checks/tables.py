@@ -121,11 +121,11 @@ chosen AS (SELECT *, CASE
   WHEN key_kind = 'numeric' AND hi > lo AND parts > 1 THEN 'key_partitioned'
   ELSE 'single' END AS strategy FROM sized),
 measured AS (SELECT *, CASE strategy WHEN 'range_batches' THEN hi - lo + 1 WHEN 'hash_batches' THEN "rows"
-  WHEN 'page_batches' THEN pages END AS extent,
-  CASE strategy WHEN 'page_batches'
-    THEN greatest(1, ceil({b} / greatest(1, ceil("rows" / pages)))::BIGINT) ELSE {b} END AS width FROM chosen),
-widened AS (SELECT *, CASE WHEN extent IS NOT NULL
-  THEN greatest(width, (extent + {cfg.max_slices - 1}) // {cfg.max_slices}) END AS slice_width FROM measured),
+  WHEN 'page_batches' THEN pages END AS extent FROM chosen),
+widened AS (SELECT *, CASE strategy
+  WHEN 'page_batches' THEN greatest(1, ceil({b} / greatest(1, ceil("rows" / pages)))::BIGINT)
+  WHEN 'hash_batches' THEN {b}
+  WHEN 'range_batches' THEN ceil(extent / greatest(1, ceil("rows" / {b})))::BIGINT END AS slice_width FROM measured),
 plan AS (SELECT source, ns, "table", key_column, salt_column, key_kind, "rows", lo, hi, pages, parts, large, strategy, slice_width,
   CASE WHEN extent IS NOT NULL THEN (extent + slice_width - 1) // slice_width ELSE 1 END AS batches FROM widened)
 """

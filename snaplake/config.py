@@ -16,13 +16,16 @@ DEFAULT_STATS_MAX_AGE_SECONDS = 86_400
 DEFAULT_FETCH_SIZE = 10_000
 DEFAULT_TARGET_FILE_BYTES = 268_435_456
 
+# Ours: open connections of one table, and rows of one file, so that a reader's rows don't become one huge file.
+DEFAULT_CONNECTIONS = 16
+DEFAULT_FILE_ROWS = 10_000_000
+
 
 @dataclass(frozen=True)
 class LoadConfig:
     """Tuning knobs of a load.
 
-    ``max_slices`` bounds the slices of one table: beyond it slices get wider, none is dropped. A table of
-    10^12 rows would otherwise need a million slices, and sparse 64-bit keys would need far more.
+    ``connections`` bounds the readers of one table that run at a time; their number follows from its rows.
     """
 
     num_threads: int = DEFAULT_NUM_THREADS
@@ -33,7 +36,8 @@ class LoadConfig:
     stats_max_age_seconds: int = DEFAULT_STATS_MAX_AGE_SECONDS
     fetch_size: int = DEFAULT_FETCH_SIZE
     target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES
-    max_slices: int = 10_000
+    connections: int = DEFAULT_CONNECTIONS
+    even_reads: bool = True
     single_shot: bool = False
 
     @classmethod
@@ -47,7 +51,7 @@ class LoadConfig:
     def __post_init__(self) -> None:
         for name in (
             "num_threads", "chunk_size", "large_table_threshold", "large_table_batch_size",
-            "large_table_workers", "fetch_size", "target_file_bytes", "max_slices",
+            "large_table_workers", "fetch_size", "target_file_bytes", "connections",
         ):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
@@ -55,8 +59,8 @@ class LoadConfig:
 
 def session_conf(
     *,
+    warehouse: str,
     catalog: str = "lakehouse",
-    warehouse: str = "s3a://lakehouse/iceberg-warehouse",
     endpoint: str | None = None,
     region: str = "us-east-1",
     ssl_enabled: bool = False,
@@ -82,7 +86,6 @@ def session_conf(
             "spark.hadoop.fs.s3a.endpoint.region": region,
             "spark.hadoop.fs.s3a.path.style.access": "true",
             "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl_enabled).lower(),
-            # Upload blocks are spooled to disk: a wide write must not hold them on the heap.
-            "spark.hadoop.fs.s3a.fast.upload.buffer": "disk",
+            "spark.hadoop.fs.s3a.fast.upload.buffer": "bytebuffer",
         }
     return conf

@@ -1,7 +1,8 @@
 """Snapshot jobs by request: start one in the background, look it up, cancel it.
 
-A request is a mapping with ``db_type, host, port, user, password`` and optionally ``pg_database`` and
-``single_shot``; a filtered one adds ``source_db, source_table`` and ``filter_group``.
+A request is a mapping with ``db_type, host, port, user, password`` and optionally ``pg_database``, ``single_shot``, and
+for the documents of a full run ``position`` (a mapping) and ``documents`` (a folder); a filtered one adds ``source_db,
+source_table`` and ``filter_group``.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from snaplake.config import LoadConfig
 from snaplake.functions.filters import validate_filter
 from snaplake.operators.ledger import PENDING, RunConflict, RunLedger
-from snaplake.operators.load import Run, load_filtered
-from snaplake.operators.snapshot import snapshot
+from snaplake.operators.load import LoadFailed, Run, load_filtered
+from snaplake.operators.snapshot import Snapshot, plan_source, snapshot
 from snaplake.sinks.base import Sink
 from snaplake.sources.base import Source
 from snaplake.sources.dialects import dialect_of
@@ -27,13 +28,14 @@ from snaplake.sources.jdbc import JdbcSource
 Request = Mapping[str, Any]
 
 
-def source_of(spark: SparkSession, request: Request) -> JdbcSource:
-    """The relational source a request names."""
+def source_of(spark: SparkSession, request: Request, cfg: LoadConfig = LoadConfig()) -> JdbcSource:
+    """The relational source a request names, with the settings that its readers take."""
     dialect = dialect_of(request["db_type"])
     database = request.get("pg_database", "postgres") if dialect.physical_pages else ""
     return JdbcSource(
         spark, dialect, request["host"], request["port"],
         user=request["user"], password=request["password"], database=database,
+        fetch_size=cfg.fetch_size, connections=cfg.connections, even_reads=cfg.even_reads,
     )
 
 
@@ -45,10 +47,11 @@ class Jobs:
         ledger: RunLedger,
         cfg: LoadConfig = LoadConfig(),
         *,
-        source: Callable[[SparkSession, Request], Source] = source_of,
+        source: Callable[[SparkSession, Request], Source] | None = None,
         max_jobs: int = 4,
     ):
-        self.spark, self.sink, self.ledger, self.cfg, self.source = spark, sink, ledger, cfg, source
+        self.spark, self.sink, self.ledger, self.cfg = spark, sink, ledger, cfg
+        self.source = source or (lambda session, request: source_of(session, request, cfg))
         self._pool = ThreadPoolExecutor(max_workers=max_jobs, thread_name_prefix="snaplake-job")
         self._own: dict[str, tuple[Run, Future, tuple[str, str]]] = {}
 
@@ -57,14 +60,32 @@ class Jobs:
         source = self.source(self.spark, request)
         cfg = dataclasses.replace(self.cfg, single_shot=bool(request.get("single_shot", False)))
         self._ensure_free(source.dialect.name, request["host"])
-        return self._start(request, source, lambda run: snapshot(source, self.sink, cfg, run=run))
+        position = Row(**request["position"]) if request.get("position") else None
+        documents = request.get("documents")
+
+        def work(run: Run) -> Snapshot:
+            try:
+                done = snapshot(source, self.sink, cfg, position=position, documents=documents, run=run)
+            except LoadFailed as problem:
+                self.ledger.record_results(run.run_id, problem.results, [])
+                raise
+            self.ledger.record_results(run.run_id, done.results, done.compacted)
+            return done
+
+        return self._start(request, source, work)
 
     def run_filtered(self, request: Request) -> str:
         """Start a filtered snapshot of one table and return its run id."""
         ns, table, group = (request[k] for k in ("source_db", "source_table", "filter_group"))
         validate_filter(group)
         source = self.source(self.spark, request)
-        return self._start(request, source, lambda run: load_filtered(source, self.sink, ns, table, group, run=run))
+
+        def work(run: Run) -> int:
+            with run.jobs("small", f"plan {ns}.{table}"):
+                entry = plan_source(source, self.cfg, (ns, table)).first()
+            return load_filtered(source, self.sink, ns, table, group, entry=entry, run=run)
+
+        return self._start(request, source, work)
 
     def _start(self, request: Request, source: Source, work: Callable[[Run], Any]) -> str:
         run, db_type, host = Run(self.spark), source.dialect.name, request["host"]
@@ -97,9 +118,9 @@ class Jobs:
     def cancel(self, run_id: str) -> None:
         """Cancel a running job of this driver, at once: however busy the cluster, no job is needed for it."""
         run, future, _ = self._own.get(run_id, (None, None, None))
-        if run is None or not future.running():
+        if run is None or future.done():
             raise ValueError(f"run {run_id} is not running here")
-        run.cancel()
+        run.cancel()  # one that waits for its turn will find that it is cancelled
 
     def wait(self, run_id: str, timeout: float | None = None) -> Any:
         """What the job returned, once it is done; raises what it raised."""

@@ -12,7 +12,7 @@ from snaplake.plans.slices import plan_slices, slice_high, slice_low, slice_numb
 from snaplake.sources.base import Source
 
 
-def slice_coverage(source: Source, entry: Row, page: Column | None = None) -> DataFrame:
+def slice_coverage(source: Source, entry: Row) -> DataFrame:
     """One row: slices, rows, rows that no slice takes and rows that two slices take.
 
     A row is tested against the slice its key points at and both neighbours, then rows are counted per slice
@@ -27,7 +27,7 @@ def slice_coverage(source: Source, entry: Row, page: Column | None = None) -> Da
         number, claims = F.col("k"), F.col("k").between(F.lit(0), n - F.lit(1)).cast("int")
     else:
         if entry["strategy"] == "page_batches":
-            rows, lo, hi = rows.select(page.alias("k")), F.lit(0).cast("bigint"), F.lit(entry["pages"] - 1).cast("bigint")
+            rows, lo, hi = source.paged(entry["ns"], entry["table"], "k").select("k"), F.lit(0).cast("bigint"), F.lit(entry["pages"] - 1).cast("bigint")
         else:
             rows = rows.select(F.col(f"`{entry['key_column']}`").cast("bigint").alias("k"))
         # Integers do unless the keys reach the edge of 64 bits.

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from dataclasses import astuple
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import elapsed_text
-from snaplake.operators.load import Run
+from snaplake.operators.load import RESULT_SCHEMA, Run, TableLoad
 from snaplake.sinks.base import Sink, Target
 
 # The states of a run.
@@ -25,6 +26,9 @@ EVENT_SCHEMA = (
 )
 
 
+OUTCOME_SCHEMA = f"run_id string, {RESULT_SCHEMA}, compaction_problem string"
+
+
 def latest_runs(events: DataFrame) -> DataFrame:
     """Current state of every run. Elapsed time is told for runs that succeeded, the error for those that failed."""
     stage = F.when(F.col("status") == PENDING, 0).when(F.col("status") == RUNNING, 1).otherwise(2)
@@ -61,6 +65,7 @@ class RunLedger:
         self.spark = spark
         self.sink = sink
         self.target = target
+        self.outcomes = Target(target.namespace, "table_results")
         self._exists: bool | None = None
 
     def record(
@@ -79,9 +84,20 @@ class RunLedger:
         (self.sink.append if self.exists() else self.sink.replace)(event, self.target)
         self._exists = True
 
+    def record_results(self, run_id: str, results: Iterable[TableLoad], compacted: Iterable[tuple[str, str, str | None]]) -> None:
+        """Keep each table's outcome and observed rows, and what went wrong when it was compacted."""
+        problems = {(ns, table): problem for ns, table, problem in compacted}
+        rows = [(run_id, *astuple(r), problems.get((r.ns, r.table))) for r in results]
+        frame = local_frame(self.spark, rows, OUTCOME_SCHEMA).coalesce(1)
+        (self.sink.append if self.sink.exists(self.outcomes) else self.sink.replace)(frame, self.outcomes)
+
+    def table_results(self) -> DataFrame:
+        """Outcomes of the tables of every run."""
+        return self.sink.read(self.outcomes) if self.sink.exists(self.outcomes) else local_frame(self.spark, [], OUTCOME_SCHEMA)
+
     def exists(self) -> bool:
         if self._exists is None:
-            self._exists = self.spark.catalog.tableExists(self.sink.name(self.target))
+            self._exists = self.sink.exists(self.target)
         return self._exists
 
     def events(self) -> DataFrame:

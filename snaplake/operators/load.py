@@ -4,23 +4,25 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager, nullcontext
 from dataclasses import astuple, dataclass, replace
 from datetime import datetime, timezone
-from typing import Any
+from typing import Any, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.config import LoadConfig
+from snaplake.config import DEFAULT_LARGE_TABLE_WORKERS, LoadConfig
 from snaplake.frames import local_frame
 from snaplake.plans.load_plan import BATCHED
 from snaplake.sinks.base import Sink, Target
 from snaplake.sources.base import Source
 
+X = TypeVar("X")
+
 RESULT_SCHEMA = (
     "source string, ns string, table string, strategy string, rows bigint, status string, attempts int, error string"
 )
@@ -94,12 +96,12 @@ def target_of(source: Source, ns: str, table: str) -> Target:
 def load_table(source: Source, sink: Sink, entry: Row, *, publish: str = "atomic") -> int:
     """Load one planned table and return the rows written.
 
-    ``atomic`` reads every slice in one job and publishes once. ``incremental`` replaces the table with its
-    first slice and appends the others, for sources that bear only one slice at a time.
+    ``atomic`` reads every slice, as many at a time as the source bears, and publishes once. ``incremental`` replaces
+    the table with its first slice and appends the others; a cancelled one leaves the slices that were published.
     """
     target = target_of(source, entry["ns"], entry["table"])
     if publish == "atomic":
-        return sink.replace(source.read(entry), target)
+        return sink.replace(source.waves(entry), target)
     if publish != "incremental":
         raise ValueError(f"unknown publish mode {publish!r}")
     rows = 0
@@ -192,13 +194,14 @@ def load_filtered(
     """Snapshot the rows of one table that pass a filter, then compact them.
 
     Lands on the table's own target unless another is given: it then takes the place of a full load. With a
-    plan ``entry`` the source is read in parallel; the filter is pushed to every reader.
+    plan ``entry`` (``plan_table`` makes one) the source is read in parallel; the filter goes to every reader.
     """
     if run and run.cancelled:
         raise RuntimeError("the run was cancelled before the load started")
     with run.jobs("small", f"load {ns}.{table} filtered") if run else nullcontext():
         where = target or target_of(source, ns, table)
-        rows = sink.replace(source.scan_where(ns, table, group, entry=entry), where)
+        frames = source.scan_where(ns, table, group) if entry is None else source.waves(entry, group)
+        rows = sink.replace(frames, where)
         if not (run and run.cancelled):
             compact_table(sink, where)
     return rows
@@ -213,13 +216,23 @@ def compact_table(sink: Sink, target: Target) -> str | None:
     return None
 
 
-def compact_loaded(source: Source, sink: Sink, plan: DataFrame, run: Run | None = None) -> list[tuple[str, str, str | None]]:
-    """Compact the tables that were loaded in batches, one after the other; stops when the run is cancelled."""
-    done = []
-    for entry in plan.filter(F.col("strategy").isin(*BATCHED)).collect():
+def compact_loaded(
+    source: Source, sink: Sink, plan: DataFrame, run: Run | None = None, workers: int = DEFAULT_LARGE_TABLE_WORKERS
+) -> list[tuple[str, str, str | None]]:
+    """Compact the tables that were loaded in batches, ``workers`` at a time; starts none once the run is cancelled."""
+
+    def one(entry: Row) -> tuple[str, str, str | None] | None:
         if run and run.cancelled:
-            break
+            return None
         with run.jobs("small", f"compact {entry['ns']}.{entry['table']}") if run else nullcontext():
-            problem = compact_table(sink, target_of(source, entry["ns"], entry["table"]))
-        done.append((entry["ns"], entry["table"], problem))
-    return done
+            return entry["ns"], entry["table"], compact_table(sink, target_of(source, entry["ns"], entry["table"]))
+
+    entries = plan.filter(F.col("strategy").isin(*BATCHED)).collect()
+    return [r for r in in_lanes(source.spark, one, entries, workers) if r is not None]
+
+
+def in_lanes(spark: SparkSession, work: Callable[[Row], X], entries: list[Row], workers: int) -> list[X]:
+    """``work`` of every entry, ``workers`` at a time, each in a thread with local properties of its own."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(work), e) for e in entries]
+        return [f.result() for f in futures]

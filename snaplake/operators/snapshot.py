@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
 from snaplake.operators.ledger import PENDING, RunLedger
-from snaplake.operators.load import Run, TableLoad, compact_loaded, load_all, results_frame, target_of
+from snaplake.operators.load import LoadFailed, Run, TableLoad, compact_loaded, in_lanes, load_all, results_frame, target_of
 from snaplake.operators.manifest import replication_documents, save_document, snapshot_manifests
 from snaplake.plans.catalog import (
-    TABLE_ID, assign_page_keys, discover_keys, estimate_pages, list_tables, stale_tables,
+    TABLE_ID, assign_page_keys, discover_keys, estimate_pages, list_tables, row_widths, stale_tables,
 )
 from snaplake.plans.load_plan import PROFILE_COLUMNS, PROFILE_SCHEMA, plan_frame, plan_loads
 from snaplake.sinks.base import Sink
@@ -28,13 +29,19 @@ class Snapshot:
     refreshed: list[tuple[str, str]]
 
 
-def plan_source(source: Source, cfg: LoadConfig) -> DataFrame:
-    """Load plan of every table of a source. Only catalog rows, one per table, pass through the driver."""
+def plan_source(source: Source, cfg: LoadConfig, only: tuple[str, str] | None = None) -> DataFrame:
+    """Load plan of every table of a source, or of ``only`` one. Only catalog rows, one per table, pass through the
+    driver. Row counts that the catalog hasn't, or that are as old as ``stats_max_age_seconds``, are counted anew."""
     spark, catalog = source.spark, source.catalog()
     tables = list_tables(catalog.tables, catalog.namespaces)
+    if only is not None:
+        tables = tables.filter((F.col("ns") == only[0]) & (F.col("table") == only[1]))
     keys = discover_keys(tables, catalog.constraints, catalog.key_usage, catalog.columns)
     known = estimate_pages(catalog.relations, catalog.column_stats)
-    found = keys.join(known, TABLE_ID, "left").collect()
+    stale = stale_tables(tables.select(*TABLE_ID), catalog.stats_times, F.current_timestamp(), cfg.stats_max_age_seconds)
+    aged = keys.join(known, TABLE_ID, "left").join(row_widths(catalog.column_stats), TABLE_ID, "left")
+    aged = aged.join(stale.select(*TABLE_ID, F.lit(True).alias("stale")), TABLE_ID, "left")
+    found = aged.withColumn("rows", F.when(F.col("stale").isNull(), F.col("rows"))).collect()
     if not found:
         return plan_frame(spark, [])
     profile = assign_page_keys(source.profile(found)).select(*PROFILE_COLUMNS).collect()
@@ -61,24 +68,33 @@ def snapshot(
     """
     run, db_type = run or Run(source.spark), source.dialect.name
     if not ledger:
-        return _snapshot(source, sink, cfg, position, documents, run, publish)
+        return _snapshot(source, sink, cfg, position, documents, run, publish, None)
     ledger.ensure_free(db_type, host)
     ledger.record(run.run_id, PENDING, db_type, host)
     with ledger.follow(run, db_type, host):
-        return _snapshot(source, sink, cfg, position, documents, run, publish)
+        return _snapshot(source, sink, cfg, position, documents, run, publish, ledger)
 
 
 def _snapshot(
-    source: Source, sink: Sink, cfg: LoadConfig, position: Row | None, documents: str | None, run: Run, publish: str
+    source: Source, sink: Sink, cfg: LoadConfig, position: Row | None, documents: str | None, run: Run, publish: str,
+    ledger: RunLedger | None,
 ) -> Snapshot:
     spark, positions = source.spark, None
     if position is not None and documents:
         positions = spark.createDataFrame([position])
         _save(replication_documents(positions), documents)
-    plan = plan_source(source, cfg)
-    results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish)
-    compacted = [] if run.cancelled else compact_loaded(source, sink, plan, run)
-    refreshed = [] if run.cancelled else refresh_stale(source, sink, plan, cfg)
+    with run.jobs("small", "plan"):
+        plan = plan_source(source, cfg)
+    try:
+        results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish)
+    except LoadFailed as problem:
+        if ledger:
+            ledger.record_results(run.run_id, problem.results, [])
+        raise
+    compacted = [] if run.cancelled else compact_loaded(source, sink, plan, run, cfg.large_table_workers)
+    refreshed = [] if run.cancelled else refresh_stale(source, sink, plan, cfg, run)
+    if ledger:
+        ledger.record_results(run.run_id, results, compacted)
     if positions is not None:
         _save(snapshot_manifests(positions, results_frame(spark, results)), documents)
     return Snapshot(plan, results, compacted, refreshed)
@@ -90,12 +106,20 @@ def _save(documents: DataFrame, folder: str) -> None:
         save_document(documents.sparkSession, folder, doc["object_key"], doc["body"])
 
 
-def refresh_stale(source: Source, sink: Sink, plan: DataFrame, cfg: LoadConfig) -> list[tuple[str, str]]:
-    """Recompute the statistics of loaded tables whose source statistics are stale."""
+def refresh_stale(
+    source: Source, sink: Sink, plan: DataFrame, cfg: LoadConfig, run: Run | None = None
+) -> list[tuple[str, str]]:
+    """Recompute the statistics of loaded tables whose source statistics are stale, some at a time; starts none once
+    the run is cancelled."""
     now = F.current_timestamp()
     stale = stale_tables(plan.select(*TABLE_ID), source.catalog().stats_times, now, cfg.stats_max_age_seconds)
-    done = []
-    for entry in stale.collect():
-        sink.refresh_statistics(target_of(source, entry["ns"], entry["table"]))
-        done.append((entry["ns"], entry["table"]))
-    return done
+
+    def one(entry: Row) -> tuple[str, str] | None:
+        if run and run.cancelled:
+            return None
+        with run.jobs("small", f"statistics of {entry['ns']}.{entry['table']}") if run else nullcontext():
+            sink.refresh_statistics(target_of(source, entry["ns"], entry["table"]))
+        return entry["ns"], entry["table"]
+
+    done = in_lanes(source.spark, one, stale.collect(), cfg.large_table_workers)
+    return [r for r in done if r is not None]

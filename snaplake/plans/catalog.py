@@ -33,6 +33,9 @@ TABLE_ID = ["source", "ns", "table"]
 PAGE_BYTES = 8192
 DEFAULT_ROW_WIDTH = 100
 
+# Between the names in ``salt_column``; no column is named with it.
+SALT_SEPARATOR = "\x1f"
+
 
 def by_source(rule: Callable[[Dialect], str]) -> Column:
     """A per-dialect rule, given as SQL text, as one expression over the ``source`` column."""
@@ -72,8 +75,9 @@ def discover_keys(
 ) -> DataFrame:
     """The column each table is read by: its first integer key column, else (MySQL) its first key column.
 
-    Adds ``key_column``, ``key_kind`` (numeric, text or none) and ``salt_column`` to ``tables``. The salt is
-    another column of a composite key: one value of the key column alone may then hold most of the rows.
+    Adds ``key_column``, ``key_kind`` (numeric, text or none) and ``salt_column`` to ``tables``. The salt names all
+    other columns of a composite key: one value of the key column alone may hold most of the rows, and so may one value
+    of any other column.
     """
     primary = constraints.filter(F.col("constraint_type") == "PRIMARY KEY")
     usable = by_source(lambda d: one_of("data_type", d.integer_types))
@@ -84,18 +88,24 @@ def discover_keys(
         .agg(
             F.min_by("column", F.when(usable, F.col("ordinal"))).alias("numeric_key"),
             F.min_by("column", "ordinal").alias("first_key"),
-            F.max_by("column", "ordinal").alias("last_key"),
+            F.array_sort(F.collect_list(F.struct("ordinal", "column"))).alias("all_keys"),
         )
     )
     has_number = F.col("numeric_key").isNotNull()
     has_text = F.col("first_key").isNotNull() & by_source(lambda d: str(d.text_keys))
     keyed = tables.select(*TABLE_ID).join(first_keys, TABLE_ID, "left").select(
-        *TABLE_ID, "first_key", "last_key",
+        *TABLE_ID, "all_keys",
         F.when(has_number, F.col("numeric_key")).when(has_text, F.col("first_key")).alias("key_column"),
         F.when(has_number, "numeric").when(has_text, "text").otherwise("none").alias("key_kind"),
     )
-    others = [F.when(F.col(c) != F.col("key_column"), F.col(c)) for c in ("last_key", "first_key")]
-    return keyed.select(*TABLE_ID, "key_column", F.coalesce(*others).alias("salt_column"), "key_kind")
+    others = F.filter(F.col("all_keys.column"), lambda c: c != F.col("key_column"))
+    salt = F.when(F.size(others) > 0, F.array_join(others, SALT_SEPARATOR))
+    return keyed.select(*TABLE_ID, "key_column", salt.alias("salt_column"), "key_kind")
+
+
+def salts_of(salt_column: str | None) -> list[str]:
+    """The names in a ``salt_column``."""
+    return salt_column.split(SALT_SEPARATOR) if salt_column else []
 
 
 def assign_page_keys(keys: DataFrame) -> DataFrame:
@@ -126,12 +136,22 @@ def row_estimate(rows: Column) -> Column:
     return at_least(0, F.coalesce(rows, F.lit(0)).cast("bigint"))
 
 
+def row_widths(column_stats: DataFrame) -> DataFrame:
+    """Bytes of a row of each table, where its columns' widths are known."""
+    return column_stats.groupBy(*TABLE_ID).agg(F.sum("avg_width").cast("bigint").alias("row_width"))
+
+
+def pages_of(rows: Column, row_width: Column) -> Column:
+    """Pages that so many rows take, at least one."""
+    width = F.when(row_width > 0, row_width).otherwise(F.lit(DEFAULT_ROW_WIDTH)).cast("bigint")
+    return at_least(1, int_div(rows * width, F.lit(PAGE_BYTES)))
+
+
 def estimate_pages(relations: DataFrame, column_stats: DataFrame) -> DataFrame:
     """Physical pages per table: the catalog's figure, else an estimate from rows and the width of a row."""
-    widths = column_stats.groupBy(*TABLE_ID).agg(F.sum("avg_width").cast("bigint").alias("row_width"))
+    widths = row_widths(column_stats)
     rows = row_estimate(F.col("rows"))
-    width = F.when(F.col("row_width") > 0, F.col("row_width")).otherwise(F.lit(DEFAULT_ROW_WIDTH)).cast("bigint")
-    estimated = at_least(1, int_div(rows * width, F.lit(PAGE_BYTES)))
+    estimated = pages_of(rows, F.col("row_width"))
     pages = F.when(F.col("pages") > 0, F.col("pages")).when(rows > 0, estimated).otherwise(F.lit(0))
     return relations.join(widths, TABLE_ID, "left").select(
         *TABLE_ID, rows.alias("rows"), pages.cast("bigint").alias("pages")

@@ -66,20 +66,21 @@ def plan_loads(profile: DataFrame, cfg: LoadConfig) -> DataFrame:
                  WHEN {spread} AND parts > 1 THEN 'key_partitioned'
                  ELSE 'single' END AS strategy""",
     )
-    # What the slices of a table divide, and how much of it a slice takes.
+    # What the slices of a table divide, and how much of it a slice takes. A slice is to have a batch of rows, so
+    # their number follows from the rows: however sparse a key is, it gets no more slices than that.
     measured = chosen.selectExpr(
         "*",
         f"""CASE strategy WHEN 'range_batches' THEN {span}
                           WHEN 'hash_batches' THEN CAST(rows AS {WIDE})
                           WHEN 'page_batches' THEN CAST(pages AS {WIDE}) END AS extent""",
         "greatest(1L, (rows + greatest(1L, pages) - 1) div greatest(1L, pages)) AS rows_per_page",
+        f"greatest(1L, (rows + {batch} - 1) div {batch}) AS wanted",
     )
     sliced = measured.selectExpr(
         "*",
-        f"""CASE WHEN extent IS NOT NULL THEN greatest(
-                CASE strategy WHEN 'page_batches' THEN greatest(1L, ({batch} + rows_per_page - 1) div rows_per_page)
-                              ELSE {batch} END,
-                (extent + {cfg.max_slices - 1}) div {cfg.max_slices}) END AS slice_width""",
+        f"""CASE strategy WHEN 'page_batches' THEN greatest(1L, ({batch} + rows_per_page - 1) div rows_per_page)
+                          WHEN 'hash_batches' THEN {batch}
+                          WHEN 'range_batches' THEN (extent + wanted - 1) div wanted END AS slice_width""",
     )
     batches = "CASE WHEN extent IS NOT NULL THEN (extent + slice_width - 1) div slice_width ELSE 1L END AS batches"
     return sliced.selectExpr("*", batches).select(*PLAN_COLUMNS)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from snaplake.functions.expressions import WIDE, ceil_div, hash_bucket, quoted
-from snaplake.plans.catalog import TABLE_ID
+from snaplake.plans.catalog import SALT_SEPARATOR, TABLE_ID, salts_of
 from snaplake.plans.load_plan import key_span
 from snaplake.sources.dialects import Dialect
 
@@ -132,16 +132,17 @@ def balanced_predicates(boundaries: Sequence[tuple[Any, int]], entry: Row, diale
     """WHERE texts of readers with about as many rows each, from every n-th key and its copies, in key order.
 
     A reader takes the keys from one boundary up to the next. A key with m > 1 copies holds at least m - 1
-    readers' rows: it gets m readers of its own, told apart by a hash of another key column.
+    readers' rows: it gets m readers of its own, told apart by a hash of all other key columns.
     """
-    key, salt = dialect.quote(entry["key_column"]), entry["salt_column"]
+    key, salts = dialect.quote(entry["key_column"]), [dialect.quote(s) for s in salts_of(entry["salt_column"])]
+    salt = salts[0] if len(salts) == 1 else f"CONCAT_WS('|', {', '.join(salts)})" if salts else ""
     texts = []
     for i, (k, copies) in enumerate(boundaries):
         at, start = dialect.literal(k), ">="
         if copies > 1 and salt:
             if i == 0:
                 texts.append(f"({key} < {at} OR {key} IS NULL)")
-            texts += [f"{key} = {at} AND {dialect.in_bucket(dialect.quote(salt), copies, j)}" for j in range(copies)]
+            texts += [f"{key} = {at} AND {dialect.in_bucket(salt, copies, j)}" for j in range(copies)]
             start = ">"
         tests = [] if i == 0 and start == ">=" else [f"{key} {start} {at}"]
         if i + 1 < len(boundaries):
@@ -166,9 +167,10 @@ def predicates(intervals: DataFrame, dialect: Dialect) -> DataFrame:
     from_page = F.concat(F.lit("ctid >= '("), lo, F.lit(",0)'::tid"))
     to_page = F.concat(F.lit("ctid < '("), hi, F.lit(",0)'::tid"))
     by_page = F.when(F.col("open_high"), from_page).otherwise(F.concat(from_page, F.lit(" AND "), to_page))
-    salt = quoted(F.col("salt_column"), dialect.quote_char)
+    names = F.split("salt_column", SALT_SEPARATOR)
+    salt = F.array_join(F.transform(names, lambda c: quoted(c, dialect.quote_char)), ", ")
 
-    # Of a composite key both columns are hashed: the first alone may be the same in most rows.
+    # Of a composite key all columns are hashed: the first alone may be the same in most rows.
     whole_key = F.when(F.col("salt_column").isNull(), key).otherwise(
         F.concat(F.lit("CONCAT_WS('|', "), key, F.lit(", "), salt, F.lit(")"))
     )

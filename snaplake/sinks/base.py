@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -27,21 +28,28 @@ class Target:
 
 
 class Sink(Protocol):
-    def replace(self, df: DataFrame, target: Target) -> int:
-        """Create the table or replace it in one step; returns the rows written."""
+    def replace(self, df: DataFrame | Sequence[DataFrame], target: Target) -> int:
+        """Create the table or replace it in one step; returns the rows written. Several frames of one schema are
+        written one after the other and published together."""
 
     def append(self, df: DataFrame, target: Target) -> int:
         """Add rows to an existing table; returns the rows written."""
 
     def compact(self, target: Target) -> None:
-        """Rewrite small files into files of the target size."""
+        """Rewrite files into files of about the target size: small ones together, large ones in parts."""
 
     def refresh_statistics(self, target: Target) -> None:
         """Recompute the table's statistics."""
 
+    def exists(self, target: Target) -> bool: ...
+
     def read(self, target: Target) -> DataFrame: ...
 
 
+def frames_of(df: DataFrame | Sequence[DataFrame]) -> list[DataFrame]:
+    return list(df) if isinstance(df, (list, tuple)) else [df]
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame, with its rows counted by the write itself."""
     seen = Observation()

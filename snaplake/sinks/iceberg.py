@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from snaplake.config import DEFAULT_TARGET_FILE_BYTES
-from snaplake.sinks.base import Target
+from snaplake.sinks.base import Target, counted, frames_of
 from snaplake.sql import quote, text
 
 
@@ -23,21 +25,30 @@ class IcebergSink:
             level = ".".join(quote(p) for p in (self.catalog, *target.namespace[:depth]))
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {level}")
 
-    def replace(self, df: DataFrame, target: Target) -> int:
+    def replace(self, df: DataFrame | Sequence[DataFrame], target: Target) -> int:
+        """One frame is one commit. Several are appended to an empty staging table, whose rows then replace the
+        target's in one commit."""
+        frames = frames_of(df)
         self.ensure_namespace(target)
-        df.writeTo(self.name(target)).using("iceberg").createOrReplace()
-        return self._added(target)
+        if len(frames) == 1:
+            return self._replace(frames[0], target)
+        staging = Target(target.namespace, f"{target.table}__staging")
+        self._replace(frames[0].limit(0), staging)
+        for frame in frames:
+            self.append(frame, staging)
+        rows = self._replace(self.read(staging), target)
+        self.spark.sql(f"DROP TABLE {self.name(staging)} PURGE")
+        return rows
 
-    def append(self, df: DataFrame, target: Target) -> int:
-        df.writeTo(self.name(target)).append()
-        return self._added(target)
+    def _replace(self, df: DataFrame, target: Target) -> int:
+        rows, seen = counted(df)
+        rows.writeTo(self.name(target)).using("iceberg").createOrReplace()
+        return seen.get["rows"]
 
-    def _added(self, target: Target) -> int:
-        """Rows of the latest commit, from its own summary; no data is read."""
-        commits = self.spark.sql(
-            f"SELECT max_by(summary['added-records'], committed_at) AS added FROM {self.name(target)}.snapshots"
-        )
-        return int(commits.first()["added"] or 0)
+    def append(self, df: DataFrame, target: Target) -> int:
+        rows, seen = counted(df)
+        rows.writeTo(self.name(target)).append()
+        return seen.get["rows"]
 
     def compact(self, target: Target) -> None:
         table = text(".".join(quote(p) for p in (*target.namespace, target.table)))
@@ -50,5 +61,8 @@ class IcebergSink:
         table = text(".".join(quote(p) for p in (*target.namespace, target.table)))
         self.spark.sql(f"CALL {quote(self.catalog)}.system.compute_table_stats(table => {table})")
 
+    def exists(self, target: Target) -> bool:
+        return self.spark.catalog.tableExists(self.name(target))
+
     def read(self, target: Target) -> DataFrame:
         return self.spark.table(self.name(target))

@@ -1,19 +1,22 @@
 """Parquet tables of the session catalog, for clusters without Iceberg.
 
 A replace writes a new folder and then points the table at it, so readers see the old rows or the new ones and
-a failed load changes nothing. Old folders stay, as old snapshots would.
+a failed load changes nothing. The current folder is written down next to the data (``_CURRENT``), so another
+application finds it without this one's catalog. Old folders stay, as old snapshots would.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snaplake.config import DEFAULT_TARGET_FILE_BYTES
-from snaplake.sinks.base import Target, counted
+from snaplake.config import DEFAULT_FILE_ROWS, DEFAULT_TARGET_FILE_BYTES
+from snaplake.sinks.base import Target, counted, frames_of
 from snaplake.sql import quote, text
 
 
@@ -25,11 +28,13 @@ class ParquetSink:
         *,
         prefix: str = "",
         target_bytes: int = DEFAULT_TARGET_FILE_BYTES,
+        file_rows: int = DEFAULT_FILE_ROWS,
     ):
         self.spark = spark
         self.warehouse = warehouse.rstrip("/")
         self.prefix = prefix
         self.target_bytes = target_bytes
+        self.file_rows = file_rows  # at most, in one file
 
     def _database(self, target: Target) -> str:
         """The session catalog has one namespace level, so the levels are joined."""
@@ -41,19 +46,59 @@ class ParquetSink:
     def _new_version(self, target: Target) -> str:
         return f"{self.warehouse}/{target.path}/{uuid.uuid4().hex}"
 
-    def replace(self, df: DataFrame, target: Target) -> int:
-        rows, seen = counted(df)
-        version = self._new_version(target)
-        rows.write.parquet(version)
-        self._publish(target, version, df.schema)
-        return seen.get["rows"]
+    def replace(self, df: DataFrame | Sequence[DataFrame], target: Target) -> int:
+        frames, version, total = frames_of(df), self._new_version(target), 0
+        for frame in frames:
+            rows, seen = counted(frame)
+            rows.write.mode("append").option("maxRecordsPerFile", self.file_rows).parquet(version)
+            total += seen.get["rows"]
+        self._publish(target, version, frames[0].schema)
+        return total
 
     def append(self, df: DataFrame, target: Target) -> int:
         rows, seen = counted(df.select(*[quote(c) for c in self.read(target).columns]))
-        rows.write.insertInto(self.name(target))
+        rows.write.option("maxRecordsPerFile", self.file_rows).insertInto(self.name(target))
         return seen.get["rows"]
 
     def _publish(self, target: Target, version: str, schema: T.StructType) -> None:
+        """Point the table at ``version`` and say so next to the data, for applications with a catalog of their own."""
+        self._point(target, version, schema)
+        path = self._path(self._current(target))
+        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(version.encode("utf-8"))
+        finally:
+            out.close()
+
+    def _current(self, target: Target) -> str:
+        return f"{self.warehouse}/{target.path}/_CURRENT"
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def current_version(self, target: Target) -> str | None:
+        """The folder of the table's current version, as written next to its data; None if there is none."""
+        path = self._path(self._current(target))
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return None
+        stream = files.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+
+    def exists(self, target: Target) -> bool:
+        """Whether the table is there; one that only its folder knows is put into this session's catalog."""
+        if self.spark.catalog.tableExists(self.name(target)):
+            return True
+        version = self.current_version(target)
+        if version is None:
+            return False
+        self._point(target, version, self.spark.read.parquet(version).schema)
+        return True
+
+    def _point(self, target: Target, version: str, schema: T.StructType) -> None:
         self.ensure_namespace(target)
         name = self.name(target)
         written = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
@@ -73,26 +118,26 @@ class ParquetSink:
         detail = self.spark.sql(f"DESCRIBE EXTENDED {self.name(target)}")
         return detail.filter("col_name = 'Location'").first()["data_type"]
 
-    def footprint(self, target: Target) -> tuple[int, int]:
-        """Number of the table's data files and their bytes, without listing them here one by one."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(target))
-        summary = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(folder)
-        return len(self.read(target)._jdf.inputFiles()), summary.getLength()
+    def footprint(self, target: Target) -> tuple[int, int, int]:
+        """Number of the table's data files, their bytes and those of the largest, as a Spark job over their list."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.location(target))
+        row = files.coalesce(1).agg(F.count("length").alias("n"), F.sum("length").alias("size"), F.max("length").alias("largest")).first()
+        return row["n"], row["size"] or 0, row["largest"] or 0
 
     def compact(self, target: Target) -> None:
-        """Pack small files into files of the target size, without a shuffle.
+        """Bring files to about the target size, without a shuffle: small ones together, large ones in parts.
 
-        Spark's file scan already packs small files into one partition up to a byte limit; with that limit at
-        the target size, each task of the copy writes one file of about it. The copy is left out where it
-        would save less than a tenth of the files.
+        Spark's file scan packs small files, and row groups of large ones, into partitions up to a byte limit; with
+        that limit at the target size, each task of the copy writes one file of about it. Files that are as few as
+        they can be and none too large stay as they are.
         """
-        files, size = self.footprint(target)
-        packed = max(1, math.ceil(size / self.target_bytes))
-        if files - packed < max(1, files / 10):
+        files, size, largest = self.footprint(target)
+        if files <= max(1, math.ceil(size / self.target_bytes)) and largest <= 2 * self.target_bytes:
             return
         packing = self.spark.newSession()
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(self.target_bytes))
-        packing.conf.set("spark.sql.files.openCostInBytes", "0")
+        # A file costs a thousandth of a partition at least: so empty files don't all fall to one task.
+        packing.conf.set("spark.sql.files.openCostInBytes", str(self.target_bytes // 1000))
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
         version = self._new_version(target)
         schema = self.read(target).schema
@@ -109,4 +154,5 @@ class ParquetSink:
         return int(words[words.index("rows") - 1]) if "rows" in words else None
 
     def read(self, target: Target) -> DataFrame:
+        self.exists(target)
         return self.spark.table(self.name(target))

@@ -47,6 +47,9 @@ class Source(Protocol):
     def read(self, entry: Row) -> DataFrame:
         """The whole table, in parallel, the way its plan entry says."""
 
+    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
+        """The table, or its rows that pass a filter, in parts that the source bears one at a time."""
+
     def pieces(self, entry: Row) -> list[Row]:
         """Slices of the table in order, a few small rows each with its ``slice_no``."""
 

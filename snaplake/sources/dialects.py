@@ -84,7 +84,7 @@ POSTGRESQL = Dialect(
     url_template="jdbc:postgresql://{host}:{port}/{database}",
     session_statement="SET SESSION CHARACTERISTICS AS TRANSACTION ISOLATION LEVEL REPEATABLE READ",
     quote_char='"',
-    bucket_template="MOD(ABS(HASHTEXT({column})::bigint), {buckets})",
+    bucket_template="MOD(ABS(HASHTEXT(({column})::text)::bigint), {buckets})",
     integer_types=("smallint", "integer", "bigint"),
     system_namespaces=("information_schema", "pg_catalog", "pg_toast", "pg_temp_1", "pg_toast_temp_1"),
     system_prefix="pg_",

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import heapq
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import hash_bucket
 from snaplake.functions.filters import to_column
+from snaplake.plans.catalog import salts_of
 from snaplake.plans.load_plan import plan_frame
 from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
@@ -77,35 +79,59 @@ class FileSource:
         df = self.scan(ns, table)
         return df.filter(to_column(group, df.schema))
 
-    def page(self) -> Column:
-        """Page number of a row within its file."""
-        return F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))
+    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
+        """Files bear as many readers as there are: one frame."""
+        return [self.read(entry) if group is None else self.scan_where(entry["ns"], entry["table"], group)]
+
+    def paged(self, ns: str, table: str, page: str = "page") -> DataFrame:
+        """The table with each row's page. Pages are blocks of ``rows_per_page`` rows of a file; files follow each other
+        in the order of their paths. The files' row counts are read first, a row for each file."""
+        df = self.scan(ns, table)
+        place = F.struct("_metadata.file_path", "_metadata.row_index")
+        rows = df.select(place.alias("at")).groupBy("at.file_path").agg((F.max("at.row_index") + 1).alias("n"))
+        pages = F.ceil(F.col("n") / self.rows_per_page).cast("bigint")
+        before = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+        first = rows.select(F.col("file_path").alias("__file"), F.coalesce(F.sum(pages).over(before), F.lit(0)).alias("__first"))
+        block = F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))
+        numbered = df.withColumns({"__of": F.col("_metadata.file_path"), "__block": block})
+        joined = numbered.join(first, F.col("__of") == F.col("__file"))
+        return joined.select(*df.columns, (F.col("__first") + F.col("__block")).alias(page))
 
     def pieces(self, entry: Row) -> list[Row]:
-        """Groups of whole files, as many as the plan has slices if there are enough: each file is read once.
+        """Groups of whole files of about as many bytes each, as many as the plan has slices if there are enough.
 
-        A file's group is a hash of its path. The filter on it prunes files when they are listed, so no list of
-        files passes through the driver program. With ``slice_by="plan"`` the pieces are the plan's own slices,
-        each of which looks at every file.
+        The folder is listed once, by Spark, with a row for each file; a group then reads its own files and no other.
+        With ``slice_by="plan"`` the pieces are the plan's own slices, each of which looks at every file: for sources
+        of one file, and to show that slices cover their table.
         """
         if self.slice_by == "plan":
             return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
-        files = len(self.scan(entry["ns"], entry["table"])._jdf.inputFiles())
-        groups = max(1, min(entry["batches"], files))
-        return [Row(unit="files", slice_no=i, slices=groups) for i in range(groups)]
+        t = self.tables[entry["ns"], entry["table"]]
+        listed = self.spark.read.format("binaryFile").load(t.path).select("path", "length").filter("length > 0")
+        files = listed.orderBy(F.desc("length"), "path").collect()
+        groups: list[list[str]] = [[] for _ in range(max(1, min(entry["batches"], len(files))))]
+        sizes = [(0, i) for i in range(len(groups))]
+        for path, length in files:  # the next largest to the smallest group
+            size, i = heapq.heappop(sizes)
+            groups[i].append(path)
+            heapq.heappush(sizes, (size + length, i))
+        return [Row(unit="files", slice_no=i, slices=len(groups), paths=g) for i, g in enumerate(groups)]
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
+        if piece["unit"] == "files" and piece["paths"]:
+            t = self.tables[entry["ns"], entry["table"]]
+            schema = t.schema or self.scan(entry["ns"], entry["table"]).schema
+            return self.spark.read.format(t.format).schema(schema).load(piece["paths"])
+        if piece["unit"] == "page":
+            paged = self.paged(entry["ns"], entry["table"], "__page")
+            return paged.filter(in_page_slice(F.col("__page"), piece["lo"], piece["hi"], piece["open_high"])).drop("__page")
         df = self.scan(entry["ns"], entry["table"])
-        if piece["unit"] == "files":
-            return df.filter(hash_bucket(F.col("_metadata.file_path"), piece["slices"]) == piece["slice_no"])
-        if piece["unit"] == "table":
+        if piece["unit"] in ("files", "table"):
             return df
-        if piece["unit"] == "page":
-            return df.filter(in_page_slice(self.page(), piece["lo"], piece["hi"], piece["open_high"]))
         key = F.col(f"`{entry['key_column']}`")
         if piece["unit"] == "bucket":
-            if entry["salt_column"]:
-                key = F.concat_ws("|", key, F.col(f"`{entry['salt_column']}`"))
+            if salts := salts_of(entry["salt_column"]):
+                key = F.concat_ws("|", key, *[F.col(f"`{s}`") for s in salts])
             return df.filter(in_bucket(key, piece["lo"], piece["slices"]))
         return df.filter(in_key_slice(key, piece["lo"], piece["hi"], piece["open_low"], piece["open_high"]))
 

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snaplake.config import DEFAULT_FETCH_SIZE
+from snaplake.config import DEFAULT_CONNECTIONS, DEFAULT_FETCH_SIZE
 from snaplake.frames import local_frame
 from snaplake.functions.filters import to_column, to_sql
+from snaplake.plans.catalog import pages_of
 from snaplake.plans.load_plan import PROFILE_COLUMNS, plan_frame
 from snaplake.plans.slices import (
     balanced_predicates, boundaries_text, is_uneven, plan_slices, predicates, reader_intervals,
@@ -40,7 +41,7 @@ class JdbcSource:
         fetch_size: int = DEFAULT_FETCH_SIZE,
         session_statement: str | None = None,
         options: Mapping[str, str] | None = None,
-        connections: int = 16,
+        connections: int = DEFAULT_CONNECTIONS,
         even_reads: bool = True,
         tables_per_profile: int = 50,
     ):
@@ -81,9 +82,41 @@ class JdbcSource:
         )
 
     def scan_where(self, ns: str, table: str, group: Mapping[str, Any], *, entry: Row | None = None) -> DataFrame:
-        """Rows that pass a filter. Spark pushes the predicate to every reader of the plan entry, if given."""
-        df = self.read(entry) if entry is not None else self.scan(ns, table)
-        return df.filter(to_column(group, df.schema))
+        """Rows that pass a filter. Spark pushes the predicate to every reader of the plan entry, if given.
+
+        Where the source reads a back-slash in a literal as an escape, a filter with one goes to it as text of our
+        own: the text that Spark would push means something else there.
+        """
+        texts = self._texts(entry) if entry is not None else ["1 = 1"]
+        if not self._escapes(group):
+            df = self._load_where(ns, table, texts)
+            return df.filter(to_column(group, df.schema))
+        to_column(group, self.scan(ns, table).schema)  # raises for what doesn't fit the table
+        where = to_sql(group, self.dialect)
+        return self._load_where(ns, table, [f"({t}) AND {where}" for t in texts])
+
+    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
+        """The table, or its rows that pass a filter, in parts of ``connections`` readers: one after the other, they
+        never open more. Each reader stays a partition, and so a task, of its own."""
+        texts = self._texts(entry)
+        where = ""
+        if group is not None:
+            schema = self.scan(entry["ns"], entry["table"]).schema
+            condition = to_column(group, schema)
+            where = to_sql(group, self.dialect) if self._escapes(group) else ""
+        out = []
+        for i in range(0, len(texts), self.connections):
+            some = texts[i : i + self.connections]
+            df = self._load_where(entry["ns"], entry["table"], [f"({t}) AND {where}" for t in some] if where else some)
+            out.append(df if group is None or where else df.filter(condition))
+        return out
+
+    def _escapes(self, group: Mapping[str, Any]) -> bool:
+        """Whether a literal of the filter has a back-slash that the source would read as an escape."""
+        values = [c.get("value") for c in group.get("conditions", ())]
+        flat = [v for value in values for v in (value if isinstance(value, (list, tuple)) else (value,))]
+        here = any(isinstance(v, str) and "\\" in v for v in flat)
+        return self.dialect.backslash_escapes and (here or any(self._escapes(g) for g in group.get("groups", ())))
 
     def scan_where_at_source(self, ns: str, table: str, group: Mapping[str, Any]) -> DataFrame:
         """The same rows through a source-side subquery, for filters the source must evaluate its own way."""
@@ -91,12 +124,14 @@ class JdbcSource:
         return self._load(text)
 
     def read(self, entry: Row) -> DataFrame:
-        """The whole table as its plan entry says: every reader of every slice is part of one job."""
-        if entry["strategy"] == "single":
-            return self.scan(entry["ns"], entry["table"])
-        if entry["strategy"] == "key_partitioned":
+        """The whole table as its plan entry says: every reader of every slice is a partition of one job, which opens
+        as many connections as the cluster has cores for it. Loads go by ``waves``, which bound them."""
+        if entry["strategy"] == "key_partitioned" and not (self.even_reads and is_uneven(entry)):
             return self.scan_by_key(*(entry[c] for c in ("ns", "table", "key_column", "lo", "hi", "parts")))
-        return self._read_where(entry, [r["predicate"] for r in self._readers(entry)])
+        return self._load_where(entry["ns"], entry["table"], self._texts(entry))
+
+    def _texts(self, entry: Row) -> list[str]:
+        return ["1 = 1"] if entry["strategy"] == "single" else [r["predicate"] for r in self._readers(entry)]
 
     def pieces(self, entry: Row) -> list[Row]:
         by_slice: dict[int, list[str]] = {}
@@ -105,23 +140,23 @@ class JdbcSource:
         return [Row(slice_no=n, predicates=texts) for n, texts in sorted(by_slice.items())]
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
-        return self._read_where(entry, piece["predicates"])
+        return self._load_where(entry["ns"], entry["table"], piece["predicates"])
 
-    def _read_where(self, entry: Row, texts: list[str]) -> DataFrame:
-        """One partition per predicate, merged so that no more than ``connections`` are open at a time."""
+    def _load_where(self, ns: str, table: str, texts: list[str]) -> DataFrame:
+        """One partition per predicate."""
+        if texts == ["1 = 1"]:
+            return self.scan(ns, table)
         properties = {k: v for k, v in self.options.items() if k != "url"}
-        table = self.dialect.table(entry["ns"], entry["table"])
-        df = self.spark.read.jdbc(self.options["url"], table, predicates=texts, properties=properties)
-        return df.coalesce(self.connections) if len(texts) > self.connections else df
+        return self.spark.read.jdbc(self.options["url"], self.dialect.table(ns, table), predicates=texts, properties=properties)
 
     def _readers(self, entry: Row) -> list[Row]:
-        """Predicates of all readers of a table: at most ``max_slices`` times ``parts`` short texts.
+        """Predicates of all readers of a table: short texts, ``parts`` for each batch of rows.
 
         Slices of equal key width suit dense keys. Other numeric keys and text keys are read between boundaries
         the source finds in one pass over the key's index. Hash buckets would have the source scan the whole
         table once per bucket; they are left for keys whose values cannot be written as text.
         """
-        if self.even_reads and (entry["strategy"] == "hash_batches" or self._is_uneven_range(entry)):
+        if self.even_reads and (entry["strategy"] == "hash_batches" or self._is_uneven_key(entry)):
             boundaries = self._boundaries(entry)
             if boundaries:
                 texts = balanced_predicates(boundaries, entry, self.dialect)
@@ -131,13 +166,19 @@ class JdbcSource:
         return texts.select("slice_no", "part_no", "predicate").orderBy("slice_no", "part_no").collect()
 
     @staticmethod
-    def _is_uneven_range(entry: Row) -> bool:
-        return entry["strategy"] == "range_batches" and is_uneven(entry)
+    def _is_uneven_key(entry: Row) -> bool:
+        return entry["strategy"] in ("range_batches", "key_partitioned") and is_uneven(entry)
 
     def _boundaries(self, entry: Row) -> list[tuple[Any, int]]:
-        """Every n-th key with its copies, in the source's order: as many as the table gets readers."""
-        wanted = min(entry["batches"], -(-entry["rows"] // entry["slice_width"])) * entry["parts"]
-        step = max(1, -(-entry["rows"] // max(1, wanted)))
+        """Every n-th key with its copies, in the source's order: as many as the table gets readers.
+
+        The rows are counted at the source, so that an estimate that is off neither makes readers of many times the
+        planned rows nor sends that many more boundaries here.
+        """
+        counted = self._load(f"(SELECT COUNT(*) AS n FROM {self.dialect.table(entry['ns'], entry['table'])}) AS counted")
+        rows = int(counted.first()["n"])
+        width = -(-entry["rows"] // max(1, entry["batches"] * entry["parts"]))  # planned rows of a reader
+        step = max(1, min(width, rows))
         found = self._load(f"({boundaries_text(entry, self.dialect, step)}) AS boundaries")
         if not isinstance(found.schema["k"].dataType, (T.StringType, T.IntegralType)):
             return []
@@ -153,21 +194,29 @@ class JdbcSource:
     def profile(self, keys: Sequence[Row]) -> DataFrame:
         """Row counts and key bounds, computed by the source; only one row per table travels.
 
-        ``keys`` may carry ``rows`` and ``pages`` from the catalog; rows are counted where it has no estimate.
+        ``keys`` may carry ``rows``, ``pages`` and ``row_width`` from the catalog. Rows are counted where it has no
+        estimate, and then pages are at least what so many rows take: the catalog's figure may be as old.
         """
         groups = [keys[i : i + self.tables_per_profile] for i in range(0, len(keys), self.tables_per_profile)]
         texts = [" UNION ALL ".join(self.profile_text(k) for k in g) for g in groups]
         profiled = combine([self._load(f"({t}) AS profile_rows") for t in texts], DataFrame.unionByName)
         known = local_frame(
             self.spark,
-            [tuple(k[c] for c in PROFILE_COLUMNS[:6]) + (self._known(k, "pages"),) for k in keys],
-            "source string, ns string, table string, key_column string, salt_column string, key_kind string, pages bigint",
+            [
+                tuple(k[c] for c in PROFILE_COLUMNS[:6])
+                + (self._known(k, "pages"), self._known(k, "row_width"), self._known(k, "rows") <= 0 and self.dialect.physical_pages)
+                for k in keys
+            ],
+            "source string, ns string, table string, key_column string, salt_column string, key_kind string,"
+            " known_pages bigint, row_width bigint, counted boolean",
         )
+        taken = F.when(F.col("counted") & (F.col("rows") > 0), pages_of(F.col("rows"), F.col("row_width"))).otherwise(F.lit(0))
         measured = profiled.select(
             F.col("ns"), F.col("tbl").alias("table"),
             *[F.coalesce(F.col(f"{c}_v").cast("bigint"), F.lit(0)).alias(c) for c in ("rows", "lo", "hi")],
         )
-        return known.join(measured, ["ns", "table"]).select(*PROFILE_COLUMNS)
+        profile = known.join(measured, ["ns", "table"])
+        return profile.withColumn("pages", F.greatest("known_pages", taken)).select(*PROFILE_COLUMNS)
 
     @staticmethod
     def _known(key: Row, name: str) -> int:

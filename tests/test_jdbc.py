@@ -16,6 +16,7 @@ class Recorder:
 
     def __init__(self, spark, answer=None):
         self.spark, self.answer, self.asked = spark, answer, []
+        self.rows = 2_000  # what a count at the source says
 
     @property
     def read(self):
@@ -33,6 +34,9 @@ class Recorder:
         return self
 
     def load(self):
+        if "COUNT(*) AS n FROM" in self.asked[-1]["dbtable"]:
+            self.asked.pop()
+            return self.spark.range(self.rows).selectExpr("count(*) AS n")
         return self.answer if self.answer is not None else self.spark.range(0)
 
     def jdbc(self, url, table, predicates, properties):
@@ -88,12 +92,73 @@ def test_key_partitioned_scan(spark):
     assert "partitionColumn" not in seen.asked[1]
 
 
-def test_range_batches_are_one_job(spark):
-    source, seen = mysql(spark, connections=6)
+def test_every_reader_is_a_task_of_its_own(spark):
+    source, seen = mysql(spark)
     df = source.read(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0))
     assert seen.asked[0]["dbtable"] == "`shop`.`orders`" and len(seen.asked[0]["predicates"]) == 16
     assert seen.asked[0]["predicates"][:2] == ["(`id` <= 125 OR `id` IS NULL)", "`id` >= 126 AND `id` <= 250"]
-    assert df.rdd.getNumPartitions() == 6  # sixteen slices, six connections
+    assert df.rdd.getNumPartitions() == 16
+
+
+def test_waves_bound_the_connections(spark):
+    """Four thousand readers stay four thousand tasks; no job has more than ``connections``."""
+    source, seen = mysql(spark, connections=6)
+    waves = source.waves(entry(spark, "mysql", "numeric", 500_000, 1, 500_000, 0))
+    asked = [a["predicates"] for a in seen.asked if "predicates" in a]
+    assert sum(map(len, asked)) == 4_000 and max(map(len, asked)) == 6
+    assert [w.rdd.getNumPartitions() for w in waves[-2:]] == [6, 4]
+    group = {"conditions": [{"field": "id", "op": "gte", "value": 3}]}
+    waves = source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group)
+    assert len(waves) == 3 and all("isnotnull" in w._jdf.queryExecution().toString().lower() or ">= 3" in w._jdf.queryExecution().toString() for w in waves)
+
+
+def test_a_back_slash_goes_to_the_source_as_it_reads_it(spark):
+    """MySQL reads a back-slash in a literal as an escape; the text that Spark renders doesn't allow for that."""
+    names = local_frame(spark, [], "id bigint, name string")
+    source, seen = mysql(spark, names)
+    group = {"groups": [{"conditions": [{"field": "name", "op": "in", "value": ["a\\b'c", "x"]}]}]}
+    source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group)
+    sent = [a["predicates"] for a in seen.asked if "predicates" in a][0]
+    assert sent[1] == "(`id` >= 126 AND `id` <= 250) AND ((`name` IN ('a\\\\b''c', 'x')))"
+    source.scan_where("shop", "orders", group)
+    assert seen.asked[-1]["predicates"] == ["(1 = 1) AND ((`name` IN ('a\\\\b''c', 'x')))"]
+    source, seen = postgresql(spark, names)
+    source.scan_where("public", "orders", group)
+    assert not any("predicates" in a for a in seen.asked)
+
+
+def test_a_hot_key_is_split_by_any_column(spark):
+    boundaries = local_frame(spark, [(40, 3, 300), (1, 1, 1)], "k bigint, copies bigint, r bigint")
+    source, seen = postgresql(spark, boundaries)
+    source.read(entry(spark, "postgresql", "numeric", 2_000, 1, 1_000_000, 0, salt="line"))
+    texts = [a["predicates"] for a in seen.asked if "predicates" in a][0]
+    assert '"id" = 40 AND MOD(ABS(HASHTEXT(("line")::text)::bigint), 3) = 1' in texts
+
+
+def test_repeated_keys_of_one_pass_are_read_between_boundaries(spark):
+    boundaries = local_frame(spark, [(5, 3, 1)], "k bigint, copies bigint, r bigint")
+    source, seen = mysql(spark, boundaries)
+    source.read(entry(spark, "mysql", "numeric", 900, 1, 100, 0, salt="line"))
+    assert any("AS boundaries" in a["dbtable"] for a in seen.asked)
+
+
+def test_boundaries_follow_the_true_count(spark):
+    """A table that has grown a thousandfold since its estimate gets readers of the planned size."""
+    boundaries = local_frame(spark, [(1, 1, 1)], "k bigint, copies bigint, r bigint")
+    source, seen = mysql(spark, boundaries)
+    seen.rows = 2_000_000
+    source.read(entry(spark, "mysql", "text", 1_200, 0, 0, 0))
+    assert "MOD(r - 1, 400) = 0" in seen.asked[0]["dbtable"]
+
+
+def test_pages_of_a_table_that_was_never_analysed(spark):
+    answer = local_frame(spark, [("public", "log", 10**9, None, None)], "ns string, tbl string, rows_v bigint, lo_v bigint, hi_v bigint")
+    source, _ = postgresql(spark, answer)
+    key = Row(source="postgresql", ns="public", table="log", key_column=None, salt_column=None, key_kind="page", rows=None, pages=0, row_width=80)
+    profile = source.profile([key]).collect()
+    assert profile[0]["pages"] == 10**9 * 80 // 8192
+    planned = plan_loads(local_frame(spark, [tuple(profile[0])], PROFILE_SCHEMA), LoadConfig()).first()
+    assert planned["batches"] > 900 and planned["parts"] == 4
 
 
 def test_slices_one_by_one(spark):
@@ -146,7 +211,7 @@ def test_hash_and_page_reads(spark):
         "(MOD(CRC32(`id`), 3) = 0 OR `id` IS NULL)", "MOD(CRC32(`id`), 3) = 1", "MOD(CRC32(`id`), 3) = 2",
     ]
     assert seen.asked[1]["predicates"][1] == "MOD(CRC32(CONCAT_WS('|', `id`, `line`)), 3) = 1"
-    assert len(seen.asked[2]["predicates"]) == 2_000 * 4
+    assert len(seen.asked[2]["predicates"]) == 4 * 4
     source, seen = postgresql(spark)
     source.read(entry(spark, "postgresql", "page", 400, 0, 0, 3))
     assert seen.asked[0]["predicates"] == [

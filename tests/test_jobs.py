@@ -22,12 +22,12 @@ class Failing:
     def __getattr__(self, name):
         return getattr(self.inner, name)
 
-    def read(self, entry):
-        df = self.inner.read(entry)
+    def waves(self, entry, group=None):
+        frames = self.inner.waves(entry, group)
         if entry["table"] == self.table and self.left:
             self.left -= 1
-            return df.filter(F.raise_error(F.lit("lost connection")).isNull())
-        return df
+            return [df.filter(F.raise_error(F.lit("lost connection")).isNull()) for df in frames]
+        return frames
 
 
 @pytest.fixture(scope="module")
@@ -100,8 +100,8 @@ def test_cancel_stops_a_running_table(spark, mysql, plan, sink):
         def __getattr__(self, name):
             return getattr(mysql, name)
 
-        def read(self, entry):
-            return spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))
+        def waves(self, entry, group=None):
+            return [spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))]
 
     run = Run(spark)
     threading.Timer(3, run.cancel).start()
@@ -122,9 +122,9 @@ def test_lanes_have_their_own_pools(spark, mysql, plan, sink):
         def __getattr__(self, name):
             return getattr(mysql, name)
 
-        def read(self, entry):
+        def waves(self, entry, group=None):
             pools[entry["table"]] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
-            return mysql.read(entry)
+            return mysql.waves(entry, group)
 
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", "the caller's")
     load_all(spark, Watching(), sink, plan, CFG)
@@ -188,6 +188,8 @@ def test_a_failed_snapshot_is_recorded(spark, mysql, sink):
         snapshot(Failing(mysql, "nation", 2), sink, CFG, host="db1", ledger=ledger)
     run = ledger.runs().first()
     assert run["status"] == "failed" and "shop.nation" in run["error"] and run["elapsed"] is None
+    kept = RunLedger(spark, sink).table_results().filter("status = 'failed'").collect()
+    assert [(r["table"], r["attempts"], r["run_id"]) for r in kept] == [("nation", 2, run["run_id"])]
 
 
 def test_overlapping_runs_are_refused(spark, mysql, sink):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snaplake import LoadConfig, MYSQL, POSTGRESQL
 from snaplake.frames import local_frame
 from snaplake.functions.expressions import age_seconds, elapsed_text, hash_bucket
+from snaplake.plans.catalog import SALT_SEPARATOR, discover_keys, salts_of
 from snaplake.plans.load_plan import PLAN_COLUMNS, PROFILE_SCHEMA, plan_frame, plan_loads
 from snaplake.plans.slices import (
     balanced_predicates, boundaries_text, in_bucket, is_uneven, plan_slices, predicates, reader_intervals,
@@ -38,13 +39,14 @@ def test_every_rule(spark):
         (P, "page", 60_000, 0, 0, 60): ("page_batches", 4, 60),
         (P, "numeric", 10_000, 0, 149, 10): ("page_batches", 4, 10),
         (P, "numeric", 10_000, 5, 5, 10): ("page_batches", 1, 10),
-        (P, "numeric", 10_000, 0, 149, 0): ("range_batches", 4, 1),
+        (P, "numeric", 10_000, 0, 149, 0): ("range_batches", 4, 19),
         (P, "numeric", 10_000, 5, 5, 0): ("single", 1, 1),
         (P, "numeric", 2_000, 0, 1_999, 2): ("range_batches", 4, 4),
         (P, "none", 0, 0, 0, 0): ("single", 1, 1),
         (M, "numeric", 15_000, 0, 14_999, 0): ("range_batches", 4, 30),
-        (M, "numeric", 15_000, -5, -1, 0): ("range_batches", 4, 1),  # a maximum of -1 is still a number
-        (M, "numeric", 10_000, 0, 149, 10): ("range_batches", 4, 1),
+        (M, "numeric", 15_000, -5, -1, 0): ("range_batches", 4, 5),  # a maximum of -1 is still a number
+        (M, "numeric", 10_000, 0, 149, 10): ("range_batches", 4, 19),  # 20 batches of rows, of 8 keys each
+        (M, "numeric", 2_000, 0, 10**15, 0): ("range_batches", 4, 4),
         (M, "numeric", 10_000, 3, 3, 10): ("single", 1, 1),
         (M, "numeric", 536, 0, 99, 1): ("key_partitioned", 3, 1),
         (M, "numeric", 200, 0, 99, 1): ("single", 1, 1),
@@ -77,9 +79,9 @@ def test_defaults():
 def test_sparse_64_bit_keys_stay_bounded(spark):
     lo, hi = -(2**63), 2**63 - 1
     entry = plan_loads(profile(spark, (M, "numeric", 10**7, lo, hi, 0)), LoadConfig()).collect()
-    assert entry[0]["batches"] == 10_000
+    assert entry[0]["batches"] == 10  # a million rows each, however far apart the keys
     slices = plan_slices(plan_frame(spark, entry)).orderBy("slice_no").collect()
-    assert len(slices) == 10_000 and slices[0]["lo"] == lo and slices[-1]["hi"] == hi
+    assert len(slices) == 10 and slices[0]["lo"] == lo and slices[-1]["hi"] == hi
     assert all(a["hi"] + 1 == b["lo"] for a, b in zip(slices, slices[1:]))
 
 
@@ -94,7 +96,7 @@ def test_slices_are_disjoint_and_cover(spark):
         source = P if kind == "page" else M if kind == "text" else rng.choice([M, P])
         entries.append((source, kind, rng.randint(0, 30_000), lo, hi, rng.choice([0, 1, 3, rng.randint(0, 300)])))
     cfg = LoadConfig(num_threads=rng.randint(1, 6), chunk_size=200, large_table_threshold=1_000,
-                     large_table_batch_size=500, max_slices=50)
+                     large_table_batch_size=500)
     plan = plan_loads(profile(spark, *entries), cfg).collect()
     slices = plan_slices(plan_frame(spark, plan))
     by_table, readers = {}, {}
@@ -104,7 +106,9 @@ def test_slices_are_disjoint_and_cover(spark):
         readers.setdefault(r["table"], []).append(r)
     for entry in plan:
         mine = sorted(by_table[entry["table"]], key=lambda r: r["slice_no"])
-        assert [r["slice_no"] for r in mine] == list(range(entry["batches"])) and len(mine) <= 50
+        assert [r["slice_no"] for r in mine] == list(range(entry["batches"]))
+        if entry["strategy"] != "page_batches":
+            assert len(mine) <= max(1, -(-entry["rows"] // 500))
         tasks = sorted(readers[entry["table"]], key=lambda r: (r["slice_no"], r["part_no"]))
         if entry["strategy"] == "hash_batches":
             assert [r["lo"] for r in tasks] == list(range(entry["batches"]))
@@ -117,7 +121,7 @@ def test_slices_are_disjoint_and_cover(spark):
             assert all(r["hi"] - r["lo"] + gap >= 1 or end == 0 for r in pieces)
             assert [r["open_low"] for r in pieces] == [True] + [False] * (len(pieces) - 1)
             assert [r["open_high"] for r in pieces] == [False] * (len(pieces) - 1) + [True]
-        if entry["strategy"] == "range_batches" and entry["batches"] < 50:
+        if entry["strategy"] == "range_batches" and entry["rows"] >= entry["hi"] - entry["lo"] + 1:
             assert all(r["hi"] - r["lo"] + 1 <= 500 for r in mine)
         assert all(len([t for t in tasks if t["slice_no"] == s["slice_no"]]) <= cfg.num_threads for s in mine)
 
@@ -230,6 +234,31 @@ def test_text_keys_are_read_in_even_intervals(spark):
     assert texts[-1].startswith("`k` >= 'Customer#")
 
 
+def test_a_hot_first_column_is_split_by_all_others(spark):
+    """The last column of the key has two values: by itself it would leave half of a hot tenant to one reader."""
+    df = spark.range(6_000).select(
+        F.when(F.col("id") < 4_000, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("k2"), (F.col("id") % 2).alias("k3")
+    )
+    rows = [(M, "ns", "tenants", "k", SALT_SEPARATOR.join(["k2", "k3"]), "numeric", 6_000, 7, 10**12, 0)]
+    entry = plan_loads(local_frame(spark, rows, PROFILE_SCHEMA), CFG).first()
+    boundaries = boundaries_of(spark, df, entry, 200)
+    texts = balanced_predicates(boundaries, entry, MYSQL)
+    assert any("CONCAT_WS('|', `k2`, `k3`)" in t for t in texts)
+    sizes = one_predicate_per_row(df, texts)
+    assert sum(sizes) == 6_000 and max(sizes) <= 320
+
+
+def test_keys_name_all_other_columns(spark):
+    head = "source string, ns string, table string"
+    one = ("mysql", "ns", "t")
+    tables = local_frame(spark, [one], head)
+    constraints = local_frame(spark, [(*one, "p", "PRIMARY KEY")], f"{head}, constraint_name string, constraint_type string")
+    usage = local_frame(spark, [(*one, "p", c, i) for i, c in enumerate(["tenant", "order", "line"], 1)], f"{head}, constraint_name string, column string, ordinal int")
+    columns = local_frame(spark, [(*one, c, "bigint") for c in ("tenant", "order", "line")], f"{head}, column string, data_type string")
+    found = discover_keys(tables, constraints, usage, columns).first()
+    assert (found["key_column"], salts_of(found["salt_column"])) == ("tenant", ["order", "line"]) and salts_of(None) == []
+
+
 def test_even_keys_need_no_boundaries(spark):
     even = plan_loads(profile(spark, (M, "numeric", 15_000, 0, 14_999, 0)), CFG).first()
     assert not is_uneven(even)

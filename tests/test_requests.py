@@ -23,6 +23,8 @@ def test_full_run(jobs, sink):
     state = jobs.status(run_id)
     assert (state["status"], state["db_type"], state["host"]) == ("success", "mysql", "db1")
     assert [r["run_id"] for r in jobs.list().collect()] == [run_id]
+    kept = {r["table"]: r for r in jobs.ledger.table_results().collect()}
+    assert kept["orders"]["rows"] == 1_500 and kept["orders"]["run_id"] == run_id and kept["orders"]["compaction_problem"] is None
     assert sink.read(Target(("mysql", "shop"), "orders")).count() == 1_500
     with pytest.raises(KeyError):
         jobs.status("nobody")
@@ -52,9 +54,9 @@ def test_overlap_and_cancel(spark, sink):
         def __getattr__(self, name):
             return getattr(self.inner, name)
 
-        def read(self, entry):
+        def waves(self, entry, group=None):
             begun.set()
-            return spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))
+            return [spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))]
 
     jobs = Jobs(spark, sink, RunLedger(spark, sink), source=lambda s, r: Slow(source(s, DATA, r["db_type"])))
     run_id = jobs.run(REQUEST)

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import os
 from urllib.parse import urlparse
 
@@ -69,7 +71,7 @@ def test_empty_tables(spark, sink):
 def test_compaction(spark, sink):
     rows = spark.range(12_000).select("id", F.concat(F.lit("row "), "id").alias("s"))
     sink.replace(rows.repartition(12), T)
-    assert sink.footprint(T) == (12, sum(sizes_of(sink, T)))
+    assert sink.footprint(T) == (12, sum(sizes_of(sink, T)), max(sizes_of(sink, T)))
     sink.compact(T)
     assert sink.footprint(T)[0] == 1 and same_rows(sink.read(T), rows)
     before = sink.location(T)
@@ -132,7 +134,46 @@ class FakeWriter:
         return call
 
 
-def test_iceberg_statements():
+def test_compaction_splits_large_files(spark):
+    folder = shared_dir(spark, "split")
+    rows = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    sink = ParquetSink(spark, folder, prefix="s_", target_bytes=1 << 20)
+    spark.conf.set("parquet.block.size", str(1 << 20))  # row groups are what a file can be split by
+    try:
+        sink.replace(rows.coalesce(1), T)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    assert len(sizes_of(sink, T)) == 1 and max(sizes_of(sink, T)) > 8 << 20
+    sink.compact(T)
+    assert len(sizes_of(sink, T)) >= 8 and max(sizes_of(sink, T)) <= 4 << 20
+    assert same_rows(sink.read(T), rows)
+
+
+def test_rows_of_a_file_are_bounded(spark):
+    sink = ParquetSink(spark, shared_dir(spark, "rows"), prefix="r_", file_rows=1_000)
+    assert sink.replace(spark.range(0, 5_000, 1, 1), T) == 5_000
+    assert len(sizes_of(sink, T)) == 5
+
+
+def test_waves_are_published_together(spark, sink):
+    sink.replace(spark.range(3), T)
+    assert sink.replace([spark.range(0, 10), spark.range(10, 15), spark.range(15, 16)], T) == 16
+    assert sorted(r.id for r in sink.read(T).collect()) == list(range(16))
+
+
+def test_another_application_finds_the_current_version(spark, sink):
+    sink.replace(spark.range(5), T)
+    sink.replace(spark.range(7), T)
+    other = ParquetSink(spark, sink.warehouse, prefix=f"other_{sink.prefix}")  # a catalog that knows nothing of it
+    assert other.current_version(T) == sink.current_version(T) and other.current_version(T) in sink.location(T)
+    assert other.exists(T) and other.read(T).count() == 7
+    other.append(spark.range(2), T)
+    assert sink.read(T).count() == 9
+    assert not other.exists(Target(("nowhere",), "t")) and other.current_version(Target(("nowhere",), "t")) is None
+
+
+def test_iceberg_statements(monkeypatch):
+    monkeypatch.setattr("snaplake.sinks.iceberg.counted", lambda df: (df, SimpleNamespace(get={"rows": 7})))
     spark, written = FakeSpark("7"), []
     sink = IcebergSink(spark, "lake")
     target = Target.of("postgresql", "public", "o`rders", "app")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, int64
+from snaplake.llm.common import blocks, int64, stored
 from snaplake.llm.vocabulary import encoder
 
 STRETCH = 1024
@@ -49,7 +49,8 @@ def length_histogram(docs: DataFrame, tokenizer: str, group: str | None = None,
     Null and empty texts have length 0. An empty table makes no rows.
     """
     lengths = token_lengths(docs, tokenizer, group, text)
-    counted = lengths.groupBy("part", "length").agg(F.count("*").alias("documents"))
+    # Stored, since several sums are made of it: texts are encoded once.
+    counted = stored(lengths.groupBy("part", "length").agg(F.count("*").alias("documents")), "lengths")
     if group is None:
         grouped = counted.select(F.lit(None).cast("string").alias("part"), "length", "documents")
     else:

@@ -10,7 +10,8 @@ Documents with equal sets are one class. Bands of places deal the classes' first
 every class is compared with the bucket's first one, so that a group of thousands of near copies makes a link for each
 instead of a pair for each two. Classes of a bucket that no links connect then are dealt into buckets once more, by many
 bands of more places, which sets a little under the threshold seldom share. There they are compared with the bucket's
-first one too, and at last those of different components with each other; pairs within a component can't change it.
+first one too, and at last those of different components with each other, if they meet in two buckets or more; pairs
+within a component can't change it.
 Links are verified on the full sets.
 """
 
@@ -28,7 +29,7 @@ from snaplake.llm.common import blocks, int64, lists, mix, shingle_set, small_en
 from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
-FINE_PLACES, FINE_BANDS = 1024, 512
+FINE_PLACES, FINE_BANDS = 1024, 640
 _U = np.uint64
 
 
@@ -104,7 +105,7 @@ def near_duplicates(
 
     Two documents are linked if 100 times the number of common shingles is at least ``percent`` times that of all
     theirs. A pair at 0.85 is missed by all 25 bands of 5 rows with a probability below 10^-6, by the finer bands below
-    10^-5. Documents without words are linked with nothing, like rows without an id, whose component is null and which
+    10^-4. Documents without words are linked with nothing, like rows without an id, whose component is null and which
     are kept. Rows of one id are one document: what one of them is linked with, all are. Other columns are left out.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -129,17 +130,16 @@ def near_duplicates(
     members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>"))
     ends = _component_of(members.withColumnRenamed("node", "b").withColumnRenamed("hub", "node"), found, "x").withColumnRenamed("node", "a")
     ends = _component_of(ends.withColumnRenamed("b", "node"), found, "y").withColumnRenamed("node", "b")
-    more = stored(verified(ends.filter("x <> y").select("a", "b").distinct(), sets, percent), "links")
+    more = stored(verified(_often(ends.filter("x <> y")), sets, percent), "links")
     found = stored(components(links.unionByName(more)), "found")
 
     two = _apart(members, found)
     groups = two.select("key", "component").distinct()
     met = groups.select("key", F.col("component").alias("c")).join(groups.select("key", F.col("component").alias("d")), "key").filter("c < d")
-    rest = (
+    rest = _often(
         met.join(two.select("key", F.col("component").alias("c"), F.col("node").alias("a")), ["key", "c"])
         .join(two.select("key", F.col("component").alias("d"), F.col("node").alias("b")), ["key", "d"])
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
     )
     # Rows of one id whose texts are of several classes.
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
@@ -157,6 +157,11 @@ def _members(keyed: DataFrame) -> DataFrame:
     return stored(keys.join(buckets, "key"), "members")
 
 
+def _often(pairs: DataFrame) -> DataFrame:
+    """The pairs that meet in two buckets or more: one at the threshold shares 17 fine bands, one far below it one."""
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
+
+
 def _component_of(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """``nodes`` with the component of ``node``, itself where no link has it."""
     return nodes.join(found, "node", "left").withColumn(name, F.coalesce("component", "node")).drop("component")
@@ -170,9 +175,9 @@ def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def fine_rows(percent: int) -> int:
-    """The most places a fine band can have if a pair at the threshold is to share 14 of the bands on average."""
+    """The most places a fine band can have if a pair at the threshold is to share 17.5 of the bands on average."""
     share = min(percent / 100, 0.98)
-    return max(1, int(np.log(14 / FINE_BANDS) / np.log(share)))
+    return max(1, int(np.log(17.5 / FINE_BANDS) / np.log(share)))
 
 
 def _fine_keys(rows: int):

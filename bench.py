@@ -17,8 +17,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.loads import EXPENSIVE_RETURNS  # noqa: E402
 from checks.tables import NS, new_sink, plan_entries, source, sources  # noqa: E402
-from snaplake import LoadConfig, load_all, load_filtered, load_table, plan_source  # noqa: E402
+from snaplake import FileSource, FileTable, LoadConfig, load_all, load_filtered, load_table, plan_source  # noqa: E402
 from snaplake.operators.load import target_of  # noqa: E402
+from snaplake.workspace import shared_dir  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "4")
@@ -47,8 +48,12 @@ def session() -> SparkSession:
 def workloads(spark: SparkSession) -> dict[str, Callable[[], int]]:
     """Each returns the rows it handled."""
     mysql, postgresql = sources(spark, SF_DIR)
-    keyed, paged = plan_entries(mysql, CUT), plan_entries(postgresql, CUT)
-    whole = plan_entries(postgresql, WHOLE)
+    mysql_files, postgresql_files = in_files(spark, mysql, "orders"), in_files(spark, postgresql, "lineitem")
+    sliced = source(spark, SF_DIR, "mysql", slice_by="plan")
+    keyed = plan_entries(sliced, CUT)
+    whole, groups = plan_entries(postgresql_files, WHOLE), plan_entries(postgresql_files, CUT)
+    orders_whole, orders_groups = plan_entries(mysql_files, WHOLE), plan_entries(mysql_files, CUT)
+    assert min(e["batches"] for e in (groups["lineitem"], orders_groups["orders"], keyed["orders"])) > 1 or SF_DIR.endswith("01")
     fragments = new_sink(spark)
     target = target_of(postgresql, NS["postgresql"], "lineitem")
 
@@ -69,21 +74,41 @@ def workloads(spark: SparkSession) -> dict[str, Callable[[], int]]:
         return started  # the clock starts after the fragments are written
 
     return {
-        "load_lineitem_single": load(postgresql, whole["lineitem"]),
-        "load_lineitem_pages_atomic": load(postgresql, paged["lineitem"]),
-        "load_lineitem_pages_incremental": load(postgresql, paged["lineitem"], "incremental"),
-        "load_orders_ranges_atomic": load(mysql, keyed["orders"]),
-        "load_orders_ranges_incremental": load(mysql, keyed["orders"], "incremental"),
-        "load_customer_hash_atomic": load(mysql, keyed["customer"]),
+        # Eight files of many row groups each: one job over all, and a job for each group of files.
+        "load_lineitem_whole": load(postgresql_files, whole["lineitem"]),
+        "load_lineitem_file_groups": load(postgresql_files, groups["lineitem"], "incremental"),
+        "load_orders_whole": load(mysql_files, orders_whole["orders"]),
+        "load_orders_file_groups": load(mysql_files, orders_groups["orders"], "incremental"),
+        # One file, read again for each slice: what a source that is sliced by keys or hashes does.
+        "load_orders_key_slices": load(sliced, keyed["orders"], "incremental"),
+        "load_customer_hash_slices": load(sliced, keyed["customer"], "incremental"),
         "load_filtered_lineitem": lambda: load_filtered(
             postgresql, new_sink(spark), NS["postgresql"], "lineitem", EXPENSIVE_RETURNS
         ),
         "load_all_tables": load_everything,
         "plan_all_tables": lambda: sum(plan_source(source(spark, SF_DIR, k), LoadConfig()).count() for k in NS),
+        "plan_60_tables": lambda: plan_source(many_tables(spark), LoadConfig()).count(),
         "compact_lineitem": compact,
     }
 
 
+def in_files(spark: SparkSession, given: FileSource, table: str, files: int = 8) -> FileSource:
+    """A source whose table is in several files of many row groups."""
+    ns, folder = NS[given.dialect.name], shared_dir(spark, "bench")
+    spark.conf.set("parquet.block.size", str(1 << 20))
+    given.scan(ns, table).repartition(files).write.parquet(folder)
+    spark.conf.unset("parquet.block.size")
+    tables = {(ns, table): FileTable(folder, given.tables[ns, table].key_columns)}
+    return FileSource(spark, given.dialect, tables, rows_per_page=given.rows_per_page)
+
+
+def many_tables(spark: SparkSession, n: int = 60) -> FileSource:
+    """A source with many declared tables, all over one folder of files."""
+    given = source(spark, SF_DIR, "mysql")
+    path = given.tables[NS["mysql"], "supplier"].path
+    return FileSource(spark, given.dialect, {("shop", f"t{k}"): FileTable(path, ("s_suppkey",)) for k in range(n)})
+
+
 def main() -> None:
     spark = session()
     seconds: dict[str, float] = {}

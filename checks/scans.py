@@ -17,9 +17,9 @@ from snaplake.plans.slices import in_page_slice, plan_slices, reader_intervals
 from snaplake.workspace import shared_dir
 
 
-@check("scan_full", "SELECT * FROM nation")
+@check("scan_full", "SELECT * FROM orders")
 def scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source(spark, sf_dir, "mysql").scan(NS["mysql"], "nation")
+    return source(spark, sf_dir, "mysql").scan(NS["mysql"], "orders")
 
 
 @check(

@@ -44,10 +44,23 @@ def plan_source(source: Source, cfg: LoadConfig, only: tuple[str, str] | None =
     found = aged.withColumn("rows", F.when(F.col("stale").isNull(), F.col("rows"))).collect()
     if not found:
         return plan_frame(spark, [])
-    profile = assign_page_keys(source.profile(found)).select(*PROFILE_COLUMNS).collect()
+    profile = _profiled(source, found)
     return plan_frame(spark, plan_loads(local_frame(spark, profile, PROFILE_SCHEMA), cfg).collect())
 
 
+def _profiled(source: Source, keys: list[Row]) -> list[Row]:
+    """Profiles of all tables. Where one can't be profiled, such as an invalid view, halves find it, and it gets a plan
+    without figures: its own load will fail and be reported, and the others are loaded."""
+    try:
+        return assign_page_keys(source.profile(keys)).select(*PROFILE_COLUMNS).collect()
+    except Exception:  # noqa: BLE001 - whatever the source says against one of them
+        if len(keys) == 1:
+            known = {c: keys[0][c] for c in (*TABLE_ID, "salt_column")}
+            return [Row(**{c: known.get(c, {"key_kind": "none", "key_column": None}.get(c, 0)) for c in PROFILE_COLUMNS})]
+        half = len(keys) // 2
+        return _profiled(source, keys[:half]) + _profiled(source, keys[half:])
+
+
 def snapshot(
     source: Source,
     sink: Sink,

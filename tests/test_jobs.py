@@ -182,6 +182,28 @@ def test_snapshot_end_to_end(spark, sink, tmp_path):
     assert run["elapsed"].endswith("s")
 
 
+def test_a_table_that_cannot_be_profiled_stops_no_other(spark, mysql, sink):
+    class Broken:
+        def __getattr__(self, name):
+            return getattr(mysql, name)
+
+        def profile(self, keys):
+            if any(k["table"] == "nation" for k in keys):
+                raise ValueError("view shop.nation references invalid tables")
+            return mysql.profile(keys)
+
+        def waves(self, entry, group=None):
+            if entry["table"] == "nation":
+                raise ValueError("view shop.nation references invalid tables")
+            return mysql.waves(entry, group)
+
+    with pytest.raises(LoadFailed) as failure:
+        snapshot(Broken(), sink, CFG)
+    assert {r.table for r in failure.value.results if r.status == "failed"} == {"nation"}
+    assert {r.status for r in failure.value.results if r.table != "nation"} == {"success"}
+    assert sink.read(target_of(mysql, "shop", "orders")).count() == 1_500
+
+
 def test_a_failed_snapshot_is_recorded(spark, mysql, sink):
     ledger = RunLedger(spark, sink)
     with pytest.raises(LoadFailed):

@@ -1,12 +1,14 @@
 """What the operators share: tables, stored intermediates, and text as arrays of bytes, words and hashes.
 
-Texts reach Python as Arrow batches. They are cut into blocks of a few megabytes, so that the arrays made of a block
-stay small however many rows a batch has; one text is never cut.
+Texts reach Python as Arrow batches. They are cut into blocks of a megabyte, so that the arrays made of a block stay
+small however many rows a batch has; one text is never cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from snaplake.workspace import shared_dir
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: Rows up to which a table of ids, or of ids and a few numbers, is sent to every executor: some tens of megabytes.
 BROADCAST_ROWS = 1 << 20
 
@@ -62,6 +64,23 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np
         last = max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1)
         yield row, data[bounds[row] : bounds[last]], bounds[row : last + 1] - bounds[row]
         row = last
+    give_back()
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system. Workers live on between tasks and several share an executor's memory, so
+    what one has used at its peak must not stay with it."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, hash_pieces, int64, mix, stored, words
+from snaplake.llm.common import blocks, give_back, hash_pieces, mix, offsets_of, words
 from snaplake.llm.labelled import fold, labelled_sample
 
 TRAINING_ROWS = 20_000
@@ -106,10 +106,14 @@ def fit_ordinal(
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
     theta = np.concatenate([np.zeros(dimensions), start[:1], gaps])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    row = np.repeat(np.arange(n), np.diff(first))
+    # Rows of about a quarter of a million values at a time, so that no array is as long as all of them.
+    cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, first[-1], 1 << 18), "left"), n))
+    parts = [(int(a), int(b), slice(int(first[a]), int(first[b]))) for a, b in zip(np.append(0, cuts), cuts) if b > a]
     for step in range(1, steps + 1):
         w, t = theta[:dimensions], np.cumsum(np.concatenate([theta[dimensions : dimensions + 1], np.exp(theta[dimensions + 1 :])]))
-        s = np.bincount(row, w[indices] * values, n)
+        s = np.zeros(n)
+        for a, b, own in parts:
+            s[a:b] = np.bincount(np.repeat(np.arange(b - a), np.diff(first[a : b + 1])), w[indices[own]] * values[own], b - a)
         # P(y) = F(upper) - F(lower) of the cumulative links that stand around the grade.
         low = _sigmoid(np.append(t, np.inf)[y] - s)
         high = np.where(y > 0, _sigmoid(np.insert(t, 0, -np.inf)[y] - s), 0.0)
@@ -121,7 +125,10 @@ def fit_ordinal(
         np.add.at(dt, y[y < k], -(dlow / p / n)[y < k])
         np.add.at(dt, y[y > 0] - 1, (dhigh / p / n)[y > 0])
         tail = np.cumsum(dt[::-1])[::-1]
-        g = np.concatenate([np.bincount(indices, ds[row] * values, dimensions) + ridge * w, tail[:1], tail[1:] * np.exp(theta[dimensions + 1 :])])
+        gw = ridge * w
+        for a, b, own in parts:
+            gw += np.bincount(indices[own], np.repeat(ds[a:b], np.diff(first[a : b + 1])) * values[own], dimensions)
+        g = np.concatenate([gw, tail[:1], tail[1:] * np.exp(theta[dimensions + 1 :])])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     t = np.cumsum(np.concatenate([theta[dimensions : dimensions + 1], np.exp(theta[dimensions + 1 :])]))
@@ -149,14 +156,17 @@ def fit(docs: DataFrame, rated: DataFrame, grade: Column | None = None, training
                     [batch.column(1).slice(row, n), batch.column(2).slice(row, n), cut(indices), cut(values)], names=["doc_id", "grade", "i", "v"]
                 )
 
-    got = (
-        sample.select("text", "doc_id", F.col("label").cast("double").alias("grade"))
-        .mapInArrow(rows, "doc_id long, grade double, i binary, v binary").toPandas().sort_values(["doc_id", "grade"])
-    )
-    sizes = np.array([len(b) // 4 for b in got["i"]], np.int64)
-    indices = np.frombuffer(b"".join(map(bytes, got["i"])), np.int32)
-    values = np.frombuffer(b"".join(map(bytes, got["v"])), np.float32)
-    return fit_ordinal(indices, values, np.concatenate([[0], np.cumsum(sizes)]), got["grade"].to_numpy(float))
+    hashed = sample.select("text", "doc_id", F.col("label").cast("double").alias("grade"))
+    got = hashed.mapInArrow(rows, "doc_id long, grade double, i binary, v binary").toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
+    indices, bounds = offsets_of(got["i"])
+    values, _ = offsets_of(got["v"])
+    grades = got["grade"].to_numpy().astype(float)
+    del got
+    model = fit_ordinal(indices[bounds[0] : bounds[-1]].view(np.int32), values[bounds[0] : bounds[-1]].view(np.float32), (bounds - bounds[0]) // 4, grades)
+    del indices, values
+    give_back()
+    return model
 
 
 def rate(docs: DataFrame, model: Ordinal, wanted: float = 1, least: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from snaplake.workspace import shared_dir
 
 BLOCK_BYTES = 1 << 20
+#: Key, Spark's default, ours.
+BATCH_SETTINGS = (
+    ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+    ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"),
+)
 #: Rows up to which a table of ids, or of ids and a few numbers, is sent to every executor: some tens of megabytes.
 BROADCAST_ROWS = 1 << 20
 
@@ -29,6 +34,7 @@ _U = np.uint64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -36,11 +42,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written to the cluster's shared folder and read back: what follows doesn't compute it again, and
     losing an executor loses none of it."""
     spark = frame.sparkSession
+    bound_batches(spark)
     folder = shared_dir(spark, "llm", name)
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows and bytes than Spark's defaults, which a user's own settings override: the JVM and
+    the workers hold a batch each, and ten thousand texts would take more of an executor than its tasks' arrays."""
+    for key, default, value in BATCH_SETTINGS:
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
+
 def small_enough(ids: DataFrame) -> DataFrame:
     """A stored table of ids, to be broadcast if it is counted to be small; else the join shuffles."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

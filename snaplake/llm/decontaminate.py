@@ -9,6 +9,9 @@ Windows of the size of the items are embedded, from every word of a document on,
 pair met is verified by the edit distance of the item to the best passage around the window. Only windows with an exact
 piece of some item can be within the distance, since ``d`` edits leave one of ``d + 1`` pieces intact; others are not
 embedded.
+
+Walks fall out of step over many edits, so items of more than ``LONG`` words are found by counting: ``d`` edits spoil at
+most ``g * d`` of an item's ``n - g + 1`` runs of ``g`` words, and every stretch that has the rest is verified.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from snaplake.llm.common import _U, blocks, mix, stream, words
 
 SHARE = 0.2  # words of an item that may be edited
 FEWEST = 5  # words of an item
+LONG = 100  # words beyond which items are found by counting runs, of GRAM words at most
+GRAM = 4
 WALKS, SAMPLES, PLACES = 12, 8, 3
 GROUP_BYTES = 32 << 20  # of items that are looked for in one pass
 FOUND = "doc_id long, item_id long, start long, length long, edits int"
@@ -90,16 +95,19 @@ class Index:
         edits = np.floor(sizes * self.share + 1e-9).astype(np.int64)
         self.edits = edits
         pieces = sizes // (edits + 1)
+        self.long = {int(g): self._postings(np.flatnonzero((sizes > LONG) & (np.minimum(pieces, GRAM) == g)), int(g)) for g in np.unique(np.minimum(pieces, GRAM)[sizes > LONG])}
+        sizes_embedded, pieces = sizes[sizes <= LONG], np.where(sizes <= LONG, pieces, 0)
         self.grams = {
-            int(g): np.unique(np.concatenate([_grams(self.items[k], int(g)) for k in np.flatnonzero(pieces == g)])) for g in np.unique(pieces)
+            int(g): np.unique(np.concatenate([_grams(self.items[k], int(g)) for k in np.flatnonzero(pieces == g)])) for g in np.unique(pieces[pieces > 0])
         }
         self.reach = {int(g): int((sizes + edits)[pieces == g].max()) for g in self.grams}
         ladder = [FEWEST]
-        while ladder[-1] < sizes.max(initial=0):
+        while ladder[-1] < sizes_embedded.max(initial=0):
             ladder.append(max(ladder[-1] + 1, ladder[-1] * 6 // 5))
         classes = np.array(ladder)[np.searchsorted(ladder, sizes, "right") - 1]
-        self.classes = {int(c): np.flatnonzero(classes == c) for c in np.unique(classes)}
-        self.bits = [stream(2 * int(sizes.max(initial=1)) + 8, 21 + w) | _U(1) for w in range(WALKS)]
+        self.classes = {int(c): np.flatnonzero(classes == c) for c in np.unique(classes[sizes <= LONG])}
+        self.classes = {c: m[sizes[m] <= LONG] for c, m in self.classes.items()}
+        self.bits = [stream(2 * int(sizes_embedded.max(initial=1)) + 8, 21 + w) | _U(1) for w in range(WALKS)]
         self.samples, keys, owners = {}, [], []
         for c, members in self.classes.items():
             rng = np.random.default_rng(c)
@@ -112,6 +120,40 @@ class Index:
         self.keys = np.concatenate(keys)[order] if keys else np.zeros(0, np.uint64)
         self.owners = np.concatenate(owners)[order] if keys else np.zeros(0, np.int64)
 
+    def _postings(self, members: np.ndarray, g: int) -> tuple[np.ndarray, np.ndarray]:
+        """(runs of ``g`` words in order, the item of each)."""
+        runs = [np.unique(_grams(self.items[k], g)) for k in members]
+        flat, owners = np.concatenate(runs), np.repeat(members, [len(r) for r in runs])
+        order = np.argsort(flat, kind="stable")
+        return flat[order], owners[order]
+
+    def _counted(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(item, word) of the stretches that have as many runs of a long item as its edits must leave: where a passage
+        may begin at the earliest and at the latest."""
+        met = [np.zeros((0, 2), np.int64)]
+        for g, (runs, owners) in self.long.items():
+            grams = _grams(hashes, g)
+            some = np.flatnonzero(_member(grams, runs))
+            lo, hi = np.searchsorted(runs, grams[some], "left"), np.searchsorted(runs, grams[some], "right")
+            n = hi - lo
+            item = owners[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            at = np.repeat(some, n)
+            order = np.lexsort((at, item))
+            item, at = item[order], at[order]
+            text = np.searchsorted(first, at, "right") - 1
+            for k, x, y in zip(*_stretches(item)):
+                size, most = len(self.items[k]), int(self.edits[k])
+                left = size - g + 1 - g * most
+                p = at[x:y]
+                if len(p) < left:
+                    continue
+                end, begin = p[left - 1 :], p[: len(p) - left + 1]
+                fit = (end - begin <= size + most - g) & (text[x + left - 1 : y] == text[x : y - left + 1])
+                begin, end, low = begin[fit], end[fit], first[text[x : y - left + 1][fit]]
+                starts = np.unique(np.concatenate([np.maximum(low, end + g - size - most), begin]))
+                met.append(np.stack([np.full(len(starts), k), starts], 1))
+        return np.concatenate(met)
+
     def _keys(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: list[int]) -> dict[int, np.ndarray]:
         """For each class, the keys (walk and sample, window) of windows of its size from ``starts`` on, which stop
         before ``ends``."""
@@ -141,8 +183,8 @@ class Index:
     def find(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word's byte, last word's end byte, edits) of the passages near an item in a block."""
         hashes, starts, ends, first = split(data, bounds)
-        windows = self.near(hashes, first) if len(self.items) and len(hashes) else np.zeros(0, np.int64)
-        out = []
+        windows = self.near(hashes, first) if self.classes and len(hashes) else np.zeros(0, np.int64)
+        out = self._verify(self._counted(hashes, first), hashes, first) if self.long else []
         for part in np.array_split(windows, -(-len(windows) // 50_000)) if len(windows) else []:
             text = np.searchsorted(first, part, "right") - 1
             met = []
@@ -184,6 +226,12 @@ class Index:
         return out
 
 
+def _stretches(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """(value, first place, end) of the runs of equal values."""
+    edges = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return values[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(values)] if len(edges) else []
+
+
 def _best(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
     """Of an item's passages that overlap, the one with the fewest edits."""
     out: list[tuple[int, int, int, int, int]] = []

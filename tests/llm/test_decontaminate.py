@@ -132,3 +132,32 @@ def test_walks_of_equal_windows_are_equal():
     keys = index._keys(a, np.array([5]), np.array([50]), list(index.classes))
     for c, k in keys.items():
         assert set(k[:, 0].tolist()) <= set(index.keys.tolist())
+
+
+def index_of(items):
+    cut = lambda t: decontaminate.split(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0]
+    hashes = [cut(t) for t in items]
+    long = [k for k, h in enumerate(hashes) if len(h) >= decontaminate.FEWEST]
+    return decontaminate.Index(long, [hashes[k] for k in long])
+
+
+def found_in(index, texts):
+    data = [t.encode() for t in texts]
+    got = index.find(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    return {(t, k, b"".join(data)[a:b].decode(), d) for t, k, a, b, d in got}
+
+
+def test_long_items_with_all_their_edits_are_found():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    for n in (200, 500, 800, 1000):
+        items = [[word() for _ in range(n)] for _ in range(10)]
+        texts = []
+        for k in range(40):
+            item = list(items[k % 10])
+            for _ in range(n // 5):
+                at, what = rng.randrange(len(item)), rng.randrange(3)
+                item[at : at + (what != 1)] = [word()] if what < 2 else []
+            texts.append(" ".join([*(word() for _ in range(60)), *item, *(word() for _ in range(60))]))
+        got = found_in(index_of([" ".join(i) for i in items]), texts)
+        assert {(t, k) for t, k, _, _ in got} == {(k, k % 10) for k in range(40)} and all(d <= n // 5 for *_, d in got)

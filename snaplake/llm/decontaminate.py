@@ -11,23 +11,24 @@ piece of some item can be within the distance, since ``d`` edits leave one of ``
 embedded.
 
 Walks fall out of step over many edits, so items of more than ``LONG`` words are found by counting: ``d`` edits spoil at
-most ``g * d`` of an item's ``n - g + 1`` runs of ``g`` words, and every stretch that has the rest is verified.
+most ``g * d`` of an item's ``n - g + 1`` runs of ``g`` words, and every stretch that has the rest is verified. Items of
+fewer than ``FEWEST`` words may have no edit and are found by themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import _U, blocks, mix, stream, words
+from snaplake.llm.common import _LOWER, _U, blocks, hash_pieces, mix, stream, words
 
 SHARE = 0.2  # words of an item that may be edited
-FEWEST = 5  # words of an item
+FEWEST = 5  # words of an item that may have edits
 LONG = 100  # words beyond which items are found by counting runs, of GRAM words at most
 GRAM = 4
 WALKS, SAMPLES, PLACES = 12, 8, 3
@@ -35,14 +36,40 @@ GROUP_BYTES = 32 << 20  # of items that are looked for in one pass
 FOUND = "doc_id long, item_id long, start long, length long, edits int"
 _PAD = _U(0x5851F42D4C957F2D)
 
-# Words are runs of letters, digits and bytes beyond ASCII: signs don't tell words apart.
+# Words are runs of letters, digits and bytes beyond ASCII: signs don't tell words apart. Scripts without spaces have a
+# word for each character.
 _APART = np.ones(256, bool)
 for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
     _APART[_a:_b] = False
 
 
+_ALONE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FA), (0x30FC, 0x30FF), (0x3100, 0x312F), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_SIGNS = ((0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
 def split(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return words(data, bounds, space=_APART)
+    """``words`` of a block, and the characters of Thai, Lao, Burmese, Khmer, kana and Chinese one by one, without the
+    signs and full-width signs that are written among them."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return words(data, bounds, space=_APART)
+    pad = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
+    point = np.where(data[lead] < 0xF0, (pad[lead] & 15) << 12 | (pad[lead + 1] & 63) << 6 | pad[lead + 2] & 63, (pad[lead] & 7) << 18 | (pad[lead + 1] & 63) << 12 | (pad[lead + 2] & 63) << 6 | pad[lead + 3] & 63)
+    size = np.where(data[lead] < 0xF0, 3, 4)
+    among = lambda ranges: np.any([(point >= x) & (point <= y) for x, y in ranges], axis=0)
+    alone, sign = among(_ALONE), among(_SIGNS)
+    if not (alone | sign).any():
+        return words(data, bounds, space=_APART)
+    solid = ~_APART[data]
+    for k in range(4):
+        solid[lead[sign & (size > k)] + k] = False
+    cut = np.ones(len(data) + 1, bool)
+    cut[1:-1] = ~solid[1:] | ~solid[:-1]
+    cut[bounds] = True
+    cut[lead[alone]] = cut[lead[alone] + size[alone]] = True
+    starts = np.flatnonzero(solid & cut[:-1])
+    ends = np.flatnonzero(solid & cut[1:]) + 1
+    return hash_pieces(_LOWER[data][solid], ends - starts), starts, ends, np.searchsorted(starts, bounds)
 
 
 def walk(symbols: np.ndarray, starts: np.ndarray, steps: np.ndarray, wanted: set[int]) -> dict[int, np.ndarray]:
@@ -89,6 +116,7 @@ class Index:
     ids: list[int]
     items: list[np.ndarray]
     share: float = SHARE
+    short: list[tuple[int, np.ndarray]] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         sizes = np.array([len(i) for i in self.items], np.int64)
@@ -96,6 +124,13 @@ class Index:
         self.edits = edits
         pieces = sizes // (edits + 1)
         self.long = {int(g): self._postings(np.flatnonzero((sizes > LONG) & (np.minimum(pieces, GRAM) == g)), int(g)) for g in np.unique(np.minimum(pieces, GRAM)[sizes > LONG])}
+        self.exact = {}
+        for n in sorted({len(i) for _, i in self.short}):
+            of: dict[int, list[int]] = {}
+            for k, i in self.short:
+                if len(i) == n:
+                    of.setdefault(int(_grams(i, n)[0]), []).append(k)
+            self.exact[n] = np.array(sorted(of), np.uint64), of
         sizes_embedded, pieces = sizes[sizes <= LONG], np.where(sizes <= LONG, pieces, 0)
         self.grams = {
             int(g): np.unique(np.concatenate([_grams(self.items[k], int(g)) for k in np.flatnonzero(pieces == g)])) for g in np.unique(pieces[pieces > 0])
@@ -154,6 +189,17 @@ class Index:
                 met.append(np.stack([np.full(len(starts), k), starts], 1))
         return np.concatenate(met)
 
+    def _copies(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Rows of ``find`` for the short items."""
+        out = []
+        for n, (known, of) in self.exact.items():
+            grams = _grams(hashes, n)
+            for k in np.flatnonzero(_member(grams, known)):
+                text = int(np.searchsorted(first, k, "right")) - 1
+                if k + n <= first[text + 1]:
+                    out += [(text, item, int(starts[k]), int(ends[k + n - 1]), 0) for item in of[int(grams[k])]]
+        return out
+
     def _keys(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: list[int]) -> dict[int, np.ndarray]:
         """For each class, the keys (walk and sample, window) of windows of its size from ``starts`` on, which stop
         before ``ends``."""
@@ -197,7 +243,8 @@ class Index:
                 met.append(np.unique(np.stack([self.owners[own], part[np.repeat(some % len(part), n)]], 1), axis=0))
             met = np.unique(np.concatenate(met), axis=0)
             out += self._verify(met, hashes, first)
-        return sorted({(t, self.ids[k], int(starts[a]), int(ends[b - 1]), d) for t, k, a, b, d in _best(out)})
+        near = {(t, self.ids[k], int(starts[a]), int(ends[b - 1]), d) for t, k, a, b, d in _best(out)}
+        return sorted(near | set(self._copies(hashes, starts, ends, first)))
 
     def _verify(self, met: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, end, edits); windows of an item that lie together are verified at once."""
@@ -261,25 +308,28 @@ def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def indexes(benchmark: DataFrame, share: float = SHARE, item_id: str = "item_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> Iterator[Index]:
-    """The items in groups of about ``group_bytes``, one index each; a usual benchmark is one group. Items with fewer
-    than ``FEWEST`` words or without an id are left out, since they are no passages."""
+    """The items in groups of about ``group_bytes``, one index each; a usual benchmark is one group. Items without
+    words or an id are left out."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).filter("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-size // group_bytes))
     for g in range(groups):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).distinct().orderBy("item_id", "text").collect()
-        split_rows = []
+        split_rows, short = [], []
         for r in rows:
             data = np.frombuffer(r["text"].encode("utf-8"), np.uint8)
             h, *_ = split(data, np.array([0, len(data)]))
             if len(h) >= FEWEST:
                 split_rows.append((r["item_id"], h))
-        yield Index([k for k, _ in split_rows], [h for _, h in split_rows], share)
+            elif len(h):
+                short.append((r["item_id"], h))
+        yield Index([k for k, _ in split_rows], [h for _, h in split_rows], share, short)
 
 
 def benchmark_passages(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each passage of a document that is within the edit distance of an item, a ``share`` of the item's
-    words: doc_id, item_id, start and length (characters), edits (words). Words are compared without case and signs.
+    words: doc_id, item_id, start and length (characters), edits (words). Words are compared without case and signs; in scripts
+    without spaces each character is one. Items of fewer than ``FEWEST`` words count where they stand as they are.
 
     Null, empty and short texts have none; rows without an id or with equal ids are searched one by one. Of passages
     of one item that overlap, the nearest counts. Empty tables make no rows.

@@ -138,7 +138,7 @@ def index_of(items):
     cut = lambda t: decontaminate.split(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0]
     hashes = [cut(t) for t in items]
     long = [k for k, h in enumerate(hashes) if len(h) >= decontaminate.FEWEST]
-    return decontaminate.Index(long, [hashes[k] for k in long])
+    return decontaminate.Index(long, [hashes[k] for k in long], short=[(k, h) for k, h in enumerate(hashes) if len(h) < decontaminate.FEWEST])
 
 
 def found_in(index, texts):
@@ -161,3 +161,10 @@ def test_long_items_with_all_their_edits_are_found():
             texts.append(" ".join([*(word() for _ in range(60)), *item, *(word() for _ in range(60))]))
         got = found_in(index_of([" ".join(i) for i in items]), texts)
         assert {(t, k) for t, k, _, _ in got} == {(k, k % 10) for k in range(40)} and all(d <= n // 5 for *_, d in got)
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = ["What now?", "我们今天去公园散步，然后回家。", "東京", "สวัสดีครับ"]
+    texts = ["So what, NOW then; whatnow", "他说：我们今天去公园跑步，然后回家！好", "京東 東京", "x สวัสดีครับ y", "what", "now"]
+    got = found_in(index_of(items), texts)
+    assert got == {(0, 0, "what, NOW", 0), (1, 1, "我们今天去公园跑步，然后回家", 1), (2, 2, "東京", 0), (3, 3, "สวัสดีครับ", 0)}

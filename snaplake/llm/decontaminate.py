@@ -259,16 +259,17 @@ class Index:
             x = max(int(a) - most - n // 2, int(first[text]))
             y = min(int(met[last][1]) + n + most + n // 2, int(first[text + 1]))
             wanted = self.items[item].tolist()
-            while x < y:  # every passage of the stretch, from left to right
+            todo = [(x, y)]
+            while todo:  # every passage of the stretch, on both sides of the best
+                x, y = todo.pop()
+                if y - x < n - most:
+                    continue
                 d, end = edit_search(wanted, hashes[x:y].tolist())
                 if d > most:
-                    break
+                    continue
                 _, back = edit_search(wanted[::-1], hashes[x : x + end][::-1].tolist())
                 out.append((text, int(item), x + end - back, x + end, d))
-                rest = x + end
-                if y - rest < n - most:
-                    break
-                x = rest
+                todo += [(x, x + end - back), (x + end, y)]
             k = last + 1
         return out
 

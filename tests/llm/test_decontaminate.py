@@ -168,3 +168,15 @@ def test_short_items_and_scripts_without_spaces():
     texts = ["So what, NOW then; whatnow", "他说：我们今天去公园跑步，然后回家！好", "京東 東京", "x สวัสดีครับ y", "what", "now"]
     got = found_in(index_of(items), texts)
     assert got == {(0, 0, "what, NOW", 0), (1, 1, "我们今天去公园跑步，然后回家", 1), (2, 2, "東京", 0), (3, 3, "สวัสดีครับ", 0)}
+
+
+def test_an_edited_copy_before_a_better_one_has_its_row():
+    item = " ".join(f"w{k}" for k in range(20))
+    edited = item.replace("w9 ", "other ")
+    got = found_in(index_of([item]), [f"x y {edited} {item} z {edited}"])
+    assert got == {(0, 0, edited, 1), (0, 0, item, 0)} and len(index_of([item]).find(*block(f"x y {edited} {item} z {edited}"))) == 3
+
+
+def block(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from snaplake.llm.common import small_enough, stored
 
 ARITY = 8
-BLOCK_RUNS = 512  # runs of a window
+BLOCK_RUNS = 64  # runs of a window
 RANGE_ROWS = 10_000, 1_000_000  # rows of a range: at least, while there are no more ranges than shuffle partitions, and at most
 COPIES = 100_000  # copies of one row that a task makes
 
@@ -158,9 +158,8 @@ def manifest(rows: DataFrame, group: str, order: Sequence[str], hash_: str, arit
     every = stored(roots, "subroots").select(F.lit("").alias("tree"), F.col("tree").alias("of_tree"), "hash")
     top = stored(placed(every, ["tree"], ["of_tree"]), "tops")
     upper, whole = _levels(top, arity)
-    # One row, sent along with every path.
-    root = F.broadcast(whole.select(F.col("hash").alias("root")))
-    start = root.select(F.lit("").alias("tree"), F.array().cast(PATH).alias("path"), "root")
+    # One row, which is met by the nodes of the last run only.
+    start = stored(whole.select(F.lit("").alias("tree"), F.array().cast(PATH).alias("path"), F.col("hash").alias("root")), "root")
     paths = _paths(upper, start, arity) if upper else top.join(start, "tree")
     above = stored(paths.select(F.col("of_tree").alias("tree"), "path", F.col("hash").alias("subroot"), "root"), "above")
 

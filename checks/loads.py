@@ -135,11 +135,11 @@ class FailsOnce:
     def __getattr__(self, name: str):
         return getattr(self.inner, name)
 
-    def waves(self, entry, group=None):
+    def waves(self, entry, group=None, first=0, layout=None):
         if entry["table"] == self.table:
             self.table = None
             raise OSError("the connection was lost")
-        return self.inner.waves(entry, group)
+        return self.inner.waves(entry, group, first, layout)
 
 
 @check(
@@ -154,7 +154,7 @@ def load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink = new_sink(spark)
         ledger, failing = RunLedger(spark, sink), FailsOnce(src, "nation" if src.dialect.name == "mysql" else "part")
         ledger.record_results("run", load_all(spark, failing, sink, plan_source(src, CFG), CFG), [])
-        found.append(ledger.table_results().drop("run_id", "error", "compaction_problem"))
+        found.append(ledger.table_results().drop("run_id", "error", "digest", "compaction_problem"))
     return functools.reduce(DataFrame.unionByName, found)
 
 

@@ -19,13 +19,15 @@ DEFAULT_TARGET_FILE_BYTES = 268_435_456
 # Ours: open connections of one table, and rows of one file, so that a reader's rows don't become one huge file.
 DEFAULT_CONNECTIONS = 16
 DEFAULT_FILE_ROWS = 10_000_000
+DEFAULT_RESUME_SECONDS = 86_400
 
 
 @dataclass(frozen=True)
 class LoadConfig:
     """Tuning knobs of a load.
 
-    ``connections`` bounds the readers of one table that run at a time; their number follows from its rows.
+    ``connections`` bounds the readers of one table that run at a time; their number follows from its rows. A load that
+    stopped is gone on with for ``resume_seconds``; 0 starts it anew each time.
     """
 
     num_threads: int = DEFAULT_NUM_THREADS
@@ -39,6 +41,7 @@ class LoadConfig:
     connections: int = DEFAULT_CONNECTIONS
     even_reads: bool = True
     single_shot: bool = False
+    resume_seconds: int = DEFAULT_RESUME_SECONDS
 
     @classmethod
     def of(cls, settings: Mapping[str, Any]) -> LoadConfig:

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from snaplake.config import LoadConfig
 from snaplake.functions.filters import validate_filter
-from snaplake.operators.ledger import PENDING, RunConflict, RunLedger
+from snaplake.operators.ledger import ACTIVE, PENDING, RunConflict, RunLedger
+from snaplake.operators.lease import Lease
 from snaplake.operators.load import LoadFailed, Run, load_filtered
 from snaplake.operators.snapshot import Snapshot, plan_source, snapshot
 from snaplake.sinks.base import Sink
@@ -59,7 +60,9 @@ class Jobs:
         """Start a full snapshot and return its run id; refused while another run for the source is active."""
         source = self.source(self.spark, request)
         cfg = dataclasses.replace(self.cfg, single_shot=bool(request.get("single_shot", False)))
+        run = self.ledger.new_run()
         self._ensure_free(source.dialect.name, request["host"])
+        lease = self.ledger.claim(run, source.dialect.name, request["host"])
         position = Row(**request["position"]) if request.get("position") else None
         documents = request.get("documents")
 
@@ -72,7 +75,7 @@ class Jobs:
             self.ledger.record_results(run.run_id, done.results, done.compacted)
             return done
 
-        return self._start(request, source, work)
+        return self._start(request, source, work, run, lease)
 
     def run_filtered(self, request: Request) -> str:
         """Start a filtered snapshot of one table and return its run id."""
@@ -85,26 +88,34 @@ class Jobs:
                 entry = plan_source(source, self.cfg, (ns, table)).first()
             return load_filtered(source, self.sink, ns, table, group, entry=entry, run=run)
 
-        return self._start(request, source, work)
+        return self._start(request, source, work, self.ledger.new_run(), None)
 
-    def _start(self, request: Request, source: Source, work: Callable[[Run], Any]) -> str:
-        run, db_type, host = Run(self.spark), source.dialect.name, request["host"]
-        self.ledger.record(run.run_id, PENDING, db_type, host)
+    def _start(self, request: Request, source: Source, work: Callable[[Run], Any], run: Run, lease: Lease | None) -> str:
+        db_type, host = source.dialect.name, request["host"]
 
         def followed() -> Any:
-            with self.ledger.follow(run, db_type, host):
-                return work(run)
-
+            try:
+                with self.ledger.follow(run, db_type, host):
+                    return work(run)
+            finally:
+                if lease:
+                    lease.release()
+
+        try:
+            self.ledger.record(run.run_id, PENDING, db_type, host)
+        except BaseException:
+            if lease:
+                lease.release()
+            raise
         future = self._pool.submit(inheritable_thread_target(self.spark)(followed))
         self._own[run.run_id] = run, future, (db_type, host)
         return run.run_id
 
     def _ensure_free(self, db_type: str, host: str) -> None:
-        """Ask this driver's own jobs first: the ledger's answer takes a Spark job."""
+        """Ask this driver's own jobs, filtered ones too, before the source is claimed."""
         for run_id, (_, future, place) in self._own.items():
             if place == (db_type, host) and not future.done():
                 raise RunConflict(f"run {run_id} is active for {db_type} at {host}")
-        self.ledger.ensure_free(db_type, host)
 
     def status(self, run_id: str) -> Row:
         found = self.ledger.run(run_id).first()
@@ -116,11 +127,20 @@ class Jobs:
         return self.ledger.runs()
 
     def cancel(self, run_id: str) -> None:
-        """Cancel a running job of this driver, at once: however busy the cluster, no job is needed for it."""
+        """Cancel a running job: one of this driver at once, however busy the cluster, for no job is needed for it; one of
+        another driver when that next looks for a mark, between tables or waves."""
         run, future, _ = self._own.get(run_id, (None, None, None))
-        if run is None or future.done():
-            raise ValueError(f"run {run_id} is not running here")
-        run.cancel()  # one that waits for its turn will find that it is cancelled
+        if run is not None and not future.done():
+            run.cancel()  # one that waits for its turn will find that it is cancelled
+            return
+        found = self.ledger.run(run_id).first() if run is None and self.ledger.marks else None
+        if found is None or found["status"] not in ACTIVE:
+            raise ValueError(f"run {run_id} is not running")
+        self.ledger.ask_to_cancel(run_id)
+
+    def failed_tables(self, run_id: str) -> DataFrame:
+        """The tables of a run that failed, as rows: attempts and the last error of each."""
+        return self.ledger.failed_tables(run_id)
 
     def wait(self, run_id: str, timeout: float | None = None) -> Any:
         """What the job returned, once it is done; raises what it raised."""

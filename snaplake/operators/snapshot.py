@@ -12,6 +12,7 @@ from snaplake.config import LoadConfig
 from snaplake.frames import local_frame
 from snaplake.operators.ledger import PENDING, RunLedger
 from snaplake.operators.load import LoadFailed, Run, TableLoad, compact_loaded, in_lanes, load_all, results_frame, target_of
+from snaplake.operators.progress import LoadProgress
 from snaplake.operators.manifest import replication_documents, save_document, snapshot_manifests
 from snaplake.plans.catalog import (
     TABLE_ID, assign_page_keys, discover_keys, estimate_pages, list_tables, row_widths, stale_tables,
@@ -79,27 +80,34 @@ def snapshot(
     before loading, and a manifest with the observed row counts after. The ledger refuses a second full run
     for the same source and records this one.
     """
-    run, db_type = run or Run(source.spark), source.dialect.name
+    db_type = source.dialect.name
     if not ledger:
-        return _snapshot(source, sink, cfg, position, documents, run, publish, None)
-    ledger.ensure_free(db_type, host)
-    ledger.record(run.run_id, PENDING, db_type, host)
-    with ledger.follow(run, db_type, host):
-        return _snapshot(source, sink, cfg, position, documents, run, publish, ledger)
+        return _snapshot(source, sink, cfg, position, documents, run or Run(source.spark), publish, None)
+    run = run or ledger.new_run()
+    lease = ledger.claim(run, db_type, host)
+    try:
+        ledger.record(run.run_id, PENDING, db_type, host)
+        with ledger.follow(run, db_type, host):
+            return _snapshot(source, sink, cfg, position, documents, run, publish, ledger)
+    finally:
+        if lease:
+            lease.release()
 
 
 def _snapshot(
     source: Source, sink: Sink, cfg: LoadConfig, position: Row | None, documents: str | None, run: Run, publish: str,
     ledger: RunLedger | None,
 ) -> Snapshot:
+    """Loads of several waves are gone on with if an earlier run left them, unless ``resume_seconds`` is 0."""
     spark, positions = source.spark, None
+    progress = LoadProgress(spark, sink, run.run_id, max_age_seconds=cfg.resume_seconds) if cfg.resume_seconds else None
     if position is not None and documents:
         positions = spark.createDataFrame([position])
         _save(replication_documents(positions), documents)
     with run.jobs("small", "plan"):
         plan = plan_source(source, cfg)
     try:
-        results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish)
+        results = load_all(spark, source, sink, plan, cfg, run=run, publish=publish, progress=progress)
     except LoadFailed as problem:
         if ledger:
             ledger.record_results(run.run_id, problem.results, [])
@@ -128,7 +136,7 @@ def refresh_stale(
     stale = stale_tables(plan.select(*TABLE_ID), source.catalog().stats_times, now, cfg.stats_max_age_seconds)
 
     def one(entry: Row) -> tuple[str, str] | None:
-        if run and run.cancelled:
+        if run and run.poll():
             return None
         with run.jobs("small", f"statistics of {entry['ns']}.{entry['table']}") if run else nullcontext():
             sink.refresh_statistics(target_of(source, entry["ns"], entry["table"]))

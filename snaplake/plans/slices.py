@@ -53,8 +53,9 @@ def slice_number(key: Column, lo: Column, hi: Column, width: Column, exact: str
     return F.call_function("div", inside.cast(exact) - lo.cast(exact), width.cast(exact))
 
 
-def plan_slices(plan: DataFrame) -> DataFrame:
-    """Every slice of every planned table, one row each. Tables read in one go have a single slice."""
+def plan_slices(plan: DataFrame, start: int = 0, count: int | None = None) -> DataFrame:
+    """Every slice of every planned table, one row each, or only ``count`` of them from ``start`` on. Tables read in one go
+    have a single slice."""
     unit = F.lit(None).cast("string")
     for strategy, name in _UNITS.items():
         unit = F.when(F.col("strategy") == strategy, name).otherwise(unit)
@@ -69,7 +70,11 @@ def plan_slices(plan: DataFrame) -> DataFrame:
         F.when(is_range, slice_high(lo, hi, width, n)).when(is_hash, n).when(by_page, batch_high).otherwise(hi)
     )
     span = F.when(by_page, F.greatest(high - low, F.lit(1))).otherwise(F.col("parts"))
-    return plan.withColumn("slice_no", _numbers(F.col("batches"))).select(
+    begin, past = F.lit(start).cast("bigint"), F.col("batches")
+    if count is not None:
+        past = F.least(past, F.lit(start + count).cast("bigint"))
+    numbered = plan.filter(past > begin).withColumn("slice_no", F.explode(F.sequence(begin, past - F.lit(1))))
+    return numbered.select(
         *TABLE_ID, "key_column", "salt_column", "strategy", unit.alias("unit"), "slice_no",
         F.col("batches").alias("slices"),
         low.alias("lo"), high.alias("hi"),
@@ -109,13 +114,24 @@ def reader_intervals(slices: DataFrame) -> DataFrame:
     )
 
 
-def boundaries_text(entry: Row, dialect: Dialect, step: int) -> str:
-    """Source-side query for every ``step``-th key in key order, read from the key's index.
+def widened(entry: Row, readers: int) -> Row:
+    """The plan entry with slices that are so much wider that there are no more than ``readers`` readers of them."""
+    if entry["slice_width"] is None or entry["batches"] * entry["parts"] <= readers:
+        return entry
+    times = -(-entry["batches"] * entry["parts"] // readers)
+    return Row(**entry.asDict() | {"slice_width": entry["slice_width"] * times, "batches": -(-entry["batches"] // times)})
+
+
+def boundaries_text(entry: Row, dialect: Dialect, step: int, one_of: int = 1) -> str:
+    """Source-side query for every ``step``-th key in key order, of one key in ``one_of``, drawn by a hash of all key
+    columns: the source orders only those. It orders them itself, as it will compare them.
 
     A key met several times comes once, with its ``copies``: the source decides which keys are the same.
     """
     key, table = dialect.quote(entry["key_column"]), dialect.table(entry["ns"], entry["table"])
-    ranked = f"SELECT {key} AS k, ROW_NUMBER() OVER (ORDER BY {key}) AS r FROM {table} WHERE {key} IS NOT NULL"
+    whole = ", ".join([key, *[dialect.quote(s) for s in salts_of(entry["salt_column"])]])
+    drawn = f" AND {dialect.in_bucket(f'CONCAT_WS({chr(39)}|{chr(39)}, {whole})', one_of, one_of - 1)}" if one_of > 1 else ""
+    ranked = f"SELECT {key} AS k, ROW_NUMBER() OVER (ORDER BY {key}) AS r FROM {table} WHERE {key} IS NOT NULL{drawn}"
     return (
         f"SELECT MIN(k) AS k, COUNT(*) AS copies, MIN(r) AS r FROM ({ranked}) AS ranked"
         f" WHERE MOD(r - 1, {step}) = 0 GROUP BY k"

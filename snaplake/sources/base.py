@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol, TypeVar
 
@@ -47,10 +47,16 @@ class Source(Protocol):
     def read(self, entry: Row) -> DataFrame:
         """The whole table, in parallel, the way its plan entry says."""
 
-    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
-        """The table, or its rows that pass a filter, in parts that the source bears one at a time."""
+    def layout(self, entry: Row) -> str | None:
+        """What else than the plan entry decides how the table is cut, as text; None if nothing does."""
 
-    def pieces(self, entry: Row) -> list[Row]:
+    def waves(
+        self, entry: Row, group: Mapping[str, Any] | None = None, first: int = 0, layout: str | None = None
+    ) -> Iterator[DataFrame]:
+        """The table, or its rows that pass a filter, in parts that the source bears one at a time, from part ``first``
+        on. Each is made when it is taken. The same entry and layout give the same parts."""
+
+    def pieces(self, entry: Row) -> Iterable[Row]:
         """Slices of the table in order, a few small rows each with its ``slice_no``."""
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:

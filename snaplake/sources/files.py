@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 import heapq
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
@@ -79,9 +79,15 @@ class FileSource:
         df = self.scan(ns, table)
         return df.filter(to_column(group, df.schema))
 
-    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
+    def layout(self, entry: Row) -> str | None:
+        return None
+
+    def waves(
+        self, entry: Row, group: Mapping[str, Any] | None = None, first: int = 0, layout: str | None = None
+    ) -> Iterator[DataFrame]:
         """Files bear as many readers as there are: one frame."""
-        return [self.read(entry) if group is None else self.scan_where(entry["ns"], entry["table"], group)]
+        if first == 0:
+            yield self.read(entry) if group is None else self.scan_where(entry["ns"], entry["table"], group)
 
     def paged(self, ns: str, table: str, page: str = "page") -> DataFrame:
         """The table with each row's page. Pages are blocks of ``rows_per_page`` rows of a file; files follow each other

@@ -7,7 +7,9 @@ open can pass ``session_statement`` to import it in every reader.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+import json
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -20,13 +22,17 @@ from snaplake.functions.filters import to_column, to_sql
 from snaplake.plans.catalog import pages_of
 from snaplake.plans.load_plan import PROFILE_COLUMNS, plan_frame
 from snaplake.plans.slices import (
-    balanced_predicates, boundaries_text, is_uneven, plan_slices, predicates, reader_intervals,
+    balanced_predicates, boundaries_text, is_uneven, plan_slices, predicates, reader_intervals, widened,
 )
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.catalog_sql import CATALOG_SQL
 from snaplake.sources.dialects import Dialect
 
 
+#: Jobs in which a table is read at most, slices that are planned at a time, and keys that a source ranks for boundaries.
+MAX_WAVES, SLICES_AT_ONCE, SAMPLED_KEYS = 1_000, 1_024, 200_000
+
+
 class JdbcSource:
     def __init__(
         self,
@@ -95,21 +101,33 @@ class JdbcSource:
         where = to_sql(group, self.dialect)
         return self._load_where(ns, table, [f"({t}) AND {where}" for t in texts])
 
-    def waves(self, entry: Row, group: Mapping[str, Any] | None = None) -> list[DataFrame]:
-        """The table, or its rows that pass a filter, in parts of ``connections`` readers: one after the other, they
-        never open more. Each reader stays a partition, and so a task, of its own."""
-        texts = self._texts(entry)
-        where = ""
+    def layout(self, entry: Row) -> str | None:
+        """The boundaries between a table's readers, where the source has to be asked for them: what a load that goes on
+        later needs to cut the table the same way."""
+        if not self._asks(entry):
+            return None
+        found = self._boundaries(entry)
+        return json.dumps(found) if found else None
+
+    def waves(
+        self, entry: Row, group: Mapping[str, Any] | None = None, first: int = 0, layout: str | None = None
+    ) -> Iterator[DataFrame]:
+        """The table, or its rows that pass a filter, in parts of ``connections`` readers, from wave ``first`` on: one
+        after the other, they never open more. Each reader stays a partition, and so a task, of its own.
+
+        Waves are made as they are taken: a frame is opened, and its readers' predicates are computed, when it is its
+        turn. There are at most ``MAX_WAVES``; readers of a table that would have more take more rows each.
+        """
+        where, condition = "", None
         if group is not None:
             schema = self.scan(entry["ns"], entry["table"]).schema
             condition = to_column(group, schema)
             where = to_sql(group, self.dialect) if self._escapes(group) else ""
-        out = []
-        for i in range(0, len(texts), self.connections):
-            some = texts[i : i + self.connections]
+        texts = (t for _, some in self._slices(entry, layout) for t in some)
+        texts = itertools.islice(texts, first * self.connections, None)
+        while some := list(itertools.islice(texts, self.connections)):
             df = self._load_where(entry["ns"], entry["table"], [f"({t}) AND {where}" for t in some] if where else some)
-            out.append(df if group is None or where else df.filter(condition))
-        return out
+            yield df if condition is None or where else df.filter(condition)
 
     def _escapes(self, group: Mapping[str, Any]) -> bool:
         """Whether a literal of the filter has a back-slash that the source would read as an escape."""
@@ -131,13 +149,11 @@ class JdbcSource:
         return self._load_where(entry["ns"], entry["table"], self._texts(entry))
 
     def _texts(self, entry: Row) -> list[str]:
-        return ["1 = 1"] if entry["strategy"] == "single" else [r["predicate"] for r in self._readers(entry)]
+        return [t for _, some in self._slices(entry) for t in some]
 
-    def pieces(self, entry: Row) -> list[Row]:
-        by_slice: dict[int, list[str]] = {}
-        for r in self._readers(entry):
-            by_slice.setdefault(r["slice_no"], []).append(r["predicate"])
-        return [Row(slice_no=n, predicates=texts) for n, texts in sorted(by_slice.items())]
+    def pieces(self, entry: Row) -> Iterator[Row]:
+        for n, texts in self._slices(entry):
+            yield Row(slice_no=n, predicates=texts)
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
         return self._load_where(entry["ns"], entry["table"], piece["predicates"])
@@ -149,21 +165,32 @@ class JdbcSource:
         properties = {k: v for k, v in self.options.items() if k != "url"}
         return self.spark.read.jdbc(self.options["url"], self.dialect.table(ns, table), predicates=texts, properties=properties)
 
-    def _readers(self, entry: Row) -> list[Row]:
-        """Predicates of all readers of a table: short texts, ``parts`` for each batch of rows.
+    def _asks(self, entry: Row) -> bool:
+        return self.even_reads and (entry["strategy"] == "hash_batches" or self._is_uneven_key(entry))
+
+    def _slices(self, entry: Row, layout: str | None = None) -> Iterator[tuple[int, list[str]]]:
+        """Number and predicates of each slice, ``parts`` readers for each batch of rows, made as they are taken.
 
         Slices of equal key width suit dense keys. Other numeric keys and text keys are read between boundaries
-        the source finds in one pass over the key's index. Hash buckets would have the source scan the whole
-        table once per bucket; they are left for keys whose values cannot be written as text.
+        the source finds among its keys. Hash buckets would have the source scan the whole table once per bucket; they
+        are left for keys whose values cannot be written as text.
         """
-        if self.even_reads and (entry["strategy"] == "hash_batches" or self._is_uneven_key(entry)):
-            boundaries = self._boundaries(entry)
-            if boundaries:
-                texts = balanced_predicates(boundaries, entry, self.dialect)
-                parts = entry["parts"]
-                return [Row(slice_no=i // parts, part_no=i % parts, predicate=t) for i, t in enumerate(texts)]
-        texts = predicates(reader_intervals(plan_slices(plan_frame(self.spark, [entry]))), self.dialect)
-        return texts.select("slice_no", "part_no", "predicate").orderBy("slice_no", "part_no").collect()
+        if entry["strategy"] == "single":
+            yield 0, ["1 = 1"]
+            return
+        boundaries = json.loads(layout) if layout else self._boundaries(entry) if self._asks(entry) else []
+        if boundaries:
+            texts = balanced_predicates(boundaries, entry, self.dialect)
+            for n in range(0, len(texts), entry["parts"]):
+                yield n // entry["parts"], texts[n : n + entry["parts"]]
+            return
+        entry = widened(entry, self.connections * MAX_WAVES)
+        plan = plan_frame(self.spark, [entry])
+        for start in range(0, entry["batches"], SLICES_AT_ONCE):
+            texts = predicates(reader_intervals(plan_slices(plan, start, SLICES_AT_ONCE)), self.dialect)
+            rows = texts.select("slice_no", "part_no", "predicate").orderBy("slice_no", "part_no").collect()
+            for n, some in itertools.groupby(rows, key=lambda r: r["slice_no"]):
+                yield n, [r["predicate"] for r in some]
 
     @staticmethod
     def _is_uneven_key(entry: Row) -> bool:
@@ -172,14 +199,13 @@ class JdbcSource:
     def _boundaries(self, entry: Row) -> list[tuple[Any, int]]:
         """Every n-th key with its copies, in the source's order: as many as the table gets readers.
 
-        The rows are counted at the source, so that an estimate that is off neither makes readers of many times the
-        planned rows nor sends that many more boundaries here.
+        Of a large table, the source ranks about ``SAMPLED_KEYS`` of its keys, always the same ones. The step between
+        boundaries stands for the planned rows of a reader, so a table that has grown gets more readers, not larger ones.
         """
-        counted = self._load(f"(SELECT COUNT(*) AS n FROM {self.dialect.table(entry['ns'], entry['table'])}) AS counted")
-        rows = int(counted.first()["n"])
-        width = -(-entry["rows"] // max(1, entry["batches"] * entry["parts"]))  # planned rows of a reader
-        step = max(1, min(width, rows))
-        found = self._load(f"({boundaries_text(entry, self.dialect, step)}) AS boundaries")
+        readers = max(1, min(entry["batches"] * entry["parts"], self.connections * MAX_WAVES))
+        width = max(1, -(-entry["rows"] // readers))
+        one_of = max(1, min(entry["rows"] // SAMPLED_KEYS, width))
+        found = self._load(f"({boundaries_text(entry, self.dialect, max(1, width // one_of), one_of)}) AS boundaries")
         if not isinstance(found.schema["k"].dataType, (T.StringType, T.IntegralType)):
             return []
         return [(r["k"], r["copies"]) for r in found.orderBy("r").collect()]

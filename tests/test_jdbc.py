@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from snaplake import JdbcSource, LoadConfig, MYSQL, POSTGRESQL, dialect_of
 from snaplake.frames import local_frame
 from snaplake.plans.load_plan import PROFILE_SCHEMA, plan_loads
+from snaplake.plans.slices import plan_slices
 from snaplake.sources.catalog_sql import CATALOG_SQL
 
 CFG = LoadConfig(num_threads=4, chunk_size=200, large_table_threshold=1_000, large_table_batch_size=500)
@@ -103,21 +104,66 @@ def test_every_reader_is_a_task_of_its_own(spark):
 def test_waves_bound_the_connections(spark):
     """Four thousand readers stay four thousand tasks; no job has more than ``connections``."""
     source, seen = mysql(spark, connections=6)
-    waves = source.waves(entry(spark, "mysql", "numeric", 500_000, 1, 500_000, 0))
+    waves = list(source.waves(entry(spark, "mysql", "numeric", 500_000, 1, 500_000, 0)))
     asked = [a["predicates"] for a in seen.asked if "predicates" in a]
     assert sum(map(len, asked)) == 4_000 and max(map(len, asked)) == 6
     assert [w.rdd.getNumPartitions() for w in waves[-2:]] == [6, 4]
     group = {"conditions": [{"field": "id", "op": "gte", "value": 3}]}
-    waves = source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group)
+    waves = list(source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group))
     assert len(waves) == 3 and all("isnotnull" in w._jdf.queryExecution().toString().lower() or ">= 3" in w._jdf.queryExecution().toString() for w in waves)
 
 
+def test_a_million_readers_are_planned_as_they_are_reached(spark, monkeypatch):
+    """No more than the frames that were taken are open, and no more slices planned than those of one look ahead."""
+    planned = []
+    monkeypatch.setattr("snaplake.sources.jdbc.MAX_WAVES", 10**6)
+    monkeypatch.setattr("snaplake.sources.jdbc.plan_slices", lambda plan, start, n: planned.append((start, n)) or plan_slices(plan, start, n))
+    source, seen = mysql(spark, connections=16)
+    huge = entry(spark, "mysql", "numeric", 125_000_000, 1, 125_000_000, 0)
+    assert huge["batches"] * huge["parts"] == 10**6
+    waves = source.waves(huge)
+    for n in range(1, 4):
+        next(waves)
+        assert len(seen.asked) == n and planned == [(0, 1_024)]
+    assert sum(len(a["predicates"]) for a in seen.asked) == 48
+    late = source.waves(huge, first=500)
+    next(late)
+    assert len(seen.asked) == 4 and seen.asked[-1]["predicates"][0] == f"`id` >= {500 * 16 * 125 + 1} AND `id` <= {500 * 16 * 125 + 125}"
+
+
+def test_waves_are_bounded_and_still_cover_the_table(spark, monkeypatch):
+    monkeypatch.setattr("snaplake.sources.jdbc.MAX_WAVES", 5)
+    source, seen = mysql(spark, connections=4)
+    one = entry(spark, "mysql", "numeric", 60_000, 1, 60_000, 0)
+    assert one["batches"] * one["parts"] == 480 and len(list(source.waves(one))) <= 5
+    texts = [t for a in seen.asked for t in a["predicates"]]
+    keys = spark.range(-5, 60_010)
+    keys.createOrReplaceTempView("wave_keys")
+    found = spark.sql("SELECT " + " + ".join(f"CAST({t.replace('`id`', 'id')} AS int)" for t in texts) + " AS n FROM wave_keys")
+    assert [tuple(r) for r in found.groupBy("n").count().collect()] == [(1, 60_015)]
+
+
+def test_boundaries_are_asked_for_once_and_of_a_bounded_sample(spark, monkeypatch):
+    boundaries = local_frame(spark, [(1, 1, 1), (50, 1, 9), (70, 1, 17)], "k bigint, copies bigint, r bigint")
+    source, seen = mysql(spark, boundaries, connections=2)
+    sparse = entry(spark, "mysql", "numeric", 4_000_000, 1, 10**12, 0)
+    kept = source.layout(sparse)
+    assert "AND MOD(CRC32(CONCAT_WS('|', `id`)), 20) = 19" in seen.asked[0]["dbtable"]  # about 200,000 keys
+    assert "MOD(r - 1, 100) = 0" in seen.asked[0]["dbtable"]  # 2,000 readers of 2,000 rows
+    before = len(seen.asked)
+    waves = list(source.waves(sparse, layout=kept))
+    assert [len(a["predicates"]) for a in seen.asked[before:]] == [2, 1] and len(waves) == 2
+    list(source.waves(sparse, first=1, layout=kept))
+    assert seen.asked[-1]["predicates"] == ["`id` >= 70"] and len(seen.asked) == before + 3
+    assert source.layout(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0)) is None
+
+
 def test_a_back_slash_goes_to_the_source_as_it_reads_it(spark):
     """MySQL reads a back-slash in a literal as an escape; the text that Spark renders doesn't allow for that."""
     names = local_frame(spark, [], "id bigint, name string")
     source, seen = mysql(spark, names)
     group = {"groups": [{"conditions": [{"field": "name", "op": "in", "value": ["a\\b'c", "x"]}]}]}
-    source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group)
+    list(source.waves(entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0), group))
     sent = [a["predicates"] for a in seen.asked if "predicates" in a][0]
     assert sent[1] == "(`id` >= 126 AND `id` <= 250) AND ((`name` IN ('a\\\\b''c', 'x')))"
     source.scan_where("shop", "orders", group)
@@ -164,7 +210,7 @@ def test_pages_of_a_table_that_was_never_analysed(spark):
 def test_slices_one_by_one(spark):
     source, seen = mysql(spark)
     one = entry(spark, "mysql", "numeric", 2_000, 1, 2_000, 0)
-    pieces = source.pieces(one)
+    pieces = list(source.pieces(one))
     assert [p["slice_no"] for p in pieces] == [0, 1, 2, 3] and all(len(p["predicates"]) == 4 for p in pieces)
     source.read_slice(one, pieces[3])
     assert seen.asked[0]["predicates"][-1] == "`id` >= 1876"

@@ -22,11 +22,11 @@ class Failing:
     def __getattr__(self, name):
         return getattr(self.inner, name)
 
-    def waves(self, entry, group=None):
+    def waves(self, entry, group=None, first=0, layout=None):
         frames = self.inner.waves(entry, group)
         if entry["table"] == self.table and self.left:
             self.left -= 1
-            return [df.filter(F.raise_error(F.lit("lost connection")).isNull()) for df in frames]
+            return (df.filter(F.raise_error(F.lit("lost connection")).isNull()) for df in frames)
         return frames
 
 
@@ -100,8 +100,8 @@ def test_cancel_stops_a_running_table(spark, mysql, plan, sink):
         def __getattr__(self, name):
             return getattr(mysql, name)
 
-        def waves(self, entry, group=None):
-            return [spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))]
+        def waves(self, entry, group=None, first=0, layout=None):
+            return iter([spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))])
 
     run = Run(spark)
     threading.Timer(3, run.cancel).start()
@@ -122,7 +122,7 @@ def test_lanes_have_their_own_pools(spark, mysql, plan, sink):
         def __getattr__(self, name):
             return getattr(mysql, name)
 
-        def waves(self, entry, group=None):
+        def waves(self, entry, group=None, first=0, layout=None):
             pools[entry["table"]] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
             return mysql.waves(entry, group)
 
@@ -192,7 +192,7 @@ def test_a_table_that_cannot_be_profiled_stops_no_other(spark, mysql, sink):
                 raise ValueError("view shop.nation references invalid tables")
             return mysql.profile(keys)
 
-        def waves(self, entry, group=None):
+        def waves(self, entry, group=None, first=0, layout=None):
             if entry["table"] == "nation":
                 raise ValueError("view shop.nation references invalid tables")
             return mysql.waves(entry, group)

@@ -54,9 +54,9 @@ def test_overlap_and_cancel(spark, sink):
         def __getattr__(self, name):
             return getattr(self.inner, name)
 
-        def waves(self, entry, group=None):
+        def waves(self, entry, group=None, first=0, layout=None):
             begun.set()
-            return [spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))]
+            yield spark.range(0, 1, 1, 1).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)").alias("x"))
 
     jobs = Jobs(spark, sink, RunLedger(spark, sink), source=lambda s, r: Slow(source(s, DATA, r["db_type"])))
     run_id = jobs.run(REQUEST)

@@ -1,5 +1,3 @@
-from types import SimpleNamespace
-
 import os
 from urllib.parse import urlparse
 
@@ -7,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaplake import IcebergSink, ParquetSink, Target, session_conf
+from snaplake.functions.digest import rows_digest
+from snaplake.sinks.base import Written
 from snaplake.workspace import shared_dir
 
 T = Target.of("mysql", "shop", "t")
@@ -172,8 +172,30 @@ def test_another_application_finds_the_current_version(spark, sink):
     assert not other.exists(Target(("nowhere",), "t")) and other.current_version(Target(("nowhere",), "t")) is None
 
 
-def test_iceberg_statements(monkeypatch):
-    monkeypatch.setattr("snaplake.sinks.iceberg.counted", lambda df: (df, SimpleNamespace(get={"rows": 7})))
+class Refuses(FakeSpark):
+    """Iceberg's answer if ``main`` has moved on since the branch was made."""
+
+    def sql(self, text):
+        super().sql(text)
+        if "fast_forward" in text:
+            raise RuntimeError("Cannot fast-forward: main is not an ancestor of load_t1")
+        return self
+
+
+class Frame(FakeWriter):
+    def limit(self, n):
+        self.log.append(("limit", n))
+        return self
+
+
+@pytest.fixture
+def no_counting(monkeypatch):
+    monkeypatch.setattr("snaplake.sinks.iceberg.counted", lambda df, digest: (df, None))
+    monkeypatch.setattr("snaplake.sinks.iceberg.written_of", lambda seen, digest: Written(7))
+    monkeypatch.setattr("snaplake.sinks.iceberg.F.lit", lambda value: f"lit {value}")
+
+
+def test_iceberg_statements(no_counting):
     spark, written = FakeSpark("7"), []
     sink = IcebergSink(spark, "lake")
     target = Target.of("postgresql", "public", "o`rders", "app")
@@ -183,6 +205,7 @@ def test_iceberg_statements(monkeypatch):
     sink.refresh_statistics(target)
     name = "`lake`.`postgresql`.`app`.`public`.`o``rders`"
     assert written == [("writeTo", name), ("using", "iceberg"), ("createOrReplace",), ("writeTo", name), ("append",)]
+    assert sink.written(target) == Written(14)
     assert spark.said[:3] == [
         "CREATE NAMESPACE IF NOT EXISTS `lake`.`postgresql`",
         "CREATE NAMESPACE IF NOT EXISTS `lake`.`postgresql`.`app`",
@@ -195,6 +218,125 @@ def test_iceberg_statements(monkeypatch):
     assert spark.said[-1].startswith("CALL `lake`.system.compute_table_stats(")
 
 
+def waves_of(spark, written, monkeypatch, there=True, committed=None, n=3):
+    """Write ``n`` waves of load t1; returns what was said and written."""
+    sink = IcebergSink(spark, "lake")
+    monkeypatch.setattr(sink, "exists", lambda target: there)
+    monkeypatch.setattr(sink, "_committed", lambda target, token, wave: (committed or {}).get(wave))
+    return sink, sink.replace((Frame(written) for _ in range(n)), T, token="t1")
+
+
+def test_iceberg_waves_are_written_once_to_a_branch(no_counting, monkeypatch):
+    spark, written = FakeSpark(), []
+    sink, rows = waves_of(spark, written, monkeypatch)
+    table = "`lake`.`mysql`.`shop`.`t`"
+    assert rows == 21 and sink.written(T) == Written(21)
+    assert [w for w in written if w[0] == "writeTo"] == [("writeTo", f"{table}.`branch_load_t1`")] * 3  # no other copy of a row
+    assert [w for w in written if w[0] in ("overwrite", "append")] == [("overwrite", "lit True"), ("append",), ("append",)]
+    assert [w[2] for w in written if w[:2] == ("option", "snapshot-property.snaplake-wave")] == ["0", "1", "2"]
+    assert spark.said[2:] == [
+        f"ALTER TABLE {table} SET TBLPROPERTIES ('write.spark.accept-any-schema' = 'true')",
+        f"ALTER TABLE {table} CREATE BRANCH IF NOT EXISTS `load_t1`",
+        "CALL `lake`.system.fast_forward('`mysql`.`shop`.`t`', 'main', 'load_t1')",
+        f"ALTER TABLE {table} DROP BRANCH IF EXISTS `load_t1`",
+    ]
+
+
+def test_iceberg_goes_on_after_the_waves_that_are_committed(no_counting, monkeypatch):
+    written = []
+    _, rows = waves_of(FakeSpark(), written, monkeypatch, committed={0: Written(5), 1: Written(6)})
+    assert rows == 18 and [w for w in written if w[0] in ("overwrite", "append")] == [("append",)]
+
+
+def test_iceberg_makes_a_new_table_before_its_branch(no_counting, monkeypatch):
+    written = []
+    waves_of(FakeSpark(), written, monkeypatch, there=False)
+    assert written[:4] == [("limit", 0), ("writeTo", "`lake`.`mysql`.`shop`.`t`"), ("using", "iceberg"), ("create",)]
+
+
+def test_iceberg_refuses_the_second_of_two_loads_that_clash(no_counting, monkeypatch):
+    spark = Refuses()
+    with pytest.raises(RuntimeError, match="not an ancestor"):
+        waves_of(spark, [], monkeypatch)
+    assert "DROP BRANCH" not in spark.said[-1]  # its rows stay there, to be looked at or gone on with
+
+
+def test_a_repeated_append_adds_its_rows_once(spark, sink):
+    sink.replace(spark.range(10), T)
+    assert sink.append(spark.range(10, 15), T, token="batch-7") == 5
+    assert sink.append(spark.range(10, 15), T, token="batch-7") == 5
+    other = ParquetSink(spark, sink.warehouse, prefix=f"again_{sink.prefix}")  # the driver that repeats it may be another one
+    assert other.append(spark.range(10, 15), T, token="batch-7") == 5
+    assert sorted(r.id for r in sink.read(T).collect()) == list(range(15)) and other.read(T).count() == 15
+    assert sink.append(spark.range(15, 16), T, token="batch-8") == 1 and sink.written(T) == Written(16)
+
+
+def test_an_append_that_broke_off_is_written_anew(spark, sink):
+    sink.replace(spark.range(3), T)
+    broken = spark.range(10).selectExpr("CASE WHEN id = 7 THEN CAST(raise_error('boom') AS bigint) ELSE id END AS id")
+    with pytest.raises(Exception, match="boom"):
+        sink.append(broken, T, token="b")
+    assert sink.append(spark.range(3, 5), T, token="b") == 2
+    assert sorted(r.id for r in sink.read(T).collect()) == list(range(5))
+
+
+def test_a_repeated_replace_is_done_once(spark, sink):
+    assert sink.replace([spark.range(4), spark.range(4, 9)], T, token="load-1") == 9
+    before = sink.location(T)
+    sink.append(spark.range(20, 22), T)
+    assert sink.replace([spark.range(4), spark.range(4, 9)], T, token="load-1") == 9
+    assert sink.location(T) == before and sink.read(T).count() == 11
+
+
+def test_appends_at_one_time(spark, sink):
+    from concurrent.futures import ThreadPoolExecutor
+
+    sink.replace(spark.range(0), T)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: sink.append(spark.range(k * 10, k * 10 + 10), T), range(6)))
+    assert sorted(r.id for r in sink.read(T).collect()) == list(range(60)) and sink.written(T) == Written(60)
+
+
+def test_the_record_counts_not_the_catalog(spark, sink):
+    """A driver that was lost after the record was written leaves a catalog that still has the old folder."""
+    sink.replace(spark.range(5), T)
+    stage = sink.stage(T)
+    stage.write(0, spark.range(8))
+    sink.marks.replace(sink._current(T), '{"version": "%s", "rows": 8, "digest": null}' % stage.folder)
+    assert sink.read(T).count() == 8
+    assert not [n for n in os.listdir(urlparse(f"{sink.warehouse}/{T.path}").path) if n.startswith("_CURRENT.")]
+
+
+def test_statistics_do_not_scan_the_table(spark, sink):
+    sink.replace([spark.range(30), spark.range(30, 42)], T)
+    sink.append(spark.range(3), T)
+    spark.sparkContext.setJobGroup("statistics-check", "statistics")
+    sink.refresh_statistics(T)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("statistics-check")
+    assert sink.statistics_rows(T) == 45
+    sink.replace(spark.range(2), T)
+    assert sink.statistics_rows(T) is None
+
+
+def test_digests_of_what_was_written(spark):
+    sink = ParquetSink(spark, shared_dir(spark, "digests"), prefix="d_", digests=True)
+    rows = spark.range(1_000).selectExpr(
+        "id", "IF(id % 3 = 0, NULL, CAST(id AS string)) AS s", "array(id, NULL) AS xs", "map('a', id, 'b', 1L) AS m", "CAST(id AS decimal(20,3)) AS d"
+    )
+    digest = lambda df: int(df.agg(rows_digest(df.schema).alias("d")).first()["d"])
+    sink.replace(rows.repartition(7), T)
+    assert sink.written(T) == Written(1_000, digest(rows)) and digest(sink.read(T)) == digest(rows)
+    sink.replace([rows.filter("id < 300"), rows.filter("id >= 300")], T)
+    assert sink.written(T) == Written(1_000, digest(rows))
+    changed = rows.withColumn("s", F.when(F.col("id") == 5, F.lit(None)).otherwise(F.col("s")))
+    assert len({digest(rows), digest(changed), digest(rows.limit(999)), digest(rows.union(rows.limit(1)))}) == 4
+    assert digest(rows.select("id", "s")) != digest(rows.select("s", "id")) and digest(rows.limit(0)) == 0
+    swapped = spark.createDataFrame([(None, 5), (5, None)], "a long, b long")
+    one, two = swapped.limit(1), swapped.filter("a = 5")
+    assert digest(one) != digest(two)
+
+
 def test_session_conf():
     conf = session_conf(catalog="lake", warehouse="s3a://b/w", endpoint="http://store:9000", ssl_enabled=True)
     assert conf["spark.sql.catalog.lake.type"] == "hadoop" and conf["spark.sql.catalog.lake.warehouse"] == "s3a://b/w"

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import dataclasses
 import functools
-import heapq
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,11 +18,14 @@ from snaplake.frames import local_frame
 from snaplake.functions.expressions import hash_bucket
 from snaplake.functions.filters import to_column
 from snaplake.plans.catalog import salts_of
-from snaplake.plans.load_plan import plan_frame
+from snaplake.plans.even import even_boundaries, in_slice, tie_bits, tie_of
+from snaplake.plans.load_plan import BATCHED, PROFILE_COLUMNS, PROFILE_SCHEMA, plan_frame
 from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.dialects import Dialect
+from snaplake.sources.profiles import ProfileCache, folder_state
 from snaplake.sql import quote, text
+from snaplake.workspace import shared_dir
 
 _SQL_TYPES = {
     T.ByteType: "tinyint", T.ShortType: "smallint", T.IntegerType: "integer", T.LongType: "bigint",
@@ -37,6 +40,10 @@ class FileTable:
     schema: T.StructType | None = None
 
 
+def _id(table: tuple[str, str]) -> str:
+    return ".".join(part.replace("\\", "\\\\").replace(".", "\\.") for part in table)
+
+
 class FileSource:
     """Declared tables over files: files carry no constraints, so the key columns are given."""
 
@@ -50,6 +57,7 @@ class FileSource:
         rows_per_page: int = 1_000,
         profile_from_footers: bool = True,
         slice_by: str = "files",
+        profiles: str | None = None,
     ):
         self.spark = spark
         self.dialect = dialect
@@ -57,7 +65,12 @@ class FileSource:
         self.database = database
         self.rows_per_page = rows_per_page
         self.profile_from_footers = profile_from_footers  # off for files written without column statistics
+        if slice_by not in ("files", "plan", "even"):
+            raise ValueError(f"slice_by is files, plan or even, not {slice_by!r}")
         self.slice_by = slice_by
+        self.profiles = profiles  # a file that keeps profiles of unchanged tables for later sessions
+        self._zones: dict[tuple[str, str, str], DataFrame] = {}
+        self._listings: dict[tuple[str, str, int], DataFrame] = {}
         self._footers: SparkSession | None = None
 
     def scan(self, ns: str, table: str) -> DataFrame:
@@ -104,49 +117,102 @@ class FileSource:
         return joined.select(*df.columns, (F.col("__first") + F.col("__block")).alias(page))
 
     def pieces(self, entry: Row) -> list[Row]:
-        """Groups of whole files of about as many bytes each, as many as the plan has slices if there are enough.
+        """Slices of the table, a small row each. Which files a slice reads is looked up when it is read.
 
-        The folder is listed once, by Spark, with a row for each file; a group then reads its own files and no other.
-        With ``slice_by="plan"`` the pieces are the plan's own slices, each of which looks at every file: for sources
-        of one file, and to show that slices cover their table.
+        By default a slice is a group of whole files of about as many bytes as the others, as many groups as the plan has
+        slices if there are enough files. With ``slice_by="plan"`` the pieces are the plan's own slices; with "even",
+        slices of a numeric key that have about equal rows. Those read the files whose keys overlap theirs and no other.
         """
-        if self.slice_by == "plan":
+        if self.slice_by == "even" and entry["key_kind"] == "numeric" and entry["strategy"] in BATCHED:
+            return self._even_pieces(entry)
+        if self.slice_by in ("plan", "even"):
             return plan_slices(plan_frame(self.spark, [entry])).orderBy("slice_no").collect()
+        groups = self._groups(entry).select("group").distinct().orderBy("group").collect()
+        return [Row(unit="files", slice_no=i, slices=len(groups), group=g["group"]) for i, g in enumerate(groups)] or [
+            Row(unit="table", slice_no=0, slices=1)
+        ]
+
+    def _groups(self, entry: Row) -> DataFrame:
+        """(path, group) of the table's files: listed once, by Spark, and dealt by running bytes in the order of their paths."""
+        key = (entry["ns"], entry["table"], entry["batches"])
+        if key not in self._listings:
+            t = self.tables[entry["ns"], entry["table"]]
+            listed = self.spark.read.format("binaryFile").options(recursiveFileLookup="true").load(t.path).select("path", "length").filter("length > 0")
+            upto = F.sum("length").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            whole = F.sum("length").over(Window.partitionBy(F.lit(0)))
+            middle = (upto - F.col("length") / 2) * entry["batches"] / whole
+            self._listings[key] = self._kept(listed.select("path", F.floor(middle).alias("group")), "listing")
+        return self._listings[key]
+
+    def _kept(self, frame: DataFrame, name: str) -> DataFrame:
+        """A table of files, a row for each, in the shared folder."""
+        folder = shared_dir(self.spark, "files", name)
+        frame.write.parquet(folder)
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def zones(self, ns: str, table: str, key: str) -> DataFrame:
+        """(path, rows, lo, hi, nulls): the key's bounds in each file of the table, from one pass over the key column."""
+        if (ns, table, key) not in self._zones:
+            k = F.col(quote(key))
+            rows = self.scan(ns, table).select(F.col("_metadata.file_path").alias("path"), k.alias("k"))
+            bounds = rows.groupBy("path").agg(
+                F.count(F.lit(1)).alias("rows"), F.min("k").alias("lo"), F.max("k").alias("hi"), F.count_if(F.col("k").isNull()).alias("nulls")
+            )
+            self._zones[ns, table, key] = self._kept(bounds, "zones")
+        return self._zones[ns, table, key]
+
+    def _even_pieces(self, entry: Row) -> list[Row]:
+        others = salts_of(entry["salt_column"])
+        rows = self.scan(entry["ns"], entry["table"])
+        bounds = even_boundaries(rows, entry["key_column"], entry["lo"], entry["hi"], entry["batches"], others)
+        edges = [None, *bounds, None]
+        return [Row(unit="even", slice_no=n, slices=len(edges) - 1, low=edges[n], high=edges[n + 1]) for n in range(len(edges) - 1)]
+
+    def _overlapping(self, entry: Row, lo: int | None, hi: int | None) -> DataFrame:
+        """The table's files that have keys from ``lo`` to ``hi``; None is open, and what is open below takes nulls."""
+        z = self.zones(entry["ns"], entry["table"], entry["key_column"])
+        inside = F.lit(True)
+        if lo is not None:
+            inside &= F.col("hi") >= lo
+        if hi is not None:
+            inside &= F.col("lo") <= hi
+        inside = F.coalesce(inside, F.lit(False))
+        return self._of(entry, z.filter(inside | (F.col("nulls") > 0) if lo is None else inside))
+
+    def _of(self, entry: Row, files: DataFrame) -> DataFrame:
+        """The rows of some of the table's files: those of one slice."""
         t = self.tables[entry["ns"], entry["table"]]
-        listed = self.spark.read.format("binaryFile").load(t.path).select("path", "length").filter("length > 0")
-        files = listed.orderBy(F.desc("length"), "path").collect()
-        groups: list[list[str]] = [[] for _ in range(max(1, min(entry["batches"], len(files))))]
-        sizes = [(0, i) for i in range(len(groups))]
-        for path, length in files:  # the next largest to the smallest group
-            size, i = heapq.heappop(sizes)
-            groups[i].append(path)
-            heapq.heappush(sizes, (size + length, i))
-        return [Row(unit="files", slice_no=i, slices=len(groups), paths=g) for i, g in enumerate(groups)]
+        schema = t.schema or self.scan(entry["ns"], entry["table"]).schema
+        paths = [unquote(r["path"]) for r in files.select("path").collect()]
+        if not paths:
+            return self.scan(entry["ns"], entry["table"]).limit(0)
+        return self.spark.read.format(t.format).schema(schema).load(paths)
 
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
-        if piece["unit"] == "files" and piece["paths"]:
-            t = self.tables[entry["ns"], entry["table"]]
-            schema = t.schema or self.scan(entry["ns"], entry["table"]).schema
-            return self.spark.read.format(t.format).schema(schema).load(piece["paths"])
+        if piece["unit"] == "files":
+            return self._of(entry, self._groups(entry).filter(F.col("group") == piece["group"]))
         if piece["unit"] == "page":
             paged = self.paged(entry["ns"], entry["table"], "__page")
             return paged.filter(in_page_slice(F.col("__page"), piece["lo"], piece["hi"], piece["open_high"])).drop("__page")
-        df = self.scan(entry["ns"], entry["table"])
-        if piece["unit"] in ("files", "table"):
-            return df
-        key = F.col(f"`{entry['key_column']}`")
+        if piece["unit"] == "table":
+            return self.scan(entry["ns"], entry["table"])
+        key = F.col(quote(entry["key_column"]))
         if piece["unit"] == "bucket":
             if salts := salts_of(entry["salt_column"]):
-                key = F.concat_ws("|", key, *[F.col(f"`{s}`") for s in salts])
-            return df.filter(in_bucket(key, piece["lo"], piece["slices"]))
-        return df.filter(in_key_slice(key, piece["lo"], piece["hi"], piece["open_low"], piece["open_high"]))
+                key = F.concat_ws("|", key, *[F.col(quote(s)) for s in salts])
+            return self.scan(entry["ns"], entry["table"]).filter(in_bucket(key, piece["lo"], piece["slices"]))
+        if piece["unit"] == "even":
+            low, high = piece["low"], piece["high"]
+            tie = tie_of(salts_of(entry["salt_column"]), tie_bits(entry["lo"], entry["hi"]))
+            return self._overlapping(entry, low and low.key, high and high.key).filter(in_slice(key, tie, low, high))
+        lo, hi = None if piece["open_low"] else piece["lo"], None if piece["open_high"] else piece["hi"]
+        return self._overlapping(entry, lo, hi).filter(in_key_slice(key, piece["lo"], piece["hi"], piece["open_low"], piece["open_high"]))
 
     def catalog(self) -> Catalog:
         d = self.dialect.name
         make = functools.partial(local_frame, self.spark)
         ids = sorted(self.tables)
-        with ThreadPoolExecutor(max_workers=8) as pool:  # inferring a schema is a small job of its own
-            schemas = list(pool.map(lambda i: self.scan(*i).schema, ids))
+        schemas = self._schemas(ids)
         fields = [(ns, t, f) for (ns, t), schema in zip(ids, schemas) for f in schema.fields]
         keys = [(ns, t, i, c) for ns, t in ids for i, c in enumerate(self.tables[ns, t].key_columns, 1)]
         head = "source string, ns string, table string"
@@ -175,7 +241,46 @@ class FileSource:
         return "int" if name == "integer" and "integer" not in self.dialect.integer_types else name
 
     def profile(self, keys: Sequence[Row]) -> DataFrame:
-        """Rows and key bounds of every table in one job, answered from file footers where the format allows."""
+        """Rows and key bounds of every table in one job, answered from file footers where the format allows.
+
+        With ``profiles``, only tables whose files have changed since are profiled: the others' figures are kept there.
+        """
+        if self.profiles is None:
+            return self._profiled(keys)
+        kept, states = self._cache().load(), self._states([(k["ns"], k["table"]) for k in keys])
+        wanted = {(k["ns"], k["table"]): [states[k["ns"], k["table"]], *[k[c] for c in ("key_column", "salt_column", "key_kind")], self.rows_per_page] for k in keys}
+        known = {i: kept["profiles"][_id(i)]["row"] for i, w in wanted.items() if w[0] and kept["profiles"].get(_id(i), {}).get("of") == w}
+        new = [k for k in keys if (k["ns"], k["table"]) not in known]
+        rows = [tuple(r) for r in known.values()]
+        if new:
+            found = [tuple(r) for r in self._profiled(new).select(*PROFILE_COLUMNS).collect()]
+            rows += found
+            self._cache().add("profiles", {_id((r[1], r[2])): {"of": wanted[r[1], r[2]], "row": list(r)} for r in found})
+        return local_frame(self.spark, rows, PROFILE_SCHEMA)
+
+    def _cache(self) -> ProfileCache:
+        return ProfileCache(self.spark, self.profiles)
+
+    def _states(self, ids: Sequence[tuple[str, str]]) -> dict[tuple[str, str], list | None]:
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return dict(zip(ids, pool.map(lambda i: folder_state(self.spark, self.tables[i].path), ids)))
+
+    def _schemas(self, ids: Sequence[tuple[str, str]]) -> list[T.StructType]:
+        """Inferring a schema is a small job of its own, so those of unchanged tables are kept too."""
+        if self.profiles is not None:
+            kept, states = self._cache().load()["schemas"], self._states(ids)
+            for i in ids:
+                if self.tables[i].schema is None and states[i] and kept.get(_id(i), {}).get("of") == states[i]:
+                    schema = T.StructType.fromJson(kept[_id(i)]["schema"])
+                    self.tables[i] = dataclasses.replace(self.tables[i], schema=schema)
+        new = [i for i in ids if self.tables[i].schema is None]
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(lambda i: self.scan(*i), new))
+        if self.profiles is not None and new:
+            self._cache().add("schemas", {_id(i): {"of": states[i], "schema": self.tables[i].schema.jsonValue()} for i in new})
+        return [self.tables[i].schema for i in ids]
+
+    def _profiled(self, keys: Sequence[Row]) -> DataFrame:
         with ThreadPoolExecutor(max_workers=8) as pool:
             return combine(list(pool.map(self._profile_one, keys)), DataFrame.union)
 

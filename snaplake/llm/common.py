@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,6 +57,11 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def new_name() -> str:
+    """A column name that no table has."""
+    return f"own_{uuid.uuid4().hex}"
+
+
 def small_enough(ids: DataFrame) -> DataFrame:
     """A stored table of ids, to be broadcast if it is counted to be small; else the join shuffles."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

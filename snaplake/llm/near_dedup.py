@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, int64, lists, mix, shingle_set, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, int64, lists, mix, new_name, shingle_set, small_enough, stored, stream, words
 from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
@@ -215,5 +215,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_
     """
     options = {"bands": 34, "rows": 4} | options
     found = near_duplicates(docs, percent=percent, doc_id=doc_id, text=text, **options)
-    gone = stored(found.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-duplicates")
-    return docs.join(small_enough(gone), docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
+    name = new_name()
+    gone = stored(found.filter("not kept").select(F.col("doc_id").alias(name)).distinct(), "near-duplicates")
+    return docs.join(small_enough(gone), docs[doc_id].cast("long") == F.col(name), "left_anti")

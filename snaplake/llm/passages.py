@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, int64, mix, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, int64, mix, new_name, small_enough, stored, stream, words
 
 SHORTEST = 50  # words of a passage
 WIDTH = 5
@@ -371,7 +371,8 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     A text that was nothing but such passages becomes empty."""
     found = repeated_passages(docs, doc_id=doc_id, text=text, **options)
     spans = found.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("b0", "b1"))).alias("spans"))
-    spans = stored(spans.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")), "passage-spans")
+    own_id, own_hash, own_spans = (new_name() for _ in range(3))
+    spans = stored(spans.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("spans").alias(own_spans)), "passage-spans")
 
     names = docs.columns
 
@@ -393,5 +394,5 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
             columns = [pa.array(new, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = docs.join(small_enough(spans), (docs[doc_id].cast("long") == F.col("__doc")) & (F.xxhash64(docs[text]) == F.col("__hash")), "left")
-    return joined.select(*[docs[c] for c in docs.columns], "__spans").mapInArrow(cut, docs.schema)
+    joined = docs.join(small_enough(spans), (docs[doc_id].cast("long") == F.col(own_id)) & (F.xxhash64(docs[text]) == F.col(own_hash)), "left")
+    return joined.select(*[docs[c] for c in docs.columns], own_spans).mapInArrow(cut, docs.schema)

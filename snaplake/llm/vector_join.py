@@ -78,19 +78,24 @@ def vector_links(
     (the smallest vec_id that links reach), kept.
 
     Vectors that are null, zero or have null or non-finite components, and those without a label or id, have no links;
-    so have two vectors of different lengths. Rows of equal ids and vectors are linked with each other. At most
+    so have two vectors of different lengths. Rows of equal ids and vectors are linked with each other; rows of one
+    id and different vectors have links of their own, and one component, for it is ids that reach each other. At most
     ``pivots`` vectors, one for each ``per_pivot``, are read into the driver as pivots; results don't depend on them.
     """
     every = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(embedding).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     sound = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     classes = stored(
-        every.filter(sound).groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")).withColumn("dim", F.size("v")),
+        # Each class has an id of its own: rows of one vec_id may have different vectors.
+        every.filter(sound)
+        .groupBy("label", "v")
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
+        .withColumns({"dim": F.size("v"), "node": F.monotonically_increasing_id()}),
         "vectors",
     )
     n = min(pivots, -(-classes.count() // per_pivot))
     chosen: dict[int, np.ndarray] = {}
-    for r in classes.select("v", "dim", "node").orderBy(F.xxhash64("node", F.lit(17)), "node").limit(n).collect():
+    for r in classes.select("v", "dim", "rep").orderBy(F.xxhash64("rep", F.lit(17)), "rep").limit(n).collect():
         chosen[r["dim"]] = np.vstack([chosen.get(r["dim"], np.zeros((0, r["dim"]))), _unit(_rows(pa.array([r["v"]])))])
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
 
@@ -108,8 +113,8 @@ def vector_links(
     placed = classes.select("dim", "node", "v").mapInArrow(place, "node long, home long, copies array<long>")
     rows = stored(classes.join(placed, "node"), "placed")
     cell = ["label", "dim", "cell"]
-    homes = rows.select("label", "dim", F.col("home").alias("cell"), "node", "weight", "v")
-    copies = rows.select("label", "dim", F.explode("copies").alias("cell"), "node", "weight", "v")
+    homes = rows.select("label", "dim", F.col("home").alias("cell"), "node", "rep", "weight", "v")
+    copies = rows.select("label", "dim", F.explode("copies").alias("cell"), "node", "rep", "weight", "v")
     sizes = (
         homes.select(*cell, F.lit(1).alias("h"), F.lit(0).alias("c"))
         .unionByName(copies.select(*cell, F.lit(0).alias("h"), F.lit(1).alias("c")))
@@ -117,7 +122,7 @@ def vector_links(
         .agg(F.ceil(F.sum("h") / block).cast("long").alias("hs"), F.ceil(F.sum("c") / block).cast("long").alias("cs"))
     )
     of = lambda n: F.pmod(F.xxhash64("node"), n)
-    row = [*cell, "node", "weight", "v"]
+    row = [*cell, "node", "rep", "weight", "v"]
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1))
     h = homes.join(sizes, cell).withColumn("own", of(F.col("hs")))
     c = copies.join(sizes, cell).withColumn("own", of(F.col("cs")))
@@ -132,7 +137,8 @@ def vector_links(
     def compare(group: pa.Table) -> pa.Table:
         second = group["second"].to_numpy()
         copied, i, j = (group[k][0].as_py() for k in ("copied", "i", "j"))
-        node, weight, x = group["node"].to_numpy(), group["weight"].to_numpy(), _rows(group["v"].combine_chunks())
+        node, rep, weight = (group[k].to_numpy() for k in ("node", "rep", "weight"))
+        x = _rows(group["v"].combine_chunks())
         first, other = np.flatnonzero(~second), np.flatnonzero(second)
         if not copied and i == j:
             a, b = linked(x, None, least)
@@ -143,15 +149,15 @@ def vector_links(
         np.add.at(found, a, weight[b])
         np.add.at(found, b, weight[a])
         root, some = forest(a, b, len(node)), found > 0
-        return pa.table({"a": int64(node[some]), "b": int64(node[root[some]]), "n": int64(found[some])})
+        return pa.table({"node": int64(node[some]), "a": int64(rep[some]), "b": int64(rep[root[some]]), "n": int64(found[some])})
 
-    met = stored(units.groupBy(*cell, "copied", "i", "j").applyInArrow(compare, "a long, b long, n long"), "links")
-    counts = met.groupBy("a").agg(F.sum("n").alias("n"))
-    twins = every.filter(sound).join(classes.select("label", "v", "node", "weight"), ["label", "v"]).select("vec_id", "node", "weight")
+    met = stored(units.groupBy(*cell, "copied", "i", "j").applyInArrow(compare, "node long, a long, b long, n long"), "links")
+    counts = met.groupBy("node").agg(F.sum("n").alias("n"))
+    twins = every.filter(sound).join(classes.select("label", "v", "node", "rep", "weight"), ["label", "v"]).select("vec_id", "node", "rep", "weight")
     twins = stored(twins, "members")
-    found = components(met.select("a", "b").unionByName(twins.select(F.col("node").alias("a"), F.col("vec_id").alias("b"))))
+    found = components(met.select("a", "b").unionByName(twins.select(F.col("rep").alias("a"), F.col("vec_id").alias("b"))))
     linked_rows = (
-        twins.join(counts.withColumnRenamed("a", "node"), "node", "left")
+        twins.join(counts, "node", "left")
         .join(found.withColumnRenamed("node", "vec_id"), "vec_id", "left")
         .select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     )

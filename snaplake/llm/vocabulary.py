@@ -3,13 +3,14 @@
 A tokenizer of the supported kinds never joins what a letter and a following ASCII sign, or a non-space and a following
 space, have between them. Texts are therefore cut there, and each distinct piece is encoded by the ``tokenizers``
 library once and remembered; the rest is array work. Texts with other white space than ASCII's, where a cut could fall
-inside a run of white space, are given to the library whole. Strings of special tokens are ordinary text. Pieces are
-told apart by 64-bit hashes.
+inside a run of white space, and texts with the string of an added token are given to the library whole, which reads such
+strings as it does by itself: as that token. Pieces are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,8 @@ def _byte_letters() -> list[str]:
 class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD_SPACE, *[f"(?i:{a})" for a in added]])
         self.folds = self.tokenizer.normalizer is not None  # lower case, white space dropped
         self.letters = _byte_letters()
         self._clear(1 << 16)
@@ -78,10 +80,9 @@ class Encoder:
             counts.append(len(ids))
         return np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)])
 
-    @staticmethod
-    def _odd(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def _odd(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         texts = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-        return pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False).astype(bool)
+        return pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False).astype(bool)
 
     def _encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)

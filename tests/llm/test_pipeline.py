@@ -108,7 +108,7 @@ def test_odd_tables(spark, tmp_path):
         (5, "long " * 50_000, "en", "s", 250_000),
     ]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    full = spark.createDataFrame(odd, schema).withColumns({c: F.lit("x") for c in ("key", "node", "spans", "component", "part", "ids", "digest")})
+    full = spark.createDataFrame(odd, schema).withColumns({c: F.lit("x") for c in ("key", "node", "spans", "component", "part", "ids", "digest", "__doc", "__hash", "__spans", "__gone")})
     for name, frame in (("full", full), ("empty", full.limit(0))):
         folder = f"{tmp_path}/{name}"
         frame.write.parquet(f"{folder}/documents.parquet")

@@ -27,7 +27,6 @@ HARD = [
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -45,6 +44,14 @@ def test_encoder_is_the_library(path):
     assert encoded(encoder(path), HARD) == [one(t) for t in HARD]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_strings_of_added_tokens(path):
+    one = library(path)
+    added = [t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()]
+    texts = [f for a in added for f in (a, f"hello {a} world", f"x{a}y {a}{a}", f"{a[:-1]} {a.upper()} é{a}", "x " * 3000 + a)] + ["plain one"]
+    assert encoded(encoder(path), texts) == [one(t) for t in texts] and any(len(one(a)) == 1 for a in added)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from(list("ab ,.'s\nt1é×  Á")), max_size=30), min_size=1, max_size=8))
 def test_encoder_on_any_text(texts):

@@ -71,3 +71,11 @@ def test_vectors_without_links(spark):
 def test_repeated_rows(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.1], 0)], "vec_id long, embedding array<double>, label int")
     assert result(vector_join.vector_links(frame)) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(5, [1.0, 0.0], 0), (5, [0.0, 1.0], 0), (6, [1.0, 0.01], 0), (7, [1.0, 0.02], 0), (8, [0.01, 1.0], 0), (5, [1.0, 0.0], 1), (4, [1.0, 0.1], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = result(vector_join.vector_links(frame))
+    assert got == brute(rows)
+    assert sorted(r[1] for r in got if r[0] == 5) == [1, 1, 2] and [r[1] for r in got if r[0] == 6] == [2]

@@ -9,9 +9,9 @@ concentrated around it as it is for ``t`` independent hashes, at the cost of one
 Documents with equal sets are one class. Bands of places deal the classes' first documents into buckets. In a bucket
 every class is compared with the bucket's first one, so that a group of thousands of near copies makes a link for each
 instead of a pair for each two. Classes of a bucket that no links connect then are dealt into buckets once more, by many
-bands of more places, which sets a little under the threshold seldom share. There they are compared with the bucket's
-first one too, and at last those of different components with each other, if they meet in two buckets or more; pairs
-within a component can't change it.
+bands of more places, which sets a little under the threshold seldom share. There they are compared in rounds with one of
+the bucket's, that which shares most buckets, and at last those that are still of different components with each other, if
+they meet in two buckets or more; pairs within a component can't change it.
 Links are verified on the full sets.
 """
 
@@ -30,6 +30,7 @@ from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
 FINE_PLACES, FINE_BANDS = 1024, 640
+HUB_ROUNDS = 4
 _U = np.uint64
 
 
@@ -127,11 +128,8 @@ def near_duplicates(
     # What is not connected in a bucket is dealt anew by finer bands, which far fewer unlike sets share.
     apart = stored(_apart(members, found).select("node").distinct(), "apart")
     again = sets.join(small_enough(apart.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
-    members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>"))
-    ends = _component_of(members.withColumnRenamed("node", "b").withColumnRenamed("hub", "node"), found, "x").withColumnRenamed("node", "a")
-    ends = _component_of(ends.withColumnRenamed("b", "node"), found, "y").withColumnRenamed("node", "b")
-    more = stored(verified(_often(ends.filter("x <> y")), sets, percent), "links")
-    found = stored(components(links.unionByName(more)), "found")
+    members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>")).drop("hub")
+    links, found, tried = _by_hubs(members, links, found, sets, percent)
 
     two = _apart(members, found)
     groups = two.select("key", "component").distinct()
@@ -140,11 +138,11 @@ def near_duplicates(
         met.join(two.select("key", F.col("component").alias("c"), F.col("node").alias("a")), ["key", "c"])
         .join(two.select("key", F.col("component").alias("d"), F.col("node").alias("b")), ["key", "d"])
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
+    ).join(tried, ["a", "b"], "left_anti")
     # Rows of one id whose texts are of several classes.
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     same = placed.join(ids, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    final = components(links.unionByName(more).unionByName(verified(rest, sets, percent)).unionByName(same))
+    final = components(links.unionByName(verified(rest, sets, percent)).unionByName(same))
     linked = _component_of(placed, final, "component_id").select("doc_id", "n_shingles", "component_id")
     alone = sketched.filter(F.col("digest").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -157,6 +155,34 @@ def _members(keyed: DataFrame) -> DataFrame:
     return stored(keys.join(buckets, "key"), "members")
 
 
+def _by_hubs(members: DataFrame, links: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links and components after some rounds, and the pairs (a, b) that were compared.
+
+    In a round, each bucket that holds several components compares its members with one of them: of those that were not
+    yet, the one that shares most buckets with others. The middle of a group of near copies shares more than its copies do,
+    and is the same one in all buckets. So a group is joined by about a pair for each member, and what is left for
+    comparisons across components is little.
+    """
+    tried = used = None
+    for _ in range(HUB_ROUNDS):
+        two = stored(_apart(members, found), "apart")
+        left = two if used is None else two.join(used, ["key", "node"], "left_anti")
+        degree = stored(two.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+        first = F.max_by(F.struct("node", "component"), F.struct("degree", -F.col("node"))).alias("hub")
+        hubs = stored(left.join(small_enough(degree), "node").groupBy("key").agg(first), "hubs")
+        met = two.join(hubs, "key").filter(F.col("component") != F.col("hub.component"))
+        pairs = _often(met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")))
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = hubs.select("key", F.col("hub.node").alias("node"))
+        used = more if used is None else used.unionByName(more)
+        if pairs.isEmpty():
+            break
+        links = stored(links.unionByName(verified(pairs, sets, percent)), "links")
+        found = stored(components(links), "found")
+    return links, found, tried
+
+
 def _often(pairs: DataFrame) -> DataFrame:
     """The pairs that meet in two buckets or more: one at the threshold shares 17 fine bands, one far below it one."""
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")

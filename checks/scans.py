@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.tables import NS, ROWS_PER_PAGE, SINGLE_SHOT, plan_entry, source, table
 from snaplake.functions.expressions import hash_bucket
-from snaplake.functions.filters import to_column
-from snaplake import FileSource, FileTable, POSTGRESQL
+from snaplake.functions.filters import to_column, to_sql
+from snaplake import FileSource, FileTable, MYSQL, POSTGRESQL
 from snaplake.plans.load_plan import plan_frame
 from snaplake.plans.slices import in_page_slice, plan_slices, reader_intervals
 from snaplake.workspace import shared_dir
@@ -202,3 +202,32 @@ def filter_is_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filter_is_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _nullable_orders(spark, sf_dir)
     return df.filter(to_column(_one("o_orderpriority", "is_not_null"), df.schema))
+
+
+RENDERED = {
+    "logic": "or",
+    "conditions": [
+        {"field": "event_type", "op": "in", "value": ["purchase", "it's", None]},
+        {"field": "props", "op": "is_null"},
+    ],
+    "groups": [
+        {
+            "conditions": [
+                {"field": "event_type", "op": "like", "value": "s_gn%"},
+                {"field": "value", "op": "between", "value": [10, 50.5]},
+                {"field": "user_id", "op": "ne", "value": 7},
+            ],
+        },
+        {"conditions": [{"field": "event_id", "op": "lt", "value": 100}, {"field": "value", "op": "gte", "value": 100}]},
+    ],
+}
+
+
+@check(
+    "filter_rendered",
+    """SELECT * FROM events WHERE event_type IN ('purchase', 'it''s', NULL) OR props IS NULL
+    OR (event_type LIKE 's_gn%' AND value BETWEEN 10 AND 50.5 AND user_id <> 7) OR (event_id < 100 AND value >= 100)""",
+)
+def filter_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that pass the text that a filter is sent to a MySQL source as; Spark reads that text the same way."""
+    return table(spark, sf_dir, "events").filter(F.expr(to_sql(RENDERED, MYSQL)))

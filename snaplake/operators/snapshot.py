@@ -5,6 +5,8 @@ from __future__ import annotations
 from contextlib import nullcontext
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -54,7 +56,9 @@ def _profiled(source: Source, keys: list[Row]) -> list[Row]:
     without figures: its own load will fail and be reported, and the others are loaded."""
     try:
         return assign_page_keys(source.profile(keys)).select(*PROFILE_COLUMNS).collect()
-    except Exception:  # noqa: BLE001 - whatever the source says against one of them
+    except Exception as problem:  # noqa: BLE001 - whatever the source says against one of them
+        if not _of_source(problem):
+            raise
         if len(keys) == 1:
             known = {c: keys[0][c] for c in (*TABLE_ID, "salt_column")}
             return [Row(**{c: known.get(c, {"key_kind": "none", "key_column": None}.get(c, 0)) for c in PROFILE_COLUMNS})]
@@ -62,6 +66,15 @@ def _profiled(source: Source, keys: list[Row]) -> list[Row]:
         return _profiled(source, keys[:half]) + _profiled(source, keys[half:])
 
 
+def _of_source(problem: Exception) -> bool:
+    """Whether a source said no, to one of its tables perhaps: halving the tables helps against nothing else, and least of
+    all against a lost cluster."""
+    if isinstance(problem, AnalysisException) or not isinstance(problem, (PySparkException, Py4JError)):
+        return not isinstance(problem, ConnectionError)
+    said = str(problem)
+    return any(name in said for name in ("java.sql.", "FileNotFound", "FAILED_READ_FILE", "not a Parquet file"))
+
+
 def snapshot(
     source: Source,
     sink: Sink,

@@ -204,6 +204,24 @@ def test_a_table_that_cannot_be_profiled_stops_no_other(spark, mysql, sink):
     assert sink.read(target_of(mysql, "shop", "orders")).count() == 1_500
 
 
+def test_a_lost_cluster_is_not_asked_half_by_half(mysql):
+    from pyspark.errors import PySparkException
+
+    asked = []
+
+    class Lost:
+        def __getattr__(self, name):
+            return getattr(mysql, name)
+
+        def profile(self, keys):
+            asked.append(len(keys))
+            raise PySparkException("Job aborted due to stage failure: ExecutorLostFailure")
+
+    with pytest.raises(PySparkException, match="ExecutorLost"):
+        plan_source(Lost(), CFG)
+    assert asked == [8]
+
+
 def test_a_failed_snapshot_is_recorded(spark, mysql, sink):
     ledger = RunLedger(spark, sink)
     with pytest.raises(LoadFailed):

@@ -9,9 +9,8 @@ concentrated around it as it is for ``t`` independent hashes, at the cost of one
 Documents with equal sets are one class. Bands of places deal the classes' first documents into buckets. In a bucket
 every class is compared with the bucket's first one, so that a group of thousands of near copies makes a link for each
 instead of a pair for each two. Classes of a bucket that no links connect then are dealt into buckets once more, by many
-bands of more places, which sets a little under the threshold seldom share. There they are compared in rounds with one of
-the bucket's, that which shares most buckets, and at last those that are still of different components with each other, if
-they meet in two buckets or more; pairs within a component can't change it.
+bands of more places, which sets a little under the threshold seldom share. Buckets with members in common make regions;
+a region's sets are compared across components in blocks, each task of which returns a forest of links, no pairs.
 Links are verified on the full sets.
 """
 
@@ -30,7 +29,7 @@ from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
 FINE_PLACES, FINE_BANDS = 1024, 640
-HUB_ROUNDS = 4
+REGION_ROWS, REGION_SHINGLES = 1024, 1 << 21  # of a block
 _U = np.uint64
 
 
@@ -129,20 +128,11 @@ def near_duplicates(
     apart = stored(_apart(members, found).select("node").distinct(), "apart")
     again = sets.join(small_enough(apart.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
     members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>")).drop("hub")
-    links, found, tried = _by_hubs(members, links, found, sets, percent)
-
-    two = _apart(members, found)
-    groups = two.select("key", "component").distinct()
-    met = groups.select("key", F.col("component").alias("c")).join(groups.select("key", F.col("component").alias("d")), "key").filter("c < d")
-    rest = _often(
-        met.join(two.select("key", F.col("component").alias("c"), F.col("node").alias("a")), ["key", "c"])
-        .join(two.select("key", F.col("component").alias("d"), F.col("node").alias("b")), ["key", "d"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    ).join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(_across(members, found, sets, percent))
     # Rows of one id whose texts are of several classes.
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     same = placed.join(ids, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    final = components(links.unionByName(verified(rest, sets, percent)).unionByName(same))
+    final = components(links.unionByName(same))
     linked = _component_of(placed, final, "component_id").select("doc_id", "n_shingles", "component_id")
     alone = sketched.filter(F.col("digest").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -155,37 +145,75 @@ def _members(keyed: DataFrame) -> DataFrame:
     return stored(keys.join(buckets, "key"), "members")
 
 
-def _by_hubs(members: DataFrame, links: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links and components after some rounds, and the pairs (a, b) that were compared.
+def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between the components of ``found``, enough of them to connect all that the buckets' pairs connect.
 
-    In a round, each bucket that holds several components compares its members with one of them: of those that were not
-    yet, the one that shares most buckets with others. The middle of a group of near copies shares more than its copies do,
-    and is the same one in all buckets. So a group is joined by about a pair for each member, and what is left for
-    comparisons across components is little.
+    Buckets that have members in common make a region, found by a link of each member with its bucket's first. A region
+    is dealt into blocks of bounded rows and shingles; two blocks meet in one task if a bucket has members in both. The
+    task compares whole sets across components and returns a forest. So a group of near copies costs a row for each
+    member and block, though its pairs, each a little under the threshold, all have to be looked at.
     """
-    tried = used = None
-    for _ in range(HUB_ROUNDS):
-        two = stored(_apart(members, found), "apart")
-        left = two if used is None else two.join(used, ["key", "node"], "left_anti")
-        degree = stored(two.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
-        first = F.max_by(F.struct("node", "component"), F.struct("degree", -F.col("node"))).alias("hub")
-        hubs = stored(left.join(small_enough(degree), "node").groupBy("key").agg(first), "hubs")
-        met = two.join(hubs, "key").filter(F.col("component") != F.col("hub.component"))
-        pairs = _often(met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")))
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        more = hubs.select("key", F.col("hub.node").alias("node"))
-        used = more if used is None else used.unionByName(more)
-        if pairs.isEmpty():
-            break
-        links = stored(links.unionByName(verified(pairs, sets, percent)), "links")
-        found = stored(components(links), "found")
-    return links, found, tried
-
-
-def _often(pairs: DataFrame) -> DataFrame:
-    """The pairs that meet in two buckets or more: one at the threshold shares 17 fine bands, one far below it one."""
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
+    two = stored(_apart(members, found), "apart")
+    firsts = two.groupBy("key").agg(F.min("node").alias("a"))
+    stars = two.join(firsts, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    region = components(stars).withColumnRenamed("component", "region")
+    nodes = stored(two.select("node", "component").distinct().join(region, "node"), "regions")
+    sizes = nodes.join(sets.select(F.col("doc_id").alias("node"), F.size("shingles").alias("size")), "node")
+    n = F.ceil(F.greatest(F.count(F.lit(1)) / REGION_ROWS, F.sum("size") / REGION_SHINGLES)).alias("n")
+    deals = stored(sizes.groupBy("region").agg(n), "region-blocks")
+    own = F.pmod(F.xxhash64("node"), "n").alias("own")
+    nodes = stored(nodes.join(small_enough(deals), "region").select("region", "node", "component", own), "regions")
+    dealt = two.select("key", "node").join(nodes.select("node", "own"), "node")
+    others = dealt.groupBy("key").agg(F.sort_array(F.collect_set("own")).alias("others"))
+    partners = dealt.join(others, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    met = (
+        nodes.join(partners, "node")
+        .select("region", "node", "component", "own", F.explode("others").alias("o"))
+        .select("region", "node", "component", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).alias("second"))
+        .join(sets.withColumnRenamed("doc_id", "node"), "node")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        node, component = group["node"].to_numpy(), group["component"].to_numpy()
+        second = group["second"].to_numpy() if group["i"][0] != group["j"][0] else None
+        column = group["shingles"].combine_chunks()
+        a, b = forest_of_sets(column.flatten().to_numpy(), column.value_lengths().to_numpy(), component, second, percent)
+        return pa.table({"a": int64(node[a]), "b": int64(node[b])})
+
+    return stored(met.groupBy("region", "i", "j").applyInArrow(compare, "a long, b long"), "links")
+
+
+def forest_of_sets(values: np.ndarray, sizes: np.ndarray, component: np.ndarray, second: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): rows whose sets are similar enough and whose components no earlier link of these connects.
+
+    ``values`` are the sets end to end. With ``second``, rows of the one side are compared with those of the other.
+    """
+    n = len(sizes)
+    codes = np.unique(values, return_inverse=True)[1]
+    rows, bounds = np.repeat(np.arange(n), sizes), np.concatenate([[0], np.cumsum(sizes)])
+    label = np.unique(component, return_inverse=True)[1]
+    listed = np.ones(len(rows), bool) if second is None else second[rows]
+    order = np.flatnonzero(listed)[np.argsort(codes[listed], kind="stable")]
+    holders = rows[order]
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(codes[listed], minlength=int(codes.max(initial=-1)) + 1))])
+    side = np.ones(n, bool) if second is None else second
+    found = []
+    for a in range(n) if second is None else np.flatnonzero(~second):
+        able = side & (label != label[a]) & (100 * np.minimum(sizes, sizes[a]) >= percent * np.maximum(sizes, sizes[a]))
+        if second is None:
+            able[: a + 1] = False
+        if not able.any():
+            continue
+        own = codes[bounds[a] : bounds[a + 1]]
+        lengths = cuts[own + 1] - cuts[own]
+        at = np.repeat(cuts[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(holders[at], minlength=n)
+        for b in np.flatnonzero(able & (100 * common >= percent * (sizes + sizes[a] - common))):
+            if label[b] != label[a]:
+                found.append((a, b))
+                label[label == label[b]] = label[a]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def _component_of(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:

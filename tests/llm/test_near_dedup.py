@@ -110,3 +110,47 @@ def test_components(spark):
                 changed = True
     assert {k: got.get(k, k) for k in least} == least
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_forest_of_sets_connects_what_all_pairs_do():
+    rng = np.random.default_rng(4)
+    for trial in range(30):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))) for _ in range(25)]
+        sets += [np.unique(np.append(sets[k][1:], 99)) for k in range(10)]
+        n = len(sets)
+        component = rng.integers(0, 30, n) * 7
+        second = rng.random(n) < 0.5 if trial % 2 else None
+        got = near_dedup.forest_of_sets(np.concatenate(sets), np.array([len(s) for s in sets]), component, second, 70)
+
+        def classes(links):
+            label = list(component)
+            for a, b in links:
+                label = [label[a] if x == label[b] else x for x in label]
+            return {frozenset(k for k in range(n) if label[k] == x) for x in label}
+
+        want = []
+        for a in range(n):
+            for b in range(a + 1, n):
+                common = len(np.intersect1d(sets[a], sets[b]))
+                if (second is None or second[a] != second[b]) and 100 * common >= 70 * (len(sets[a]) + len(sets[b]) - common):
+                    want.append((a, b))
+        links = list(zip(*(x.tolist() for x in got)))
+        assert classes(links) == classes(want) and set(map(frozenset, links)) <= set(map(frozenset, want))
+        assert len(links) < len(set(component))
+
+
+def test_groups_a_little_under_the_threshold(spark, monkeypatch):
+    """Copies of one text that differ from each other by more than the threshold, some pairs of which don't, in regions
+    of several blocks."""
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 16)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    base, docs = [word() for _ in range(200)], []
+    for k in range(120):
+        text = list(base)
+        for at in rng.sample(range(200), 3 if k % 3 else 1):
+            text[at] = word()
+        docs.append((k, " ".join(text)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(near_dedup.near_duplicates(frame)) == sorted(brute(docs), key=str)
+    assert rows(near_dedup.near_duplicates(frame, percent=93)) == sorted(brute(docs, 93), key=str)

@@ -62,9 +62,12 @@ def new_name() -> str:
     return f"own_{uuid.uuid4().hex}"
 
 
-def small_enough(ids: DataFrame) -> DataFrame:
-    """A stored table of ids, to be broadcast if it is counted to be small; else the join shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def small_enough(ids: DataFrame, *lists: str) -> DataFrame:
+    """A stored table of ids, to be broadcast if it is counted to be small; else the join shuffles. What ``lists`` hold
+    counts too, four entries as much as a row."""
+    entries = sum((F.coalesce(F.size(c), F.lit(0)) for c in lists), F.lit(0))
+    rows, held = ids.agg(F.count("*"), F.coalesce(F.sum(entries), F.lit(0))).first()
+    return F.broadcast(ids) if rows + held // 4 <= BROADCAST_ROWS else ids
 
 
 def offsets_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -12,8 +12,13 @@ third of all documents have costs one row a task, and as many candidates as it h
 documents are joined by their intervals: where windows of enough functions overlap along a diagonal, the passage around
 them is read from both texts and verified on its shingles.
 
-The earliest document of a signature may have only a part of the passage that later ones share. So texts meet once more,
-whatever their signatures: of every ``shortest`` words in a row, a run of half as many is drawn by its hash. Around runs
+The earliest document of a signature may have only a part of the passage that later ones share. So the windows that no
+found passage holds meet again without it: all of a signature that are left, and those of them that also agree in the
+smallest hash of the shingles before or behind, under ``DRAWS`` functions. Whoever has just a part of the passage, or one of
+its lines, has some of those shingles and not others. Each of these groups is joined with its earliest window again, so a
+window costs a fixed number of rows and candidates however many share its signature.
+
+Then texts meet by runs, whatever their signatures: of every ``shortest`` words in a row, a run of half as many is drawn by its hash. Around runs
 that several documents have, all runs of ``shortest`` words meet. Who has such a run first has the passage itself, in
 whichever task it was read. Only those inside an exact repeat of an earlier document are left out, since that one has them.
 """
@@ -34,10 +39,14 @@ WIDTH = 5
 FUNCTIONS, ENOUGH = 4, 2
 SIMILAR = 0.8
 DRIFT = 32  # words by which a passage may shift against its first occurrence
+DRAWS = 4  # functions that draw a shingle on each side of a window's own
 CHUNK = 1 << 19  # windows that a task joins among themselves at a time
+BUCKET_BYTES = 1 << 27  # of texts, whose windows are less than a third more than that
+HOT_ROWS, HOT_KEYS = 1 << 12, 1 << 12  # rows from which a key is hot; keys that are so at most, of any number of rows
 _U = np.uint64
 WINDOW = np.dtype([("key", "<u8"), ("doc", "<i8"), ("c", "<i4"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
 PAIR = "a long, b long, f int, ac int, al int, ar int, c int, l int, r int"
+AGAIN = "run long, doc long, f int, c int, l int, r int"
 FOUND = "doc_id long, text_hash long, start long, length long, words long, first_doc_id long, similarity double, b0 long, b1 long, s0 int, s1 int, same boolean"
 RUN = "run long, doc long, c int, open boolean"
 
@@ -140,8 +149,9 @@ def candidates(docs: DataFrame, shortest: int, width: int, functions: int, bucke
         order = np.argsort(bucket, kind="stable")
         hubs, cuts = hubs[order], np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
         parts = [(k, hubs[x:y].tobytes(), b"") for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
-        # What was found here goes to the buckets in even parts, just to come out with the rest.
-        parts += [(k % buckets, b"", p.tobytes()) for k, p in enumerate(np.array_split(pairs, -(-len(pairs) // 4096))) if len(p)] if len(pairs) else []
+        # What was found here goes to the buckets in even parts, just to come out with the rest. Each chunk begins elsewhere.
+        begin = int(hubs["key"][0] % _U(buckets)) if len(hubs) else 0
+        parts += [((begin + k) % buckets, b"", p.tobytes()) for k, p in enumerate(np.array_split(pairs, -(-len(pairs) // 4096))) if len(p)] if len(pairs) else []
         ks, hs, ps = zip(*parts) if parts else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(hs, pa.binary()), pa.array(ps, pa.binary())], names=["bucket", "hubs", "pairs"])
 
@@ -231,11 +241,14 @@ def repeated_passages(
     says whose passage it is. Rows without an id, null, empty and shorter texts have none. Other columns are left out.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null and text is not null")
-    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    seeds = F.collect_list(F.struct("f", "ac", "al", "ar", "c", "l", "r")).alias("seeds")
-    pairs = candidates(base, shortest, width, functions, buckets).groupBy("a", "b").agg(F.size(F.collect_set("f")).alias("n"), seeds)
-    pairs = stored(pairs.filter(F.col("n") >= enough).drop("n"), "passage-pairs")
-    found = stored(_verified(base, pairs, shortest, width, enough, similar), "passages")
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    met = stored(candidates(base, shortest, width, functions, buckets), "passage-candidates")
+    found = stored(_verified(base, _pairs(met, enough), shortest, width, enough, similar), "passages")
+    again = _first_met(stored(_drawn_again(base, met, found, shortest, width, functions), "passage-again"), "l", "r")
+    again = again.select("a", "b", "f", F.col("hub.c").alias("ac"), F.col("hub.l").alias("al"), F.col("hub.r").alias("ar"), "c", "l", "r")
+    more = _verified(base, _pairs(again, enough), shortest, width, enough, similar)
+    found = stored(found.unionByName(more), "passages")
 
     t, half = shortest - width + 1, max(1, shortest // 2 - width + 1)
     known = stored(found.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_set(F.struct("s0", "s1", "same")).alias("known")), "passage-known")
@@ -254,10 +267,79 @@ def repeated_passages(
     return found.unionByName(more).drop("s0", "s1", "same").distinct()
 
 
+def _pairs(met: DataFrame, enough: int) -> DataFrame:
+    """(a, b, seeds) of documents that windows of ``enough`` functions make candidates."""
+    seeds = F.collect_set(F.struct("f", "ac", "al", "ar", "c", "l", "r")).alias("seeds")
+    pairs = met.groupBy("a", "b").agg(F.size(F.collect_set("f")).alias("n"), seeds)
+    return stored(pairs.filter(F.col("n") >= enough).drop("n"), "passage-pairs")
+
+
+def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: int, width: int, functions: int) -> DataFrame:
+    """Rows of AGAIN: the later windows of ``met`` that no passage of ``found`` holds, once by their signature alone and
+    twice for each draw by that and a shingle nearby."""
+    t, seeds, draws = shortest - width + 1, stream(functions, 11), stream(2 * DRAWS + 1, 12)
+    near = t // 2
+    several = base.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y")).filter("x <> y")
+    spans = found.groupBy(F.col("doc_id").alias("b")).agg(F.collect_set(F.struct("s0", "s1")).alias("spans"))
+    spans = spans.join(several, F.col("b") == F.col("doc_id"), "left_anti")  # their windows may be another text's
+    windows = met.groupBy("b").agg(F.collect_set(F.col("c").cast("long") * functions + F.col("f")).alias("windows")).join(spans, "b", "left")
+    place = lambda w: F.floor(w / functions)
+    is_left = lambda w: ~F.coalesce(F.exists("spans", lambda s: (s["s0"] <= place(w)) & (place(w) <= s["s1"])), F.lit(False))
+    left = stored(windows.select("b", F.filter("windows", is_left).alias("windows")).filter(F.size("windows") > 0), "passage-left")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, bounds in blocks(batch.column(1)):
+                hashes, _, _, first = words(data, bounds)
+                shingle = block_shingles(hashes, first, width)
+                out = []
+                for k in range(len(bounds) - 1):
+                    s = shingle[first[k] : first[k + 1]]
+                    doc, wanted = batch.column(0)[row + k].as_py(), batch.column(2)[row + k].values.to_numpy()
+                    for f in range(functions):
+                        h = mix(s ^ seeds[f])
+                        h[s == 0] = 0
+                        c, left, right = compact_windows(h, t)
+                        own = np.isin(c, wanted[wanted % functions == f] // functions)
+                        c, left, right = c[own], left[own], right[own]
+                        for run in _keys(s, h[c], c, left, right):
+                            out.append((run, np.full(len(c), doc), np.full(len(c), f), c, left, right))
+                if out:
+                    run, *rest = (np.concatenate(x) for x in zip(*out))
+                    columns = [int64(run), int64(rest[0]), *[pa.array(x.astype(np.int32)) for x in rest[1:]]]
+                    yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in AGAIN.split(", ")])
+
+    def _keys(s: np.ndarray, key: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
+        yield mix(key + draws[0])
+        for j in range(DRAWS if len(c) else 0):
+            h = mix(s ^ draws[1 + j])
+            before = [h[max(x, p - near) : p].min(initial=_U(2**64 - 1)) for p, x in zip(c.tolist(), left.tolist())]
+            behind = [h[p + 1 : min(y, p + near) + 1].min(initial=_U(2**64 - 1)) for p, y in zip(c.tolist(), right.tolist())]
+            yield mix(mix(key + draws[1 + j]) + np.array(before, np.uint64))
+            yield mix(mix(key + draws[1 + DRAWS + j]) + np.array(behind, np.uint64))
+
+    rows = base.join(small_enough(left, "windows"), F.col("doc_id") == F.col("b"))
+    return rows.select("doc_id", "text", "windows").mapInArrow(draw, AGAIN)
+
+
+def _first_met(runs: DataFrame, *more: str) -> DataFrame:
+    """The rows of stored ``runs`` but the earliest document's, each with its run's earliest row: a, hub, b and the rest.
+
+    Runs of very many rows are joined where their rows are read. A run has to have so many rows for it that there are
+    ``HOT_KEYS`` such runs at most.
+    """
+    hubs = runs.groupBy("run").agg(F.min(F.struct("doc", "c", *more)).alias("hub"), F.max("doc").alias("z"), F.count("*").alias("n"))
+    hubs = stored(hubs.filter("hub.doc < z").drop("z"), "passage-hubs")
+    many = max(HOT_ROWS, runs.count() // HOT_KEYS)
+    hot = F.broadcast(hubs.filter(F.col("n") > many))
+    rest = runs.join(hot.select("run"), "run", "left_anti").join(hubs.filter(F.col("n") <= many), "run")
+    both = runs.join(hot, "run").unionByName(rest).filter("doc <> hub.doc")
+    return both.select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), "hub", *[c for c in runs.columns if c not in ("run", "doc")])
+
+
 def _met(runs: DataFrame) -> DataFrame:
     """(a, b, ac, c, open): runs of document b that the earlier document a has first."""
-    hubs = runs.groupBy("run").agg(F.min(F.struct("doc", "c")).alias("hub"), F.max("doc").alias("z")).filter("hub.doc < z").drop("z")
-    return runs.join(hubs, "run").filter("doc <> hub.doc").select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), F.col("hub.c").alias("ac"), "c", "open")
+    return _first_met(runs).select("a", "b", F.col("hub.c").alias("ac"), "c", "open")
 
 
 def _runs(base: DataFrame, known: DataFrame, places: DataFrame | None, half: int, t: int, width: int) -> DataFrame:
@@ -296,8 +378,8 @@ def _runs(base: DataFrame, known: DataFrame, places: DataFrame | None, half: int
 
     rows = base.withColumn("hash", F.xxhash64("text"))
     if places is not None:
-        rows = rows.join(small_enough(places), F.col("doc_id") == F.col("doc"))
-    rows = rows.join(small_enough(known), (F.col("doc_id") == F.col("d")) & (F.col("hash") == F.col("h")), "left")
+        rows = rows.join(small_enough(places, "places"), F.col("doc_id") == F.col("doc"))
+    rows = rows.join(small_enough(known, "known"), (F.col("doc_id") == F.col("d")) & (F.col("hash") == F.col("h")), "left")
     return rows.select("doc_id", "text", "known", *(["places"] if places is not None else [])).mapInArrow(run, RUN)
 
 
@@ -339,16 +421,23 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
     texts = stored(base.join(small_enough(ids), "doc_id", "left_semi"), "passage-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None, None)
+        last: tuple = (None,) * 5
         for batch in batches:
             out: list[tuple] = []
             ids, bs, hashes, pair_seeds, ta, tb = (batch.column(k) for k in range(6))
             for k in range(batch.num_rows):
                 a = ta[k].as_py().encode("utf-8")
                 if (ids[k].as_py(), a) != last[:2]:
-                    h, _, _, first = words(np.frombuffer(a, np.uint8), np.array([0, len(a)]))
-                    last = ids[k].as_py(), a, block_shingles(h, first, width)
+                    h, starts, ends, first = words(np.frombuffer(a, np.uint8), np.array([0, len(a)]))
+                    last = ids[k].as_py(), a, block_shingles(h, first, width), starts, ends
                 b = tb[k].as_py().encode("utf-8")
+                if a == b and len(last[2]) >= shortest:
+                    n = len(last[2])
+                    starts, ends = last[3], last[4]
+                    at, end = int(starts[0]), int(ends[-1])
+                    start = len(b[:at].decode("utf-8"))
+                    out.append((bs[k].as_py(), hashes[k].as_py(), start, len(b[at:end].decode("utf-8")), n, ids[k].as_py(), 1.0, at, end, 0, n - width, True))
+                    continue
                 h, starts, ends, first = words(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
                 own, sb = [tuple(s.values()) for s in pair_seeds[k].as_py()], block_shingles(h, first, width)
                 for x, y, similarity in verified_passages(last[2], sb, own, shortest, width, enough, similar, whole):
@@ -361,8 +450,14 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
             kinds = [pa.int64()] * 6 + [pa.float64()] + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
 
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("tb")), "b")
-    both = both.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+    # A document that very many begin with is dealt to several tasks, with a copy of its text in each.
+    many = max(HOT_ROWS, pairs.count() // HOT_KEYS)
+    hot = stored(pairs.groupBy("a").count().filter(F.col("count") > many).select("a", F.ceil(F.col("count") / many).cast("int").alias("parts")), "passage-hot")
+    dealt = pairs.join(F.broadcast(hot), "a", "left").withColumn("part", F.pmod(F.hash("b"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    firsts = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).join(F.broadcast(hot), "a", "left")
+    firsts = firsts.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    both = dealt.join(texts.select(F.col("doc_id").alias("b"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("tb")), "b")
+    both = both.join(firsts, ["a", "part"])
     return both.select("a", "b", "text_hash", "seeds", "ta", "tb").mapInArrow(verify, FOUND)
 
 
@@ -394,5 +489,5 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
             columns = [pa.array(new, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = docs.join(small_enough(spans), (docs[doc_id].cast("long") == F.col(own_id)) & (F.xxhash64(docs[text]) == F.col(own_hash)), "left")
+    joined = docs.join(small_enough(spans, own_spans), (docs[doc_id].cast("long") == F.col(own_id)) & (F.xxhash64(docs[text]) == F.col(own_hash)), "left")
     return joined.select(*[docs[c] for c in docs.columns], own_spans).mapInArrow(cut, docs.schema)

@@ -1,8 +1,10 @@
 """Repeated passages: compact windows against their definition, planted passages, and cuts."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -154,3 +156,66 @@ def test_repeats_are_found_over_tasks(spark):
     want = {3 * k + 2 for k in range(60)}
     for source in (frame(spark, firsts).coalesce(1).union(frame(spark, rest).coalesce(1)), frame(spark, docs).coalesce(1), frame(spark, docs).repartition(13)):
         assert {r.doc_id for r in passages.repeated_passages(source).collect() if r.words >= 60} == want
+
+
+def shared_behind_halves(rng, n):
+    """Ids 4i and 4i + 1 have a half of a passage each, 4i + 2 and 4i + 3 all of it but for one word."""
+    docs = []
+    for k in range(n):
+        passage = text(rng, 70)
+        edited = passage[:35] + [word(rng) + "x"] + passage[36:]
+        for j, part in enumerate((passage[:35], passage[36:], passage, edited)):
+            docs.append((4 * k + j, " ".join(text(rng, 70) + part + text(rng, 70))))
+    return docs
+
+
+@pytest.mark.parametrize("parts", [1, 4, 13])
+def test_near_copies_meet_behind_documents_with_their_halves(spark, parts):
+    docs = shared_behind_halves(random.Random(11), 200)
+    found = passages.repeated_passages(frame(spark, docs).repartition(parts)).collect()
+    assert all(r.doc_id % 4 == 3 and r.first_doc_id == r.doc_id - 1 for r in found)
+    assert len({r.doc_id for r in found}) >= 198
+
+
+def near_pairs(docs, shortest=50, width=5, similar=0.8):
+    """(later, earlier) documents whose texts have passages of ``shortest`` words or more on one diagonal that are
+    as similar as asked, by trying every one."""
+    sets = {k: [tuple(w[i : i + width]) for i in range(len(w) - width + 1)] for k, w in ((k, t.lower().split()) for k, t in docs)}
+    places = {}
+    for k, own in sets.items():
+        for i, x in enumerate(own):
+            places.setdefault(x, []).append((k, i))
+    out, t = set(), shortest - width + 1
+    diagonals = Counter((b, a, j - i) for b, own in sets.items() for i, x in enumerate(own) for a, j in places[x] if a < b)
+    for (b, a, d), n in diagonals.items():
+        ends = [(i, j) for i in range(max(0, -d), len(sets[b])) for j in range(i + t, min(len(sets[b]), len(sets[a]) - d) + 1)]
+        for i, j in ends if n >= similar * t else ():
+            one, two = set(sets[a][i + d : j + d]), set(sets[b][i:j])
+            if len(one & two) >= similar * len(one | two):
+                out.add((b, a))
+                break
+    return out
+
+
+def test_near_passages_against_brute_force(spark):
+    """Groups of passages with one word in 60 changed: every document that has one of an earlier one is found, no other."""
+    rng, docs = random.Random(12), []
+    for k in range(150):
+        passage = text(rng, rng.randrange(60, 140)) if k % 3 == 0 else passage
+        edited = [word(rng) + "x" if i % 60 == 30 + k % 3 else w for i, w in enumerate(passage)]
+        docs.append((k, " ".join(text(rng, 50) + edited + text(rng, 50))))
+    want = near_pairs(docs)
+    got = {(r.doc_id, r.first_doc_id) for r in passages.repeated_passages(frame(spark, docs)).collect()}
+    later = {b for b, _ in want}
+    assert len(later) >= 80 and got <= want
+    assert len({b for b, _ in got} & later) >= 0.97 * len(later)
+
+
+def test_hot_runs_and_documents_are_dealt(spark, monkeypatch):
+    """Keys of more rows than a task takes give what they give otherwise."""
+    rng = random.Random(13)
+    hot = text(rng, 70)
+    docs = [(k, " ".join(text(rng, 20) + hot + text(rng, 20))) for k in range(60)]
+    want = sorted(passages.repeated_passages(frame(spark, docs)).collect())
+    monkeypatch.setattr(passages, "HOT_ROWS", 7)
+    assert sorted(passages.repeated_passages(frame(spark, docs)).collect()) == want and {r.doc_id for r in want} == set(range(1, 60))

@@ -39,7 +39,8 @@ WIDTH = 5
 FUNCTIONS, ENOUGH = 4, 2
 SIMILAR = 0.8
 DRIFT = 32  # words by which a passage may shift against its first occurrence
-DRAWS = 4  # functions that draw a shingle on each side of a window's own
+REACH = (1 << 10) - 1  # shingles on a side of its own within which a window is compared with others again
+DRAWS = 2  # functions that draw a shingle on each side of a window's own
 CHUNK = 1 << 19  # windows that a task joins among themselves at a time
 BUCKET_BYTES = 1 << 27  # of texts, whose windows are less than a third more than that
 HOT_ROWS, HOT_KEYS = 1 << 12, 1 << 12  # rows from which a key is hot; keys that are so at most, of any number of rows
@@ -166,22 +167,34 @@ def candidates(docs: DataFrame, shortest: int, width: int, functions: int, bucke
     return packed_rows.groupBy("bucket").applyInArrow(merge, PAIR)
 
 
-def _matches(sa: np.ndarray, sb: np.ndarray, diagonal: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each shingle of b: does a have it near the diagonal, and where (nearest to it)."""
+def _index(sa: np.ndarray, sb: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where a has each shingle of b: (places of a by shingle, the same with their shingle's first, first, last + 1)."""
     order = np.argsort(sa, kind="stable")
-    ordered, want = sa[order], np.arange(len(sb)) + diagonal
+    ordered = sa[order]
     lo, hi = np.searchsorted(ordered, sb, "left"), np.searchsorted(ordered, sb, "right")
+    new = np.ones(len(sa), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(sa) else order
+    return order, (first << 32) + order, lo, hi
+
+
+def _matches(index: tuple[np.ndarray, ...], sb: np.ndarray, diagonal: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each shingle of b: does a have it near the diagonal, and where (nearest to it, of two the first)."""
+    order, by_shingle, lo, hi = index
+    want = np.arange(len(sb)) + diagonal
     at = np.full(len(sb), -(1 << 40))
     single = hi > lo
     at[single] = order[lo[single]]
-    for k in np.flatnonzero(hi > lo + 1):  # a shingle that a has several times
-        places = order[lo[k] : hi[k]]
-        at[k] = places[np.abs(places - want[k]).argmin()]
+    k = np.flatnonzero(hi > lo + 1)  # shingles that a has several times
+    if len(k):
+        place = np.searchsorted(by_shingle, (lo[k] << 32) + np.maximum(want[k], 0))
+        before, behind = (order[np.clip(p, lo[k], hi[k] - 1)] for p in (place - 1, place))
+        at[k] = np.where(np.abs(before - want[k]) <= np.abs(behind - want[k]), before, behind)
     return (np.abs(at - want) <= DRIFT) & (sb != 0), at
 
 
 def verified_passages(
-    sa: np.ndarray, sb: np.ndarray, seeds: list[tuple], shortest: int, width: int, enough: int, similar: float, whole: bool = False
+    sa: np.ndarray, sb: np.ndarray, seeds: np.ndarray, shortest: int, width: int, enough: int, similar: float, whole: bool = False
 ) -> list[tuple[int, int, float]]:
     """(first shingle, last shingle, similarity) of the passages of b that a has as well, by shingles of both texts.
 
@@ -191,18 +204,20 @@ def verified_passages(
     """
     t, found = shortest - width + 1, []
     against = similar / (1 - similar) if similar < 1 else float(len(sb) + 1)
-    s = np.array(sorted(set(seeds), key=lambda x: (x[4], x[0], x[1])), np.int64).reshape(-1, 7)
+    s = np.asarray(seeds, np.int64).reshape(-1, 7)
+    s = s[np.lexsort((s[:, 1], s[:, 0], s[:, 4]))]
     f, c, left, right, diagonal = s[:, 0], s[:, 4], s[:, 5], s[:, 6], s[:, 1] - s[:, 4]
+    index, bits = _index(sa, sb), 1 << f
     known: dict[int, tuple] = {}
     for k in range(len(s)):
         if any(x <= left[k] and right[k] <= y if whole else x <= c[k] <= y for x, y, _ in found):
             continue
         shared = np.minimum(right, right[k]) - np.maximum(left, left[k]) + 1 >= t
-        if not whole and len(np.unique(f[shared & (np.abs(diagonal - diagonal[k]) <= DRIFT)])) < enough:
+        if not whole and int(np.bitwise_or.reduce(bits[shared & (np.abs(diagonal - diagonal[k]) <= DRIFT)])).bit_count() < enough:
             continue
         d = int(diagonal[k])
         if d not in known:
-            hit, at = _matches(sa, sb, d)
+            hit, at = _matches(index, sb, d)
             known[d] = hit, at, np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -against))])
         hit, at, gain = known[d]
         if not hit[c[k]]:
@@ -212,7 +227,7 @@ def verified_passages(
             if y - x + 1 < t or (x, y) in {f[:2] for f in found}:
                 continue
             own = at[x : y + 1][hit[x : y + 1]]
-            one, two = np.unique(sa[own.min() : own.max() + 1]), np.unique(sb[x : y + 1])
+            one, two = _distinct(sa[own.min() : own.max() + 1]), _distinct(sb[x : y + 1])
             one, two = one[one != 0], two[two != 0]
             common = len(np.intersect1d(one, two, assume_unique=True))
             similarity = common / (len(one) + len(two) - common)
@@ -222,6 +237,13 @@ def verified_passages(
     return found
 
 
+def _distinct(s: np.ndarray) -> np.ndarray:
+    s = np.sort(s)
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    return s[new]
+
+
 def _run(hit: np.ndarray, at: np.ndarray, c: int) -> tuple[int, int]:
     """The run of shingles around ``c`` that follow each other in both texts."""
     breaks = np.flatnonzero(~hit[1:] | ~hit[:-1] | (np.diff(at) != 1)) + 1
@@ -282,8 +304,11 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
     several = base.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y")).filter("x <> y")
     spans = found.groupBy(F.col("doc_id").alias("b")).agg(F.collect_set(F.struct("s0", "s1")).alias("spans"))
     spans = spans.join(several, F.col("b") == F.col("doc_id"), "left_anti")  # their windows may be another text's
-    windows = met.groupBy("b").agg(F.collect_set(F.col("c").cast("long") * functions + F.col("f")).alias("windows")).join(spans, "b", "left")
-    place = lambda w: F.floor(w / functions)
+    # A window in one number: place, function, and how far it goes before and behind, if not farther than REACH.
+    number = (F.col("c").cast("long") * functions + F.col("f")) * (REACH + 1) + F.least(F.col("c") - F.col("l"), F.lit(REACH))
+    number = number * (REACH + 1) + F.least(F.col("r") - F.col("c"), F.lit(REACH))
+    windows = met.groupBy("b").agg(F.collect_set(number).alias("windows")).join(spans, "b", "left")
+    place = lambda w: (w - w % (functions * (REACH + 1) ** 2)) / (functions * (REACH + 1) ** 2)
     is_left = lambda w: ~F.coalesce(F.exists("spans", lambda s: (s["s0"] <= place(w)) & (place(w) <= s["s1"])), F.lit(False))
     left = stored(windows.select("b", F.filter("windows", is_left).alias("windows")).filter(F.size("windows") > 0), "passage-left")
 
@@ -295,28 +320,27 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
                 out = []
                 for k in range(len(bounds) - 1):
                     s = shingle[first[k] : first[k + 1]]
-                    doc, wanted = batch.column(0)[row + k].as_py(), batch.column(2)[row + k].values.to_numpy()
-                    for f in range(functions):
-                        h = mix(s ^ seeds[f])
-                        h[s == 0] = 0
-                        c, left, right = compact_windows(h, t)
-                        own = np.isin(c, wanted[wanted % functions == f] // functions)
-                        c, left, right = c[own], left[own], right[own]
-                        for run in _keys(s, h[c], c, left, right):
-                            out.append((run, np.full(len(c), doc), np.full(len(c), f), c, left, right))
+                    doc, w = batch.column(0)[row + k].as_py(), batch.column(2)[row + k].values.to_numpy()
+                    w, behind = np.divmod(w, REACH + 1)
+                    w, before = np.divmod(w, REACH + 1)
+                    c, f = np.divmod(w, functions)
+                    own = c < len(s)  # of rows of one id, another one may be longer
+                    c, f, left, right = c[own], f[own], np.maximum(c - before, 0)[own], np.minimum(c + behind, len(s) - 1)[own]
+                    for run in keys(s, mix(s[c] ^ seeds[f]), c, left, right) if len(c) else ():
+                        out.append((run, np.full(len(c), doc), f, c, left, right))
                 if out:
                     run, *rest = (np.concatenate(x) for x in zip(*out))
                     columns = [int64(run), int64(rest[0]), *[pa.array(x.astype(np.int32)) for x in rest[1:]]]
                     yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in AGAIN.split(", ")])
 
-    def _keys(s: np.ndarray, key: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
+    def keys(s: np.ndarray, key: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
         yield mix(key + draws[0])
-        for j in range(DRAWS if len(c) else 0):
-            h = mix(s ^ draws[1 + j])
-            before = [h[max(x, p - near) : p].min(initial=_U(2**64 - 1)) for p, x in zip(c.tolist(), left.tolist())]
-            behind = [h[p + 1 : min(y, p + near) + 1].min(initial=_U(2**64 - 1)) for p, y in zip(c.tolist(), right.tolist())]
-            yield mix(mix(key + draws[1 + j]) + np.array(before, np.uint64))
-            yield mix(mix(key + draws[1 + DRAWS + j]) + np.array(behind, np.uint64))
+        before = np.stack([np.maximum(left, c - near), c], 1).ravel()
+        behind = np.stack([c + 1, np.minimum(right, c + near) + 1], 1).ravel()
+        for j in range(DRAWS):
+            h = np.append(mix(s ^ draws[1 + j]), np.zeros(2, np.uint64))  # room for what ends with the text
+            yield mix(mix(key + draws[1 + j]) + np.minimum.reduceat(h, before)[::2])
+            yield mix(mix(key + draws[1 + DRAWS + j]) + np.minimum.reduceat(h, behind)[::2])
 
     rows = base.join(small_enough(left, "windows"), F.col("doc_id") == F.col("b"))
     return rows.select("doc_id", "text", "windows").mapInArrow(draw, AGAIN)
@@ -439,7 +463,7 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
                     out.append((bs[k].as_py(), hashes[k].as_py(), start, len(b[at:end].decode("utf-8")), n, ids[k].as_py(), 1.0, at, end, 0, n - width, True))
                     continue
                 h, starts, ends, first = words(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
-                own, sb = [tuple(s.values()) for s in pair_seeds[k].as_py()], block_shingles(h, first, width)
+                own, sb = np.stack([x.to_numpy() for x in pair_seeds[k].values.flatten()], 1), block_shingles(h, first, width)
                 for x, y, similarity in verified_passages(last[2], sb, own, shortest, width, enough, similar, whole):
                     span = x, y, similarity == 1 and sb[x : y + 1].tobytes() in last[2].tobytes()
                     y += width - 1

@@ -8,7 +8,7 @@ are few, and are all that reaches the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,15 +60,29 @@ def in_slice(key: Column, tie: Column, low: Boundary | None, high: Boundary | No
 
 def slice_of(key: Column, tie: Column, boundaries: Sequence[Boundary]) -> Column:
     """The number of the slice that takes a row: of boundaries in order, how many it is at or after."""
-    return _sum([at_or_after(key, tie, b).cast("int") for b in boundaries])
+    keys, ties = _constants([b.key for b in boundaries]), _constants([b.tie for b in boundaries])
 
+    def after(i: Column) -> Column:
+        return (key > F.get(keys, i)) | ((key == F.get(keys, i)) & (tie >= F.get(ties, i)))
 
-def _sum(columns: Sequence[Column]) -> Column:
-    """Added up pairwise, so that the expression's depth grows with the logarithm of their number."""
-    if len(columns) < 2:
-        return columns[0] if columns else F.lit(0)
-    half = len(columns) // 2
-    return _sum(columns[:half]) + _sum(columns[half:])
+    return _passed(len(boundaries), after)
+
+
+def _constants(numbers: Sequence[int]) -> Column:
+    """An array of longs, as one literal: a column for each would take the driver kilobytes a number."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
+def _passed(n: int, after: Callable[[Column], Column]) -> Column:
+    """Of ``n`` boundaries in order, how many a row is at or after: ``after`` tests one, and halving finds the last."""
+    if n == 0:
+        return F.lit(0)
+
+    def ahead(at: Column, step: Column) -> Column:
+        test = (at + step <= n) & F.coalesce(after(at + step - 1), F.lit(False))
+        return F.when(test, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(1 << s) for s in reversed(range(n.bit_length()))]), F.lit(0), ahead)
 
 
 def even_boundaries(rows: DataFrame, key: str, lo: int, hi: int, slices: int, others: Sequence[str] = ()) -> list[Boundary]:
@@ -91,16 +105,28 @@ def even_boundaries(rows: DataFrame, key: str, lo: int, hi: int, slices: int, ot
     wide = math.ceil(slices / AT_ONCE)
     if wide == 1:
         found = _boundaries(keyed, F.lit(0), slices)[0]
-    else:
-        outer = _boundaries(keyed, F.lit(0), wide)[0]
-        passed = _sum([(F.col("c") >= F.lit(c)).cast("int") for c in outer])
-        found = sorted(set(outer).union(*_boundaries(keyed, passed, math.ceil(slices / wide)).values()))
+    else:  # the first ranges have a slice more, so that there are as many as were asked for
+        each, more = divmod(slices, wide)
+        outer = _quantiles(keyed, F.lit(0), wide, lambda s: _at(s, [(g * each + min(g, more)) / slices for g in range(1, wide)]))[0]
+        edges = _constants(outer)
+        passed = _passed(len(outer), lambda i: F.col("c") >= F.get(edges, i))
+        found = sorted(set(outer).union(*_boundaries(keyed, passed, each, more).values()))
     return [Boundary((c >> bits) + lo, c & ((1 << bits) - 1)) for c in found]
 
 
-def _boundaries(keyed: DataFrame, group: Column, slices: int) -> dict[int, list[int]]:
-    """Distinct boundaries inside each group of rows, so many slices for each; of no rows, none in group 0."""
+def _at(sketch: str, ranks: Sequence[float]) -> Column:
+    return F.kll_sketch_get_quantile_bigint(sketch, F.array(*[F.lit(r) for r in ranks]))
+
+
+def _boundaries(keyed: DataFrame, group: Column, slices: int, more: int = 0) -> dict[int, list[int]]:
+    """Distinct boundaries inside each group of rows: ``slices`` slices for each, one more for the first ``more`` groups."""
+    ranks = [[i / n for i in range(1, n)] for n in (slices + 1, slices)]
+    inner = _quantiles(keyed, group, slices + 1, lambda s: F.when(F.col("g") < more, _at(s, ranks[0])).otherwise(_at(s, ranks[1])))
+    return {g: sorted(set(c)) for g, c in inner.items()}
+
+
+def _quantiles(keyed: DataFrame, group: Column, slices: int, of: Callable[[str], Column]) -> dict[int, list[int]]:
+    """What ``of`` takes from each group's sketch, in order; of no rows, nothing in group 0."""
     sketch = F.kll_sketch_agg_bigint("c", F.lit(size_for(slices))).alias("s")
-    ranks = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    rows = keyed.groupBy(group.alias("g")).agg(sketch).select("g", F.kll_sketch_get_quantile_bigint("s", ranks).alias("c"))
-    return {0: []} | {r["g"]: sorted(set(r["c"])) for r in rows.collect()}
+    rows = keyed.groupBy(group.alias("g")).agg(sketch).select("g", of("s").alias("c"))
+    return {0: []} | {r["g"]: sorted(r["c"]) for r in rows.collect()}

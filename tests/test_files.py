@@ -1,5 +1,6 @@
 """Slices of file tables: which files they open, how even they are; profiles of many tables."""
 
+import bisect
 import time
 
 import pytest
@@ -92,6 +93,24 @@ def test_even_slices_in_two_rounds(spark, monkeypatch):
     assert len(counts) == 30 and 180 <= min(counts) <= max(counts) <= 220
 
 
+def test_numbering_by_many_boundaries_is_a_small_expression(spark):
+    bounds = [even.Boundary(3 * (i // 2), 5 * (i % 2)) for i in range(4_000)]
+    rows = spark.range(-1, 6_002).selectExpr("IF(id < 0, NULL, id) AS k", "id % 7 AS t")
+    numbered = rows.select("k", "t", even.slice_of(F.col("k"), F.col("t"), bounds).alias("s"))
+    nodes = numbered._jdf.queryExecution().analyzed().expressions().head().treeString().count("\n")
+    assert nodes < 60
+    for r in numbered.collect():
+        assert r["s"] == (0 if r["k"] is None else bisect.bisect_right(bounds, (r["k"], r["t"]), key=lambda b: (b.key, b.tie)))
+
+
+def test_two_rounds_give_as_many_slices_as_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(even, "AT_ONCE", 6)
+    rows = spark.range(6_200).selectExpr("CAST(pow(id, 2) AS bigint) AS k", "id AS line")
+    found = even.even_boundaries(rows, "k", 0, 6_199**2, 31, ["line"])
+    counts = [r["count"] for r in rows.groupBy(even.slice_of(F.col("k"), F.lit(0), found).alias("s")).count().collect()]
+    assert len(counts) == 31 and 180 <= min(counts) <= max(counts) <= 220
+
+
 def test_even_slices_of_odd_keys(spark):
     rows = spark.createDataFrame([(-(2**63), 1), (2**63 - 1, 2), (0, 3), (None, 4)] * 50, "k long, x long")
     found = even.even_boundaries(rows, "k", -(2**63), 2**63 - 1, 3, ["x"])

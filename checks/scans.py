@@ -84,12 +84,12 @@ def scan_page_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every page of a table without a key, each page read as a slice of its own group of ten."""
     src = source(spark, sf_dir, "postgresql")
     entry = plan_entry(src, "lineitem")
-    last, found = entry["pages"] - 1, []
-    for lo in range(0, entry["pages"], 10):
-        piece = Row(unit="page", slice_no=lo, slices=1, lo=lo, hi=lo + 10, open_low=lo == 0, open_high=lo + 10 > last)
-        rows = src.paged(NS["postgresql"], "lineitem")
-        found.append(rows.filter(in_page_slice(F.col("page"), piece["lo"], piece["hi"], piece["open_high"])).select("page"))
-    return functools.reduce(DataFrame.unionByName, found).groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
+    tens = Row(**entry.asDict() | {"strategy": "page_batches", "slice_width": 10, "batches": max(1, -(-entry["pages"] // 10))})
+    slices = plan_slices(plan_frame(spark, [tens])).select("slice_no", "lo", "hi", "open_high")
+    pages = src.paged(NS["postgresql"], "lineitem").groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
+    number = F.least(F.call_function("div", F.col("page"), F.lit(10).cast("bigint")), F.lit(tens["batches"] - 1).cast("bigint"))
+    of_slice = pages.withColumn("slice_no", number).join(slices, "slice_no")
+    return of_slice.filter(in_page_slice(F.col("page"), F.col("lo"), F.col("hi"), F.col("open_high"))).select("page", "n_rows")
 
 
 # CRC-32 (polynomial 0xEDB88320) over the bytes of the url, which DuckDB has no function for.

@@ -220,7 +220,6 @@ def in_bucket(key: Column, bucket: int, buckets: int) -> Column:
     return F.coalesce(hash_bucket(key, buckets), F.lit(0)) == bucket
 
 
-def in_page_slice(page: Column, lo: int, hi: int, open_high: bool) -> Column:
+def in_page_slice(page: Column, lo: int | Column, hi: int | Column, open_high: bool | Column) -> Column:
     """Row test of a page slice."""
-    test = page >= F.lit(lo)
-    return test if open_high else test & (page < F.lit(hi))
+    return (page >= F.lit(lo)) & (F.lit(open_high) | (page < F.lit(hi)))

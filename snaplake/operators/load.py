@@ -118,7 +118,8 @@ def load_table(
     """Load one planned table and return the rows written.
 
     ``atomic`` reads every slice, as many at a time as the source bears, and publishes once. ``incremental`` replaces
-    the table with its first slice and appends the others; a cancelled one leaves the slices that were published.
+    the table with its first slice and appends the others; a cancelled one leaves the slices that were published. Slices
+    are as planned, or wider where the source bears it (``step_entry``).
     With ``progress``, a load of several waves that did not come to its end is gone on with after its last wave.
     """
     target = target_of(source, entry["ns"], entry["table"])
@@ -126,7 +127,7 @@ def load_table(
         return _load_waves(source, sink, entry, target, progress, run)
     if publish != "incremental":
         raise ValueError(f"unknown publish mode {publish!r}")
-    rows = 0
+    rows, entry = 0, source.step_entry(entry)
     for piece in source.pieces(entry):
         _go_on(run)
         write = sink.append if piece["slice_no"] else sink.replace

@@ -56,6 +56,9 @@ class Source(Protocol):
         """The table, or its rows that pass a filter, in parts that the source bears one at a time, from part ``first``
         on. Each is made when it is taken. The same entry and layout give the same parts."""
 
+    def step_entry(self, entry: Row) -> Row:
+        """The plan entry of an incremental load: with as many slices as it is to have steps."""
+
     def pieces(self, entry: Row) -> Iterable[Row]:
         """Slices of the table in order, a few small rows each with its ``slice_no``."""
 

@@ -20,7 +20,7 @@ from snaplake.functions.filters import to_column
 from snaplake.plans.catalog import salts_of
 from snaplake.plans.even import even_boundaries, in_slice, tie_bits, tie_of
 from snaplake.plans.load_plan import BATCHED, PROFILE_COLUMNS, PROFILE_SCHEMA, plan_frame
-from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices
+from snaplake.plans.slices import in_bucket, in_key_slice, in_page_slice, plan_slices, widened
 from snaplake.sources.base import Catalog, combine
 from snaplake.sources.dialects import Dialect
 from snaplake.sources.profiles import ProfileCache, folder_state
@@ -32,6 +32,10 @@ _SQL_TYPES = {
 }
 
 
+#: Steps of an incremental load: each may open all of a table's files again, so their number must not grow with its rows.
+MAX_STEPS = 16
+
+
 @dataclass(frozen=True)
 class FileTable:
     path: str
@@ -70,6 +74,7 @@ class FileSource:
         self.slice_by = slice_by
         self.profiles = profiles  # a file that keeps profiles of unchanged tables for later sessions
         self._zones: dict[tuple[str, str, str], DataFrame] = {}
+        self._pages: dict[tuple[str, str], DataFrame] = {}
         self._listings: dict[tuple[str, str, int], DataFrame] = {}
         self._footers: SparkSession | None = None
 
@@ -106,16 +111,29 @@ class FileSource:
         """The table with each row's page. Pages are blocks of ``rows_per_page`` rows of a file; files follow each other
         in the order of their paths. The files' row counts are read first, a row for each file."""
         df = self.scan(ns, table)
-        place = F.struct("_metadata.file_path", "_metadata.row_index")
-        rows = df.select(place.alias("at")).groupBy("at.file_path").agg((F.max("at.row_index") + 1).alias("n"))
+        return self._numbered(df, self._first_pages(df), page)
+
+    def _first_pages(self, df: DataFrame) -> DataFrame:
+        """(path, first, pages) of the files: the first page of each, and how many it has."""
+        place = F.struct(F.col("_metadata.file_path").alias("path"), "_metadata.row_index")
+        rows = df.select(place.alias("at")).groupBy("at.path").agg((F.max("at.row_index") + 1).alias("n"))
         pages = F.ceil(F.col("n") / self.rows_per_page).cast("bigint")
-        before = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
-        first = rows.select(F.col("file_path").alias("__file"), F.coalesce(F.sum(pages).over(before), F.lit(0)).alias("__first"))
+        before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select("path", F.coalesce(F.sum(pages).over(before), F.lit(0)).alias("first"), pages.alias("pages"))
+
+    def _numbered(self, df: DataFrame, files: DataFrame, page: str) -> DataFrame:
+        """The rows of some files with their pages. There is a row for each file, which a scan's own list of files has
+        too: it is broadcast, else the table would be shuffled, and all of a file to one task."""
+        first = F.broadcast(files.select(F.col("path").alias("__file"), F.col("first").alias("__first")))
         block = F.call_function("div", F.col("_metadata.row_index"), F.lit(self.rows_per_page).cast("bigint"))
         numbered = df.withColumns({"__of": F.col("_metadata.file_path"), "__block": block})
         joined = numbered.join(first, F.col("__of") == F.col("__file"))
         return joined.select(*df.columns, (F.col("__first") + F.col("__block")).alias(page))
 
+    def step_entry(self, entry: Row) -> Row:
+        """With slices so wide that there are at most ``MAX_STEPS``: Spark reads any of them with as many tasks as it needs."""
+        return widened(entry, MAX_STEPS * entry["parts"])
+
     def pieces(self, entry: Row) -> list[Row]:
         """Slices of the table, a small row each. Which files a slice reads is looked up when it is read.
 
@@ -123,6 +141,7 @@ class FileSource:
         slices if there are enough files. With ``slice_by="plan"`` the pieces are the plan's own slices; with "even",
         slices of a numeric key that have about equal rows. Those read the files whose keys overlap theirs and no other.
         """
+        self._pages.pop((entry["ns"], entry["table"]), None)  # each load lists the files anew
         if self.slice_by == "even" and entry["key_kind"] == "numeric" and entry["strategy"] in BATCHED:
             return self._even_pieces(entry)
         if self.slice_by in ("plan", "even"):
@@ -181,19 +200,32 @@ class FileSource:
 
     def _of(self, entry: Row, files: DataFrame) -> DataFrame:
         """The rows of some of the table's files: those of one slice."""
+        paths = [unquote(r["path"]) for r in files.select("path").collect()]
+        return self._open(entry, paths) if paths else self.scan(entry["ns"], entry["table"]).limit(0)
+
+    def _open(self, entry: Row, paths: list[str]) -> DataFrame:
         t = self.tables[entry["ns"], entry["table"]]
         schema = t.schema or self.scan(entry["ns"], entry["table"]).schema
-        paths = [unquote(r["path"]) for r in files.select("path").collect()]
-        if not paths:
-            return self.scan(entry["ns"], entry["table"]).limit(0)
         return self.spark.read.format(t.format).schema(schema).load(paths)
 
+    def _page_slice(self, entry: Row, piece: Row) -> DataFrame:
+        """From the files that have pages of the slice. The table's pages are numbered once, so those of its slices agree."""
+        key = entry["ns"], entry["table"]
+        if key not in self._pages:
+            self._pages[key] = self._kept(self._first_pages(self.scan(*key)), "pages")
+        end = F.col("first") + F.col("pages")
+        there = self._pages[key].filter((end > piece["lo"]) & (F.lit(piece["open_high"]) | (F.col("first") < piece["hi"])))
+        paths = [unquote(r["path"]) for r in there.select("path").collect()]
+        if not paths:
+            return self.scan(*key).limit(0)
+        paged = self._numbered(self._open(entry, paths), there, "__page")
+        return paged.filter(in_page_slice(F.col("__page"), piece["lo"], piece["hi"], piece["open_high"])).drop("__page")
+
     def read_slice(self, entry: Row, piece: Row) -> DataFrame:
         if piece["unit"] == "files":
             return self._of(entry, self._groups(entry).filter(F.col("group") == piece["group"]))
         if piece["unit"] == "page":
-            paged = self.paged(entry["ns"], entry["table"], "__page")
-            return paged.filter(in_page_slice(F.col("__page"), piece["lo"], piece["hi"], piece["open_high"])).drop("__page")
+            return self._page_slice(entry, piece)
         if piece["unit"] == "table":
             return self.scan(entry["ns"], entry["table"])
         key = F.col(quote(entry["key_column"]))

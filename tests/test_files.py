@@ -1,6 +1,7 @@
 """Slices of file tables: which files they open, how even they are; profiles of many tables."""
 
 import bisect
+import functools
 import time
 
 import pytest
@@ -8,9 +9,10 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from checks.tables import CFG, new_sink
-from snaplake import FileSource, FileTable, MYSQL, load_table, plan_source
+from snaplake import FileSource, FileTable, MYSQL, POSTGRESQL, load_table, plan_source
 from snaplake.operators.load import target_of
 from snaplake.plans import even
+from snaplake.sources.files import MAX_STEPS
 from snaplake.workspace import shared_dir
 
 
@@ -147,3 +149,49 @@ def test_only_changed_tables_are_profiled_anew(spark, monkeypatch):
     assert profiled == ["t3"] and changed == first | {"t3": (113, 5_009)}
     tables["shop", "t3"] = FileTable(f"{folder}/t3")  # other keys make another profile
     assert planned()[0]["t3"] == (113, 0) and profiled == ["t3"]
+
+
+@pytest.mark.parametrize("dialect, keys, strategy, slice_by", [
+    (MYSQL, ("id",), "range_batches", "plan"), (MYSQL, ("id",), "range_batches", "even"), (MYSQL, ("id",), "range_batches", "files"),
+    (MYSQL, ("name",), "hash_batches", "plan"), (POSTGRESQL, (), "page_batches", "plan"),
+])
+def test_incremental_loads_of_files_take_few_steps(spark, dialect, keys, strategy, slice_by):
+    rows = spark.range(25_000).selectExpr("id", "IF(id % 9 = 0, NULL, concat('n', id % 4000)) AS name").repartition(20, "id")
+    folder, sink = shared_dir(spark, "given"), new_sink(spark)
+    rows.write.parquet(folder)
+    src = FileSource(spark, dialect, {("shop", "t"): FileTable(folder, keys)}, slice_by=slice_by)
+    entry = plan_source(src, CFG).first()
+    assert (entry["strategy"], entry["batches"] > MAX_STEPS) == (strategy, True)
+    steps = []
+    replace, append = sink.replace, sink.append
+    sink.replace = lambda *a: steps.append("replace") or replace(*a)
+    sink.append = lambda *a: steps.append("append") or append(*a)
+    assert load_table(src, sink, entry, publish="incremental") == 25_000
+    assert steps[0] == "replace" and 2 <= len(steps) <= MAX_STEPS and set(steps[1:]) == {"append"}
+    assert same_rows(sink.read(target_of(src, "shop", "t")), rows)
+
+
+def test_a_page_slice_opens_the_files_that_have_its_pages(spark):
+    rows = spark.range(9_000).repartitionByRange(6, "id")
+    folder = shared_dir(spark, "given")
+    rows.write.parquet(folder)
+    src = FileSource(spark, POSTGRESQL, {("app", "t"): FileTable(folder)}, rows_per_page=500, slice_by="plan")
+    entry = plan_source(src, CFG).first()
+    parts = [src.read_slice(entry, p) for p in src.pieces(entry)]
+    assert len(parts) == entry["batches"] == 18
+    assert max(len([f for f in p.inputFiles() if folder in f]) for p in parts) <= 2
+    assert same_rows(functools.reduce(lambda a, b: a.unionByName(b), parts), rows)
+    spark.range(9_000, 9_700).write.mode("append").parquet(folder)
+    assert sum(src.read_slice(entry, p).count() for p in src.pieces(entry)) == 9_700  # each load looks anew
+
+
+def test_numbering_pages_does_not_shuffle_the_table(spark):
+    folder = shared_dir(spark, "given")
+    spark.range(9_000).repartition(6).write.parquet(folder)
+    src = FileSource(spark, POSTGRESQL, {("app", "t"): FileTable(folder)}, rows_per_page=500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if the files' rows were estimated to be many
+    try:
+        plan = src.paged("app", "t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

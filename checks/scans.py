@@ -67,9 +67,10 @@ def scan_page_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_files(spark: SparkSession, sf_dir: str, files: int = 6) -> FileSource:
-    """``lineitem`` in several files of its own."""
+    """``lineitem`` in several files of its own: each task that reads it writes what it has read, to one file or more."""
     staged = shared_dir(spark, "lineitem")
-    source(spark, sf_dir, "postgresql").scan(NS["postgresql"], "lineitem").repartition(files).write.parquet(staged)
+    rows = source(spark, sf_dir, "postgresql").scan(NS["postgresql"], "lineitem")
+    rows.write.option("maxRecordsPerFile", max(1, -(-rows.count() // files))).parquet(staged)
     tables = {(NS["postgresql"], "lineitem"): FileTable(staged)}
     return FileSource(spark, POSTGRESQL, tables, rows_per_page=ROWS_PER_PAGE)
 

@@ -149,7 +149,7 @@ def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int)
     """(a, b): links between the components of ``found``, enough of them to connect all that the buckets' pairs connect.
 
     Buckets that have members in common make a region, found by a link of each member with its bucket's first. A region
-    is dealt into blocks of bounded rows and shingles; two blocks meet in one task if a bucket has members in both. The
+    is dealt into blocks of bounded rows and shingles, a power of two of them; two blocks meet in one task if a bucket has members in both. The
     task compares whole sets across components and returns a forest. So a group of near copies costs a row for each
     member and block, though its pairs, each a little under the threshold, all have to be looked at.
     """
@@ -159,16 +159,21 @@ def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int)
     region = components(stars).withColumnRenamed("component", "region")
     nodes = stored(two.select("node", "component").distinct().join(region, "node"), "regions")
     sizes = nodes.join(sets.select(F.col("doc_id").alias("node"), F.size("shingles").alias("size")), "node")
-    n = F.ceil(F.greatest(F.count(F.lit(1)) / REGION_ROWS, F.sum("size") / REGION_SHINGLES)).alias("n")
+    wanted = F.greatest(F.count(F.lit(1)) / REGION_ROWS, F.sum("size") / REGION_SHINGLES)
+    n = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(wanted)), F.lit(0))).cast("long").alias("n")
     deals = stored(sizes.groupBy("region").agg(n), "region-blocks")
-    own = F.pmod(F.xxhash64("node"), "n").alias("own")
-    nodes = stored(nodes.join(small_enough(deals), "region").select("region", "node", "component", own), "regions")
-    dealt = two.select("key", "node").join(nodes.select("node", "own"), "node")
-    others = dealt.groupBy("key").agg(F.sort_array(F.collect_set("own")).alias("others"))
-    partners = dealt.join(others, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    most = deals.agg(F.max("n")).first()[0] or 1
+    drawn = F.xxhash64("node")
+    nodes = stored(nodes.join(small_enough(deals), "region").select("region", "node", "component", "n", F.pmod(drawn, "n").alias("own")), "regions")
+    # All numbers of blocks divide the largest. So a bucket's blocks follow from what it holds itself, and only the buckets,
+    # not their members, are joined with a node: the first, for its region's number of blocks.
+    held = two.groupBy("key").agg(F.min("node").alias("a"), F.collect_set(F.pmod(drawn, F.lit(most))).alias("drawn"))
+    cut = nodes.filter("n > 1").select(F.col("node").alias("a"), "n")
+    others = held.join(cut, "a").select("key", F.array_distinct(F.transform("drawn", lambda d: F.pmod(d, F.col("n")))).alias("others"))
+    partners = two.select("key", "node").join(others, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
     met = (
-        nodes.join(partners, "node")
-        .select("region", "node", "component", "own", F.explode("others").alias("o"))
+        nodes.join(partners, "node", "left")
+        .select("region", "node", "component", "own", F.explode(F.coalesce("others", F.array("own"))).alias("o"))
         .select("region", "node", "component", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).alias("second"))
         .join(sets.withColumnRenamed("doc_id", "node"), "node")
     )

@@ -154,3 +154,27 @@ def test_groups_a_little_under_the_threshold(spark, monkeypatch):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert rows(near_dedup.near_duplicates(frame)) == sorted(brute(docs), key=str)
     assert rows(near_dedup.near_duplicates(frame, percent=93)) == sorted(brute(docs, 93), key=str)
+
+
+def test_dealing_regions_joins_no_bucket_member_with_its_node(spark, monkeypatch):
+    """Members of fine buckets are very many for each node; only the buckets meet nodes. ``cut`` blocks or one: same links."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 400)
+    sets = []
+    for d in range(60):
+        own = base.copy()
+        own[rng.choice(400, 12, replace=False)] = rng.integers(0, 1 << 62, 12)
+        sets.append((d, sorted(own.tolist())))
+    frame = spark.createDataFrame(sets, "doc_id long, shingles array<long>")
+    keyed = frame.mapInArrow(near_dedup._fine_keys(near_dedup.fine_rows(85)), "node long, keys array<long>")
+    found = spark.createDataFrame([], "node long, component long")
+    plans, kept = {}, near_dedup.stored
+    monkeypatch.setattr(near_dedup, "stored", lambda f, name: plans.update({name: f._jdf.queryExecution().optimizedPlan().toString()}) or kept(f, name))
+    members = near_dedup._members(keyed).drop("hub")
+    results = []
+    for rows in (1_024, 8):
+        monkeypatch.setattr(near_dedup, "REGION_ROWS", rows)
+        links = near_dedup._across(members, found, frame, 85).collect()
+        results.append(near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect())
+        assert plans["links"].count("Join Inner, (node") <= 1  # the sets
+    assert sorted(results[0]) == sorted(results[1]) and len(results[0]) > 0

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, int64, lists, mix, new_name, shingle_set, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, give_back, int64, lists, mix, new_name, shingle_set, small_enough, stored, stream, words
 from snaplake.llm.components import components
 
 WIDTH, BANDS, ROWS = 5, 25, 5
@@ -179,6 +179,7 @@ def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int)
     )
 
     def compare(group: pa.Table) -> pa.Table:
+        give_back()  # what the group before has left
         node, component = group["node"].to_numpy(), group["component"].to_numpy()
         second = group["second"].to_numpy() if group["i"][0] != group["j"][0] else None
         column = group["shingles"].combine_chunks()

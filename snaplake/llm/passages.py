@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, int64, mix, new_name, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, give_back, int64, mix, new_name, small_enough, stored, stream, words
 
 SHORTEST = 50  # words of a passage
 WIDTH = 5
@@ -44,6 +44,7 @@ DRAWS = 2  # functions that draw a shingle on each side of a window's own
 CHUNK = 1 << 19  # windows that a task joins among themselves at a time
 BUCKET_BYTES = 1 << 27  # of texts, whose windows are less than a third more than that
 HOT_ROWS, HOT_KEYS = 1 << 12, 1 << 12  # rows from which a key is hot; keys that are so at most, of any number of rows
+KEPT_PLACES = 1 << 20  # places of a text, over all diagonals, whose matches are kept while its seeds are gone through
 _U = np.uint64
 WINDOW = np.dtype([("key", "<u8"), ("doc", "<i8"), ("c", "<i4"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
 PAIR = "a long, b long, f int, ac int, al int, ar int, c int, l int, r int"
@@ -157,6 +158,7 @@ def candidates(docs: DataFrame, shortest: int, width: int, functions: int, bucke
         return pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(hs, pa.binary()), pa.array(ps, pa.binary())], names=["bucket", "hubs", "pairs"])
 
     def merge(group: pa.Table) -> pa.Table:
+        give_back()  # what the group before has left
         read = lambda c: np.frombuffer(b"".join(group[c].to_pylist()), WINDOW)
         found = np.concatenate([_group(read("hubs"))[1], read("pairs").reshape(-1, 2)])
         a, b = found[:, 0], found[:, 1]
@@ -217,6 +219,8 @@ def verified_passages(
             continue
         d = int(diagonal[k])
         if d not in known:
+            if len(known) * len(sb) > KEPT_PLACES:  # long texts with seeds on very many diagonals: looked up again if need be
+                known.clear()
             hit, at = _matches(index, sb, d)
             known[d] = hit, at, np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -against))])
         hit, at, gain = known[d]
@@ -473,6 +477,7 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
             columns = list(zip(*out)) if out else [[]] * 12
             kinds = [pa.int64()] * 6 + [pa.float64()] + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
+            give_back()
 
     # A document that very many begin with is dealt to several tasks, with a copy of its text in each.
     many = max(HOT_ROWS, pairs.count() // HOT_KEYS)

@@ -127,7 +127,7 @@ def near_duplicates(
     # What is not connected in a bucket is dealt anew by finer bands, which far fewer unlike sets share.
     apart = stored(_apart(members, found).select("node").distinct(), "apart")
     again = sets.join(small_enough(apart.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
-    members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>")).drop("hub")
+    members = _members(again.mapInArrow(_fine_keys(fine_rows(percent)), "node long, keys array<long>"))
     links = links.unionByName(_across(members, found, sets, percent))
     # Rows of one id whose texts are of several classes.
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
@@ -153,9 +153,11 @@ def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int)
     task compares whole sets across components and returns a forest. So a group of near copies costs a row for each
     member and block, though its pairs, each a little under the threshold, all have to be looked at.
     """
+    if "hub" not in members.columns:
+        members = members.join(members.groupBy("key").agg(F.min("node").alias("hub")), "key")
     two = stored(_apart(members, found), "apart")
-    firsts = two.groupBy("key").agg(F.min("node").alias("a"))
-    stars = two.join(firsts, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    # Buckets are here whole or not at all, so their first is still the hub that each member came with.
+    stars = two.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     region = components(stars).withColumnRenamed("component", "region")
     nodes = stored(two.select("node", "component").distinct().join(region, "node"), "regions")
     sizes = nodes.join(sets.select(F.col("doc_id").alias("node"), F.size("shingles").alias("size")), "node")
@@ -167,7 +169,7 @@ def _across(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int)
     nodes = stored(nodes.join(small_enough(deals), "region").select("region", "node", "component", "n", F.pmod(drawn, "n").alias("own")), "regions")
     # All numbers of blocks divide the largest. So a bucket's blocks follow from what it holds itself, and only the buckets,
     # not their members, are joined with a node: the first, for its region's number of blocks.
-    held = two.groupBy("key").agg(F.min("node").alias("a"), F.collect_set(F.pmod(drawn, F.lit(most))).alias("drawn"))
+    held = two.groupBy("key").agg(F.min("hub").alias("a"), F.collect_set(F.pmod(drawn, F.lit(most))).alias("drawn"))
     cut = nodes.filter("n > 1").select(F.col("node").alias("a"), "n")
     others = held.join(cut, "a").select("key", F.array_distinct(F.transform("drawn", lambda d: F.pmod(d, F.col("n")))).alias("others"))
     partners = two.select("key", "node").join(others, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
@@ -228,8 +230,8 @@ def _component_of(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
 
 
 def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, component) of the buckets that hold several components."""
-    placed = _component_of(members.select("key", "node"), found, "of").withColumnRenamed("of", "component")
+    """(key, node, hub, component) of the buckets that hold several components."""
+    placed = _component_of(members, found, "of").withColumnRenamed("of", "component")
     several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     return placed.join(several, "key")
 

@@ -178,3 +178,20 @@ def test_dealing_regions_joins_no_bucket_member_with_its_node(spark, monkeypatch
         results.append(near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect())
         assert plans["links"].count("Join Inner, (node") <= 1  # the sets
     assert sorted(results[0]) == sorted(results[1]) and len(results[0]) > 0
+
+
+def test_regions_need_no_join_of_members_with_their_bucket(spark, monkeypatch):
+    """Each member of a fine bucket comes with the bucket's first, so the links that make regions follow by a filter."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    base, docs = [word() for _ in range(200)], []
+    for k in range(80):
+        text = list(base)
+        for at in rng.sample(range(200), 3 if k % 3 else 1):
+            text[at] = word()
+        docs.append((k, " ".join(text)))
+    plans, of = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda f: plans.append(f._jdf.queryExecution().optimizedPlan().toString()) or of(f))
+    got = rows(near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == sorted(brute(docs), key=str)
+    assert len(plans) == 3 and "hub" in plans[1] and "Join" not in plans[1]

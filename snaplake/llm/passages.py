@@ -29,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, give_back, int64, mix, new_name, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, give_back, int64, lists, mix, new_name, small_enough, stored, stream, words
 
 SHORTEST = 50  # words of a passage
 WIDTH = 5
@@ -47,7 +47,8 @@ HOT_ROWS, HOT_KEYS = 1 << 12, 1 << 12  # rows from which a key is hot; keys that
 KEPT_PLACES = 1 << 20  # places of a text, over all diagonals, whose matches are kept while its seeds are gone through
 _U = np.uint64
 WINDOW = np.dtype([("key", "<u8"), ("doc", "<i8"), ("c", "<i4"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
-PAIR = "a long, b long, f int, ac int, al int, ar int, c int, l int, r int"
+SEED = ("f", "ac", "al", "ar", "c", "l", "r")
+PAIR = f"a long, b long, fs long, seeds array<struct<{', '.join(f'{x}: int' for x in SEED)}>>"
 AGAIN = "run long, doc long, f int, c int, l int, r int"
 FOUND = "doc_id long, text_hash long, start long, length long, words long, first_doc_id long, similarity double, b0 long, b1 long, s0 int, s1 int, same boolean"
 RUN = "run long, doc long, c int, open boolean"
@@ -118,7 +119,9 @@ def _group(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidates(docs: DataFrame, shortest: int, width: int, functions: int, buckets: int) -> DataFrame:
-    """(a, b, ...): windows of document b with the signature of a window of the earlier document a."""
+    """(a, b, fs, seeds): windows of document b with the signature of a window of the earlier document a, and a bit for
+    each of their functions. What a task or a bucket finds for two documents is a row, however many windows they share.
+    """
     t = shortest - width + 1
     seeds = stream(functions, 11)
 
@@ -147,6 +150,7 @@ def candidates(docs: DataFrame, shortest: int, width: int, functions: int, bucke
 
     def packed(w: np.ndarray) -> pa.RecordBatch:
         hubs, pairs = _group(w)
+        pairs = pairs[np.lexsort((pairs["doc"][:, 1], pairs["doc"][:, 0]))]
         bucket = (hubs["key"] >> _U(33)) % _U(buckets)
         order = np.argsort(bucket, kind="stable")
         hubs, cuts = hubs[order], np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -161,9 +165,13 @@ def candidates(docs: DataFrame, shortest: int, width: int, functions: int, bucke
         give_back()  # what the group before has left
         read = lambda c: np.frombuffer(b"".join(group[c].to_pylist()), WINDOW)
         found = np.concatenate([_group(read("hubs"))[1], read("pairs").reshape(-1, 2)])
+        found = found[np.lexsort((found["doc"][:, 1], found["doc"][:, 0]))]
         a, b = found[:, 0], found[:, 1]
-        ints = [a["f"], a["c"], a["l"], a["r"], b["c"], b["l"], b["r"]]
-        return pa.table([int64(a["doc"]), int64(b["doc"]), *[pa.array(np.ascontiguousarray(x)) for x in ints]], names=[x.split()[0] for x in PAIR.split(", ")])
+        first = np.flatnonzero(np.concatenate([[True], (a["doc"][1:] != a["doc"][:-1]) | (b["doc"][1:] != b["doc"][:-1])])[: len(a)])
+        bits = np.bitwise_or.reduceat(1 << a["f"].astype(np.int64), first) if len(a) else np.zeros(0, np.int64)
+        ints = [pa.array(np.ascontiguousarray(x)) for x in (a["f"], a["c"], a["l"], a["r"], b["c"], b["l"], b["r"])]
+        seeds = lists(pa.StructArray.from_arrays(ints, names=SEED), np.diff(np.append(first, len(a))))
+        return pa.table([int64(a["doc"][first]), int64(b["doc"][first]), int64(bits), seeds], names=["a", "b", "fs", "seeds"])
 
     packed_rows = docs.mapInArrow(windows, "bucket int, hubs binary, pairs binary")
     return packed_rows.groupBy("bucket").applyInArrow(merge, PAIR)
@@ -270,10 +278,12 @@ def repeated_passages(
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     met = stored(candidates(base, shortest, width, functions, buckets), "passage-candidates")
-    found = stored(_verified(base, _pairs(met, enough), shortest, width, enough, similar), "passages")
+    pairs = _pairs(met, enough, F.flatten(F.collect_list("seeds")))
+    found = stored(_verified(base, pairs, shortest, width, enough, similar), "passages")
     again = _first_met(stored(_drawn_again(base, met, found, shortest, width, functions), "passage-again"), "l", "r")
-    again = again.select("a", "b", "f", F.col("hub.c").alias("ac"), F.col("hub.l").alias("al"), F.col("hub.r").alias("ar"), "c", "l", "r")
-    more = _verified(base, _pairs(again, enough), shortest, width, enough, similar)
+    seed = F.struct("f", F.col("hub.c").alias("ac"), F.col("hub.l").alias("al"), F.col("hub.r").alias("ar"), "c", "l", "r")
+    again = again.select("a", "b", F.expr("shiftleft(1L, f)").alias("fs"), seed.alias("seed"))
+    more = _verified(base, _pairs(again, enough, F.collect_set("seed")), shortest, width, enough, similar)
     found = stored(found.unionByName(more), "passages")
 
     t, half = shortest - width + 1, max(1, shortest // 2 - width + 1)
@@ -293,11 +303,10 @@ def repeated_passages(
     return found.unionByName(more).drop("s0", "s1", "same").distinct()
 
 
-def _pairs(met: DataFrame, enough: int) -> DataFrame:
+def _pairs(met: DataFrame, enough: int, seeds: Column) -> DataFrame:
     """(a, b, seeds) of documents that windows of ``enough`` functions make candidates."""
-    seeds = F.collect_set(F.struct("f", "ac", "al", "ar", "c", "l", "r")).alias("seeds")
-    pairs = met.groupBy("a", "b").agg(F.size(F.collect_set("f")).alias("n"), seeds)
-    return stored(pairs.filter(F.col("n") >= enough).drop("n"), "passage-pairs")
+    pairs = met.groupBy("a", "b").agg(F.bit_or("fs").alias("fs"), seeds.alias("seeds"))
+    return stored(pairs.filter(F.bit_count("fs") >= enough).drop("fs"), "passage-pairs")
 
 
 def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: int, width: int, functions: int) -> DataFrame:
@@ -309,9 +318,10 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
     spans = found.groupBy(F.col("doc_id").alias("b")).agg(F.collect_set(F.struct("s0", "s1")).alias("spans"))
     spans = spans.join(several, F.col("b") == F.col("doc_id"), "left_anti")  # their windows may be another text's
     # A window in one number: place, function, and how far it goes before and behind, if not farther than REACH.
-    number = (F.col("c").cast("long") * functions + F.col("f")) * (REACH + 1) + F.least(F.col("c") - F.col("l"), F.lit(REACH))
-    number = number * (REACH + 1) + F.least(F.col("r") - F.col("c"), F.lit(REACH))
-    windows = met.groupBy("b").agg(F.collect_set(number).alias("windows")).join(spans, "b", "left")
+    lean = lambda x: F.least(x, F.lit(REACH))
+    number = lambda s: ((s["c"].cast("long") * functions + s["f"]) * (REACH + 1) + lean(s["c"] - s["l"])) * (REACH + 1) + lean(s["r"] - s["c"])
+    numbers = met.select("b", F.transform("seeds", number).alias("windows")).groupBy("b").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"))
+    windows = numbers.join(spans, "b", "left")
     place = lambda w: (w - w % (functions * (REACH + 1) ** 2)) / (functions * (REACH + 1) ** 2)
     is_left = lambda w: ~F.coalesce(F.exists("spans", lambda s: (s["s0"] <= place(w)) & (place(w) <= s["s1"])), F.lit(False))
     left = stored(windows.select("b", F.filter("windows", is_left).alias("windows")).filter(F.size("windows") > 0), "passage-left")
@@ -321,21 +331,20 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
             for row, data, bounds in blocks(batch.column(1)):
                 hashes, _, _, first = words(data, bounds)
                 shingle = block_shingles(hashes, first, width)
-                out = []
-                for k in range(len(bounds) - 1):
-                    s = shingle[first[k] : first[k + 1]]
-                    doc, w = batch.column(0)[row + k].as_py(), batch.column(2)[row + k].values.to_numpy()
-                    w, behind = np.divmod(w, REACH + 1)
-                    w, before = np.divmod(w, REACH + 1)
-                    c, f = np.divmod(w, functions)
-                    own = c < len(s)  # of rows of one id, another one may be longer
-                    c, f, left, right = c[own], f[own], np.maximum(c - before, 0)[own], np.minimum(c + behind, len(s) - 1)[own]
-                    for run in keys(s, mix(s[c] ^ seeds[f]), c, left, right) if len(c) else ():
-                        out.append((run, np.full(len(c), doc), f, c, left, right))
-                if out:
-                    run, *rest = (np.concatenate(x) for x in zip(*out))
-                    columns = [int64(run), int64(rest[0]), *[pa.array(x.astype(np.int32)) for x in rest[1:]]]
-                    yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in AGAIN.split(", ")])
+                w, counts = _entries(batch.column(2).slice(row, len(bounds) - 1))
+                w, doc = w.to_numpy(), np.repeat(np.arange(len(counts)), counts)
+                w, behind = np.divmod(w, REACH + 1)
+                w, before = np.divmod(w, REACH + 1)
+                c, f = np.divmod(w, functions)
+                own = c < np.diff(first)[doc]  # of rows of one id, another one may be longer
+                doc, f, c, before, behind = doc[own], f[own], (c + first[doc])[own], before[own], behind[own]
+                if not len(c):
+                    continue
+                left, right = np.maximum(c - before, first[doc]), np.minimum(c + behind, first[doc + 1] - 1)
+                rest = [f, *(x - first[doc] for x in (c, left, right))]
+                columns = [int64(batch.column(0).to_numpy()[row + doc]), *[pa.array(x.astype(np.int32)) for x in rest]]
+                for run in keys(shingle, mix(shingle[c] ^ seeds[f]), c, left, right):
+                    yield pa.RecordBatch.from_arrays([int64(run), *columns], names=[x.split()[0] for x in AGAIN.split(", ")])
 
     def keys(s: np.ndarray, key: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
         yield mix(key + draws[0])
@@ -353,16 +362,26 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
 def _first_met(runs: DataFrame, *more: str) -> DataFrame:
     """The rows of stored ``runs`` but the earliest document's, each with its run's earliest row: a, hub, b and the rest.
 
-    Runs of very many rows are joined where their rows are read. A run has to have so many rows for it that there are
-    ``HOT_KEYS`` such runs at most.
+    All are joined where their rows are read if the runs of several documents are few. Else those of very many rows are;
+    a run has to have so many rows for it that there are ``HOT_KEYS`` such runs at most.
     """
-    hubs = runs.groupBy("run").agg(F.min(F.struct("doc", "c", *more)).alias("hub"), F.max("doc").alias("z"), F.count("*").alias("n"))
-    hubs = stored(hubs.filter("hub.doc < z").drop("z"), "passage-hubs")
-    many = max(HOT_ROWS, runs.count() // HOT_KEYS)
-    hot = F.broadcast(hubs.filter(F.col("n") > many))
-    rest = runs.join(hot.select("run"), "run", "left_anti").join(hubs.filter(F.col("n") <= many), "run")
-    both = runs.join(hot, "run").unionByName(rest).filter("doc <> hub.doc")
-    return both.select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), "hub", *[c for c in runs.columns if c not in ("run", "doc")])
+    ends = runs.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("z"), F.count("*").alias("n"))
+    ends = stored(ends.filter("a < z").drop("z"), "passage-ends")
+    small = small_enough(ends)
+    first = lambda shared, *more_of: shared.filter("doc = a").groupBy("run").agg(F.min(F.struct("c", *more)).alias("hub"), *more_of)
+    # Few runs are of several documents. Only their rows go on.
+    if small is not ends:
+        shared = stored(runs.join(small, "run"), "passage-shared")
+        both = shared.filter("doc <> a").join(F.broadcast(first(shared)), "run")  # as many rows as ``ends``
+    else:
+        many = max(HOT_ROWS, (ends.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
+        hot = F.broadcast(ends.filter(F.col("n") > many))
+        rest = runs.join(hot.select("run"), "run", "left_anti").join(ends.filter(F.col("n") <= many), "run")
+        shared = stored(runs.join(hot, "run").unionByName(rest), "passage-shared")
+        hubs, later = stored(first(shared, F.first("n").alias("of")), "passage-hubs"), shared.filter("doc <> a")
+        both = later.filter(F.col("n") > many).join(F.broadcast(hubs.filter(F.col("of") > many)), "run")
+        both = both.unionByName(later.filter(F.col("n") <= many).join(hubs.filter(F.col("of") <= many), "run"))
+    return both.select("a", F.col("doc").alias("b"), "hub", *[c for c in runs.columns if c not in ("run", "doc")])
 
 
 def _met(runs: DataFrame) -> DataFrame:
@@ -375,34 +394,35 @@ def _runs(base: DataFrame, known: DataFrame, places: DataFrame | None, half: int
     that hold one at ``places``. ``open`` are those that no known passage has whole."""
 
     drawing = places is None
+    size = half if drawing else t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column(0).to_numpy()
             for row, data, bounds in blocks(batch.column(1)):
                 hashes, _, _, first = words(data, bounds)
                 shingle = block_shingles(hashes, first, width)
-                out = []
-                for k in range(len(bounds) - 1):
-                    s = shingle[first[k] : max(first[k], first[k + 1] - width + 1)]
-                    if len(s) < t:
-                        continue
-                    lo, hi, same = _spans(batch.column(2)[row + k])
-                    if drawing:
-                        h, span = _rolled(s, half), t - half + 1
-                        least = np.zeros(len(h) + span - 1, np.uint64)
-                        least[span - 1 : len(h)] = _sliding(h, span, np.minimum)
-                        at = np.flatnonzero(_sliding(least, span, np.maximum) == h)
-                        is_open = ~_starts(lo, hi, half, len(h))[at]
-                    else:
-                        c = batch.column(3)[row + k].values.to_numpy().astype(np.int64)
-                        h, n = _rolled(s, t), len(s) - t + 1
-                        inside = _starts(c + half - t, c + t - 1, t, n)
-                        at = np.flatnonzero(inside & ~_starts(lo[same], hi[same], t, n))
-                        is_open = np.ones(len(at), bool)
-                    out.append((h[at], np.full(len(at), batch.column(0)[row + k].as_py(), np.int64), at.astype(np.int32), is_open))
-                if out:
-                    h, d, c, o = (np.concatenate(x) for x in zip(*out))
-                    yield pa.RecordBatch.from_arrays([int64(h), int64(d), pa.array(c), pa.array(o)], names=[x.split()[0] for x in RUN.split(", ")])
+                if len(shingle) < t:
+                    continue
+                # Runs that go beyond their text are 0 and the smallest of any that hold one.
+                h, texts = _rolled(shingle, size), slice(row, row + len(bounds) - 1)
+                h[(np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes)))[: len(h)] < size + width - 1] = 0
+                lo, hi, same = _spans(batch.column(2)[texts], first)
+                if drawing:
+                    span = t - half + 1
+                    least = np.zeros(len(h) + span - 1, np.uint64)
+                    least[span - 1 : len(h)] = _sliding(h, span, np.minimum)
+                    at = np.flatnonzero((_sliding(least, span, np.maximum) == h) & (h != 0))
+                    is_open = ~_starts(lo, hi, half, len(h))[at]
+                else:
+                    c, counts = _entries(batch.column(3)[texts])
+                    c, begin = c.to_numpy().astype(np.int64), np.repeat(first[:-1], counts)
+                    inside = _starts(np.maximum(c + half - t, 0) + begin, np.minimum(c + begin, np.repeat(first[1:], counts) - 1) + t - 1, t, len(h))
+                    at = np.flatnonzero(inside & (h != 0) & ~_starts(lo[same], hi[same], t, len(h)))
+                    is_open = np.ones(len(at), bool)
+                doc = np.searchsorted(first, at, "right") - 1
+                columns = [int64(h[at]), int64(ids[row + doc]), pa.array((at - first[doc]).astype(np.int32)), pa.array(is_open)]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in RUN.split(", ")])
 
     rows = base.withColumn("hash", F.xxhash64("text"))
     if places is not None:
@@ -411,12 +431,17 @@ def _runs(base: DataFrame, known: DataFrame, places: DataFrame | None, half: int
     return rows.select("doc_id", "text", "known", *(["places"] if places is not None else [])).mapInArrow(run, RUN)
 
 
-def _spans(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, same) of a text's known passages."""
-    if not cell.is_valid:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    lo, hi, same = cell.values.flatten()
-    return lo.to_numpy().astype(np.int64), hi.to_numpy().astype(np.int64), same.to_numpy(zero_copy_only=False).astype(bool)
+def _entries(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """What the lists of a column hold, end to end, and how much each has; null is empty."""
+    return column.flatten(), column.value_lengths().fill_null(0).to_numpy()
+
+
+def _spans(column: pa.ListArray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, same) of the known passages of a block's texts, by places of the block."""
+    held, counts = _entries(column)
+    lo, hi, same = held.flatten()
+    begin = np.repeat(first[:-1], counts)
+    return lo.to_numpy().astype(np.int64) + begin, hi.to_numpy().astype(np.int64) + begin, same.to_numpy(zero_copy_only=False).astype(bool)
 
 
 def _starts(lo: np.ndarray, hi: np.ndarray, size: int, n: int) -> np.ndarray:

@@ -219,6 +219,7 @@ def verified_passages(
     f, c, left, right, diagonal = s[:, 0], s[:, 4], s[:, 5], s[:, 6], s[:, 1] - s[:, 4]
     index, bits = _index(sa, sb), 1 << f
     known: dict[int, tuple] = {}
+    failed: set[tuple[int, int, int]] = set()
     for k in range(len(s)):
         if any(x <= left[k] and right[k] <= y if whole else x <= c[k] <= y for x, y, _ in found):
             continue
@@ -230,13 +231,15 @@ def verified_passages(
             if len(known) * len(sb) > KEPT_PLACES:  # long texts with seeds on very many diagonals: looked up again if need be
                 known.clear()
             hit, at = _matches(index, sb, d)
-            known[d] = hit, at, np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -against))])
-        hit, at, gain = known[d]
+            known[d] = hit, at, np.concatenate([[0.0], np.cumsum(np.where(hit, 1.0, -against))]), _breaks(hit, at)
+        hit, at, gain, breaks = known[d]
         if not hit[c[k]]:
             continue
         x, y = int(gain[: c[k] + 1].argmin()), int(c[k] + gain[c[k] + 1 :].argmax())
-        for x, y in ((x, y), _run(hit, at, int(c[k]))):
-            if y - x + 1 < t or (x, y) in {f[:2] for f in found}:
+        for second in (False, True):
+            if second:
+                x, y = _run(breaks, len(hit), int(c[k]))
+            if y - x + 1 < t or (d, x, y) in failed or any((x, y) == f[:2] for f in found):
                 continue
             own = at[x : y + 1][hit[x : y + 1]]
             one, two = _distinct(sa[own.min() : own.max() + 1]), _distinct(sb[x : y + 1])
@@ -246,6 +249,7 @@ def verified_passages(
             if similarity >= similar:
                 found.append((x, y, similarity))
                 break
+            failed.add((d, x, y))  # other seeds of the diagonal lead here too
     return found
 
 
@@ -256,11 +260,15 @@ def _distinct(s: np.ndarray) -> np.ndarray:
     return s[new]
 
 
-def _run(hit: np.ndarray, at: np.ndarray, c: int) -> tuple[int, int]:
-    """The run of shingles around ``c`` that follow each other in both texts."""
-    breaks = np.flatnonzero(~hit[1:] | ~hit[:-1] | (np.diff(at) != 1)) + 1
+def _breaks(hit: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The shingles that don't follow in both texts the one before."""
+    return np.flatnonzero(~hit[1:] | ~hit[:-1] | (at[1:] - at[:-1] != 1)) + 1
+
+
+def _run(breaks: np.ndarray, n: int, c: int) -> tuple[int, int]:
+    """The run of shingles around ``c``, of ``n``, that follow each other in both texts."""
     k = np.searchsorted(breaks, c, "right")
-    return (int(breaks[k - 1]) if k else 0), (int(breaks[k]) if k < len(breaks) else len(hit)) - 1
+    return (int(breaks[k - 1]) if k else 0), (int(breaks[k]) if k < len(breaks) else n) - 1
 
 
 def repeated_passages(
@@ -474,31 +482,30 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
     texts = stored(base.join(small_enough(ids), "doc_id", "left_semi"), "passage-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None,) * 5
+        last, sa = (None, None), np.zeros(0, np.uint64)
         for batch in batches:
             out: list[tuple] = []
-            ids, bs, hashes, pair_seeds, ta, tb = (batch.column(k) for k in range(6))
-            for k in range(batch.num_rows):
-                a = ta[k].as_py().encode("utf-8")
-                if (ids[k].as_py(), a) != last[:2]:
-                    h, starts, ends, first = words(np.frombuffer(a, np.uint8), np.array([0, len(a)]))
-                    last = ids[k].as_py(), a, block_shingles(h, first, width), starts, ends
-                b = tb[k].as_py().encode("utf-8")
-                if a == b and len(last[2]) >= shortest:
-                    n = len(last[2])
-                    starts, ends = last[3], last[4]
-                    at, end = int(starts[0]), int(ends[-1])
-                    start = len(b[:at].decode("utf-8"))
-                    out.append((bs[k].as_py(), hashes[k].as_py(), start, len(b[at:end].decode("utf-8")), n, ids[k].as_py(), 1.0, at, end, 0, n - width, True))
-                    continue
-                h, starts, ends, first = words(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
-                own, sb = np.stack([x.to_numpy() for x in pair_seeds[k].values.flatten()], 1), block_shingles(h, first, width)
-                for x, y, similarity in verified_passages(last[2], sb, own, shortest, width, enough, similar, whole):
-                    span = x, y, similarity == 1 and sb[x : y + 1].tobytes() in last[2].tobytes()
-                    y += width - 1
-                    at, end = int(starts[x]), int(ends[y])
-                    start = len(b[:at].decode("utf-8"))
-                    out.append((bs[k].as_py(), hashes[k].as_py(), start, len(b[at:end].decode("utf-8")), y - x + 1, ids[k].as_py(), similarity, at, end, *span))
+            ids, bs, hashes_of, pair_seeds, ta, tb = (batch.column(k) for k in range(6))
+            for row, data, bounds in blocks(tb):
+                hashes, starts, ends, first = words(data, bounds)
+                shingle = block_shingles(hashes, first, width)
+                for k in range(row, row + len(bounds) - 1):
+                    a = ta[k].as_buffer().to_pybytes()
+                    if (ids[k].as_py(), a) != last:
+                        h, _, _, only = words(np.frombuffer(a, np.uint8), np.array([0, len(a)]))
+                        last, sa = (ids[k].as_py(), a), block_shingles(h, only, width)
+                    begin, own = bounds[k - row], slice(first[k - row], first[k - row + 1])
+                    b, sb = data[begin : bounds[k - row + 1]].tobytes(), shingle[own]
+                    if a == b and len(sa) >= shortest:
+                        spans = [(0, len(sb) - width, 1.0, True)]
+                    else:
+                        seeds = np.stack([x.to_numpy() for x in pair_seeds[k].values.flatten()], 1)
+                        passed = verified_passages(sa, sb, seeds, shortest, width, enough, similar, whole)
+                        spans = [(*p, p[2] == 1 and sb[p[0] : p[1] + 1].tobytes() in sa.tobytes()) for p in passed]
+                    for x, y, similarity, same in spans:
+                        at, end = int(starts[own][x] - begin), int(ends[own][y + width - 1] - begin)
+                        start, length = len(b[:at].decode("utf-8")), len(b[at:end].decode("utf-8"))
+                        out.append((bs[k].as_py(), hashes_of[k].as_py(), start, length, y - x + width, ids[k].as_py(), similarity, at, end, x, y, same))
             columns = list(zip(*out)) if out else [[]] * 12
             kinds = [pa.int64()] * 6 + [pa.float64()] + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])

@@ -24,6 +24,8 @@ BATCH_SETTINGS = (
     ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
     ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"),
 )
+#: Are shuffle files removed as soon as a query is over?
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows up to which a table of ids, or of ids and a few numbers, is sent to every executor: some tens of megabytes.
 BROADCAST_ROWS = 1 << 20
 
@@ -41,11 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written to the cluster's shared folder and read back: what follows doesn't compute it again, and
-    losing an executor loses none of it."""
+    losing an executor loses none of it. Nor does it need the shuffle files again, which else stay until the driver
+    happens to collect its garbage."""
     spark = frame.sparkSession
     bound_batches(spark)
-    folder = shared_dir(spark, "llm", name)
-    frame.write.parquet(folder)
+    folder, before = shared_dir(spark, "llm", name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
@@ -70,6 +77,11 @@ def small_enough(ids: DataFrame, *lists: str) -> DataFrame:
     return F.broadcast(ids) if rows + held // 4 <= BROADCAST_ROWS else ids
 
 
+def few(ids: DataFrame, parts: int) -> bool:
+    """Is a table of about ``parts`` times as many rows as ``ids`` small enough to be broadcast?"""
+    return ids.count() * parts <= BROADCAST_ROWS
+
+
 def offsets_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and where each text begins and the last one ends. Null is empty."""
     if isinstance(column, pa.ChunkedArray):

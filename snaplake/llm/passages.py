@@ -29,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import blocks, give_back, int64, lists, mix, new_name, small_enough, stored, stream, words
+from snaplake.llm.common import blocks, few, give_back, int64, lists, mix, new_name, small_enough, stored, stream, words
 
 SHORTEST = 50  # words of a passage
 WIDTH = 5
@@ -44,6 +44,7 @@ DRAWS = 2  # functions that draw a shingle on each side of a window's own
 CHUNK = 1 << 19  # windows that a task joins among themselves at a time
 BUCKET_BYTES = 1 << 27  # of texts, whose windows are less than a third more than that
 HOT_ROWS, HOT_KEYS = 1 << 12, 1 << 12  # rows from which a key is hot; keys that are so at most, of any number of rows
+PART = 16  # one in so many runs, or rows, says how all are joined
 KEPT_PLACES = 1 << 20  # places of a text, over all diagonals, whose matches are kept while its seeds are gone through
 _U = np.uint64
 WINDOW = np.dtype([("key", "<u8"), ("doc", "<i8"), ("c", "<i4"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
@@ -370,26 +371,31 @@ def _drawn_again(base: DataFrame, met: DataFrame, found: DataFrame, shortest: in
 def _first_met(runs: DataFrame, *more: str) -> DataFrame:
     """The rows of stored ``runs`` but the earliest document's, each with its run's earliest row: a, hub, b and the rest.
 
-    All are joined where their rows are read if the runs of several documents are few. Else those of very many rows are;
-    a run has to have so many rows for it that there are ``HOT_KEYS`` such runs at most.
+    All are joined where their rows are read if the runs of several documents are few; a part of all runs, with all
+    rows of each, says whether that can be. Else rows meet by one shuffle, in the order of their documents, but for
+    runs that a part of all rows shows to be of very many: those are joined where they are read. There are about
+    ``HOT_KEYS`` of them at most. Neither part decides what is met, only how.
     """
-    ends = runs.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("z"), F.count("*").alias("n"))
-    ends = stored(ends.filter("a < z").drop("z"), "passage-ends")
-    small = small_enough(ends)
-    first = lambda shared, *more_of: shared.filter("doc = a").groupBy("run").agg(F.min(F.struct("c", *more)).alias("hub"), *more_of)
-    # Few runs are of several documents. Only their rows go on.
-    if small is not ends:
-        shared = stored(runs.join(small, "run"), "passage-shared")
-        both = shared.filter("doc <> a").join(F.broadcast(first(shared)), "run")  # as many rows as ``ends``
-    else:
-        many = max(HOT_ROWS, (ends.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
-        hot = F.broadcast(ends.filter(F.col("n") > many))
-        rest = runs.join(hot.select("run"), "run", "left_anti").join(ends.filter(F.col("n") <= many), "run")
-        shared = stored(runs.join(hot, "run").unionByName(rest), "passage-shared")
-        hubs, later = stored(first(shared, F.first("n").alias("of")), "passage-hubs"), shared.filter("doc <> a")
-        both = later.filter(F.col("n") > many).join(F.broadcast(hubs.filter(F.col("of") > many)), "run")
-        both = both.unionByName(later.filter(F.col("n") <= many).join(hubs.filter(F.col("of") <= many), "run"))
-    return both.select("a", F.col("doc").alias("b"), "hub", *[c for c in runs.columns if c not in ("run", "doc")])
+    ends = runs.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("z"), F.count("*").alias("n")).filter("a < z").drop("z")
+    hub, rest = F.struct("doc", "c", *more), [c for c in runs.columns if c not in ("run", "doc")]
+    if few(ends.filter(F.pmod("run", F.lit(PART)) == 0), PART):
+        ends = stored(ends, "passage-ends")
+        small = small_enough(ends)
+        if small is not ends:  # Only their rows go on.
+            shared = stored(runs.join(small, "run"), "passage-shared")
+            first = shared.filter("doc = a").groupBy("run").agg(F.min(hub).alias("hub"))
+            both = shared.filter("doc <> a").join(F.broadcast(first), "run")  # as many rows as ``ends``
+            return both.select("a", F.col("doc").alias("b"), "hub", *rest)
+    many = max(HOT_ROWS, runs.count() // HOT_KEYS)
+    drawn = runs.filter(F.pmod(F.xxhash64("doc", "c"), F.lit(PART)) == 0).groupBy("run").count()
+    hot = stored(drawn.filter(F.col("count") > many // PART).select("run"), "passage-hot")
+    in_turn = Window.partitionBy("run").orderBy("doc", "c", *more).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = runs.join(F.broadcast(hot), "run", "left_anti")
+    both = both.withColumn("hub", F.struct(*[F.first(c).over(in_turn).alias(c) for c in ("doc", "c", *more)]))  # made behind the shuffle
+    if hot.count():
+        own = stored(runs.join(F.broadcast(hot), "run"), "passage-shared")
+        both = both.unionByName(own.join(F.broadcast(own.groupBy("run").agg(F.min(hub).alias("hub"))), "run"))
+    return both.filter("doc <> hub.doc").select(F.col("hub.doc").alias("a"), F.col("doc").alias("b"), "hub", *rest)
 
 
 def _met(runs: DataFrame) -> DataFrame:
@@ -478,8 +484,11 @@ def _rolled(s: np.ndarray, size: int) -> np.ndarray:
 
 def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enough: int, similar: float, whole: bool = False) -> DataFrame:
     """The passages of stored ``pairs``, as rows of FOUND."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "passage-ids")
-    texts = stored(base.join(small_enough(ids), "doc_id", "left_semi"), "passage-texts")
+    roles = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.lit(1).alias("role")), F.struct(F.col("b").alias("doc_id"), F.lit(2).alias("role")))).alias("x"))
+    ids = stored(roles.groupBy("x.doc_id").agg(F.bit_or("x.role").alias("roles")), "passage-ids")
+    texts = stored(base.join(small_enough(ids), "doc_id"), "passage-texts")
+    # Most documents are only the earlier or only the later of their pairs: their texts go one way.
+    earlier, later = (texts.filter(F.col("roles").bitwiseAND(role) != 0) for role in (1, 2))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, sa = (None, None), np.zeros(0, np.uint64)
@@ -515,9 +524,9 @@ def _verified(base: DataFrame, pairs: DataFrame, shortest: int, width: int, enou
     many = max(HOT_ROWS, pairs.count() // HOT_KEYS)
     hot = stored(pairs.groupBy("a").count().filter(F.col("count") > many).select("a", F.ceil(F.col("count") / many).cast("int").alias("parts")), "passage-hot")
     dealt = pairs.join(F.broadcast(hot), "a", "left").withColumn("part", F.pmod(F.hash("b"), F.coalesce("parts", F.lit(1)))).drop("parts")
-    firsts = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).join(F.broadcast(hot), "a", "left")
+    firsts = earlier.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).join(F.broadcast(hot), "a", "left")
     firsts = firsts.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    both = dealt.join(texts.select(F.col("doc_id").alias("b"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("tb")), "b")
+    both = dealt.join(later.select(F.col("doc_id").alias("b"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("tb")), "b")
     both = both.join(firsts, ["a", "part"])
     return both.select("a", "b", "text_hash", "seeds", "ta", "tb").mapInArrow(verify, FOUND)
 
